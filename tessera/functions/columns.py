@@ -45,8 +45,17 @@ def as_double(name: str, df: DataFrame | None = None) -> Column:
 
 
 def round6(c: Column, places: int = 6) -> Column:
-    """Round for oracle comparison; ``+ 0.0`` folds ``-0.0`` into ``0.0``."""
-    return F.round(c.cast("double"), places) + F.lit(0.0)
+    """Round for oracle comparison as ``floor(x·10⁶ + 0.5) / 10⁶``.
+
+    The same three IEEE operations give bit-identical results in any engine
+    (decimal ``round`` implementations disagree on ties and on values past
+    2^53 / 10⁶); ``+ 0.0`` folds ``-0.0`` into ``0.0``. Values beyond ±1e12
+    and non-finite ones pass through unchanged.
+    """
+    x = c.cast("double")
+    k = float(10 ** places)
+    r = F.floor(x * F.lit(k) + F.lit(0.5)).cast("double") / F.lit(k)
+    return F.when(F.abs(x) < F.lit(1e12), r).otherwise(x) + F.lit(0.0)
 
 
 def require(df: DataFrame, cols: Sequence[str]) -> None:

@@ -32,7 +32,9 @@ def register(key: str, sql: str | None = None):
 
 def r6(name: str, expr: str | None = None) -> str:
     """SQL twin of ``round6``."""
-    return f"round(CAST({expr or name} AS DOUBLE), 6) + 0.0 AS {name}"
+    x = f"CAST({expr or name} AS DOUBLE)"
+    return (f"CASE WHEN abs({x}) < 1e12 THEN CAST(floor({x} * 1000000.0 + 0.5) AS DOUBLE) / 1000000.0 "
+            f"ELSE {x} END + 0.0 AS {name}")
 
 
 def _sql_list(vals) -> str:
@@ -368,3 +370,268 @@ def q_scaler_stats(spark, d):
         st = scale.Scaler(strategy, cols=["p_size", "p_retailprice"]).fit(p).stats(spark)
         out = st if out is None else out.unionByName(st)
     return out.select("scaler", "feature", "stat", round6(F.col("value")).alias("value"))
+
+
+# ------------------------------------------------------------------- encoding
+# part: fit on every brand but Brand#2, so Brand#2 is unseen at transform.
+
+# The category sets of the part fixture.
+P_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+P_BRANDS_SEEN = sorted(f"Brand#{i}" for i in range(1, 26) if i != 2)
+
+
+def _part(spark, d):
+    return I.table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size",
+                                             "p_retailprice")
+
+
+def _part_fit(p):
+    return p.where(F.col("p_brand") != "Brand#2")
+
+
+_PFIT = "FROM part WHERE p_brand <> 'Brand#2'"
+
+
+def _onehot_sql() -> str:
+    cols = [f'CAST(p_type = \'{v}\' AS BIGINT) AS "p_type_{v}"' for v in P_TYPES]
+    cols += [f'CAST(p_brand = \'{v}\' AS BIGINT) AS "p_brand_{v}"' for v in P_BRANDS_SEEN]
+    return "SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, " + r6("p_retailprice") + \
+        ",\n  " + ",\n  ".join(cols) + "\nFROM part"
+
+
+@register("encode_onehot", _onehot_sql())
+def q_encode_onehot(spark, d):
+    from ..operators.encode import Encoder
+    p = _part(spark, d)
+    f = Encoder("onehot", cols=["p_type", "p_brand"]).fit(_part_fit(p))
+    out = f.transform(p)
+    hot = f.names()
+    return out.select("p_partkey", F.col("p_size").cast("bigint").alias("p_size"),
+                      round6(F.col("p_retailprice")).alias("p_retailprice"),
+                      *[F.col(f"`{h}`").cast("bigint").alias(h) for h in hot])
+
+
+@register("encode_label", f"""
+WITH bm AS (SELECT p_brand AS v, dense_rank() OVER (ORDER BY p_brand) - 1 AS code
+            FROM (SELECT DISTINCT p_brand {_PFIT})),
+tm AS (SELECT p_type AS v, dense_rank() OVER (ORDER BY p_type) - 1 AS code
+       FROM (SELECT DISTINCT p_type {_PFIT}))
+SELECT p.p_partkey, CAST(coalesce(bm.code, -1) AS BIGINT) AS p_brand,
+       CAST(coalesce(tm.code, -1) AS BIGINT) AS p_type
+FROM part p LEFT JOIN bm ON p.p_brand = bm.v LEFT JOIN tm ON p.p_type = tm.v
+""")
+def q_encode_label(spark, d):
+    from ..operators.encode import Encoder
+    p = _part(spark, d).select("p_partkey", "p_brand", "p_type")
+    f = Encoder("label", cols=["p_brand", "p_type"], handle_unseen="keep").fit(_part_fit(p))
+    return f.transform(p)
+
+
+@register("encode_target", f"""
+WITH g AS (SELECT avg(p_retailprice) AS gm {_PFIT}),
+bm AS (SELECT p_brand AS v, avg(p_retailprice) AS code {_PFIT} GROUP BY 1),
+tm AS (SELECT p_type AS v, avg(p_retailprice) AS code {_PFIT} GROUP BY 1)
+SELECT p.p_partkey, {r6('p_brand', 'coalesce(bm.code, g.gm)')}, {r6('p_type', 'coalesce(tm.code, g.gm)')},
+       {r6('p_retailprice', 'p.p_retailprice')}
+FROM part p LEFT JOIN bm ON p.p_brand = bm.v LEFT JOIN tm ON p.p_type = tm.v, g
+""")
+def q_encode_target(spark, d):
+    from ..operators.encode import Encoder
+    p = _part(spark, d).select("p_partkey", "p_brand", "p_type", "p_retailprice")
+    f = Encoder("target", cols=["p_brand", "p_type"], label="p_retailprice").fit(_part_fit(p))
+    out = f.transform(p)
+    return out.select("p_partkey", *[round6(F.col(c)).alias(c)
+                                     for c in ("p_brand", "p_type", "p_retailprice")])
+
+
+@register("encode_frequency", f"""
+WITH n AS (SELECT count(*) AS n {_PFIT}),
+bm AS (SELECT p_brand AS v, count(*) AS c {_PFIT} GROUP BY 1),
+tm AS (SELECT p_type AS v, count(*) AS c {_PFIT} GROUP BY 1)
+SELECT p.p_partkey, {r6('p_brand', 'bm.c / n.n')}, {r6('p_type', 'tm.c / n.n')}
+FROM part p LEFT JOIN bm ON p.p_brand = bm.v LEFT JOIN tm ON p.p_type = tm.v, n
+""")
+def q_encode_frequency(spark, d):
+    from ..operators.encode import Encoder
+    p = _part(spark, d).select("p_partkey", "p_brand", "p_type")
+    f = Encoder("frequency", cols=["p_brand", "p_type"]).fit(_part_fit(p))
+    return f.transform(p).select("p_partkey", *[round6(F.col(c)).alias(c)
+                                                for c in ("p_brand", "p_type")])
+
+
+# ---------------------------------------------------------------------- chain
+
+CHAIN_NUM = ["o_year", "n_lines", "qty", "disc"]
+CHAIN_CAT = ["o_orderstatus", "o_orderpriority"]
+
+
+def chain_frame(spark, d):
+    return I.orders_lines(spark, d).select("o_orderkey", "o_totalprice", *CHAIN_CAT, *CHAIN_NUM)
+
+
+def preprocess_chain(spark, d):
+    from ..operators.encode import Encoder
+    from .chain import Chain
+    df = chain_frame(spark, d)
+    ex = ["o_orderkey", "o_totalprice"]
+    chain = Chain([
+        clean.Imputer("median", exclude=ex),
+        clean.Imputer("most_frequent", kind="categorical", exclude=ex),
+        clean.OutlierClipper("iqr", 1.5, exclude=ex),
+        Encoder("target", cols=CHAIN_CAT, label="o_totalprice"),
+        scale.Scaler("robust", exclude=ex),
+    ])
+    fitted = chain.fit(df.where(TRAIN()))
+    return fitted.transform(df)
+
+
+def _chain_sql() -> str:
+    num, cat = CHAIN_NUM, CHAIN_CAT
+    allnum = cat + num
+    med = ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in num)
+    modes = ",\n".join(
+        f"mo_{c} AS (SELECT {c} AS v FROM ol WHERE o_orderkey % 5 <> 0 AND {c} IS NOT NULL "
+        f"GROUP BY 1 ORDER BY count(*) DESC, v LIMIT 1)" for c in cat)
+    c1 = ", ".join([f"coalesce({c}, (SELECT v FROM mo_{c})) AS {c}" for c in cat] +
+                   [f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in num])
+    iq = ", ".join(f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.75) AS b_{c}" for c in num)
+    c2 = ", ".join(cat + [f"least(greatest({c}, a_{c} - 1.5 * (b_{c} - a_{c})), "
+                          f"b_{c} + 1.5 * (b_{c} - a_{c})) AS {c}" for c in num])
+    te = ",\n".join(f"te_{c} AS (SELECT {c} AS v, avg(o_totalprice) AS code FROM c2 "
+                    f"WHERE tr GROUP BY 1)" for c in cat)
+    c3 = ", ".join([f"coalesce(te_{c}.code, g.gm) AS {c}" for c in cat] + [f"c2.{c}" for c in num])
+    joins = " ".join(f"LEFT JOIN te_{c} ON c2.{c} = te_{c}.v" for c in cat)
+    rq = ", ".join(f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.5) AS m_{c}, "
+                   f"quantile_cont({c}, 0.75) AS b_{c}" for c in allnum)
+    outs = ", ".join(r6(c, f"({c} - m_{c}) / CASE WHEN b_{c} - a_{c} = 0 THEN 1 ELSE b_{c} - a_{c} END")
+                     for c in allnum)
+    return f"""
+WITH {I.SQL_ORDERS_LINES},
+s1 AS (SELECT {med} FROM ol WHERE o_orderkey % 5 <> 0),
+{modes},
+c1 AS (SELECT o_orderkey, o_totalprice, o_orderkey % 5 <> 0 AS tr, {c1} FROM ol, s1),
+s2 AS (SELECT {iq} FROM c1 WHERE tr),
+c2 AS (SELECT o_orderkey, o_totalprice, tr, {c2} FROM c1, s2),
+g AS (SELECT avg(o_totalprice) AS gm FROM c2 WHERE tr),
+{te},
+c3 AS (SELECT c2.o_orderkey, c2.o_totalprice, c2.tr, {c3} FROM c2 {joins}, g),
+s4 AS (SELECT {rq} FROM c3 WHERE tr)
+SELECT o_orderkey, {r6('o_totalprice')}, {outs} FROM c3, s4
+"""
+
+
+@register("preprocess_chain", _chain_sql())
+def q_preprocess_chain(spark, d):
+    out = preprocess_chain(spark, d)
+    return out.select("o_orderkey", *[round6(F.col(c)).alias(c)
+                                      for c in ["o_totalprice", *CHAIN_CAT, *CHAIN_NUM]])
+
+
+@register("split_holdout", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM orders
+""")
+def q_split_holdout(spark, d):
+    o = I.table(spark, d, "orders").select("o_orderkey")
+    return split.holdout(o, "o_orderkey", 0.2, method="modulo")
+
+
+# ------------------------------------------------------------------- features
+
+def _li(spark, d):
+    return I.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *LI_NUM)
+
+
+_LI_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+@register("feat_squares", "SELECT l_orderkey, l_linenumber, " + ", ".join(
+    [r6(c) for c in LI_NUM] + [r6(f"{c}_squared", f"{c} * {c}") for c in LI_NUM]) + " FROM lineitem")
+def q_feat_squares(spark, d):
+    from ..operators import features
+    out = features.polynomial_features(_li(spark, d), exclude=_LI_KEYS, products=False)
+    return out.select(*_LI_KEYS, *[round6(F.col(c)).alias(c) for c in out.columns[2:]])
+
+
+_PAIRS = [(a, b) for i, a in enumerate(LI_NUM) for b in LI_NUM[i + 1:]]
+
+
+@register("feat_products", "SELECT l_orderkey, l_linenumber, " + ", ".join(
+    [r6(c) for c in LI_NUM] + [r6(f"{a}_x_{b}", f"{a} * {b}") for a, b in _PAIRS]) + " FROM lineitem")
+def q_feat_products(spark, d):
+    from ..operators import features
+    out = features.polynomial_features(_li(spark, d), exclude=_LI_KEYS, squares=False)
+    return out.select(*_LI_KEYS, *[round6(F.col(c)).alias(c) for c in out.columns[2:]])
+
+
+@register("feat_row_sum", f"""
+SELECT l_orderkey, l_linenumber, {r6('Total', 'coalesce(l_quantity, 0) + coalesce(l_extendedprice, 0)')}
+FROM lineitem
+""")
+def q_feat_row_sum(spark, d):
+    from ..operators import features
+    out = features.row_sum(_li(spark, d), ["price", "quantity"], name="Total")
+    return out.select(*_LI_KEYS, round6(F.col("Total")).alias("Total"))
+
+
+@register("feat_row_mean", f"""
+WITH v AS (SELECT l_orderkey, l_linenumber, TRY_CAST(l_discount AS DOUBLE) AS a,
+                  TRY_CAST(l_tax AS DOUBLE) AS b, TRY_CAST(l_linestatus AS DOUBLE) AS c FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+  {r6('Score', '(coalesce(a, 0) + coalesce(b, 0) + coalesce(c, 0)) / nullif(CAST((a IS NOT NULL)::INT + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT AS DOUBLE), 0)')}
+FROM v
+""")
+def q_feat_row_mean(spark, d):
+    from ..operators import features
+    li = I.table(spark, d, "lineitem").select(*_LI_KEYS, "l_discount", "l_tax", "l_linestatus",
+                                              "l_quantity")
+    out = features.row_mean(li, ["disc", "tax", "status"], name="Score")
+    return out.select(*_LI_KEYS, round6(F.col("Score")).alias("Score"))
+
+
+@register("feat_age", """
+SELECT l.l_orderkey, l.l_linenumber,
+       CAST(year(l.l_shipdate) - year(o.o_orderdate) AS BIGINT) AS ship_age
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+""")
+def q_feat_age(spark, d):
+    from ..operators import features
+    li = I.table(spark, d, "lineitem").select(*_LI_KEYS, "l_shipdate")
+    o = I.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    out = features.difference(j, "l_shipdate", "o_orderdate", name="ship_age")
+    return out.select(*_LI_KEYS, F.col("ship_age").cast("bigint").alias("ship_age"))
+
+
+@register("feat_cross", """
+SELECT l_orderkey, l_linenumber,
+  concat_ws('_', coalesce(l_returnflag, 'nan'), coalesce(nullif(l_linestatus, 'O'), 'nan')) AS l_returnflag_l_linestatus,
+  concat_ws('_', coalesce(l_returnflag, 'nan'), coalesce(l_shipinstruct, 'nan')) AS l_returnflag_l_shipinstruct,
+  concat_ws('_', coalesce(nullif(l_linestatus, 'O'), 'nan'), coalesce(l_shipinstruct, 'nan')) AS l_linestatus_l_shipinstruct
+FROM (SELECT *, CASE WHEN l_quantity > 25 THEN 'BULK' ELSE NULL END AS l_shipinstruct FROM lineitem)
+""")
+def q_feat_cross(spark, d):
+    from ..operators import features
+    li = I.table(spark, d, "lineitem").select(
+        *_LI_KEYS, "l_returnflag", F.nullif("l_linestatus", F.lit("O")).alias("l_linestatus"),
+        F.when(F.col("l_quantity") > 25, F.lit("BULK")).alias("l_shipinstruct"))
+    out = features.crosses(li)
+    return out.select(*_LI_KEYS, "l_returnflag_l_linestatus", "l_returnflag_l_shipinstruct",
+                      "l_linestatus_l_shipinstruct")
+
+
+@register("feat_weighted", f"""
+SELECT l_orderkey, l_linenumber,
+  {r6('weighted', '0.5 * coalesce(l_quantity, 0) + 0.3 * coalesce(l_discount, 0) + 0.2 * coalesce(l_tax, 0)')},
+  CAST(2024 - year(l_shipdate) AS BIGINT) AS ship_years_ago,
+  {r6('price_per_qty', 'CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END')}
+FROM lineitem
+""")
+def q_feat_weighted(spark, d):
+    from ..operators import features
+    li = I.table(spark, d, "lineitem").select(*_LI_KEYS, *LI_NUM, "l_shipdate")
+    out = features.weighted_sum(li, {"l_quantity": 0.5, "l_discount": 0.3, "l_tax": 0.2}, "weighted")
+    out = features.age_from(out, "l_shipdate", 2024, "ship_years_ago")
+    out = features.ratio(out, "l_extendedprice", "l_quantity", "price_per_qty")
+    return out.select(*_LI_KEYS, round6(F.col("weighted")).alias("weighted"),
+                      F.col("ship_years_ago").cast("bigint").alias("ship_years_ago"),
+                      round6(F.col("price_per_qty")).alias("price_per_qty"))
