@@ -48,9 +48,14 @@ def _group_cond(by: Sequence[str], key: tuple) -> Column:
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] | None = None, exact: bool = True,
               accuracy: int = 10000, max_bracket: int = 50000, bins: int = 1024,
-              max_groups: int = 256) -> dict[tuple, list[float | None]]:
+              max_groups: int = 256, interpolation: str = "linear"
+              ) -> dict[tuple, list[float | None]]:
     """Quantiles of each column (optionally per group of ``by``).
 
+    ``interpolation='linear'`` interpolates at ``p·(n−1)``;
+    ``'inverted_cdf'`` returns the observed value at index ``ceil(p·n) − 1``
+    (the smallest value whose cumulative share reaches ``p``).
+
     Returns ``{(group_tuple, column): [value per prob]}``; the group tuple is
     ``()`` without ``by``. A column with no non-null value yields ``None``.
     Grouped exact quantiles are meant for few groups (models, splits); more
@@ -98,9 +103,12 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 continue
             out[(key, c)] = [None] * len(probs)
             for j, p in enumerate(probs):
-                pos = p * (n - 1)
-                k = int(math.floor(pos))
-                frac = pos - k
+                if interpolation == "inverted_cdf":
+                    k, frac = max(0, int(math.ceil(p * n)) - 1), 0.0
+                else:
+                    pos = p * (n - 1)
+                    k = int(math.floor(pos))
+                    frac = pos - k
                 k2 = min(k + 1, n - 1) if frac > 0 else k
                 plo, phi = max(0.0, p - delta), min(1.0, p + delta)
                 lo = approx[plo] if plo > 0 else r[f"lo{i}"]
@@ -189,6 +197,8 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      exact: bool = True, **kw) -> dict[str, list[float | None]]:
+    if kw.get("interpolation", "linear") not in ("linear", "inverted_cdf"):
+        raise ValueError("interpolation must be 'linear' or 'inverted_cdf'")
     """Ungrouped form: ``{column: [value per prob]}``."""
     res = quantiles(df, cols, probs, exact=exact, **kw)
     return {c: res[((), c)] for c in cols}

@@ -116,3 +116,29 @@ def predict_stacking(va, model, preds: DataFrame, key: str, models: Sequence[str
                      model_col: str = "model", pred_col: str = "p") -> DataFrame:
     wide = wide_members(preds, key, models, None, model_col, pred_col).dropna()
     return model.transform(va.transform(wide)).select(F.col(q(key)), "prediction")
+
+
+def group_mean_cv(df: DataFrame, key: str, label: str, groups: Sequence[str], k: int = 5,
+                  seed: int = 42, method: str = "hash") -> DataFrame:
+    """K-fold CV of the group-mean predictor without k refits.
+
+    One aggregate gives label sums per ``(group, fold)``; the out-of-fold mean
+    of a row's group is ``(S_g − S_g,f) / (N_g − N_g,f)`` (falling back to the
+    out-of-fold global mean when the group is absent from the other folds).
+    Returns ``(fold, key, y, p)``; both aggregates are one row per group×fold.
+    """
+    from .split import fold_of
+    y = F.col(q(label)).cast("double")
+    d = df.select(F.col(q(key)), *[F.col(q(g)) for g in groups], y.alias("__y"),
+                  fold_of(key, k, seed, method).alias("fold"))
+    s = d.groupBy(*groups, "fold").agg(F.sum("__y").alias("__s"), F.count("__y").alias("__n"))
+    tot = s.groupBy(*groups).agg(F.sum("__s").alias("__st"), F.sum("__n").alias("__nt"))
+    fs = s.groupBy("fold").agg(F.sum("__s").alias("__fs"), F.sum("__n").alias("__fn"))
+    g = s.agg(F.sum("__s").alias("__gs"), F.sum("__n").alias("__gn")).first()
+    j = d.join(s, [*groups, "fold"], "left").join(tot, list(groups), "left") \
+         .join(F.broadcast(fs), "fold", "left")
+    grp = F.try_divide(F.col("__st") - F.col("__s"), (F.col("__nt") - F.col("__n")).cast("double"))
+    glob = F.try_divide(F.lit(g["__gs"]) - F.col("__fs"),
+                        (F.lit(g["__gn"]) - F.col("__fn")).cast("double"))
+    return j.select("fold", F.col(q(key)), F.col("__y").alias("y"),
+                    F.coalesce(grp, glob).alias("p"))

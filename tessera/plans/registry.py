@@ -635,3 +635,161 @@ def q_feat_weighted(spark, d):
     return out.select(*_LI_KEYS, round6(F.col("weighted")).alias("weighted"),
                       F.col("ship_years_ago").cast("bigint").alias("ship_years_ago"),
                       round6(F.col("price_per_qty")).alias("price_per_qty"))
+
+
+# ------------------------------------------------------------ feature scoring
+
+LI_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+          "l_discount", "l_tax"]
+LI_Y = "l_extendedprice"
+
+
+def _mi_sql(feats: list[str], exprs: dict[str, str] | None = None, source: str = "lineitem",
+            y: str = LI_Y, bins: int = 10) -> str:
+    """DuckDB twin of ``select.mutual_information``: CTEs ``mi(feature, score)``."""
+    exprs = exprs or {}
+    probs = "[" + ", ".join(repr(j / bins) for j in range(1, bins)) + "]"
+    x = {c: f"CAST({exprs.get(c, c)} AS DOUBLE)" for c in [*feats, y]}
+    e = ", ".join(f'quantile_disc({x[c]}, {probs}) AS "e_{c}"' for c in [*feats, y])
+    b = ", ".join(f'list_sum([CASE WHEN {x[c]} > t THEN 1 ELSE 0 END FOR t IN "e_{c}"]) AS "{c}"'
+                  for c in feats)
+    names = ", ".join(f'"{c}"' for c in feats)
+    return f"""
+mi_e AS (SELECT {e} FROM {source}),
+mi_b AS (SELECT list_sum([CASE WHEN {x[y]} > t THEN 1 ELSE 0 END FOR t IN "e_{y}"]) AS by_, {b}
+         FROM {source}, mi_e),
+mi_l AS (SELECT * FROM mi_b UNPIVOT (bx FOR feature IN ({names}))),
+mi_c AS (SELECT feature, bx, by_, CAST(count(*) AS DOUBLE) AS n FROM mi_l GROUP BY ALL),
+mi_t AS (SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS tot,
+                sum(n) OVER (PARTITION BY feature, bx) AS nx,
+                sum(n) OVER (PARTITION BY feature, by_) AS ny FROM mi_c),
+mi AS (SELECT feature, sum(n / tot * ln(n * tot / (nx * ny))) AS score FROM mi_t GROUP BY feature)
+"""
+
+
+def _corr_sql(feats: list[str], y: str = LI_Y) -> str:
+    u = "\n  UNION ALL ".join(f"SELECT '{c}' AS feature, abs(corr({c}, {y})) AS score FROM lineitem"
+                             for c in feats)
+    return f"cr AS ({u})"
+
+
+def _li_all(spark, d):
+    return I.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *LI_ALL[2:3],
+                                                "l_partkey", "l_quantity", "l_discount", "l_tax",
+                                                LI_Y).select(*LI_ALL, LI_Y)
+
+
+def _corr_scores(df, feats, y):
+    from ..functions.stats import agg_values
+    v = agg_values(df, {f"c{i}": F.abs(F.corr(F.col(c).cast("double"), F.col(y).cast("double")))
+                        for i, c in enumerate(feats)})
+    return df.sparkSession.createDataFrame([(c, v[f"c{i}"]) for i, c in enumerate(feats)],
+                                           "feature string, score double")
+
+
+@register("mutual_information", f"WITH {_mi_sql(LI_ALL)}\nSELECT feature, {r6('score')} FROM mi")
+def q_mutual_information(spark, d):
+    from ..operators import select
+    mi = select.mutual_information(_li_all(spark, d), LI_Y, LI_ALL)
+    return mi.select("feature", round6(F.col("score")).alias("score"))
+
+
+@register("select_threshold", f"""
+WITH {_mi_sql(LI_ALL)},
+th AS (SELECT quantile_cont(score, 0.7) AS t FROM mi)
+SELECT feature, {r6('score')}, {r6('threshold', 't')} FROM mi, th WHERE score > t
+""")
+def q_select_threshold(spark, d):
+    from ..operators import select
+    mi = select.mutual_information(_li_all(spark, d), LI_Y, LI_ALL)
+    sel = select.threshold_select(mi, 70)
+    return sel.select("feature", round6(F.col("score")).alias("score"),
+                      round6(F.col("threshold")).alias("threshold"))
+
+
+def _selections(spark, d):
+    """Two scoring methods over lineitem: MI (keep > p70) and |Pearson r| (keep > p75)."""
+    from ..operators import select
+    li = _li_all(spark, d)
+    mi = select.threshold_select(select.mutual_information(li, LI_Y, LI_ALL), 70) \
+               .select(F.lit("Mutual Information").alias("method"), "feature", "score")
+    cr = select.threshold_select(_corr_scores(li, LI_ALL, LI_Y), 75) \
+               .select(F.lit("Correlation").alias("method"), "feature", "score")
+    return mi.unionByName(cr)
+
+
+_ORD = " UNION ALL ".join(f"SELECT '{c}' AS feature, {i} AS ordinal" for i, c in enumerate(LI_ALL))
+_SEL_SQL = f"""{_mi_sql(LI_ALL)},
+{_corr_sql(LI_ALL)},
+sel AS (SELECT 'Mutual Information' AS method, feature, score FROM mi
+          WHERE score > (SELECT quantile_cont(score, 0.7) FROM mi)
+        UNION ALL
+        SELECT 'Correlation', feature, score FROM cr
+          WHERE score > (SELECT quantile_cont(score, 0.75) FROM cr)),
+ord AS ({_ORD})"""
+
+
+@register("select_vote", f"""
+WITH {_SEL_SQL},
+v AS (SELECT o.feature, o.ordinal, CAST(count(s.method) AS BIGINT) AS votes,
+             coalesce(avg(s.score), 0.0) AS score
+      FROM ord o LEFT JOIN sel s ON o.feature = s.feature GROUP BY o.feature, o.ordinal),
+r AS (SELECT *, CAST(row_number() OVER (ORDER BY votes DESC, score DESC, ordinal) AS BIGINT) AS rank FROM v)
+SELECT feature, votes, {r6('score')}, rank, rank <= 3 AS selected FROM r
+""")
+def q_select_vote(spark, d):
+    from ..operators import select
+    v = select.vote(_selections(spark, d), LI_ALL, min_features=2, max_features=200)
+    return v.select("feature", "votes", round6(F.col("score")).alias("score"), "rank", "selected")
+
+
+@register("importance_ranking", f"""
+WITH {_SEL_SQL},
+mo AS (SELECT 'Boruta' AS method, 0 AS mo UNION ALL SELECT 'Permutation', 1
+       UNION ALL SELECT 'Mutual Information', 2),
+a AS (SELECT s.feature, avg(s.score) AS imp, arg_min(s.method, coalesce(mo.mo, 99)) AS reason
+      FROM sel s LEFT JOIN mo ON s.method = mo.method GROUP BY s.feature),
+j AS (SELECT o.feature AS Feature, coalesce(a.imp, 0.0) AS Importance,
+             coalesce(a.reason, 'Unknown') AS Reason FROM ord o LEFT JOIN a ON o.feature = a.feature)
+SELECT Feature, {r6('Importance')}, Reason,
+       CAST(row_number() OVER (ORDER BY Importance DESC, Feature) AS BIGINT) AS rank FROM j
+""")
+def q_importance_ranking(spark, d):
+    from ..operators import select
+    r = select.importance_ranking(_selections(spark, d), LI_ALL)
+    return r.select("Feature", round6(F.col("Importance")).alias("Importance"), "Reason", "rank")
+
+
+@register("select_project", """
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem
+""")
+def q_select_project(spark, d):
+    from ..operators import select
+    li = I.table(spark, d, "lineitem")
+    return select.project(li, ["l_quantity", "l_discount", "l_not_in_table", "l_tax"],
+                          keep=["l_orderkey", "l_linenumber"])
+
+
+_ENG = LI_ALL[:]          # the 7 numerics, then squares of all, then products of the first 8
+_ENG_EXPR: dict[str, str] = {}
+for _c in LI_ALL:
+    _ENG.append(f"{_c}_squared")
+    _ENG_EXPR[f"{_c}_squared"] = f"CAST({_c} AS DOUBLE) * CAST({_c} AS DOUBLE)"
+for _i, _a in enumerate(LI_ALL):
+    for _b in LI_ALL[_i + 1:]:
+        _ENG.append(f"{_a}_x_{_b}")
+        _ENG_EXPR[f"{_a}_x_{_b}"] = f"CAST({_a} AS DOUBLE) * CAST({_b} AS DOUBLE)"
+
+
+@register("top_importance", f"""
+WITH {_mi_sql(_ENG, _ENG_EXPR)},
+r AS (SELECT feature, {r6('importance', 'score')} FROM mi)
+SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY importance DESC, feature) AS BIGINT) AS rank,
+                      feature, importance FROM r) WHERE rank <= 30
+""")
+def q_top_importance(spark, d):
+    from ..operators import evaluate, features, select
+    eng = features.polynomial_features(_li_all(spark, d), cols=LI_ALL)
+    mi = select.mutual_information(eng, LI_Y, _ENG)
+    scores = mi.select("feature", round6(F.col("score")).alias("importance"))
+    return evaluate.top_n(scores, 30).select("rank", "feature", "importance")
