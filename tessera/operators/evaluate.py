@@ -81,12 +81,17 @@ def error_analysis(df: DataFrame, y: str = "y", p: str = "p",
         F.avg("__e").alias("mean_error"), F.stddev_pop("__e").alias("std_error"),
         F.min("__e").alias("min_error"), F.max("__e").alias("max_error"))
     qs = quantiles(d, ["__a"], [0.5, 0.9, 0.95], by=list(by), exact=exact)
+    if not by:
+        med, p90, p95 = qs[((), "__a")]
+        return mom.select("*", F.lit(med).alias("median_abs_error"),
+                          F.lit(p90).alias("percentile_90_error"),
+                          F.lit(p95).alias("percentile_95_error"))
     rows = [(*k, *v) for (k, _), v in qs.items()]
     schema = ", ".join([f"{b} {t}" for b, t in zip(by, _types(df, by))] +
                        ["median_abs_error double", "percentile_90_error double",
                         "percentile_95_error double"])
     qt = df.sparkSession.createDataFrame(rows, schema)
-    return mom.join(qt, list(by), "inner") if by else mom.crossJoin(qt)
+    return mom.join(qt, list(by), "inner")
 
 
 def _types(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -149,7 +154,8 @@ def error_histogram(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str]
     counts = e.join(rng, list(by), "inner").groupBy(*byc, b.alias("bin")) \
               .agg(F.count("*").alias("n"))
     grid = rng.select(*byc, "lo", "hi",
-                      F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint").alias("bin"))
+                      F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                           F.lit(bins - 1).cast("bigint"))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / bins
     return (grid.join(counts, [*by, "bin"], "left")
             .select(*byc, "bin",

@@ -56,10 +56,9 @@ def gbt(preset: str = "xgboost", seed: int = 42, validation_col: str | None = No
     if preset not in GBT_PRESETS:
         raise ValueError(f"unknown boosted-tree preset: {preset}")
     p = {**GBT_PRESETS[preset], **params}
-    g = GBTRegressor(featuresCol=FEATURES, seed=seed, checkpointInterval=10, **p)
     if validation_col:
-        g = g.setValidationIndicatorCol(validation_col).setValidationTol(validation_tol)
-    return g
+        p.update(validationIndicatorCol=validation_col, validationTol=validation_tol)
+    return GBTRegressor(featuresCol=FEATURES, seed=seed, checkpointInterval=10, **p)
 
 
 def pipeline(features: Sequence[str], label: str, estimator) -> Pipeline:

@@ -793,3 +793,450 @@ def q_top_importance(spark, d):
     mi = select.mutual_information(eng, LI_Y, _ENG)
     scores = mi.select("feature", round6(F.col("score")).alias("importance"))
     return evaluate.top_n(scores, 30).select("rank", "feature", "importance")
+
+
+# --------------------------------------------------- predictions / evaluation
+# Long prediction table: three group-mean predictors of o_totalprice (train
+# split), scored on the test split unless a query says otherwise.
+
+MODELS = list(I.PRED_MODELS)
+METRIC_COLS = ["rmse", "mae", "r2", "mape"]
+
+
+def _pred(spark, d, split_=None):
+    p = I.predictions(spark, d)
+    return p.where(F.col("split") == split_) if split_ else p
+
+
+def _metric_sql(prefix: str = "") -> str:
+    e = "(y - p)"
+    return (f"CAST(count(*) AS BIGINT) AS {prefix}n, "
+            f"{r6(prefix + 'rmse', f'sqrt(avg({e} * {e}))')}, "
+            f"{r6(prefix + 'mae', f'avg(abs({e}))')}, "
+            f"{r6(prefix + 'r2', f'CASE WHEN var_pop(y) * count(y) = 0 THEN (CASE WHEN sum({e} * {e}) = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - sum({e} * {e}) / (var_pop(y) * count(y)) END')}, "
+            f"{r6(prefix + 'mape', f'CASE WHEN count_if(y <> 0) = 0 THEN CAST(' + chr(39) + 'inf' + chr(39) + f' AS DOUBLE) ELSE avg(CASE WHEN y <> 0 THEN abs({e}) / abs(y) END) END')}")
+
+
+_TEST = "FROM pred WHERE split = 'test' AND y IS NOT NULL AND p IS NOT NULL"
+
+
+def _r6cols(df, cols):
+    return [round6(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns]
+
+
+@register("metrics", f"""
+WITH {I.SQL_PREDICTIONS}
+SELECT model, {_metric_sql()} {_TEST} GROUP BY model
+""")
+def q_metrics(spark, d):
+    from ..operators import evaluate
+    m = evaluate.metrics(_pred(spark, d, "test"), by=["model"])
+    return m.select(*_r6cols(m, METRIC_COLS))
+
+
+@register("metrics_by_split", f"""
+WITH {I.SQL_PREDICTIONS}
+SELECT model, split, {_metric_sql()} FROM pred WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY model, split
+""")
+def q_metrics_by_split(spark, d):
+    from ..operators import evaluate
+    m = evaluate.metrics(_pred(spark, d), by=["model", "split"])
+    return m.select(*_r6cols(m, METRIC_COLS))
+
+
+@register("compare_predictions", f"""
+WITH {I.SQL_PREDICTIONS}
+SELECT pr.o_orderkey, {r6('o_totalprice_pred', 'pr.p')}, {r6('o_totalprice_true', 'o.o_totalprice')},
+       {r6('Absolute_Error', 'abs(o.o_totalprice - pr.p)')},
+       {r6('Relative_Error', 'abs((o.o_totalprice - pr.p) / nullif(o.o_totalprice, 0))')}
+FROM (SELECT o_orderkey, p FROM pred WHERE model = 'by_priority' AND split = 'test') pr
+JOIN orders o ON pr.o_orderkey = o.o_orderkey
+""")
+def q_compare_predictions(spark, d):
+    from ..operators import evaluate
+    pred = _pred(spark, d, "test").where(F.col("model") == "by_priority") \
+                                  .select("o_orderkey", F.col("p").alias("o_totalprice"))
+    truth = I.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    c = evaluate.compare_with_truth(pred, truth, "o_orderkey", "o_totalprice")
+    return c.select("o_orderkey", *[round6(F.col(x)).alias(x) for x in c.columns[1:]])
+
+
+@register("model_ranking", f"""
+WITH {I.SQL_PREDICTIONS},
+m AS (SELECT model, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae {_TEST} GROUP BY model)
+SELECT model, {r6('rmse')}, {r6('mae')},
+       CAST(row_number() OVER (ORDER BY rmse, model) AS BIGINT) AS rank,
+       row_number() OVER (ORDER BY rmse, model) = 1 AS is_best
+FROM m
+""")
+def q_model_ranking(spark, d):
+    from ..operators import evaluate
+    m = evaluate.metrics(_pred(spark, d, "test"), by=["model"]).select("model", "rmse", "mae")
+    r = evaluate.rank_models(m, "rmse")
+    return r.select("model", round6(F.col("rmse")).alias("rmse"), round6(F.col("mae")).alias("mae"),
+                    "rank", "is_best")
+
+
+@register("error_analysis", f"""
+WITH {I.SQL_PREDICTIONS},
+e AS (SELECT model, y - p AS e {_TEST})
+SELECT model, {r6('mean_error', 'avg(e)')}, {r6('std_error', 'stddev_pop(e)')},
+       {r6('min_error', 'min(e)')}, {r6('max_error', 'max(e)')},
+       {r6('median_abs_error', 'quantile_cont(abs(e), 0.5)')},
+       {r6('percentile_90_error', 'quantile_cont(abs(e), 0.9)')},
+       {r6('percentile_95_error', 'quantile_cont(abs(e), 0.95)')}
+FROM e GROUP BY model
+""")
+def q_error_analysis(spark, d):
+    from ..operators import evaluate
+    ea = evaluate.error_analysis(_pred(spark, d, "test"), by=["model"])
+    return ea.select("model", *[round6(F.col(c)).alias(c) for c in ea.columns if c != "model"])
+
+
+_LONG_SQL = f"""{I.SQL_PREDICTIONS},
+m AS (SELECT model, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
+             1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS r2,
+             avg(CASE WHEN y <> 0 THEN abs(y - p) / abs(y) END) AS mape {_TEST} GROUP BY model),
+rep AS (SELECT model AS Model, Metric, Value FROM m UNPIVOT (Value FOR Metric IN (rmse, mae, r2, mape)))"""
+
+
+@register("metric_report", f"""
+WITH {_LONG_SQL}
+SELECT Model, Metric, {r6('Value')} FROM rep
+""")
+def q_metric_report(spark, d):
+    from ..operators import evaluate
+    m = evaluate.metrics(_pred(spark, d, "test"), by=["model"])
+    rep = evaluate.metric_report(m)
+    return rep.select("Model", "Metric", round6(F.col("Value")).alias("Value"))
+
+
+@register("metric_pivot", f"""
+WITH {_LONG_SQL},
+ens AS (SELECT 'ensemble_mean' AS Model, 'rmse' AS Metric, sqrt(avg((y - p) * (y - p))) AS Value
+        FROM (SELECT o_orderkey, any_value(y) AS y, avg(p) AS p FROM pred WHERE split = 'test'
+              GROUP BY o_orderkey)),
+allr AS (SELECT * FROM rep UNION ALL SELECT * FROM ens)
+SELECT Model,
+  {r6('rmse', "max(CASE WHEN Metric = 'rmse' THEN Value END)")},
+  {r6('mae', "max(CASE WHEN Metric = 'mae' THEN Value END)")},
+  {r6('r2', "max(CASE WHEN Metric = 'r2' THEN Value END)")},
+  {r6('mape', "max(CASE WHEN Metric = 'mape' THEN Value END)")}
+FROM allr GROUP BY Model
+""")
+def q_metric_pivot(spark, d):
+    """Models × metrics; the mean ensemble only reports RMSE, so its other cells are null."""
+    from ..operators import ensemble, evaluate
+    test = _pred(spark, d, "test")
+    rep = evaluate.metric_report(evaluate.metrics(test, by=["model"]))
+    ens = ensemble.mean_vote(test, "o_orderkey").join(
+        test.groupBy("o_orderkey").agg(F.first("y").alias("y")), "o_orderkey")
+    ens_rmse = evaluate.metrics(ens, "y", "prediction").select(
+        F.lit("ensemble_mean").alias("Model"), F.lit("rmse").alias("Metric"),
+        F.col("rmse").alias("Value"))
+    pv = evaluate.metric_pivot(rep.unionByName(ens_rmse), METRIC_COLS)
+    return pv.select("Model", *[round6(F.col(c)).alias(c) for c in METRIC_COLS])
+
+
+@register("scatter_bins", f"""
+WITH {I.SQL_PREDICTIONS},
+t AS (SELECT model, y, p {_TEST}),
+b AS (SELECT model, least(min(y), min(p)) AS lo, greatest(max(y), max(p)) AS hi FROM t GROUP BY model)
+SELECT t.model, {r6('lo', 'b.lo')}, {r6('hi', 'b.hi')},
+  CAST(coalesce(least(floor((t.y - b.lo) / nullif(b.hi - b.lo, 0) * 20), 19), 0) AS BIGINT) AS bin_true,
+  CAST(coalesce(least(floor((t.p - b.lo) / nullif(b.hi - b.lo, 0) * 20), 19), 0) AS BIGINT) AS bin_pred,
+  CAST(count(*) AS BIGINT) AS n
+FROM t JOIN b ON t.model = b.model GROUP BY ALL
+""")
+def q_scatter_bins(spark, d):
+    from ..operators import evaluate
+    s = evaluate.scatter_bins(_pred(spark, d, "test"), by=["model"], bins=20)
+    return s.select("model", round6(F.col("lo")).alias("lo"), round6(F.col("hi")).alias("hi"),
+                    "bin_true", "bin_pred", "n")
+
+
+@register("error_histogram", f"""
+WITH {I.SQL_PREDICTIONS},
+e AS (SELECT model, y - p AS e {_TEST}),
+r AS (SELECT model, min(e) AS lo, max(e) AS hi FROM e GROUP BY model),
+c AS (SELECT e.model, CAST(coalesce(least(floor((e.e - r.lo) / nullif(r.hi - r.lo, 0) * 50), 49), 0) AS BIGINT) AS bin,
+             count(*) AS n FROM e JOIN r ON e.model = r.model GROUP BY ALL),
+g AS (SELECT model, lo, hi, CAST(unnest(range(0, 50)) AS BIGINT) AS bin FROM r)
+SELECT g.model, g.bin, {r6('left', 'g.lo + g.bin * ((g.hi - g.lo) / 50)')},
+       {r6('right', 'g.lo + (g.bin + 1) * ((g.hi - g.lo) / 50)')},
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM g LEFT JOIN c ON g.model = c.model AND g.bin = c.bin
+""")
+def q_error_histogram(spark, d):
+    from ..operators import evaluate
+    h = evaluate.error_histogram(_pred(spark, d, "test"), by=["model"], bins=50)
+    return h.select("model", "bin", round6(F.col("left")).alias("left"),
+                    round6(F.col("right")).alias("right"), "n")
+
+
+@register("error_box", f"""
+WITH {I.SQL_PREDICTIONS},
+e AS (SELECT model, y - p AS e {_TEST}),
+q AS (SELECT model, quantile_cont(e, 0.25) AS q1, quantile_cont(e, 0.5) AS med,
+             quantile_cont(e, 0.75) AS q3 FROM e GROUP BY model)
+SELECT e.model, {r6('q1', 'q.q1')}, {r6('median', 'q.med')}, {r6('q3', 'q.q3')},
+  {r6('whisker_low', 'min(CASE WHEN e.e >= q.q1 - 1.5 * (q.q3 - q.q1) THEN e.e END)')},
+  {r6('whisker_high', 'max(CASE WHEN e.e <= q.q3 + 1.5 * (q.q3 - q.q1) THEN e.e END)')},
+  CAST(count_if(e.e < q.q1 - 1.5 * (q.q3 - q.q1) OR e.e > q.q3 + 1.5 * (q.q3 - q.q1)) AS BIGINT) AS n_outliers
+FROM e JOIN q ON e.model = q.model GROUP BY e.model, q.q1, q.med, q.q3
+""")
+def q_error_box(spark, d):
+    from ..operators import evaluate
+    b = evaluate.error_box(_pred(spark, d, "test"), by=["model"])
+    return b.select("model", *[round6(F.col(c)).alias(c)
+                               for c in ("q1", "median", "q3", "whisker_low", "whisker_high")],
+                    F.col("n_outliers").cast("bigint").alias("n_outliers"))
+
+
+_CORR_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+              "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _corrm_sql() -> str:
+    parts = [f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS r FROM lineitem"
+             for a in _CORR_COLS for b in _CORR_COLS]
+    return "WITH c AS (" + "\n  UNION ALL ".join(parts) + f")\nSELECT feature_a, feature_b, {r6('r')} FROM c"
+
+
+@register("correlation_matrix", _corrm_sql())
+def q_correlation_matrix(spark, d):
+    from ..operators import evaluate
+    cm = evaluate.correlation_matrix(I.table(spark, d, "lineitem"))
+    return cm.select("feature_a", "feature_b", round6(F.col("r")).alias("r"))
+
+
+# ------------------------------------------------------------------ ensembles
+
+@register("ensemble_weighted", f"""
+WITH {I.SQL_PREDICTIONS},
+w AS (SELECT 'by_priority' AS model, 0.5 / 0.8 AS w UNION ALL SELECT 'by_status', 0.3 / 0.8
+      UNION ALL SELECT 'by_year', 1.0 / 3)
+SELECT o_orderkey, {r6('prediction', 'sum(w.w * pred.p) / sum(CASE WHEN pred.p IS NOT NULL THEN w.w END)')}
+FROM pred JOIN w ON pred.model = w.model GROUP BY o_orderkey
+""")
+def q_ensemble_weighted(spark, d):
+    from ..operators import ensemble
+    e = ensemble.weighted_average(_pred(spark, d), "o_orderkey",
+                                  {"by_priority": 0.5, "by_status": 0.3}, models=MODELS)
+    return e.select("o_orderkey", round6(F.col("prediction")).alias("prediction"))
+
+
+@register("ensemble_mean", f"""
+WITH {I.SQL_PREDICTIONS}
+SELECT o_orderkey, {r6('prediction', 'avg(p)')} FROM pred GROUP BY o_orderkey
+""")
+def q_ensemble_mean(spark, d):
+    from ..operators import ensemble
+    e = ensemble.mean_vote(_pred(spark, d), "o_orderkey")
+    return e.select("o_orderkey", round6(F.col("prediction")).alias("prediction"))
+
+
+@register("ensemble_stacking")
+def q_ensemble_stacking(spark, d):
+    """Ridge(α=1) on the members' train predictions, applied to the test split."""
+    from ..operators import ensemble
+    p = _pred(spark, d)
+    va, model = ensemble.fit_stacking(p.where(F.col("split") == "train"), "o_orderkey", "y", MODELS)
+    out = ensemble.predict_stacking(va, model, p.where(F.col("split") == "test"), "o_orderkey", MODELS)
+    return out.select("o_orderkey", round6(F.col("prediction")).alias("prediction"))
+
+
+@register("prediction_summary", f"""
+WITH {I.SQL_PREDICTIONS}
+SELECT model, CAST(count(*) AS BIGINT) AS n_rows, {r6('min_prediction', 'min(p)')},
+       {r6('max_prediction', 'max(p)')} FROM pred GROUP BY model
+""")
+def q_prediction_summary(spark, d):
+    from ..sources import sinks
+    s = sinks.prediction_summary(_pred(spark, d), model_col="model", pred_col="p")
+    return s.select("model", "n_rows", round6(F.col("min_prediction")).alias("min_prediction"),
+                    round6(F.col("max_prediction")).alias("max_prediction"))
+
+
+# ------------------------------------------------- cross-validation / search
+
+_CV_GROUPS = {"by_priority": ["o_orderpriority"], "by_status": ["o_orderstatus"],
+              "by_year": ["o_year"], "by_priority_status": ["o_orderpriority", "o_orderstatus"]}
+
+
+def _cv_sql(groups: list[str], tag: str) -> str:
+    g = ", ".join(groups)
+    on = " AND ".join(f"d.{c} = s.{c}" for c in groups)
+    on2 = " AND ".join(f"d.{c} = t.{c}" for c in groups)
+    return f"""
+d_{tag} AS (SELECT o_orderkey, {g}, o_totalprice AS y, CAST(o_orderkey % 5 AS INTEGER) AS fold FROM ob),
+s_{tag} AS (SELECT {g}, fold, sum(y) AS s, count(y) AS n FROM d_{tag} GROUP BY ALL),
+t_{tag} AS (SELECT {g}, sum(s) AS st, sum(n) AS nt FROM s_{tag} GROUP BY ALL),
+f_{tag} AS (SELECT fold, sum(s) AS fs, sum(n) AS fn FROM s_{tag} GROUP BY fold),
+a_{tag} AS (SELECT sum(s) AS gs, sum(n) AS gn FROM s_{tag}),
+p_{tag} AS (SELECT d.fold, d.o_orderkey, d.y,
+                   coalesce((t.st - s.s) / nullif(t.nt - s.n, 0), (a.gs - f.fs) / nullif(a.gn - f.fn, 0)) AS p
+            FROM d_{tag} d JOIN s_{tag} s ON {on} AND d.fold = s.fold
+            JOIN t_{tag} t ON {on2} JOIN f_{tag} f ON d.fold = f.fold, a_{tag} a),
+m_{tag} AS (SELECT fold, count(*) AS n, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
+                   1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS r2
+            FROM p_{tag} WHERE p IS NOT NULL GROUP BY fold)"""
+
+
+def _cv_frame(spark, d):
+    return I.orders_base(spark, d)
+
+
+def _cv_metrics(spark, d, groups):
+    from ..operators import ensemble, evaluate
+    p = ensemble.group_mean_cv(_cv_frame(spark, d), "o_orderkey", "o_totalprice", groups,
+                               k=5, method="modulo")
+    return evaluate.metrics(p, by=["fold"])
+
+
+@register("cv_fold_metrics", f"""
+WITH {I.SQL_PREDICTIONS},
+{_cv_sql(["o_orderpriority"], "pr")}
+SELECT fold, CAST(n AS BIGINT) AS n, {r6('rmse')}, {r6('mae')}, {r6('r2')},
+       {r6('cv_mean', 'avg(rmse) OVER ()')}, {r6('cv_std', 'stddev_pop(rmse) OVER ()')}
+FROM m_pr
+""")
+def q_cv_fold_metrics(spark, d):
+    """5-fold CV (fold = key mod 5) of the priority group-mean predictor."""
+    from ..operators import learn
+    m = _cv_metrics(spark, d, ["o_orderpriority"])
+    s = learn.fold_summary(m).first()
+    return m.select(F.col("fold").cast("int").alias("fold"), "n",
+                    *[round6(F.col(c)).alias(c) for c in ("rmse", "mae", "r2")],
+                    round6(F.lit(s["cv_mean"])).alias("cv_mean"),
+                    round6(F.lit(s["cv_std"])).alias("cv_std"))
+
+
+def _search_sql() -> str:
+    ctes = ",".join(_cv_sql(g, t) for t, g in _CV_GROUPS.items())
+    hist = "\n  UNION ALL ".join(
+        f"SELECT {i} AS trial, '{','.join(g)}' AS params, avg(rmse) AS value FROM m_{t}"
+        for i, (t, g) in enumerate(_CV_GROUPS.items()))
+    return f"""
+WITH {I.SQL_PREDICTIONS},{ctes},
+h AS ({hist})
+SELECT trial, params, {r6('value')},
+       {r6('best_so_far', 'min(value) OVER (ORDER BY trial ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')},
+       row_number() OVER (ORDER BY value, trial) = 1 AS is_best
+FROM h
+"""
+
+
+@register("search_history", _search_sql())
+def q_search_history(spark, d):
+    """Search over the group-mean predictor's grouping: each trial's value is its
+    mean 5-fold CV RMSE; history with the running best and the best trial."""
+    from ..operators import learn
+    rows = []
+    for i, (t, g) in enumerate(_CV_GROUPS.items()):
+        m = _cv_metrics(spark, d, g)
+        rows.append((i, ",".join(g), learn.fold_summary(m).first()["cv_mean"]))
+    hist = spark.createDataFrame(rows, "trial int, params string, value double")
+    h = learn.search_history(hist)
+    return h.select("trial", "params", round6(F.col("value")).alias("value"),
+                    round6(F.col("best_so_far")).alias("best_so_far"), "is_best")
+
+
+# ------------------------------------------------------- learners (rows-only)
+
+LEARN_FEATURES = [*CHAIN_CAT, *CHAIN_NUM]
+
+
+def learn_frame(spark, d):
+    """The preprocessed orders frame (chain fit on the train split) with its split."""
+    return preprocess_chain(spark, d).withColumn(
+        "split", F.when(TRAIN(), F.lit("train")).otherwise(F.lit("test")))
+
+
+def _small_forest():
+    from ..operators import learn
+    return learn.forest(numTrees=20, maxDepth=6)
+
+
+@register("model_forest")
+def q_model_forest(spark, d):
+    from ..operators import learn
+    df = learn_frame(spark, d)
+    m = learn.fit(df.where(F.col("split") == "train"), LEARN_FEATURES, "o_totalprice", _small_forest())
+    return learn.predict(m, df.where(F.col("split") == "test"), "o_orderkey")
+
+
+@register("model_gbt")
+def q_model_gbt(spark, d):
+    """Boosted trees (xgboost preset, 10 rounds) with early stopping on a
+    validation slice of the train split (key mod 10 = 1)."""
+    from ..operators import learn
+    df = learn_frame(spark, d).withColumn("is_val", F.col("o_orderkey") % 10 == 1)
+    est = learn.gbt("xgboost", maxIter=10, maxDepth=4, validation_col="is_val")
+    m = learn.fit(df.where(F.col("split") == "train"), LEARN_FEATURES, "o_totalprice", est)
+    return learn.predict(m, df.where(F.col("split") == "test"), "o_orderkey")
+
+
+@register("model_train_score")
+def q_model_train_score(spark, d):
+    from ..operators import learn
+    df = learn_frame(spark, d)
+    train = df.where(F.col("split") == "train")
+    out = None
+    for name, est in (("forest", _small_forest()),
+                      ("gbt", learn.gbt("xgboost", maxIter=10, maxDepth=4))):
+        m = learn.fit(train, LEARN_FEATURES, "o_totalprice", est)
+        s = learn.train_score(m, df, "o_totalprice", by=["split"]).withColumn("model", F.lit(name))
+        out = s if out is None else out.unionByName(s)
+    return out.select("model", "split", "n", *METRIC_COLS)
+
+
+@register("cv_model")
+def q_cv_model(spark, d):
+    from ..operators import learn
+    df = learn_frame(spark, d).where(F.col("split") == "train")
+    return learn.cross_validate(df, LEARN_FEATURES, "o_totalprice",
+                                learn.forest(numTrees=10, maxDepth=5), "o_orderkey", k=3,
+                                parallelism=3)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, d):
+    from ..operators import evaluate, learn
+    df = learn_frame(spark, d).where(F.col("split") == "train")
+    m = learn.fit(df, LEARN_FEATURES, "o_totalprice", _small_forest())
+    imp = spark.createDataFrame(learn.feature_importance(m, LEARN_FEATURES),
+                                "feature string, importance double")
+    return evaluate.top_n(imp, len(LEARN_FEATURES))
+
+
+@register("search_params")
+def q_search_params(spark, d):
+    from ..operators import learn
+    df = learn_frame(spark, d).where(F.col("split") == "train")
+    space = {"numTrees": ("int", 5, 15), "maxDepth": ("int", 3, 6),
+             "featureSubsetStrategy": ("choice", ["sqrt", "log2", "all"])}
+    hist = learn.random_search(df, LEARN_FEATURES, "o_totalprice",
+                               lambda **p: learn.forest(**p), space, "o_orderkey",
+                               n_trials=3, k=3, parallelism=3)
+    return learn.search_history(hist)
+
+
+@register("select_permutation")
+def q_select_permutation(spark, d):
+    from ..operators import select
+    df = learn_frame(spark, d).where(F.col("split") == "train")
+    imp = select.permutation_importance(df, "o_orderkey", LEARN_FEATURES, "o_totalprice",
+                                        estimator=_small_forest(), n_repeats=2)
+    sel = select.threshold_select(imp.select("feature", "score"), 75)
+    return imp.join(sel.select("feature", F.lit(True).alias("selected")), "feature", "left") \
+              .select("feature", "score", "score_std",
+                      F.coalesce("selected", F.lit(False)).alias("selected"))
+
+
+@register("select_shadow")
+def q_select_shadow(spark, d):
+    from ..operators import select
+    df = learn_frame(spark, d).where(F.col("split") == "train")
+    return select.shadow_selection(df, "o_orderkey", LEARN_FEATURES, "o_totalprice",
+                                   iterations=4, estimator=_small_forest())
