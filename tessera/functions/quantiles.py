@@ -1,36 +1,43 @@
-"""Exact linear-interpolated quantiles without a single-reducer buffer.
+"""Exact quantiles without a single-reducer buffer.
 
 Spark's ``percentile`` is exact but keeps a value→count map of every distinct
 value of a column in one aggregation buffer, which does not survive a
 high-cardinality column at scale. ``percentile_approx`` is bounded but not
-exact. This module gets exact order statistics in a few distributed passes:
+exact. This module gets exact order statistics in a few distributed passes,
+whatever the number of columns and probabilities:
 
 1. one aggregate: ``count``, ``min``, ``max`` and ``percentile_approx`` just
    below and above every requested probability — a bracket ``[lo, hi]`` that
    should hold the needed ranks;
-2. one aggregate: how many values fall below / inside each bracket, which
-   verifies the bracket (and widens it to ``[min, max]`` if the sketch missed);
-3. while a bracket still holds more than ``max_bracket`` values: an
-   equal-width histogram inside the bracket (``groupBy(target, bin)``),
-   narrowing it to the bins that hold the ranks;
-4. one small ``collect_list`` of the values left inside each bracket.
-
-Every pass is a column-pruned scan with partial aggregation; what reaches the
-driver is bounded by ``targets × max(bins, max_bracket)``. Interpolation is
-``x[k] + (x[k+1] - x[k]) * frac`` at ``pos = p * (n - 1)`` (numpy "linear",
-DuckDB ``quantile_cont``, Spark ``percentile``).
+2. one group-by: every value gets a *cell* id among the sorted bracket
+   endpoints of its column (a binary-search expression), and the cells are
+   counted — ≤ 2·targets + 1 counters per column, combined map-side. That
+   gives, per target, how many values lie below and inside its bracket, and
+   verifies it (a bracket the sketch missed is widened to ``[min, max]``);
+3. only while a bracket holds more than ``max_bracket`` values: an
+   equal-width histogram inside it (``groupBy(target, bin)``) narrows it to
+   the bins that hold the ranks;
+4. one group-by over the cells inside the final brackets: values equal to
+   an endpoint are only counted, the open cells between endpoints are
+   collected sorted (bounded by ``max_bracket`` per target).
+
+What reaches the driver is bounded by ``targets × max(bins, max_bracket)``.
+
+``interpolation='linear'``: ``x[k] + (x[k+1] − x[k])·frac`` at ``pos =
+p·(n − 1)`` (numpy "linear", DuckDB ``quantile_cont``). ``'inverted_cdf'``:
+the observed value at index ``ceil(p·n) − 1`` (DuckDB ``quantile_disc``).
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import q
-from .stats import agg_values
 
 
 def _x(c: str) -> Column:
@@ -45,6 +52,26 @@ def _group_cond(by: Sequence[str], key: tuple) -> Column:
     return cond
 
 
+def _count_above(x: Column, bounds: Sequence[float], lo: int, hi: int) -> Column:
+    """How many of ``bounds[lo:hi]`` (sorted) are < x: a balanced search tree
+    of comparisons, so a value costs O(log m) comparisons, not O(m)."""
+    if hi - lo <= 4:
+        terms = [(x > F.lit(float(b))).cast("int") for b in bounds[lo:hi]]
+        return sum(terms[1:], terms[0]) if terms else F.lit(0)
+    mid = (lo + hi) // 2
+    return F.when(x > F.lit(float(bounds[mid])),
+                  F.lit(mid - lo + 1) + _count_above(x, bounds, mid + 1, hi)) \
+            .otherwise(_count_above(x, bounds, lo, mid))
+
+
+def cell_of(x: Column, bounds: Sequence[float]) -> Column:
+    """Cell id among sorted distinct ``bounds``: 0 = below the first, 2i+1 =
+    equal to bound i, 2i+2 = strictly between bounds i and i+1."""
+    lt = _count_above(x, bounds, 0, len(bounds))
+    eq = x.isin([F.lit(float(b)) for b in bounds]).cast("int")
+    return lt * 2 + eq
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] | None = None, exact: bool = True,
               accuracy: int = 10000, max_bracket: int = 50000, bins: int = 1024,
@@ -52,15 +79,13 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               ) -> dict[tuple, list[float | None]]:
     """Quantiles of each column (optionally per group of ``by``).
 
-    ``interpolation='linear'`` interpolates at ``p·(n−1)``;
-    ``'inverted_cdf'`` returns the observed value at index ``ceil(p·n) − 1``
-    (the smallest value whose cumulative share reaches ``p``).
-
     Returns ``{(group_tuple, column): [value per prob]}``; the group tuple is
     ``()`` without ``by``. A column with no non-null value yields ``None``.
     Grouped exact quantiles are meant for few groups (models, splits); more
     than ``max_groups`` groups raises.
     """
+    if interpolation not in ("linear", "inverted_cdf"):
+        raise ValueError("interpolation must be 'linear' or 'inverted_cdf'")
     cols = list(cols)
     by = list(by or [])
     probs = [float(p) for p in probs]
@@ -71,37 +96,37 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         {min(1.0, max(0.0, p + s * delta)) for p in probs for s in (-1.0, 1.0)})
 
     data = df.select(*[F.col(q(b)) for b in by], *[_x(c).alias(c) for c in cols])
-    first: list[tuple[tuple, dict]] = []
+
+    # pass 1: sizes, ranges and the sketch
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(q(c))
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}"),
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
                  F.percentile_approx(x, grid, accuracy).alias(f"a{i}")]
+    first: list[tuple[tuple, dict]] = []
     if by:
         rows = data.groupBy(*[F.col(q(b)) for b in by]).agg(*aggs) \
                    .limit(max_groups + 1).collect()
         if len(rows) > max_groups:
             raise ValueError(f"more than {max_groups} groups for grouped quantiles")
-        for r in rows:
-            first.append((tuple(r[b] for b in by), r.asDict()))
+        first = [(tuple(r[b] for b in by), r.asDict()) for r in rows]
     else:
-        r = data.agg(*aggs).first()
-        first.append(((), r.asDict()))
+        first = [((), data.agg(*aggs).first().asDict())]
 
     out: dict[tuple, list[float | None]] = {}
-    targets: list[dict] = []
+    slots: list[dict] = []          # one per (group, column) with targets
     for key, r in first:
         for i, c in enumerate(cols):
             n = r[f"n{i}"]
+            out[(key, c)] = [None] * len(probs)
             if not n:
-                out[(key, c)] = [None] * len(probs)
                 continue
             approx = dict(zip(grid, r[f"a{i}"] or []))
             if not exact:
                 out[(key, c)] = [approx.get(p) for p in probs]
                 continue
-            out[(key, c)] = [None] * len(probs)
+            slot = dict(key=key, col=c, n=n, min=r[f"lo{i}"], max=r[f"hi{i}"],
+                        cond=_group_cond(by, key), targets=[])
             for j, p in enumerate(probs):
                 if interpolation == "inverted_cdf":
                     k, frac = max(0, int(math.ceil(p * n)) - 1), 0.0
@@ -113,92 +138,141 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 plo, phi = max(0.0, p - delta), min(1.0, p + delta)
                 lo = approx[plo] if plo > 0 else r[f"lo{i}"]
                 hi = approx[phi] if phi < 1 else r[f"hi{i}"]
-                targets.append(dict(key=key, col=c, j=j, k=k, k2=k2, frac=frac,
-                                    n=n, min=r[f"lo{i}"], max=r[f"hi{i}"],
-                                    lo=lo, hi=hi, cond=_group_cond(by, key)))
-    if not targets:
+                slot["targets"].append(dict(j=j, k=k, k2=k2, frac=frac, lo=lo, hi=hi))
+            slots.append(slot)
+    if not slots:
         return out
 
-    # pass 2: verify each bracket and count what lies inside
-    exprs = {}
-    for t_id, t in enumerate(targets):
-        x = F.col(q(t["col"]))
-        exprs[f"b{t_id}"] = F.count_if(t["cond"] & (x < F.lit(t["lo"])))
-        exprs[f"i{t_id}"] = F.count_if(t["cond"] & x.between(F.lit(t["lo"]), F.lit(t["hi"])))
-    counts = agg_values(data, exprs)
-    for t_id, t in enumerate(targets):
-        below, inside = counts[f"b{t_id}"], counts[f"i{t_id}"]
-        if below > t["k"] or below + inside <= t["k2"]:
-            below, inside, t["lo"], t["hi"] = 0, t["n"], t["min"], t["max"]
-        t["below"], t["inside"] = below, inside
+    # pass 2: cell counts → below / inside per bracket, verified
+    counts = _cell_pass(data, slots, collect=False)
+    for s_id, s in enumerate(slots):
+        cnt = counts.get(s_id, {})
+        bounds = s["bounds"]
+        for t in s["targets"]:
+            c_lo = 2 * bisect_left(bounds, t["lo"]) + 1
+            c_hi = 2 * bisect_left(bounds, t["hi"]) + 1
+            below = sum(v for c, (v, _) in cnt.items() if c < c_lo)
+            inside = sum(v for c, (v, _) in cnt.items() if c_lo <= c <= c_hi)
+            if below > t["k"] or below + inside <= t["k2"]:
+                below, inside, t["lo"], t["hi"] = 0, s["n"], s["min"], s["max"]
+            t["below"], t["inside"] = below, inside
 
     # pass 3: histogram refinement of brackets that are still large
     for _ in range(64):
-        wide = [t for t in targets if t["lo"] != t["hi"] and t["inside"] > max_bracket]
+        wide = [(s, t) for s in slots for t in s["targets"]
+                if t["lo"] != t["hi"] and t["inside"] > max_bracket]
         if not wide:
             break
-        items = []
-        for t_id, t in enumerate(wide):
-            x = F.col(q(t["col"]))
-            lo, hi = F.lit(t["lo"]), F.lit(t["hi"])
-            b = F.least(F.floor((x - lo) / (hi - lo) * F.lit(bins)), F.lit(bins - 1))
-            items.append(F.when(t["cond"] & x.between(lo, hi),
-                                F.struct(F.lit(t_id).alias("t"), b.cast("int").alias("b"),
-                                         x.alias("x"))))
-        rows = (data.select(F.explode(F.filter(F.array(*items), lambda e: e.isNotNull())).alias("e"))
-                .groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"))
-                .agg(F.count("*").alias("n"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
-                .collect())
-        per: dict[int, list] = {}
-        for r in rows:
-            per.setdefault(r["t"], []).append((r["b"], r["n"], r["mn"], r["mx"]))
-        for t_id, t in enumerate(wide):
-            seen = t["below"]
-            lo_bin = hi_bin = None
-            new_below = t["below"]
-            inside = 0
-            for b, n, mn, mx in sorted(per.get(t_id, [])):
-                if lo_bin is None and seen + n > t["k"]:
-                    lo_bin, new_below, t["lo"] = b, seen, mn
-                if lo_bin is not None:
-                    inside += n
-                if seen + n > t["k2"]:
-                    hi_bin, t["hi"] = b, mx
-                    break
-                seen += n
-            t["below"], t["inside"] = new_below, inside
-
-    # pass 4: collect the (bounded) brackets and read off the order statistics
-    narrow = [t for t in targets if t["lo"] != t["hi"]]
-    values: dict[int, list[float]] = {}
-    if narrow:
-        items = []
-        for t_id, t in enumerate(narrow):
-            x = F.col(q(t["col"]))
-            items.append(F.when(t["cond"] & x.between(F.lit(t["lo"]), F.lit(t["hi"])),
-                                F.struct(F.lit(t_id).alias("t"), x.alias("x"))))
-        rows = (data.select(F.explode(F.filter(F.array(*items), lambda e: e.isNotNull())).alias("e"))
-                .groupBy(F.col("e.t").alias("t"))
-                .agg(F.sort_array(F.collect_list("e.x")).alias("xs"))
-                .collect())
-        values = {r["t"]: r["xs"] for r in rows}
-    narrow_ids = {id(t): i for i, t in enumerate(narrow)}
-    for t in targets:
-        if t["lo"] == t["hi"]:
-            a = b = t["lo"]
-        else:
-            xs = values[narrow_ids[id(t)]]
-            a = xs[t["k"] - t["below"]]
-            b = xs[t["k2"] - t["below"]]
-        v = a if t["k2"] == t["k"] else a + (b - a) * t["frac"]
-        out[(t["key"], t["col"])][t["j"]] = float(v)
+        _refine(data, wide, bins)
+
+    # pass 4: sorted values of the open cells inside each (small) bracket
+    todo = [s for s in slots if any(t["lo"] != t["hi"] for t in s["targets"])]
+    cells = _cell_pass(data, todo, collect=True) if todo else {}
+    for s_id, s in enumerate(todo):
+        s["cells"] = cells.get(s_id, {})
+    for s in slots:
+        for t in s["targets"]:
+            if t["lo"] == t["hi"]:
+                a = b = t["lo"]
+            else:
+                xs = _bracket_values(s, t)
+                a = xs[t["k"] - t["below"]]
+                b = xs[t["k2"] - t["below"]]
+            v = a if t["k2"] == t["k"] else a + (b - a) * t["frac"]
+            out[(s["key"], s["col"])][t["j"]] = float(v)
+    return out
+
+
+def _cell_pass(data: DataFrame, slots: list[dict], collect: bool) -> dict[int, dict]:
+    """One group-by ``(slot, cell)``: counts, plus sorted values of the open
+    cells inside the slot's brackets when ``collect``.
+
+    Values are unpivoted to ``(slot, x)`` first; the cell id is then computed
+    against the slot's bounds, looked up in a literal map, so the per-row
+    expression has the same size for 3 columns or 300.
+    """
+    vals, bmap, rmap = [], [], []
+    for s_id, s in enumerate(slots):
+        ts = [t for t in s["targets"] if not collect or t["lo"] != t["hi"]]
+        s["bounds"] = bounds = sorted({t["lo"] for t in ts} | {t["hi"] for t in ts})
+        vals.append(F.when(s["cond"], F.col(q(s["col"]))).alias(f"s{s_id}"))
+        bmap += [F.lit(s_id), F.array(*[F.lit(float(b)) for b in bounds])]
+        if collect:
+            wanted = sorted({c for t in ts for c in range(2 * bisect_left(bounds, t["lo"]) + 1,
+                                                          2 * bisect_left(bounds, t["hi"]) + 2)})
+            rmap += [F.lit(s_id), F.array(*[F.lit(c) for c in wanted])]
+    long = (data.select(*vals)
+            .unpivot([], [f"s{i}" for i in range(len(slots))], "slot", "x")
+            .where(F.col("x").isNotNull())
+            .select(F.substring("slot", 2, 10).cast("int").alias("slot"), "x"))
+    bounds = F.element_at(F.create_map(*bmap), F.col("slot"))
+    x = F.col("x")
+    cell = (F.size(F.filter(bounds, lambda b: b < x)) * 2 +
+            F.array_contains(bounds, x).cast("int"))
+    long = long.select("slot", "x", cell.alias("c"))
+    aggs = [F.count("*").alias("n")]
+    if collect:
+        wanted = F.element_at(F.create_map(*rmap), F.col("slot"))
+        long = long.where(F.array_contains(wanted, F.col("c")))
+        aggs.append(F.sort_array(F.collect_list(
+            F.when(F.col("c") % 2 == 0, F.col("x")))).alias("xs"))
+    rows = long.groupBy("slot", "c").agg(*aggs).collect()
+    out: dict[int, dict] = {}
+    for r in rows:
+        out.setdefault(r["slot"], {})[r["c"]] = (r["n"], r["xs"] if collect else None)
     return out
 
 
+def _bracket_values(s: dict, t: dict) -> list[float]:
+    """Sorted values inside ``[lo, hi]``: endpoint cells expand to repeats of
+    the endpoint, open cells contribute their collected sorted values."""
+    bounds, cells = s["bounds"], s["cells"]
+    c_lo = 2 * bisect_left(bounds, t["lo"]) + 1
+    c_hi = 2 * bisect_left(bounds, t["hi"]) + 1
+    xs: list[float] = []
+    for c in range(c_lo, c_hi + 1):
+        n, vals = cells.get(c, (0, None))
+        if c % 2 == 1:
+            xs.extend([bounds[(c - 1) // 2]] * n)
+        else:
+            xs.extend(vals or [])
+    return xs
+
+
+def _refine(data: DataFrame, wide: list[tuple[dict, dict]], bins: int) -> None:
+    """Equal-width histogram inside each wide bracket; keep the bins holding
+    the needed ranks (bins partition the sorted order: floor is monotone)."""
+    items = []
+    for t_id, (s, t) in enumerate(wide):
+        x = F.col(q(s["col"]))
+        lo, hi = F.lit(t["lo"]), F.lit(t["hi"])
+        b = F.least(F.floor((x - lo) / (hi - lo) * F.lit(bins)), F.lit(bins - 1))
+        items.append(F.when(s["cond"] & x.between(lo, hi),
+                            F.struct(F.lit(t_id).alias("t"), b.cast("int").alias("b"),
+                                     x.alias("x"))))
+    rows = (data.select(F.explode(F.filter(F.array(*items), lambda e: e.isNotNull())).alias("e"))
+            .groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"))
+            .agg(F.count("*").alias("n"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
+            .collect())
+    per: dict[int, list] = {}
+    for r in rows:
+        per.setdefault(r["t"], []).append((r["b"], r["n"], r["mn"], r["mx"]))
+    for t_id, (_, t) in enumerate(wide):
+        seen, found, inside = t["below"], False, 0
+        for _b, n, mn, mx in sorted(per.get(t_id, [])):
+            if not found and seen + n > t["k"]:
+                found, t["below"], t["lo"] = True, seen, mn
+            if found:
+                inside += n
+            if seen + n > t["k2"]:
+                t["hi"] = mx
+                break
+            seen += n
+        t["inside"] = inside
+
+
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      exact: bool = True, **kw) -> dict[str, list[float | None]]:
-    if kw.get("interpolation", "linear") not in ("linear", "inverted_cdf"):
-        raise ValueError("interpolation must be 'linear' or 'inverted_cdf'")
     """Ungrouped form: ``{column: [value per prob]}``."""
     res = quantiles(df, cols, probs, exact=exact, **kw)
     return {c: res[((), c)] for c in cols}
