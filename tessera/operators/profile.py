@@ -8,38 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import NA_TOKENS, q, string_cols
+from ..functions.columns import q
 from ..functions.quantiles import column_quantiles
 from ..functions.stats import agg_values
 
 
-def na_tokens_to_null(df: DataFrame, cols: Sequence[str] | None = None,
-                      tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
-    """String cells whose trimmed text is an NA token become null (one projection)."""
-    cols = list(cols) if cols is not None else string_cols(df)
-    toks = [F.lit(t) for t in tokens]
-    return df.select(*[
-        F.when(F.trim(F.col(q(c))).isin(*toks), F.lit(None).cast("string"))
-        .otherwise(F.col(q(c))).alias(c) if c in cols else F.col(q(c))
-        for c in df.columns])
-
-
-def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Safe casts after token nulling: text that does not parse becomes null."""
-    return df.select(*[F.col(q(c)).try_cast(types[c]).alias(c) if c in types else F.col(q(c))
-                       for c in df.columns])
-
-
-def read_csv(spark, path: str, schema: T.StructType | str | None = None,
-             tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
-    """CSV scan with header; every column is read as text, NA tokens → null,
-    then the declared (or inferred-on-sample) types are applied with ``try_cast``."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    raw = na_tokens_to_null(raw, raw.columns, tokens)
-    if schema is None:
-        return raw
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    return typed(raw, {f.name: f.dataType.simpleString() for f in st.fields if f.name in raw.columns})
+from ..sources.scan import na_tokens_to_null, read_csv, typed  # noqa: E402,F401  (re-exported)
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
