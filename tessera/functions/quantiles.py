@@ -97,21 +97,33 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     data = df.select(*[F.col(q(b)) for b in by], *[_x(c).alias(c) for c in cols])
 
-    # pass 1: sizes, ranges and the sketch
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(q(c))
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.percentile_approx(x, grid, accuracy).alias(f"a{i}")]
-    first: list[tuple[tuple, dict]] = []
-    if by:
-        rows = data.groupBy(*[F.col(q(b)) for b in by]).agg(*aggs) \
-                   .limit(max_groups + 1).collect()
-        if len(rows) > max_groups:
-            raise ValueError(f"more than {max_groups} groups for grouped quantiles")
-        first = [(tuple(r[b] for b in by), r.asDict()) for r in rows]
-    else:
-        first = [((), data.agg(*aggs).first().asDict())]
+    # pass 1: sizes, ranges and the sketch — in column chunks submitted
+    # concurrently (small per-row code per job; each job reads its columns)
+    def sketch(idx: list[int]) -> list[tuple[tuple, dict]]:
+        aggs = []
+        for i in idx:
+            x = F.col(q(cols[i]))
+            aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"),
+                     F.max(x).alias(f"hi{i}"),
+                     F.percentile_approx(x, grid, accuracy).alias(f"a{i}")]
+        if by:
+            rows = data.groupBy(*[F.col(q(b)) for b in by]).agg(*aggs) \
+                       .limit(max_groups + 1).collect()
+            if len(rows) > max_groups:
+                raise ValueError(f"more than {max_groups} groups for grouped quantiles")
+            return [(tuple(r[b] for b in by), r.asDict()) for r in rows]
+        return [((), data.agg(*aggs).first().asDict())]
+
+    from concurrent.futures import ThreadPoolExecutor
+    parts = [list(range(i, min(i + SLOTS_PER_JOB, len(cols))))
+             for i in range(0, len(cols), SLOTS_PER_JOB)]
+    with ThreadPoolExecutor(max(1, min(4, len(parts)))) as ex:
+        results = list(ex.map(sketch, parts))
+    merged_rows: dict[tuple, dict] = {}
+    for res in results:
+        for key, r in res:
+            merged_rows.setdefault(key, {}).update(r)
+    first = list(merged_rows.items())
 
     out: dict[tuple, list[float | None]] = {}
     slots: list[dict] = []          # one per (group, column) with targets
@@ -143,18 +155,29 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if not slots:
         return out
 
-    # pass 2: cell counts → below / inside per bracket, verified
-    counts = _cell_pass(data, slots, collect=False)
+    # pass 2: cell counts → below / inside per bracket, verified. When the
+    # sketch's rank error bound (≈ 2n/accuracy on each side) keeps every
+    # bracket under max_bracket, the bracket values are collected in the same
+    # pass and pass 4 is skipped for every bracket that verifies.
+    # (collect_list over every cell makes the object hash aggregate fall back
+    # to sorting all rows, so the merged form is only used for few cells)
+    merged = (all(4.0 * s["n"] / accuracy + 2 <= max_bracket for s in slots)
+              and sum(2 * len(s["targets"]) + 1 for s in slots) * 2 <= 128)
+    counts = _cell_passes(data, slots, collect=merged, counts_too=merged)
     for s_id, s in enumerate(slots):
         cnt = counts.get(s_id, {})
         bounds = s["bounds"]
+        if merged:
+            s["cells"] = cnt
         for t in s["targets"]:
             c_lo = 2 * bisect_left(bounds, t["lo"]) + 1
             c_hi = 2 * bisect_left(bounds, t["hi"]) + 1
             below = sum(v for c, (v, _) in cnt.items() if c < c_lo)
             inside = sum(v for c, (v, _) in cnt.items() if c_lo <= c <= c_hi)
+            t["done"] = merged
             if below > t["k"] or below + inside <= t["k2"]:
                 below, inside, t["lo"], t["hi"] = 0, s["n"], s["min"], s["max"]
+                t["done"] = False
             t["below"], t["inside"] = below, inside
 
     # pass 3: histogram refinement of brackets that are still large
@@ -166,10 +189,14 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         _refine(data, wide, bins)
 
     # pass 4: sorted values of the open cells inside each (small) bracket
-    todo = [s for s in slots if any(t["lo"] != t["hi"] for t in s["targets"])]
-    cells = _cell_pass(data, todo, collect=True) if todo else {}
-    for s_id, s in enumerate(todo):
-        s["cells"] = cells.get(s_id, {})
+    todo = [s for s in slots if any(t["lo"] != t["hi"] and not t["done"] for t in s["targets"])]
+    if todo:
+        for s in todo:            # re-collect every bracket of these slots
+            for t in s["targets"]:
+                t["done"] = False
+        cells = _cell_passes(data, todo, collect=True)
+        for s_id, s in enumerate(todo):
+            s["cells"] = cells.get(s_id, {})
     for s in slots:
         for t in s["targets"]:
             if t["lo"] == t["hi"]:
@@ -183,39 +210,95 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return out
 
 
-def _cell_pass(data: DataFrame, slots: list[dict], collect: bool) -> dict[int, dict]:
+SLOTS_PER_JOB = 8
+
+
+def _cell_passes(data: DataFrame, slots: list[dict], collect: bool,
+                 counts_too: bool = False) -> dict[int, dict]:
+    """``_cell_pass`` over chunks of ``SLOTS_PER_JOB`` slots, submitted
+    concurrently. Each chunk reads only its own columns (parquet is columnar,
+    so the bytes scanned match one wide job), and the per-row code of a chunk
+    stays small enough for the JIT to compile it."""
+    from concurrent.futures import ThreadPoolExecutor
+    parts = [slots[i:i + SLOTS_PER_JOB] for i in range(0, len(slots), SLOTS_PER_JOB)]
+    with ThreadPoolExecutor(max(1, min(4, len(parts)))) as ex:
+        res = list(ex.map(lambda p: _cell_pass(data, p, collect, counts_too), parts))
+    out: dict[int, dict] = {}
+    for i, r in enumerate(res):
+        for k, v in r.items():
+            out[i * SLOTS_PER_JOB + k] = v
+    return out
+
+
+def _cell_pass(data: DataFrame, slots: list[dict], collect: bool,
+               counts_too: bool = False) -> dict[int, dict]:
     """One group-by ``(slot, cell)``: counts, plus sorted values of the open
     cells inside the slot's brackets when ``collect``.
 
-    Values are unpivoted to ``(slot, x)`` first; the cell id is then computed
-    against the slot's bounds, looked up in a literal map, so the per-row
-    expression has the same size for 3 columns or 300.
+    Values are unpivoted to ``(slot, x)`` first; each slot's sorted bounds
+    (padded with +inf to a power of two) come from a literal array, and the
+    number of bounds below ``x`` is a branchless binary search — one
+    ``element_at`` and one comparison per step, each step its own projection —
+    so the per-row work is O(log m), code-generated, and the same size for 3
+    columns or 300. With ``counts_too`` every cell is counted while only the
+    bracket cells are collected (count and collect in one pass).
     """
-    vals, bmap, rmap = [], [], []
+    vals, bmap, rmap, lmap, hmap = [], [], [], [], []
+    width = 1
+    n_open = max(1, max(len([t for t in s["targets"] if t["lo"] != t["hi"]]) for s in slots))
+    for s_id, s in enumerate(slots):
+        # counting needs every endpoint; a pure collect only the open brackets'
+        tb = s["targets"] if (not collect or counts_too) else \
+            [t for t in s["targets"] if t["lo"] != t["hi"]]
+        s["bounds"] = sorted({t["lo"] for t in tb} | {t["hi"] for t in tb})
+        width = max(width, len(s["bounds"]))
+    size = 1 << width.bit_length()      # power of two > the most bounds (≥ one +inf pad)
     for s_id, s in enumerate(slots):
-        ts = [t for t in s["targets"] if not collect or t["lo"] != t["hi"]]
-        s["bounds"] = bounds = sorted({t["lo"] for t in ts} | {t["hi"] for t in ts})
-        vals.append(F.when(s["cond"], F.col(q(s["col"]))).alias(f"s{s_id}"))
-        bmap += [F.lit(s_id), F.array(*[F.lit(float(b)) for b in bounds])]
+        bounds = s["bounds"]
+        ts = [t for t in s["targets"] if t["lo"] != t["hi"]]
+        vals.append(F.struct(F.lit(s_id).alias("slot"),
+                             F.when(s["cond"], F.col(q(s["col"]))).alias("x")))
+        padded = [float(b) for b in bounds] + [math.inf] * (size - len(bounds))
+        bmap.append(F.array(*[F.lit(b) for b in padded]))
         if collect:
             wanted = sorted({c for t in ts for c in range(2 * bisect_left(bounds, t["lo"]) + 1,
                                                           2 * bisect_left(bounds, t["hi"]) + 2)})
-            rmap += [F.lit(s_id), F.array(*[F.lit(c) for c in wanted])]
-    long = (data.select(*vals)
-            .unpivot([], [f"s{i}" for i in range(len(slots))], "slot", "x")
-            .where(F.col("x").isNotNull())
-            .select(F.substring("slot", 2, 10).cast("int").alias("slot"), "x"))
-    bounds = F.element_at(F.create_map(*bmap), F.col("slot"))
-    x = F.col("x")
-    cell = (F.size(F.filter(bounds, lambda b: b < x)) * 2 +
-            F.array_contains(bounds, x).cast("int"))
+            rmap.append(F.array(*[F.lit(c) for c in wanted]))
+            pad = n_open - len(ts)
+            lmap.append(F.array(*[F.lit(float(t["lo"])) for t in ts], *[F.lit(math.inf)] * pad))
+            hmap.append(F.array(*[F.lit(float(t["hi"])) for t in ts], *[F.lit(-math.inf)] * pad))
+    # one (slot, x) row per cell; the slot id is an int straight from the
+    # generator, so filters pushed down to it stay cheap
+    long = data.select(F.inline(F.array(*vals))).where(F.col("x").isNotNull())
+    if collect and not counts_too:
+        # keep only values inside a bracket, tested on x itself (a filter on
+        # the cell id would be pushed below the search projections and inline
+        # them); the brackets of a slot are few, so the test is linear
+        lo = F.element_at(F.array(*lmap), F.col("slot") + 1)
+        hi = F.element_at(F.array(*hmap), F.col("slot") + 1)
+        inside = F.lit(False)
+        for j in range(1, n_open + 1):
+            inside = inside | ((F.col("x") >= F.element_at(lo, j)) & (F.col("x") <= F.element_at(hi, j)))
+        long = long.where(inside)
+    long = long.select("slot", "x", F.element_at(F.array(*bmap), F.col("slot") + 1).alias("b"),
+                       F.lit(0).alias("pos"))
+    step = size // 2
+    while step >= 1:               # pos = number of bounds < x (lower bound)
+        long = long.select("slot", "x", "b", (F.col("pos") + F.when(
+            F.element_at("b", F.col("pos") + step) < F.col("x"), F.lit(step))
+            .otherwise(F.lit(0))).alias("pos"))
+        step //= 2
+    cell = F.col("pos") * 2 + F.array_contains("b", F.col("x")).cast("int")
     long = long.select("slot", "x", cell.alias("c"))
     aggs = [F.count("*").alias("n")]
     if collect:
-        wanted = F.element_at(F.create_map(*rmap), F.col("slot"))
-        long = long.where(F.array_contains(wanted, F.col("c")))
-        aggs.append(F.sort_array(F.collect_list(
-            F.when(F.col("c") % 2 == 0, F.col("x")))).alias("xs"))
+        wanted = F.array_contains(F.element_at(F.array(*rmap), F.col("slot") + 1), F.col("c"))
+        if not counts_too:
+            aggs.append(F.sort_array(F.collect_list(
+                F.when(F.col("c") % 2 == 0, F.col("x")))).alias("xs"))
+        else:
+            aggs.append(F.sort_array(F.collect_list(
+                F.when(wanted & (F.col("c") % 2 == 0), F.col("x")))).alias("xs"))
     rows = long.groupBy("slot", "c").agg(*aggs).collect()
     out: dict[int, dict] = {}
     for r in rows:
@@ -264,6 +347,7 @@ def _refine(data: DataFrame, wide: list[tuple[dict, dict]], bins: int) -> None:
                 found, t["below"], t["lo"] = True, seen, mn
             if found:
                 inside += n
+                t["done"] = False
             if seen + n > t["k2"]:
                 t["hi"] = mx
                 break

@@ -15,18 +15,31 @@ from pyspark.sql import functions as F
 
 from .columns import chunks, q
 
-# Expressions per aggregate: keeps generated code under the JVM method limit.
-AGG_CHUNK = 200
+# Expressions per aggregate job: keeps each job's generated per-row code small
+# enough for the JIT to compile (methods over 8 KB of bytecode run interpreted).
+AGG_CHUNK = 32
 
 
 def agg_values(df: DataFrame, exprs: Mapping[str, Column]) -> dict:
-    """Evaluate named aggregate expressions over ``df``; returns ``{name: value}``."""
+    """Evaluate named aggregate expressions over ``df``; returns ``{name: value}``.
+
+    Chunks of ``AGG_CHUNK`` expressions run as concurrent jobs; each reads only
+    the columns its expressions need.
+    """
+    from concurrent.futures import ThreadPoolExecutor
     names = list(exprs)
-    out: dict = {}
-    for part in chunks(names, AGG_CHUNK):
+    parts = chunks(names, AGG_CHUNK)
+
+    def run(part):
         row = df.agg(*[exprs[n].alias(n) for n in part]).first()
-        for n in part:
-            out[n] = row[n] if row is not None else None
+        return {n: (row[n] if row is not None else None) for n in part}
+
+    out: dict = {}
+    if len(parts) == 1:
+        return run(parts[0])
+    with ThreadPoolExecutor(min(4, len(parts))) as ex:
+        for r in ex.map(run, parts):
+            out.update(r)
     return out
 
 

@@ -21,6 +21,8 @@ from ..functions.shuffle import donor_values
 from . import learn
 from .evaluate import metric_exprs
 
+FEATURES_PER_BRANCH = 8
+
 # Selection methods in the order they vote (first one names the reason).
 METHOD_ORDER = ["Boruta", "Permutation", "Mutual Information"]
 
@@ -50,13 +52,19 @@ def mutual_information(df: DataFrame, label: str, features: Sequence[str] | None
     edges = column_quantiles(df, [*features, label], probs, exact=exact,
                              interpolation="inverted_cdf")
     by = bin_index(F.col(q(label)).cast("double"), edges[label] or [])
-    sel = [F.when(F.col(q(label)).isNotNull(), by).alias("__by")]
-    for c in features:
-        x = F.col(q(c)).cast("double")
-        sel.append(F.when(x.isNotNull(), bin_index(x, edges[c] or [])).alias(c))
-    long = (df.select(*sel).unpivot(["__by"], list(features), "feature", "bx")
-            .where(F.col("bx").isNotNull() & F.col("__by").isNotNull()))
-    counts = long.groupBy("feature", "bx", "__by").agg(F.count("*").cast("double").alias("n"))
+    by = F.when(F.col(q(label)).isNotNull(), by).alias("__by")
+    counts = None
+    for i in range(0, len(features), FEATURES_PER_BRANCH):
+        # one union branch per chunk of features: small per-row code per scan
+        part = features[i:i + FEATURES_PER_BRANCH]
+        sel = [by]
+        for c in part:
+            x = F.col(q(c)).cast("double")
+            sel.append(F.when(x.isNotNull(), bin_index(x, edges[c] or [])).alias(c))
+        long = (df.select(*sel).unpivot(["__by"], list(part), "feature", "bx")
+                .where(F.col("bx").isNotNull() & F.col("__by").isNotNull()))
+        cnt = long.groupBy("feature", "bx", "__by").agg(F.count("*").cast("double").alias("n"))
+        counts = cnt if counts is None else counts.unionByName(cnt)
     t = counts.select(
         "feature", "n",
         F.sum("n").over(Window.partitionBy("feature")).alias("tot"),
