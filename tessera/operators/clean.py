@@ -81,12 +81,14 @@ class Imputer:
     """Column-generic imputer.
 
     Numeric strategies: ``median`` (exact, distributed), ``mean``,
-    ``most_frequent`` / ``mode``, ``constant``. Categorical strategies:
-    ``most_frequent`` / ``mode`` (tie → smallest value), ``constant``.
+    ``most_frequent`` / ``mode``, ``constant``, ``none``. Categorical
+    strategies: ``most_frequent`` / ``mode`` (tie → smallest value),
+    ``constant``, ``none``; ``drop_missing`` and ``forward_fill`` cover the
+    documented ``drop`` and ``forward_fill`` strategies.
     Statistics come from the frame passed to ``fit`` only.
     """
 
-    NUMERIC = ("median", "mean", "most_frequent", "mode", "constant")
+    NUMERIC = ("median", "mean", "most_frequent", "mode", "constant", "none")
 
     def __init__(self, strategy: str = "median", cols: Sequence[str] | None = None,
                  kind: str = "numeric", fill_value=None, exclude: Sequence[str] = (),
@@ -101,7 +103,7 @@ class Imputer:
     def fit(self, df: DataFrame) -> FittedImputer:
         pick = numeric_cols if self.kind == "numeric" else string_cols
         cols = list(self.cols) if self.cols is not None else pick(df, self.exclude)
-        if not cols:
+        if not cols or self.strategy == "none":       # "none": leave values as they are
             return FittedImputer(self.strategy, {})
         if self.strategy == "constant":
             return FittedImputer(self.strategy, {c: self.fill_value for c in cols})
@@ -122,8 +124,7 @@ def most_frequent(df: DataFrame, cols: Sequence[str]) -> dict:
     """Mode of every column in one shuffle; ties → smallest value.
 
     One unpivot to ``(feature, value)``; the group-by is partially aggregated
-    map-side, so a hot value costs one counter per task, not one row. Only
-    the distinct ``(feature, value)`` counts reach the ranking window.
+    map-side, so a hot value costs one counter per task, not one row.
     """
     cols = list(cols)
     types = dict(df.dtypes)
@@ -137,12 +138,14 @@ def most_frequent(df: DataFrame, cols: Sequence[str]) -> dict:
             .where(F.col("v.s").isNotNull()))
     counts = long.groupBy("feature", F.col("v.d").alias("d"), F.col("v.s").alias("s")) \
                  .agg(F.count("*").alias("n"))
-    w = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("d").asc(),
-                                              F.col("s").asc())
-    rows = counts.withColumn("rk", F.row_number().over(w)).where("rk = 1").collect()
+    # pick per feature with an aggregate (partial per task), not a window that
+    # would rank all distinct values of a feature in one task:
+    # highest count, then smallest value
+    best = counts.groupBy("feature").agg(F.min_by(
+        F.struct("d", "s"), F.struct((-F.col("n")).alias("m"), "d", "s")).alias("v"))
     out = {c: None for c in cols}
-    for r in rows:
-        out[r["feature"]] = r["d"] if r["feature"] in numeric else r["s"]
+    for r in best.collect():
+        out[r["feature"]] = r["v"]["d"] if r["feature"] in numeric else r["v"]["s"]
     return out
 
 

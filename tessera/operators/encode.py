@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_cols, q, string_cols
@@ -159,18 +159,28 @@ class Encoder:
         spark = df.sparkSession
         default, null_code = {}, {}
         if self.strategy == "label":
-            # category → 0..k-1 in sorted order of the string form (null → 'nan')
+            # category → 0..k-1 in sorted order of the string form (null → 'nan');
+            # small maps are ranked on the driver, large ones by a distributed
+            # dense index (no window holding a whole feature)
             cats = (long.select("feature", F.coalesce("category", F.lit(NULL_TOKEN)).alias("category"))
                     .distinct())
-            w = Window.partitionBy("feature").orderBy("category")
-            table = cats.select("feature", "category",
-                                (F.dense_rank().over(w) - 1).cast("double").alias("code"))
+            n_cats = cats.count()
+            if n_cats <= self.literal_limit:
+                per: dict[str, list] = {}
+                for r in cats.collect():
+                    per.setdefault(r["feature"], []).append(r["category"])
+                rows = [(f, c, float(i)) for f, vs in per.items() for i, c in enumerate(sorted(vs))]
+                table = spark.createDataFrame(rows, "feature string, category string, code double")
+            else:
+                from ..functions.rank import dense_index
+                table = dense_index(cats, "feature", "category", "code") \
+                    .select("feature", "category", F.col("code").cast("double").alias("code"))
         elif self.strategy == "frequency":
             counts = (long.where(F.col("category").isNotNull())
                       .groupBy("feature", "category").agg(F.count("*").alias("n")))
-            w = Window.partitionBy("feature")
-            table = counts.select("feature", "category",
-                                  (F.col("n") / F.sum("n").over(w)).alias("code"))
+            totals = counts.groupBy("feature").agg(F.sum("n").alias("__t"))  # one row per feature
+            table = counts.join(F.broadcast(totals), "feature").select(
+                "feature", "category", (F.col("n") / F.col("__t")).alias("code"))
         else:
             grp = long.groupBy("feature", "category").agg(
                 F.sum("__y").alias("s"), F.count("__y").alias("n"))

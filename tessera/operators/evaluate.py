@@ -113,6 +113,14 @@ def metric_pivot(report: DataFrame, metrics_: Sequence[str]) -> DataFrame:
     return report.groupBy("Model").pivot("Metric", list(metrics_)).agg(F.first("Value"))
 
 
+def comparison_bars(report: DataFrame, metric: str = "rmse") -> DataFrame:
+    """``(Model, value)`` of one metric for a bar chart; a model without it reads 0."""
+    models = report.select("Model").distinct()
+    vals = report.where(F.col("Metric") == metric).select("Model", F.col("Value"))
+    return models.join(vals, "Model", "left").select(
+        "Model", F.coalesce(F.col("Value"), F.lit(0.0)).alias(metric))
+
+
 def top_n(scores: DataFrame, n: int = 30, score: str = "importance",
           feature: str = "feature") -> DataFrame:
     """Top-N report: a limit that *is* the feature; ties broken by name."""

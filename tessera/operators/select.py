@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import numeric_cols, q
 from ..functions.quantiles import column_quantiles
 from ..functions.shuffle import donor_values
+from ..session import cut_lineage
 from . import learn
 from .evaluate import metric_exprs
 
@@ -146,6 +147,8 @@ def permutation_importance(df: DataFrame, key: str, features: Sequence[str], lab
     """
     features = list(features)
     estimator = estimator or learn.forest(numTrees=20, maxDepth=6)
+    # every repeat re-reads the frame: cut its lineage once (shared folder)
+    df = cut_lineage(df.select(key, label, *features))
     model = learn.fit(df, features, label, estimator)
     base = model.transform(df).agg(*metric_exprs(F.col(q(label)).cast("double"),
                                                  F.col("prediction"))).first()["r2"]
@@ -184,6 +187,7 @@ def shadow_selection(df: DataFrame, key: str, features: Sequence[str], label: st
     selected)``."""
     features = list(features)
     estimator = estimator or learn.forest(numTrees=20, maxDepth=6)
+    df = cut_lineage(df.select(key, label, *features))
     hits = {f: 0 for f in features}
     for it in range(iterations):
         d = donor_values(df.select(key, label, *features), key, features, seed=seed + 1000 + it,

@@ -90,3 +90,12 @@ def test_correlation_and_compare(spark):
     truth = frame(spark, [(1, 8.0), (3, 1.0)], "id int, y double")
     c = evaluate.compare_with_truth(pred, truth, "id", "y").collect()
     assert len(c) == 1 and c[0].Absolute_Error == 2.0 and math.isclose(c[0].Relative_Error, 0.25)
+
+
+def test_comparison_bars_and_none_imputer(spark):
+    from tessera.operators import clean
+    rep = frame(spark, [("a", "rmse", 2.0), ("b", "mae", 1.0)], "Model string, Metric string, Value double")
+    bars = {r.Model: r.rmse for r in evaluate.comparison_bars(rep, "rmse").collect()}
+    assert bars == {"a": 2.0, "b": 0.0}
+    df = frame(spark, [(0, None), (1, 2.0)], "id int, x double")
+    assert clean.Imputer("none").fit(df).transform(df).where("x IS NULL").count() == 1
