@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import q
+from ..session import cut_lineage
 
 # The reference's configured ensemble weights.
 DEFAULT_WEIGHTS = {
@@ -30,22 +31,29 @@ def group_mean_predictions(df: DataFrame, key: str, label: str,
                            carry: Sequence[str] = ()) -> DataFrame:
     """Baseline predictors: the train-mean label of each row's group.
 
-    Returns ``(model, key, carry…, y, p)``. Each group table is an aggregate
-    (partially aggregated, one row per group value) joined back on its key;
-    AQE turns the join into a broadcast when the group table is small at
-    run time and keeps the sort-merge join otherwise.
+    Returns ``(model, key, carry…, y, p)``. All models are fitted in **one**
+    pass: every train row is exploded into one ``(model, group value)`` row
+    per model and averaged by that pair (partial aggregation; one row per
+    group value). The scored rows are exploded the same way and joined once
+    on ``(model, group value)``; AQE broadcasts the means table when it is
+    small at run time and keeps a sort-merge join otherwise. A null group
+    value gets no prediction.
     """
+    def tags():       # one (model, group value) row per model and input row
+        return F.explode(F.array(*[
+            F.struct(F.lit(name).alias("model"), F.col(q(g)).cast("string").alias("__g"))
+            for name, g in models.items()])).alias("__m")
+
+    y = F.col(q(label)).cast("double")
     fit = df.where(train) if train is not None else df
-    parts = []
-    for name, g in models.items():
-        means = fit.groupBy(F.col(q(g))).agg(F.avg(F.col(q(label)).cast("double")).alias("__p"))
-        parts.append(df.join(means, on=g, how="left").select(
-            F.lit(name).alias("model"), F.col(q(key)), *[F.col(q(c)) for c in carry],
-            F.col(q(label)).cast("double").alias("y"), F.col("__p").alias("p")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    means = (fit.select(y.alias("__y"), tags())
+             .groupBy(F.col("__m.model").alias("model"), F.col("__m.__g").alias("__g"))
+             .agg(F.avg("__y").alias("p")))
+    rows = (df.select(F.col(q(key)), *[F.col(q(c)) for c in carry], y.alias("y"), tags())
+            .select(F.col("__m.model").alias("model"), F.col("__m.__g").alias("__g"),
+                    F.col(q(key)), *[F.col(q(c)) for c in carry], "y"))
+    return rows.join(means, ["model", "__g"], "left").select(
+        "model", F.col(q(key)), *[F.col(q(c)) for c in carry], "y", "p")
 
 
 def normalized_weights(weights: Mapping[str, float]) -> dict[str, float]:
@@ -131,7 +139,10 @@ def group_mean_cv(df: DataFrame, key: str, label: str, groups: Sequence[str], k:
     y = F.col(q(label)).cast("double")
     d = df.select(F.col(q(key)), *[F.col(q(g)) for g in groups], y.alias("__y"),
                   fold_of(key, k, seed, method).alias("fold"))
-    s = d.groupBy(*groups, "fold").agg(F.sum("__y").alias("__s"), F.count("__y").alias("__n"))
+    # one row per (group, fold); written once to the shared folder so its three
+    # uses below do not re-aggregate the data
+    s = cut_lineage(d.groupBy(*groups, "fold").agg(F.sum("__y").alias("__s"),
+                                                   F.count("__y").alias("__n")))
     tot = s.groupBy(*groups).agg(F.sum("__s").alias("__st"), F.sum("__n").alias("__nt"))
     fs = s.groupBy("fold").agg(F.sum("__s").alias("__fs"), F.sum("__n").alias("__fn"))
     g = s.agg(F.sum("__s").alias("__gs"), F.sum("__n").alias("__gn")).first()
