@@ -47,6 +47,29 @@ def fill_absence(df: DataFrame, codes: Mapping[str, str] = ABSENCE_CODES,
     return replace_columns(df, new)
 
 
+class _FittedAbsence(Fitted):
+    kind = "absence"
+
+    def __init__(self, codes):
+        self.codes = dict(codes)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return fill_absence(df, self.codes)
+
+    def params(self):
+        return {"codes": self.codes}
+
+
+class fill_absence_stage:
+    """Chain stage form of ``fill_absence`` (nothing to learn)."""
+
+    def __init__(self, codes: Mapping[str, str] = ABSENCE_CODES):
+        self.codes = codes
+
+    def fit(self, df: DataFrame) -> Fitted:
+        return _FittedAbsence(self.codes)
+
+
 # ---------------------------------------------------------------- imputation
 
 class FittedImputer(Fitted):

@@ -77,13 +77,36 @@ def mutual_information(df: DataFrame, label: str, features: Sequence[str] | None
     return mi
 
 
+MAX_SCORED_FEATURES = 1_000_000
+
+
+def linear_percentile(values: Sequence[float], p: float) -> float:
+    """numpy's default ("linear") percentile, p in [0, 100]."""
+    xs = sorted(values)
+    pos = p / 100.0 * (len(xs) - 1)
+    k = int(math.floor(pos))
+    frac = pos - k
+    return xs[k] if frac == 0 or k + 1 >= len(xs) else xs[k] + (xs[k + 1] - xs[k]) * frac
+
+
 def threshold_select(scores: DataFrame, percentile: float, score: str = "score",
                      feature: str = "feature") -> DataFrame:
     """Keep features whose score is **strictly greater** than the linear
-    ``percentile`` of all scores."""
-    t = column_quantiles(scores, [score], [percentile / 100.0])[score][0]
-    return (scores.where(F.col(score) > F.lit(t))
-            .select(F.col(feature), F.col(score), F.lit(t).alias("threshold")))
+    ``percentile`` of all scores.
+
+    A score table has one row per feature (bounded by the schema, guarded by
+    ``MAX_SCORED_FEATURES``); it is evaluated once and the rule applied to
+    those rows, so the (expensive) scoring job is not re-run per pass.
+    """
+    rows = scores.select(F.col(feature).alias("f"), F.col(score).alias("s")) \
+                 .limit(MAX_SCORED_FEATURES + 1).collect()
+    if len(rows) > MAX_SCORED_FEATURES:
+        raise ValueError("score table larger than one row per feature")
+    vals = [r["s"] for r in rows if r["s"] is not None]
+    t = linear_percentile(vals, percentile) if vals else None
+    keep = [(r["f"], r["s"], t) for r in rows if t is not None and r["s"] is not None and r["s"] > t]
+    return scores.sparkSession.createDataFrame(
+        keep, f"{feature} string, {score} double, threshold double")
 
 
 def vote(selections: DataFrame, features: Sequence[str], min_features: int = 20,

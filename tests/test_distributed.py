@@ -173,3 +173,24 @@ def test_streaming_transform(spark, tmpdir_path):
     q.awaitTermination(60)
     got = spark.sql("SELECT * FROM tessera_stream_test").orderBy("id").collect()
     assert len(got) == 20 and got[-1].x == 1.0 and got[0].c == 0.5
+
+
+def test_train_and_score_job(spark, tmpdir_path):
+    from tessera.plans.jobs import train_and_score
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(400):
+        a, b = rng.normal(size=2)
+        c = "x" if i % 3 else "y"
+        rows.append((i, float(a), float(b), c, None if i % 17 == 0 else "NA" if i % 19 == 0 else "Gd",
+                     float(5 * a + (2 if c == "x" else -2) + rng.normal(0, 0.2))))
+    df = frame(spark, rows, "Id int, a double, b double, c string, PoolQC string, SalePrice double")
+    train, test = df.where("Id % 5 <> 0"), df.where("Id % 5 = 0")
+    out = train_and_score(train, test, "Id", "SalePrice", learners=("random_forest", "xgboost"),
+                          forest_params={"numTrees": 10, "maxDepth": 5},
+                          gbt_params={"maxIter": 10, "maxDepth": 3}, min_features=2,
+                          out_dir=os.path.join(tmpdir_path, "preds"))
+    assert out["ensemble"].count() == 80
+    m = {r.model: r.r2 for r in out["score_metrics"].collect()}
+    assert set(m) == {"random_forest", "xgboost"} and min(m.values()) > 0.5
+    assert spark.read.parquet(os.path.join(tmpdir_path, "preds")).count() == 160
