@@ -34,6 +34,7 @@ import math
 from bisect import bisect_left
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,6 +97,28 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         {min(1.0, max(0.0, p + s * delta)) for p in probs for s in (-1.0, 1.0)})
 
     data = df.select(*[F.col(q(b)) for b in by], *[_x(c).alias(c) for c in cols])
+    # the passes below re-read ``data``: when it comes out of a shuffle (join,
+    # aggregate, window) keep the projected columns instead of recomputing the
+    # shuffle per pass (memory and disk; rebuilt from lineage if an executor
+    # is lost). A plain scan is re-read instead.
+    cached = exact and _has_shuffle(data)
+    if cached:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins,
+                          max_groups, interpolation, grid, delta)
+    finally:
+        if cached:
+            data.unpersist()
+
+
+def _has_shuffle(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(k in plan for k in ("Join ", "Aggregate [", "Window [", "Repartition"))
+
+
+def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_groups,
+               interpolation, grid, delta):
 
     # pass 1: sizes, ranges and the sketch — in column chunks submitted
     # concurrently (small per-row code per job; each job reads its columns)

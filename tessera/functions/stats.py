@@ -17,7 +17,7 @@ from .columns import chunks, q
 
 # Expressions per aggregate job: keeps each job's generated per-row code small
 # enough for the JIT to compile (methods over 8 KB of bytecode run interpreted).
-AGG_CHUNK = 32
+AGG_CHUNK = 16
 
 
 def agg_values(df: DataFrame, exprs: Mapping[str, Column]) -> dict:
