@@ -20,15 +20,22 @@ from pyspark.sql import functions as F
 from .columns import q
 
 
+ROWS_PER_BUCKET = 2_000_000
+
+
 def donor_values(df: DataFrame, key: str, cols: Sequence[str], seed: int = 0,
                  buckets: int | None = None, prefix: str = "__d_") -> DataFrame:
     """``df`` plus ``{prefix}{col}``: the values of ``cols`` from a donor row.
 
-    ``key`` must be unique. ``buckets`` defaults to the shuffle partitions.
+    ``key`` must be unique. ``buckets`` defaults to enough buckets for about
+    ``ROWS_PER_BUCKET`` rows each (at least the shuffle partitions): the window
+    operator buffers one bucket at a time, so that buffer stays bounded
+    whatever the table size.
     """
     spark = df.sparkSession
     if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        buckets = max(parts, -(-df.count() // ROWS_PER_BUCKET))
     k = F.col(q(key))
     b = F.pmod(F.xxhash64(k, F.lit("b"), F.lit(seed)), F.lit(buckets))
     base = df.withColumn("__b", b)
