@@ -194,3 +194,14 @@ def test_train_and_score_job(spark, tmpdir_path):
     m = {r.model: r.r2 for r in out["score_metrics"].collect()}
     assert set(m) == {"random_forest", "xgboost"} and min(m.values()) > 0.5
     assert spark.read.parquet(os.path.join(tmpdir_path, "preds")).count() == 160
+
+
+def test_dense_index_matches_sorted_order(spark):
+    from tessera.functions.rank import dense_index
+    rng = random.Random(4)
+    rows = {(f"f{rng.randint(0, 3)}", f"v{rng.randint(0, 400):04d}") for _ in range(1500)}
+    df = frame(spark, sorted(rows), "feature string, category string").repartition(13)
+    got = {(r.feature, r.category): r.code for r in dense_index(df, "feature", "category").collect()}
+    for f in {r[0] for r in rows}:
+        cats = sorted(c for g, c in rows if g == f)
+        assert [got[(f, c)] for c in cats] == list(range(len(cats)))
