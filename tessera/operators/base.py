@@ -54,6 +54,39 @@ def load_meta(spark: SparkSession, path: str) -> tuple[dict, DataFrame]:
     return meta, spark.read.parquet(os.path.join(path, "stats"))
 
 
+def load(spark: SparkSession, path: str) -> Fitted:
+    """Rebuild a fitted operator (or chain) written by ``Fitted.save``."""
+    from . import clean, encode, scale
+    meta, stats = load_meta(spark, path)
+    kind, p = meta["kind"], meta["params"]
+    if kind == "chain":
+        from ..plans.chain import FittedChain
+        return FittedChain([load(spark, os.path.join(path, f"stage_{i}"))
+                            for i in range(len(p["stages"]))])
+    if kind == "imputer":
+        return clean.FittedImputer(p["strategy"], p["values"])
+    if kind == "absence":
+        return clean._FittedAbsence(p["codes"])
+    if kind == "outliers":
+        return clean.FittedClipper(p["method"], {c: tuple(b) for c, b in p["bounds"].items()},
+                                   p["means"], p["stds"], p["threshold"])
+    if kind == "scaler":
+        return scale.FittedScaler(p["strategy"], p["center"], p["scale"])
+    if kind == "onehot":
+        return encode.FittedOneHot(p["cols"], p["categories"], p["keep"])
+    if kind == "category_map":
+        literal, table = None, None
+        if p["literal"]:
+            literal = {c: {} for c in p["cols"]}
+            for r in stats.collect():
+                literal[r["feature"]][r["stat"]] = r["value"]
+        else:
+            table = spark.read.parquet(os.path.join(path, "table"))
+        return encode.FittedMap(p["strategy"], p["cols"], table, p["size"], p["literal_limit"],
+                                p["default"], p["null_code"], p["handle_unseen"], literal)
+    raise ValueError(f"unknown fitted kind: {kind}")
+
+
 def stats_to_numbers(stats: DataFrame) -> dict[str, dict[str, float]]:
     out: dict[str, dict[str, float]] = {}
     for r in stats.collect():

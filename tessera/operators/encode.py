@@ -50,6 +50,7 @@ class FittedMap(Fitted):
                  null_code: dict | None = None, handle_unseen: str = "error",
                  literal: dict | None = None):
         self.strategy, self.cols, self.table, self.size = strategy, cols, table, size
+        self.literal_limit = literal_limit
         self.default = default or {}
         self.null_code = null_code or {}
         self.handle_unseen = handle_unseen
@@ -100,7 +101,14 @@ class FittedMap(Fitted):
 
     def params(self):
         return {"strategy": self.strategy, "cols": self.cols, "default": self.default,
-                "handle_unseen": self.handle_unseen}
+                "handle_unseen": self.handle_unseen, "null_code": self.null_code,
+                "size": self.size, "literal_limit": self.literal_limit,
+                "literal": self.literal is not None}
+
+    def save(self, path: str) -> None:
+        super().save(path)
+        if self.literal is None:      # large map: the table itself
+            self.table.write.mode("overwrite").parquet(path + "/table")
 
 
 class FittedOneHot(Fitted):

@@ -49,6 +49,20 @@ def metrics(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (),
     return d.groupBy(*[F.col(q(b)) for b in by]).agg(*ex)
 
 
+def metric_bundle(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("model",),
+                  split_col: str = "split", splits: Sequence[str] = ("train", "test")) -> DataFrame:
+    """Train / test metrics side by side with ``train_`` / ``test_`` prefixes, in
+    one aggregate (each split's metrics over its masked rows, no pivot)."""
+    d = _pairs(df, y, p)
+    ex = []
+    for s in splits:
+        m = F.col(q(split_col)) == F.lit(s)
+        ym = F.when(m, F.col(q(y)).cast("double"))
+        pm = F.when(m, F.col(q(p)).cast("double"))
+        ex += [F.count(ym).alias(f"{s}_n"), *metric_exprs(ym, pm, f"{s}_")]
+    return d.groupBy(*[F.col(q(b)) for b in by]).agg(*ex)
+
+
 def compare_with_truth(pred: DataFrame, truth: DataFrame, key: str, label: str,
                        pred_col: str | None = None) -> DataFrame:
     """Inner equi-join of predictions with labels, ``_pred``/``_true`` suffixes,

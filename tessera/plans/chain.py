@@ -35,6 +35,11 @@ class FittedChain(Fitted):
     def params(self):
         return {"stages": [f.kind for f in self.fitted]}
 
+    def save(self, path: str) -> None:
+        super().save(path)
+        for i, f in enumerate(self.fitted):
+            f.save(f"{path}/stage_{i}")
+
 
 class Chain:
     def __init__(self, stages: Sequence, materialize: bool = True):

@@ -844,6 +844,29 @@ def q_metrics_by_split(spark, d):
     return m.select(*_r6cols(m, METRIC_COLS))
 
 
+def _bundle_sql() -> str:
+    parts = []
+    for sp in ("train", "test"):
+        y = f"CASE WHEN split = '{sp}' THEN y END"
+        e = f"CASE WHEN split = '{sp}' THEN y - p END"
+        parts += [f"CAST(count({y}) AS BIGINT) AS {sp}_n",
+                  r6(f"{sp}_rmse", f"sqrt(avg({e} * {e}))"),
+                  r6(f"{sp}_mae", f"avg(abs({e}))"),
+                  r6(f"{sp}_r2", f"1 - sum({e} * {e}) / (var_pop({y}) * count({y}))"),
+                  r6(f"{sp}_mape", f"avg(CASE WHEN split = '{sp}' AND y <> 0 THEN abs(y - p) / abs(y) END)")]
+    return (f"WITH {I.SQL_PREDICTIONS}\nSELECT model, " + ", ".join(parts) +
+            "\nFROM pred WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY model")
+
+
+@register("metrics_bundle", _bundle_sql())
+def q_metrics_bundle(spark, d):
+    """Per model: train_* and test_* metrics in one row."""
+    from ..operators import evaluate
+    b = evaluate.metric_bundle(_pred(spark, d), by=["model"])
+    return b.select(*[round6(F.col(c)).alias(c) if c.endswith(("rmse", "mae", "r2", "mape"))
+                      else F.col(c) for c in b.columns])
+
+
 @register("compare_predictions", f"""
 WITH {I.SQL_PREDICTIONS}
 SELECT pr.o_orderkey, {r6('o_totalprice_pred', 'pr.p')}, {r6('o_totalprice_true', 'o.o_totalprice')},

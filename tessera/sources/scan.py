@@ -34,14 +34,35 @@ def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
                        for c in df.columns])
 
 
+def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, str]:
+    """Type of each text column: ``bigint`` if every non-null value parses as
+    an integer, else ``double`` if every one parses as a number, else
+    ``string``. One aggregate over the whole table (two counters per column)."""
+    from ..functions.stats import agg_values
+    cols = list(cols) if cols is not None else string_cols(df)
+    exprs = {}
+    for i, c in enumerate(cols):
+        x = F.trim(F.col(q(c)))
+        exprs[f"l{i}"] = F.count_if(x.isNotNull() & x.try_cast("bigint").isNull())
+        exprs[f"d{i}"] = F.count_if(x.isNotNull() & x.try_cast("double").isNull())
+    v = agg_values(df, exprs)
+    return {c: "bigint" if v[f"l{i}"] == 0 else "double" if v[f"d{i}"] == 0 else "string"
+            for i, c in enumerate(cols)}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+             tokens: Sequence[str] = NA_TOKENS, infer: bool = True) -> DataFrame:
     """CSV with a header: every column read as text, NA tokens → null, then the
-    declared types applied with ``try_cast`` (no schema: all text)."""
+    declared types — or, without a schema, the inferred ones (``infer_types``,
+    run after token nulling so ``NA`` does not force a column to text) —
+    applied with ``try_cast``."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     raw = na_tokens_to_null(raw, raw.columns, tokens)
     if schema is None:
-        return raw
+        if not infer:
+            return raw
+        types = {c: t for c, t in infer_types(raw).items() if t != "string"}
+        return typed(raw, types)
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     return typed(raw, {f.name: f.dataType.simpleString() for f in st.fields if f.name in raw.columns})
 

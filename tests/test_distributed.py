@@ -103,6 +103,12 @@ def test_csv_na_tokens(spark, tmpdir_path):
     rows = [tuple(r) for r in df.orderBy("Id").collect()]
     assert rows == [(1, None, 8450.0), (2, None, None), (3, "Grvl", None)]
     assert scan.load_ids(spark, path, "Id", fmt="csv").columns == ["Id"]
+    inferred = scan.read_csv(spark, path)           # NA tokens do not force text
+    assert dict(inferred.dtypes) == {"Id": "bigint", "Alley": "string", "LotArea": "string"}
+    with open(os.path.join(tmpdir_path, "num.csv"), "w") as fh:
+        fh.write("Id,LotArea,Frontage\n1,8450,65.5\n2,NA,\n3,9600,80\n")
+    num = scan.read_csv(spark, os.path.join(tmpdir_path, "num.csv"))
+    assert dict(num.dtypes) == {"Id": "bigint", "LotArea": "bigint", "Frontage": "double"}
 
 
 def test_model_and_stats_save_load(spark, tmpdir_path):
@@ -205,3 +211,22 @@ def test_dense_index_matches_sorted_order(spark):
     for f in {r[0] for r in rows}:
         cats = sorted(c for g, c in rows if g == f)
         assert [got[(f, c)] for c in cats] == list(range(len(cats)))
+
+
+@pytest.mark.parametrize("limit", [20000, 0])
+def test_fitted_chain_save_load(spark, tmpdir_path, limit):
+    from tessera.operators.base import load
+    df = frame(spark, [(i, None if i == 0 else float(i), "a" if i % 3 else "b",
+                        None if i == 5 else "NA", float(10 * i)) for i in range(12)],
+               "id int, x double, c string, PoolQC string, y double")
+    from tessera.plans.jobs import default_chain
+    chain = Chain([*default_chain("id", "y").stages[:4], Encoder("label", cols=["c"], literal_limit=limit),
+                   Encoder("target", cols=["PoolQC"], label="y", literal_limit=limit),
+                   scale.Scaler("standard", exclude=["id", "y"])], materialize=False)
+    fitted = chain.fit(df)
+    path = os.path.join(tmpdir_path, f"chain{limit}")
+    fitted.save(path)
+    back = load(spark, path)
+    a = [tuple(r) for r in fitted.transform(df).orderBy("id").collect()]
+    b = [tuple(r) for r in back.transform(df).orderBy("id").collect()]
+    assert a == b
