@@ -38,10 +38,6 @@ def col(name: str) -> Column:
     return F.col(q(name))
 
 
-def as_double(name: str, df: DataFrame | None = None) -> Column:
-    """Column as double with NaN read as null (the reference's missing marker)."""
-    c = col(name).cast("double")
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
 
 
 def round6(c: Column, places: int = 6) -> Column:
@@ -58,10 +54,6 @@ def round6(c: Column, places: int = 6) -> Column:
     return F.when(F.abs(x) < F.lit(1e12), r).otherwise(x) + F.lit(0.0)
 
 
-def require(df: DataFrame, cols: Sequence[str]) -> None:
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"columns not in frame: {missing}")
 
 
 def chunks(seq: Sequence, size: int) -> list[Sequence]:

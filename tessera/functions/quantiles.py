@@ -53,24 +53,8 @@ def _group_cond(by: Sequence[str], key: tuple) -> Column:
     return cond
 
 
-def _count_above(x: Column, bounds: Sequence[float], lo: int, hi: int) -> Column:
-    """How many of ``bounds[lo:hi]`` (sorted) are < x: a balanced search tree
-    of comparisons, so a value costs O(log m) comparisons, not O(m)."""
-    if hi - lo <= 4:
-        terms = [(x > F.lit(float(b))).cast("int") for b in bounds[lo:hi]]
-        return sum(terms[1:], terms[0]) if terms else F.lit(0)
-    mid = (lo + hi) // 2
-    return F.when(x > F.lit(float(bounds[mid])),
-                  F.lit(mid - lo + 1) + _count_above(x, bounds, mid + 1, hi)) \
-            .otherwise(_count_above(x, bounds, lo, mid))
-
-
-def cell_of(x: Column, bounds: Sequence[float]) -> Column:
-    """Cell id among sorted distinct ``bounds``: 0 = below the first, 2i+1 =
-    equal to bound i, 2i+2 = strictly between bounds i and i+1."""
-    lt = _count_above(x, bounds, 0, len(bounds))
-    eq = x.isin([F.lit(float(b)) for b in bounds]).cast("int")
-    return lt * 2 + eq
+
+
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -23,9 +23,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import numeric_cols, q, string_cols
+from ..functions.columns import q, string_cols
 from ..session import cut_lineage
-from .base import Fitted, NotFittedError, replace_columns
+from .base import Fitted, replace_columns
 
 NULL_TOKEN = "nan"           # string form of a missing category
 LITERAL_LIMIT = 20000        # map entries applied as a literal lookup
@@ -235,11 +235,4 @@ class Encoder:
         return FittedOneHot(cols, cats, keep)
 
 
-def require_fitted(fitted: Fitted | None) -> Fitted:
-    if fitted is None:
-        raise NotFittedError("encoder must be fit before transform")
-    return fitted
 
-
-def numeric_passthrough(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return numeric_cols(df, exclude)

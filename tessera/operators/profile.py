@@ -13,9 +13,6 @@ from ..functions.quantiles import column_quantiles
 from ..functions.stats import agg_values
 
 
-from ..sources.scan import na_tokens_to_null, read_csv, typed  # noqa: E402,F401  (re-exported)
-
-
 def missing_summary(df: DataFrame) -> DataFrame:
     """``(Feature, Missing_Count, Missing_Percent)`` for columns with nulls,
     highest share first (ties by name). One aggregate over all columns."""

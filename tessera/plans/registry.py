@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import NA_TOKENS, round6
 from ..operators import clean, profile, scale, split
+from ..sources import scan
 from . import inputs as I
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,8 +88,8 @@ SELECT o_orderkey,
 FROM raw
 """)
 def q_scan_na_tokens(spark, d):
-    df = profile.na_tokens_to_null(_raw_orders(spark, d))
-    df = profile.typed(df, {"price": "double"})
+    df = scan.na_tokens_to_null(_raw_orders(spark, d))
+    df = scan.typed(df, {"price": "double"})
     return df.select("o_orderkey", "o_orderpriority", "o_orderstatus", round6(F.col("price")).alias("price"))
 
 

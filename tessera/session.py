@@ -7,7 +7,6 @@ no such setting (tests, bench) gets a fresh scratch folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,10 +68,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, name)

@@ -103,6 +103,8 @@ def test_csv_na_tokens(spark, tmpdir_path):
     rows = [tuple(r) for r in df.orderBy("Id").collect()]
     assert rows == [(1, None, 8450.0), (2, None, None), (3, "Grvl", None)]
     assert scan.load_ids(spark, path, "Id", fmt="csv").columns == ["Id"]
+    assert scan.contract_of(df) == [("Id", "int"), ("Alley", "string"), ("LotArea", "double")]
+    assert scan.split_roles(df, "Id", "LotArea") == (["Alley"], "Id", "LotArea")
     inferred = scan.read_csv(spark, path)           # NA tokens do not force text
     assert dict(inferred.dtypes) == {"Id": "bigint", "Alley": "string", "LotArea": "string"}
     with open(os.path.join(tmpdir_path, "num.csv"), "w") as fh:
@@ -179,6 +181,14 @@ def test_streaming_transform(spark, tmpdir_path):
     q.awaitTermination(60)
     got = spark.sql("SELECT * FROM tessera_stream_test").orderBy("id").collect()
     assert len(got) == 20 and got[-1].x == 1.0 and got[0].c == 0.5
+    with pytest.raises(ValueError):
+        score.transform_stream(fitted, df)              # batch input is refused
+    batch = fitted.transform(df).withColumn("y", F.col("x") * 2)
+    model = learn.fit(batch, ["x", "c"], "y", learn.forest(numTrees=3, maxDepth=3))
+    q2 = score.start(score.predict_stream(fitted, model, stream, "id"), "tessera_pred_test",
+                     sink="memory")
+    q2.awaitTermination(60)
+    assert spark.sql("SELECT * FROM tessera_pred_test").count() == 20
 
 
 def test_train_and_score_job(spark, tmpdir_path):
