@@ -38,6 +38,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import has_shuffle
 from .columns import q
 
 
@@ -85,7 +86,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     # aggregate, window) keep the projected columns instead of recomputing the
     # shuffle per pass (memory and disk; rebuilt from lineage if an executor
     # is lost). A plain scan is re-read instead.
-    cached = exact and _has_shuffle(data)
+    cached = exact and has_shuffle(data)
     if cached:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -96,11 +97,6 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             data.unpersist()
 
 
-def _has_shuffle(df: DataFrame) -> bool:
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return any(k in plan for k in ("Join ", "Aggregate [", "Window [", "Repartition"))
-
-
 def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_groups,
                interpolation, grid, delta):
 

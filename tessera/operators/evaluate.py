@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import q
 from ..functions.quantiles import quantiles
 from ..functions.stats import agg_values
+from ..session import materialized
 
 METRICS = ("rmse", "mae", "r2", "mape")
 
@@ -90,7 +91,7 @@ def error_analysis(df: DataFrame, y: str = "y", p: str = "p",
     """mean / population std / min / max of (y − p); median, p90, p95 of |y − p|."""
     d = _pairs(df, y, p).select(*[F.col(q(b)) for b in by],
                                 (F.col(q(y)) - F.col(q(p))).alias("__e"))
-    d = d.withColumn("__a", F.abs("__e"))
+    d = materialized(d.withColumn("__a", F.abs("__e")))      # read by 2 aggregates
     mom = d.groupBy(*[F.col(q(b)) for b in by]).agg(
         F.avg("__e").alias("mean_error"), F.stddev_pop("__e").alias("std_error"),
         F.min("__e").alias("min_error"), F.max("__e").alias("max_error"))
@@ -149,8 +150,8 @@ def scatter_bins(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] =
 
     The bound is ``least(min y, min p)`` / ``greatest(max y, max p)`` per group.
     """
-    d = _pairs(df, y, p)
     byc = [F.col(q(b)) for b in by]
+    d = materialized(_pairs(df, y, p).select(*byc, F.col(q(y)), F.col(q(p))))   # read twice
     bound = d.groupBy(*byc).agg(F.least(F.min(q(y)), F.min(q(p))).alias("lo"),
                                 F.greatest(F.max(q(y)), F.max(q(p))).alias("hi"))
     j = d.join(bound, list(by), "inner")
@@ -168,7 +169,7 @@ def error_histogram(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str]
     """Equal-width histogram of y − p from min to max, last bin closed; empty
     bins are listed (``sequence`` explode on the per-group bounds, no cross join)."""
     byc = [F.col(q(b)) for b in by]
-    e = _pairs(df, y, p).select(*byc, (F.col(q(y)) - F.col(q(p))).alias("__e"))
+    e = materialized(_pairs(df, y, p).select(*byc, (F.col(q(y)) - F.col(q(p))).alias("__e")))
     rng = e.groupBy(*byc).agg(F.min("__e").alias("lo"), F.max("__e").alias("hi"))
     b = F.coalesce(F.least(F.floor(F.try_divide(F.col("__e") - F.col("lo"),
                                                 F.col("hi") - F.col("lo")) * bins),
@@ -190,8 +191,8 @@ def error_box(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("m
               whisker: float = 1.5, exact: bool = True) -> DataFrame:
     """Box-plot numbers of y − p: Q1, median, Q3 and the whiskers (the extreme
     values inside [Q1 − 1.5·IQR, Q3 + 1.5·IQR])."""
-    d = _pairs(df, y, p).select(*[F.col(q(b)) for b in by],
-                                (F.col(q(y)) - F.col(q(p))).alias("__e"))
+    d = materialized(_pairs(df, y, p).select(*[F.col(q(b)) for b in by],
+                                             (F.col(q(y)) - F.col(q(p))).alias("__e")))
     qs = quantiles(d, ["__e"], [0.25, 0.5, 0.75], by=list(by), exact=exact)
     rows = [(*k, *v) for (k, _), v in qs.items()]
     schema = ", ".join([f"{b} {t}" for b, t in zip(by, _types(df, by))] +

@@ -68,3 +68,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+def has_shuffle(df: DataFrame) -> bool:
+    """Whether producing ``df`` needs a shuffle (join, aggregate, window, repartition)."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(k in plan for k in ("Join ", "Aggregate [", "Window [", "Repartition"))
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder when an operator will read it
+    several times and it comes out of a shuffle; a plain scan is returned as is
+    (re-reading the columns is cheaper than writing them)."""
+    return cut_lineage(df) if has_shuffle(df) else df
+
