@@ -28,6 +28,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of DataFrames that are no longer referenced are removed
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -71,7 +73,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def has_shuffle(df: DataFrame) -> bool:
     """Whether producing ``df`` needs a shuffle (join, aggregate, window, repartition)."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # noqa: BLE001 - no JVM plan to read (e.g. a Connect session)
+        return True    # assume the expensive case: materialise
     return any(k in plan for k in ("Join ", "Aggregate [", "Window [", "Repartition"))
 
 
