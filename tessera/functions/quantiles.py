@@ -54,10 +54,6 @@ def _group_cond(by: Sequence[str], key: tuple) -> Column:
     return cond
 
 
-
-
-
-
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] | None = None, exact: bool = True,
               accuracy: int = 10000, max_bracket: int = 50000, bins: int = 1024,
@@ -99,7 +95,6 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_groups,
                interpolation, grid, delta):
-
     # pass 1: sizes, ranges and the sketch — in column chunks submitted
     # concurrently (small per-row code per job; each job reads its columns)
     def sketch(idx: list[int]) -> list[tuple[tuple, dict]]:
