@@ -28,8 +28,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # checkpoint files of DataFrames that are no longer referenced are removed
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
