@@ -197,6 +197,9 @@ def forward_fill(df: DataFrame, cols: Sequence[str], partition_by: Sequence[str]
     w1 = (Window.partitionBy(*[F.col(q(c)) for c in keys]).orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = replace_columns(d, {c: F.last(F.col(q(c)), ignorenulls=True).over(w1) for c in cols})
+    # each chunk's last non-null value, aggregated straight from the input:
+    # partial aggregation map-side, so only one row per (key, chunk) is
+    # shuffled (reading it off the window output would shuffle every row twice)
     ordering = F.struct(*order)
     tails = d.groupBy(*[F.col(q(c)) for c in keys]).agg(
         *[F.max_by(F.col(q(c)), F.when(F.col(q(c)).isNotNull(), ordering)).alias(f"__t{i}")
@@ -206,7 +209,14 @@ def forward_fill(df: DataFrame, cols: Sequence[str], partition_by: Sequence[str]
     carry = tails.select(*[F.col(q(c)) for c in keys],
                          *[F.last(f"__t{i}", ignorenulls=True).over(w2).alias(f"__c{i}")
                            for i in range(len(cols))])
-    j = local.join(carry, keys, "left")
+    # null-safe keys: a null partition key is one partition, as in the plain window
+    carry = carry.select(*[F.col(q(c)).alias(f"__k{i}") for i, c in enumerate(keys)],
+                         *[f"__c{i}" for i in range(len(cols))])
+    cond = None
+    for i, c in enumerate(keys):
+        e = F.col(q(c)).eqNullSafe(F.col(f"__k{i}"))
+        cond = e if cond is None else cond & e
+    j = local.join(carry, cond, "left")
     out = [F.coalesce(F.col(q(c)), F.col(f"__c{cols.index(c)}")).alias(c) if c in cols
            else F.col(q(c)) for c in df.columns]
     return j.select(*out)

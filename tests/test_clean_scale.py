@@ -110,3 +110,12 @@ def test_label_stats_and_match(spark):
     v = {r.check: r.violations for r in profile.validate_labels(m, "id", "y", ["id", "y"]).collect()}
     assert v == {"columns_match": 0, "null_key": 0, "numeric_label": 0, "null_label": 1,
                  "non_positive_label": 0}
+
+
+def test_forward_fill_null_key_matches_plain(spark):
+    from pyspark.sql import functions as F
+    rows = [(i, None if i % 4 == 0 else i % 2, i, None if i % 3 else float(i)) for i in range(30)]
+    df = frame(spark, rows, "id int, u int, t int, v double")
+    a = clean.forward_fill(df, ["v"], ["u"], ["t", "id"])
+    b = clean.forward_fill(df, ["v"], ["u"], ["t", "id"], chunk_by=F.floor(F.col("t") / 4))
+    assert col(a, "v") == col(b, "v")
