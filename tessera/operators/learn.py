@@ -19,7 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import q
@@ -89,6 +89,29 @@ def feature_importance(model: PipelineModel, features: Sequence[str]) -> list[tu
     return [(n, float(v)) for n, v in zip(names, imp)]
 
 
+def split_counts(model: PipelineModel, features: Sequence[str]) -> DataFrame:
+    """How often each feature is split on across all trees (boosted-tree
+    "weight" importance; a feature never used → 0).
+
+    The tree stage is written with Spark ML's writer to the shared checkpoint
+    folder and its node table is read back: one group-by over the internal
+    nodes (leaves carry feature index -1), joined to the feature names.
+    """
+    import uuid
+
+    spark = SparkSession.getActiveSession()
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/models/{uuid.uuid4().hex}"
+    model.stages[-1].write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    counts = (nodes.where(F.col("nodeData.split.featureIndex") >= 0)
+              .groupBy(F.col("nodeData.split.featureIndex").alias("__i"))
+              .agg(F.count("*").alias("splits")))
+    names = spark.createDataFrame(list(enumerate(features)), "__i int, feature string")
+    return (names.join(counts, "__i", "left")
+            .select("feature", F.coalesce("splits", F.lit(0)).cast("bigint").alias("splits")))
+
+
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, estimator, key: str,
                    k: int = 5, seed: int = 42, method: str = "hash", metric: str = "rmse",
                    parallelism: int = 1) -> DataFrame:

@@ -962,6 +962,30 @@ def q_metric_pivot(spark, d):
     return pv.select("Model", *[round6(F.col(c)).alias(c) for c in METRIC_COLS])
 
 
+@register("comparison_bars", f"""
+WITH {_LONG_SQL},
+ens AS (SELECT 'ensemble_mean' AS Model, 'rmse' AS Metric, sqrt(avg((y - p) * (y - p))) AS Value
+        FROM (SELECT o_orderkey, any_value(y) AS y, avg(p) AS p FROM pred WHERE split = 'test'
+              GROUP BY o_orderkey)),
+allr AS (SELECT * FROM rep UNION ALL SELECT * FROM ens),
+models AS (SELECT DISTINCT Model FROM allr)
+SELECT m.Model, {r6('mae', 'coalesce(a.Value, 0.0)')}
+FROM models m LEFT JOIN (SELECT Model, Value FROM allr WHERE Metric = 'mae') a ON m.Model = a.Model
+""")
+def q_comparison_bars(spark, d):
+    """Bar data of one metric (MAE) per model; the mean ensemble has no MAE → 0."""
+    from ..operators import ensemble, evaluate
+    test = _pred(spark, d, "test")
+    rep = evaluate.metric_report(evaluate.metrics(test, by=["model"]))
+    ens = ensemble.mean_vote(test, "o_orderkey").join(
+        test.groupBy("o_orderkey").agg(F.first("y").alias("y")), "o_orderkey")
+    ens_rmse = evaluate.metrics(ens, "y", "prediction").select(
+        F.lit("ensemble_mean").alias("Model"), F.lit("rmse").alias("Metric"),
+        F.col("rmse").alias("Value"))
+    bars = evaluate.comparison_bars(rep.unionByName(ens_rmse), "mae")
+    return bars.select("Model", round6(F.col("mae")).alias("mae"))
+
+
 @register("scatter_bins", f"""
 WITH {I.SQL_PREDICTIONS},
 t AS (SELECT model, y, p {_TEST}),
@@ -1234,6 +1258,15 @@ def q_feature_importance(spark, d):
     return evaluate.top_n(imp, len(LEARN_FEATURES))
 
 
+@register("gbt_split_counts")
+def q_gbt_split_counts(spark, d):
+    """Split-count importance of the boosted-tree preset (features never split → 0)."""
+    from ..operators import learn
+    df = learn_frame(spark, d).where(F.col("split") == "train")
+    m = learn.fit(df, LEARN_FEATURES, "o_totalprice", learn.gbt("xgboost", maxIter=10, maxDepth=4))
+    return learn.split_counts(m, LEARN_FEATURES)
+
+
 @register("search_params")
 def q_search_params(spark, d):
     from ..operators import learn

@@ -240,3 +240,13 @@ def test_fitted_chain_save_load(spark, tmpdir_path, limit):
     a = [tuple(r) for r in fitted.transform(df).orderBy("id").collect()]
     b = [tuple(r) for r in back.transform(df).orderBy("id").collect()]
     assert a == b
+
+
+def test_gbt_split_counts(spark):
+    rows = [(i, float(i % 7), float(i % 3), 0.0, float(i % 7) * 2 + (i % 3)) for i in range(300)]
+    df = frame(spark, rows, "id int, a double, b double, dead double, y double")
+    m = learn.fit(df, ["a", "b", "dead"], "y", learn.gbt("xgboost", maxIter=3, maxDepth=2))
+    got = {r.feature: r.splits for r in learn.split_counts(m, ["a", "b", "dead"]).collect()}
+    assert got["dead"] == 0 and got["a"] > 0
+    internal = sum(t.numNodes // 2 for t in m.stages[-1].trees)     # binary trees
+    assert sum(got.values()) == internal
