@@ -209,16 +209,37 @@ def error_box(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("m
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None,
                        limit: int = 30) -> DataFrame:
-    """Pearson r for every ordered pair (pairwise-complete), all pairs in one
-    aggregate, stacked to ``(feature_a, feature_b, r)``."""
+    """Pearson r for every ordered pair (pairwise-complete), stacked to
+    ``(feature_a, feature_b, r)``.
+
+    One cheap pass counts the nulls of the chosen columns. Without nulls the
+    whole matrix comes from ``pyspark.ml.stat.Correlation`` in **one**
+    distributed pass (a tree-aggregated Gram matrix); with nulls, every pair
+    needs its own complete rows, so the pairs are ``corr`` aggregates in
+    chunked jobs.
+    """
     from ..functions.columns import numeric_cols
     cols = list(cols) if cols is not None else numeric_cols(df)[:limit]
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    vals = agg_values(df, {f"c{k}": F.corr(F.col(q(a)).cast("double"), F.col(q(b)).cast("double"))
-                           for k, (a, b) in enumerate(pairs)})
+    nulls = agg_values(df, {f"n{i}": F.count_if(F.col(q(c)).isNull() | F.isnan(
+        F.col(q(c)).cast("double"))) for i, c in enumerate(cols)})
     rows = []
-    for k, (a, b) in enumerate(pairs):
-        rows.append((a, b, vals[f"c{k}"]))
-        if a != b:
-            rows.append((b, a, vals[f"c{k}"]))
+    if cols and not any(nulls.values()):
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=list(cols), outputCol="__v") \
+            .transform(df.select(*[F.col(q(c)).cast("double").alias(c) for c in cols]))
+        m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+        for i, a in enumerate(cols):
+            for j, b in enumerate(cols):
+                v = float(m[i][j])
+                rows.append((a, b, None if v != v else v))
+    else:
+        pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+        vals = agg_values(df, {f"c{k}": F.corr(F.col(q(a)).cast("double"),
+                                              F.col(q(b)).cast("double"))
+                               for k, (a, b) in enumerate(pairs)})
+        for k, (a, b) in enumerate(pairs):
+            rows.append((a, b, vals[f"c{k}"]))
+            if a != b:
+                rows.append((b, a, vals[f"c{k}"]))
     return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double")
