@@ -202,25 +202,36 @@ def _binom_tail(k: int, n: int, p: float = 0.5) -> float:
 
 def shadow_selection(df: DataFrame, key: str, features: Sequence[str], label: str,
                      iterations: int = 10, alpha: float = 0.05, seed: int = 42,
-                     estimator=None) -> DataFrame:
+                     estimator=None, parallelism: int = 2) -> DataFrame:
     """Shadow-feature test: per iteration fit a forest on the real features plus
     shuffled copies, count a hit when a real feature's importance beats the
     best shadow; keep features whose hit count is significantly above
     chance (one-sided binomial, p = 0.5). Returns ``(feature, hits, p_value,
-    selected)``."""
+    selected)``. Iterations are independent (own shuffle seed and forest
+    seed) and run as concurrent jobs from ``parallelism`` driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
     features = list(features)
     estimator = estimator or learn.forest(numTrees=20, maxDepth=6)
     df = cut_lineage(df.select(key, label, *features))
-    hits = {f: 0 for f in features}
-    for it in range(iterations):
-        d = donor_values(df.select(key, label, *features), key, features, seed=seed + 1000 + it,
+    n_rows = df.count()
+    buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")),
+                  -(-n_rows // 2_000_000))
+    cols = features + [f"shadow_{c}" for c in features]
+
+    def one(it: int) -> set[str]:
+        d = donor_values(df, key, features, seed=seed + 1000 + it, buckets=buckets,
                          prefix="shadow_")
-        cols = features + [f"shadow_{c}" for c in features]
         model = learn.fit(d, cols, label, estimator.copy().setSeed(seed + it))
         imp = dict(learn.feature_importance(model, cols))
         best_shadow = max(imp[f"shadow_{c}"] for c in features)
-        for f in features:
-            hits[f] += imp[f] > best_shadow
+        return {f for f in features if imp[f] > best_shadow}
+
+    hits = {f: 0 for f in features}
+    with ThreadPoolExecutor(max(1, parallelism)) as ex:
+        for won in ex.map(one, range(iterations)):
+            for f in won:
+                hits[f] += 1
     rows = []
     for f in features:
         pv = _binom_tail(hits[f], iterations)
