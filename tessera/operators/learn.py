@@ -72,6 +72,17 @@ def fit(df: DataFrame, features: Sequence[str], label: str, estimator) -> Pipeli
     return pipeline(features, label, estimator).fit(df)
 
 
+def fit_many(df: DataFrame, features: Sequence[str], label: str, estimators: Mapping,
+             parallelism: int = 2) -> dict[str, PipelineModel]:
+    """Fit several independent learners on the same frame as concurrent jobs
+    (driver threads); returns ``{name: model}`` in the given order."""
+    ensure_checkpoint_dir(df.sparkSession)
+    names = list(estimators)
+    with ThreadPoolExecutor(max(1, min(parallelism, len(names)))) as ex:
+        models = list(ex.map(lambda n: pipeline(features, label, estimators[n]).fit(df), names))
+    return dict(zip(names, models))
+
+
 def predict(model: PipelineModel, df: DataFrame, key: str, keep: Sequence[str] = ()) -> DataFrame:
     return model.transform(df).select(F.col(q(key)), *[F.col(q(c)) for c in keep], "prediction")
 

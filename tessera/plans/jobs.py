@@ -79,13 +79,14 @@ def train_and_score(train: DataFrame, score: DataFrame, key: str, label: str,
         vote_table = select.vote(sel, feats, min_features, max_features)
         feats = [r["feature"] for r in vote_table.where("selected").orderBy("rank").collect()]
 
-    preds, train_m = [], []
+    ests = {}
     for name in learners:
         if name == "random_forest":
-            est = learn.forest(seed=seed, **(forest_params or {"numTrees": 50, "maxDepth": 10}))
+            ests[name] = learn.forest(seed=seed, **(forest_params or {"numTrees": 50, "maxDepth": 10}))
         else:
-            est = learn.gbt(name, seed=seed, **(gbt_params or {"maxIter": 50, "maxDepth": 5}))
-        model = learn.fit(tr, feats, label, est)
+            ests[name] = learn.gbt(name, seed=seed, **(gbt_params or {"maxIter": 50, "maxDepth": 5}))
+    preds, train_m = [], []
+    for name, model in learn.fit_many(tr, feats, label, ests).items():
         train_m.append(learn.train_score(model, tr, label).withColumn("model", F.lit(name)))
         preds.append(learn.predict(model, sc, key, keep=[label]).withColumn("model", F.lit(name)))
     long = preds[0]

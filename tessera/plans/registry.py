@@ -1230,10 +1230,11 @@ def q_model_train_score(spark, d):
     from ..operators import learn
     df = learn_frame(spark, d)
     train = df.where(F.col("split") == "train")
+    models = learn.fit_many(train, LEARN_FEATURES, "o_totalprice",
+                            {"forest": _small_forest(),
+                             "gbt": learn.gbt("xgboost", maxIter=10, maxDepth=4)})
     out = None
-    for name, est in (("forest", _small_forest()),
-                      ("gbt", learn.gbt("xgboost", maxIter=10, maxDepth=4))):
-        m = learn.fit(train, LEARN_FEATURES, "o_totalprice", est)
+    for name, m in models.items():
         s = learn.train_score(m, df, "o_totalprice", by=["split"]).withColumn("model", F.lit(name))
         out = s if out is None else out.unionByName(s)
     return out.select("model", "split", "n", *METRIC_COLS)
