@@ -15,13 +15,21 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def orders_lines(spark: SparkSession, d: str) -> DataFrame:
+def stream_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """The same table as a file stream: the folder is watched, only this
+    table's file is picked up."""
+    return (spark.readStream.schema(table(spark, d, name).schema)
+            .option("pathGlobFilter", f"{name}.parquet").parquet(d))
+
+
+def orders_lines(spark: SparkSession, d: str, orders: DataFrame | None = None) -> DataFrame:
     """orders ⟕ per-order lineitem aggregates (pre-aggregated before the join),
-    with ``5-LOW`` priorities turned into nulls: 257 orders have no lines."""
+    with ``5-LOW`` priorities turned into nulls: 257 orders have no lines.
+    ``orders`` may be a streaming read of the orders table (stream-static join)."""
     li = (table(spark, d, "lineitem").groupBy("l_orderkey")
           .agg(F.count("*").alias("n_lines"), F.sum("l_quantity").alias("qty"),
                F.avg("l_discount").alias("disc")))
-    o = table(spark, d, "orders")
+    o = orders if orders is not None else table(spark, d, "orders")
     return (o.join(li, o.o_orderkey == li.l_orderkey, "left")
             .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                     F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"),

@@ -528,6 +528,39 @@ def q_preprocess_chain(spark, d):
                                       for c in ["o_totalprice", *CHAIN_CAT, *CHAIN_NUM]])
 
 
+@register("stream_chain", _chain_sql())
+def q_stream_chain(spark, d):
+    """The preprocessing chain fitted on the batch train rows, applied to
+    ``orders`` read as a stream (stream-static join with the lineitem
+    aggregate), written by a parquet file sink in the shared folder and read
+    back; the result must equal ``preprocess_chain``."""
+    import uuid
+
+    from ..operators.encode import Encoder
+    from ..session import ensure_checkpoint_dir
+    from ..streaming import score
+    from .chain import Chain
+    ex = ["o_orderkey", "o_totalprice"]
+    cols = ["o_orderkey", "o_totalprice", *CHAIN_CAT, *CHAIN_NUM]
+    fitted = Chain([
+        clean.Imputer("median", exclude=ex),
+        clean.Imputer("most_frequent", kind="categorical", exclude=ex),
+        clean.OutlierClipper("iqr", 1.5, exclude=ex),
+        Encoder("target", cols=CHAIN_CAT, label="o_totalprice"),
+        scale.Scaler("robust", exclude=ex),
+    ]).fit(chain_frame(spark, d).where(TRAIN()))
+    stream = I.orders_lines(spark, d, orders=I.stream_table(spark, d, "orders")).select(*cols)
+    out = score.transform_stream(fitted, stream).select(
+        "o_orderkey", *[round6(F.col(c)).alias(c) for c in cols[1:]])
+    base = ensure_checkpoint_dir(spark)
+    base = base[len("file:"):] if base.startswith("file:") else base
+    name = f"stream_chain_{uuid.uuid4().hex[:8]}"
+    path = f"{base.rstrip('/')}/streams/{name}_out"
+    q = score.start(out, name, sink="parquet", path=path)
+    q.awaitTermination()
+    return spark.read.parquet(path)
+
+
 @register("split_holdout", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM orders
 """)
