@@ -33,11 +33,12 @@ ONEHOT_LIMIT = 1000          # categories per feature a one-hot fit accepts
 
 
 def _cat_long(df: DataFrame, cols: Sequence[str], label: str | None = None) -> DataFrame:
-    """``(feature, category, [y])`` rows for every categorical cell."""
+    """``(feature, category, [__y])`` rows for every categorical cell."""
     sel = [F.col(q(c)).cast("string").alias(c) for c in cols]
-    ids = [F.col(q(label)).cast("double").alias("__y")] if label else []
-    return df.select(*ids, *sel).unpivot(ids and [F.col("__y")] or [], list(cols),
-                                         "feature", "category")
+    if label:
+        wide = df.select(F.col(q(label)).cast("double").alias("__y"), *sel)
+        return wide.unpivot([F.col("__y")], list(cols), "feature", "category")
+    return df.select(*sel).unpivot([], list(cols), "feature", "category")
 
 
 class FittedMap(Fitted):

@@ -708,9 +708,7 @@ def _corr_sql(feats: list[str], y: str = LI_Y) -> str:
 
 
 def _li_all(spark, d):
-    return I.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *LI_ALL[2:3],
-                                                "l_partkey", "l_quantity", "l_discount", "l_tax",
-                                                LI_Y).select(*LI_ALL, LI_Y)
+    return I.table(spark, d, "lineitem").select(*LI_ALL, LI_Y)
 
 
 def _corr_scores(df, feats, y):
