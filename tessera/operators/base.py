@@ -83,7 +83,8 @@ def load(spark: SparkSession, path: str) -> Fitted:
         else:
             table = spark.read.parquet(os.path.join(path, "table"))
         return encode.FittedMap(p["strategy"], p["cols"], table, p["size"], p["literal_limit"],
-                                p["default"], p["null_code"], p["handle_unseen"], literal)
+                                p["default"], p["null_code"], p["handle_unseen"], literal,
+                                p.get("broadcast", False))
     raise ValueError(f"unknown fitted kind: {kind}")
 
 
