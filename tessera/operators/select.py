@@ -173,11 +173,15 @@ def permutation_importance(df: DataFrame, key: str, features: Sequence[str], lab
     # every repeat re-reads the frame: cut its lineage once (shared folder)
     df = cut_lineage(df.select(key, label, *features))
     model = learn.fit(df, features, label, estimator)
-    base = model.transform(df).agg(*metric_exprs(F.col(q(label)).cast("double"),
-                                                 F.col("prediction"))).first()["r2"]
+    base_row = model.transform(df).agg(
+        F.count("*").alias("n"),
+        *metric_exprs(F.col(q(label)).cast("double"), F.col("prediction"))).first()
+    base = base_row["r2"]
+    buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")),
+                  -(-base_row["n"] // 2_000_000))
     parts = []
     for r in range(n_repeats):
-        d = donor_values(df.select(key, label, *features), key, features, seed=seed + r)
+        d = donor_values(df, key, features, seed=seed + r, buckets=buckets)
         d = d.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))))
         d = d.select(key, label, "__k", *[
             F.when(F.col("__k") == i, F.col(f"__d_{c}")).otherwise(F.col(q(c))).alias(c)
