@@ -84,7 +84,7 @@ def load(spark: SparkSession, path: str) -> Fitted:
             table = spark.read.parquet(os.path.join(path, "table"))
         return encode.FittedMap(p["strategy"], p["cols"], table, p["size"], p["literal_limit"],
                                 p["default"], p["null_code"], p["handle_unseen"], literal,
-                                p.get("broadcast", False))
+                                p.get("broadcast", False), p.get("hot"), p.get("salts", 64))
     raise ValueError(f"unknown fitted kind: {kind}")
 
 

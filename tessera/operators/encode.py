@@ -13,8 +13,10 @@ code)``. Its size is counted before it is used:
 * up to ``broadcast_limit`` (200,000) entries the map is checkpointed to the
   shared folder and **broadcast** — its size is counted, so the broadcast has
   a proven bound — and applied as a hash lookup per row;
-* above that it is applied with an equi-join per feature that Spark plans as
-  a sort-merge join (AQE splits a hot category's partition).
+* above that it is applied with a sort-merge equi-join per feature, **salted**
+  for hot categories (those with more than ``hot_share`` of the fit rows, at
+  most ``1 / hot_share`` of them): a hot category's rows spread over
+  ``salts`` join partitions and its map row is replicated per salt.
 
 Unseen and null handling follow the reference: one-hot → all zeros; label →
 error (or ``-1`` with ``handle_unseen='keep'``); target → global train mean
@@ -55,8 +57,11 @@ class FittedMap(Fitted):
     def __init__(self, strategy: str, cols: list[str], table: DataFrame, size: int,
                  literal_limit: int, default: dict | None = None,
                  null_code: dict | None = None, handle_unseen: str = "error",
-                 literal: dict | None = None, broadcast: bool = False):
+                 literal: dict | None = None, broadcast: bool = False,
+                 hot: dict | None = None, salts: int = 64):
         self.strategy, self.cols, self.table, self.size = strategy, cols, table, size
+        self.hot = hot or {}          # feature → hot categories (sort-merge path)
+        self.salts = salts
         self.literal_limit = literal_limit
         self.broadcast = broadcast    # map size counted ≤ the broadcast limit
         self.default = default or {}
@@ -99,9 +104,24 @@ class FittedMap(Fitted):
                 continue
             m = (self.table.where(F.col("feature") == c)
                  .select(F.col("category").alias("__cat"), F.col("code").alias("__code")))
+            x = F.col(q(c)).cast("string")
+            hot = self.hot.get(c, [])
             if self.broadcast:
-                m = F.broadcast(m)
-            out = out.join(m, F.col(q(c)).cast("string") == F.col("__cat"), "left")
+                out = out.join(F.broadcast(m), x == F.col("__cat"), "left")
+            elif hot:
+                # salted sort-merge join: a hot category's rows spread over
+                # ``salts`` partitions (salt = hash of the row, stable under
+                # retries); its map row is replicated once per salt
+                hot_set = [F.lit(h) for h in hot]
+                row = F.xxhash64(*[F.col(q(k)) for k in out.columns])
+                salted = out.withColumn("__salt", F.when(x.isin(*hot_set), F.pmod(
+                    row, F.lit(self.salts))).otherwise(F.lit(0)).cast("int"))
+                m = m.select("*", F.explode(F.when(F.col("__cat").isin(*hot_set), F.sequence(
+                    F.lit(0), F.lit(self.salts - 1))).otherwise(F.array(F.lit(0)))).alias("__msalt"))
+                out = salted.join(m, (x == F.col("__cat")) & (F.col("__salt") == F.col("__msalt")),
+                                  "left").drop("__salt", "__msalt")
+            else:
+                out = out.join(m, x == F.col("__cat"), "left")
             out = replace_columns(out, {c: self._finish(c, F.col("__code"))},
                                   drop={"__cat", "__code"})
         return out
@@ -113,7 +133,7 @@ class FittedMap(Fitted):
         return {"strategy": self.strategy, "cols": self.cols, "default": self.default,
                 "handle_unseen": self.handle_unseen, "null_code": self.null_code,
                 "size": self.size, "literal_limit": self.literal_limit,
-                "broadcast": self.broadcast,
+                "broadcast": self.broadcast, "hot": self.hot, "salts": self.salts,
                 "literal": self.literal is not None}
 
     def save(self, path: str) -> None:
@@ -122,6 +142,21 @@ class FittedMap(Fitted):
             self.table.write.mode("overwrite").parquet(path + "/table")
 
 
+def hot_categories(long: DataFrame, share: float) -> dict[str, list[str]]:
+    """Categories holding more than ``share`` of a feature's rows — at most
+    ``1 / share`` per feature, so the list is bounded whatever the data size."""
+    counts = (long.where(F.col("category").isNotNull())
+              .groupBy("feature", "category").agg(F.count("*").alias("n")))
+    totals = counts.groupBy("feature").agg(F.sum("n").alias("__t"))
+    rows = (counts.join(F.broadcast(totals), "feature")
+            .where(F.col("n") > F.col("__t") * F.lit(share))
+            .select("feature", "category").collect())
+    out: dict[str, list[str]] = {}
+    for r in rows:
+        out.setdefault(r["feature"], []).append(r["category"])
+    return out
+
+
 class FittedOneHot(Fitted):
     kind = "onehot"
 
@@ -156,7 +191,7 @@ class Encoder:
                  label: str | None = None, exclude: Sequence[str] = (),
                  default: float | None = None, handle_unseen: str = "error",
                  literal_limit: int = LITERAL_LIMIT, max_categories: int = ONEHOT_LIMIT,
-                 broadcast_limit: int = BROADCAST_LIMIT,
+                 broadcast_limit: int = BROADCAST_LIMIT, hot_share: float = 1e-3,
                  keep: Sequence[str] | None = None):
         if strategy not in self.STRATEGIES:
             raise ValueError(f"unknown encoding strategy: {strategy}")
@@ -167,6 +202,7 @@ class Encoder:
         self.default, self.handle_unseen = default, handle_unseen
         self.literal_limit, self.max_categories = literal_limit, max_categories
         self.broadcast_limit = broadcast_limit
+        self.hot_share = hot_share
         self.keep = keep
 
     def _cols(self, df: DataFrame) -> list[str]:
@@ -226,9 +262,13 @@ class Encoder:
             if self.strategy == "label":
                 for r in table.where(F.col("category") == NULL_TOKEN).collect():
                     null_code[r["feature"]] = r["code"]
+        broadcast = literal is None and size <= self.broadcast_limit
+        hot = {}
+        if literal is None and not broadcast:
+            hot = hot_categories(long, self.hot_share)
         return FittedMap(self.strategy, cols, table, size, self.literal_limit,
                          default, null_code, self.handle_unseen, literal,
-                         broadcast=literal is None and size <= self.broadcast_limit)
+                         broadcast=broadcast, hot=hot)
 
     def _fit_onehot(self, df: DataFrame, cols: list[str]) -> FittedOneHot:
         long = _cat_long(df, cols).distinct()

@@ -46,11 +46,14 @@ def test_forward_fill_hot_user(spark):
         assert got[i] == last.get(user)
 
 
-def test_target_encoding_hot_category_join_path(spark):
+@pytest.mark.parametrize("broadcast_limit", [10 ** 6, 0])    # broadcast / salted sort-merge
+def test_target_encoding_hot_category_join_path(spark, broadcast_limit):
     rows = skewed_rows(2)
     df = frame(spark, rows, SCHEMA)
-    f = Encoder("target", cols=["cat"], label="y", literal_limit=0).fit(df)   # force the join
+    f = Encoder("target", cols=["cat"], label="y", literal_limit=0,
+                broadcast_limit=broadcast_limit).fit(df)
     assert f.literal is None
+    assert (f.hot == {}) if broadcast_limit else (f.hot["cat"] == ["hot"] or "hot" in f.hot["cat"])
     got = {r.id: r.cat for r in f.transform(df).collect()}
     sums = {}
     for _, _, _, cat, _, y in rows:
