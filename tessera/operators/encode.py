@@ -31,12 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import q, string_cols
+from ..functions.joins import BROADCAST_LIMIT, hot_keys, lookup_join
 from ..session import cut_lineage
 from .base import Fitted, replace_columns
 
 NULL_TOKEN = "nan"           # string form of a missing category
 LITERAL_LIMIT = 64           # map entries applied as a literal lookup
-BROADCAST_LIMIT = 200_000    # map entries broadcast for a hash join
 ONEHOT_LIMIT = 1000          # categories per feature a one-hot fit accepts
 
 
@@ -104,24 +104,8 @@ class FittedMap(Fitted):
                 continue
             m = (self.table.where(F.col("feature") == c)
                  .select(F.col("category").alias("__cat"), F.col("code").alias("__code")))
-            x = F.col(q(c)).cast("string")
-            hot = self.hot.get(c, [])
-            if self.broadcast:
-                out = out.join(F.broadcast(m), x == F.col("__cat"), "left")
-            elif hot:
-                # salted sort-merge join: a hot category's rows spread over
-                # ``salts`` partitions (salt = hash of the row, stable under
-                # retries); its map row is replicated once per salt
-                hot_set = [F.lit(h) for h in hot]
-                row = F.xxhash64(*[F.col(q(k)) for k in out.columns])
-                salted = out.withColumn("__salt", F.when(x.isin(*hot_set), F.pmod(
-                    row, F.lit(self.salts))).otherwise(F.lit(0)).cast("int"))
-                m = m.select("*", F.explode(F.when(F.col("__cat").isin(*hot_set), F.sequence(
-                    F.lit(0), F.lit(self.salts - 1))).otherwise(F.array(F.lit(0)))).alias("__msalt"))
-                out = salted.join(m, (x == F.col("__cat")) & (F.col("__salt") == F.col("__msalt")),
-                                  "left").drop("__salt", "__msalt")
-            else:
-                out = out.join(m, x == F.col("__cat"), "left")
+            out = lookup_join(out, m, F.col(q(c)).cast("string"), "__cat", self.broadcast,
+                              self.hot.get(c, []), salts=self.salts)
             out = replace_columns(out, {c: self._finish(c, F.col("__code"))},
                                   drop={"__cat", "__code"})
         return out
@@ -147,14 +131,7 @@ def hot_categories(long: DataFrame, share: float) -> dict[str, list[str]]:
     ``1 / share`` per feature, so the list is bounded whatever the data size."""
     counts = (long.where(F.col("category").isNotNull())
               .groupBy("feature", "category").agg(F.count("*").alias("n")))
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("__t"))
-    rows = (counts.join(F.broadcast(totals), "feature")
-            .where(F.col("n") > F.col("__t") * F.lit(share))
-            .select("feature", "category").collect())
-    out: dict[str, list[str]] = {}
-    for r in rows:
-        out.setdefault(r["feature"], []).append(r["category"])
-    return out
+    return hot_keys(counts, "category", "n", share, by="feature")
 
 
 class FittedOneHot(Fitted):

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import q
+from ..functions.joins import BROADCAST_LIMIT, hot_keys, lookup_join
 from ..session import cut_lineage
 
 # The reference's configured ensemble weights.
@@ -35,25 +36,36 @@ def group_mean_predictions(df: DataFrame, key: str, label: str,
     pass: every train row is exploded into one ``(model, group value)`` row
     per model and averaged by that pair (partial aggregation; one row per
     group value). The scored rows are exploded the same way and joined once
-    on ``(model, group value)``; AQE broadcasts the means table when it is
-    small at run time and keeps a sort-merge join otherwise. A null group
-    value gets no prediction.
+    on ``(model, group value)`` with ``lookup_join``: broadcast when the
+    counted means table is small, a sort-merge join with hot groups salted
+    otherwise. A null group value gets no prediction.
     """
     def tags():       # one (model, group value) row per model and input row
         return F.explode(F.array(*[
             F.struct(F.lit(name).alias("model"), F.col(q(g)).cast("string").alias("__g"))
             for name, g in models.items()])).alias("__m")
 
+    def mkey(model: Column, g: Column) -> Column:   # null group value → null key
+        return F.concat(model, F.lit("\u0001"), g)
+
     y = F.col(q(label)).cast("double")
     fit = df.where(train) if train is not None else df
-    means = (fit.select(y.alias("__y"), tags())
-             .groupBy(F.col("__m.model").alias("model"), F.col("__m.__g").alias("__g"))
-             .agg(F.avg("__y").alias("p")))
+    # one row per (model, group value); written once, its size counted, hot
+    # groups (> 0.1 % of the train rows) listed — all bounded by the groups
+    means = cut_lineage(
+        fit.select(y.alias("__y"), tags())
+        .groupBy(mkey(F.col("__m.model"), F.col("__m.__g")).alias("__mk"))
+        .agg(F.avg("__y").alias("p"), F.count("*").alias("__n")))
+    n_means = means.count()
+    hot = [] if n_means <= BROADCAST_LIMIT else \
+        hot_keys(means, "__mk", "__n", 1e-3).get(None, [])
     rows = (df.select(F.col(q(key)), *[F.col(q(c)) for c in carry], y.alias("y"), tags())
-            .select(F.col("__m.model").alias("model"), F.col("__m.__g").alias("__g"),
+            .select(F.col("__m.model").alias("model"),
+                    mkey(F.col("__m.model"), F.col("__m.__g")).alias("__k"),
                     F.col(q(key)), *[F.col(q(c)) for c in carry], "y"))
-    return rows.join(means, ["model", "__g"], "left").select(
-        "model", F.col(q(key)), *[F.col(q(c)) for c in carry], "y", "p")
+    j = lookup_join(rows, means.select("__mk", "p"), F.col("__k"), "__mk",
+                    broadcast=n_means <= BROADCAST_LIMIT, hot=hot)
+    return j.select("model", F.col(q(key)), *[F.col(q(c)) for c in carry], "y", "p")
 
 
 def normalized_weights(weights: Mapping[str, float]) -> dict[str, float]:

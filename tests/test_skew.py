@@ -98,3 +98,19 @@ def test_mutual_information_hot_value_and_shuffle(spark):
     d = donor_values(df, "id", ["u"], seed=9)
     got = d.collect()
     assert len(got) == N and sorted(r["__d_u"] for r in got) == sorted(float(r[1]) for r in rows)
+
+
+def test_group_mean_predictions_salted_path(spark, monkeypatch):
+    monkeypatch.setattr(ensemble, "BROADCAST_LIMIT", 0)     # force the salted sort-merge join
+    rows = skewed_rows(6)
+    df = frame(spark, rows, SCHEMA)
+    p = ensemble.group_mean_predictions(df, "id", "y", {"by_cat": "cat"})
+    got = {r.id: r.p for r in p.collect()}
+    sums = {}
+    for r in rows:
+        s = sums.setdefault(r[3], [0.0, 0])
+        s[0] += r[5]
+        s[1] += 1
+    assert len(got) == N
+    for r in rows:
+        assert math.isclose(got[r[0]], sums[r[3]][0] / sums[r[3]][1], rel_tol=1e-12)
