@@ -45,6 +45,12 @@ def lookup_join(big: DataFrame, small: DataFrame, big_key: Column, small_key: st
                  .drop("__salt", "__msalt")
 
 
+def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``df`` marked for broadcast when its counted size is within ``limit``
+    rows (a proven bound); otherwise left for a shuffled join."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def hot_keys(counts: DataFrame, key: str, n: str, share: float, by: str | None = None) -> dict:
     """Keys whose count exceeds ``share`` of their group's total (``by``
     column, or the whole table): ``{group: [keys]}``, at most ``1 / share``

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import q
 from ..functions.quantiles import quantiles
 from ..functions.stats import agg_values
-from ..session import materialized
+from ..functions.joins import small_side
+from ..session import cut_lineage, materialized
 
 METRICS = ("rmse", "mae", "r2", "mape")
 
@@ -154,7 +155,8 @@ def scatter_bins(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] =
     d = materialized(_pairs(df, y, p).select(*byc, F.col(q(y)), F.col(q(p))))   # read twice
     bound = d.groupBy(*byc).agg(F.least(F.min(q(y)), F.min(q(p))).alias("lo"),
                                 F.greatest(F.max(q(y)), F.max(q(p))).alias("hi"))
-    j = d.join(bound, list(by), "inner")
+    bound = cut_lineage(bound)                               # one row per group, computed once
+    j = d.join(small_side(bound), list(by), "inner")
 
     def b(c):
         return F.coalesce(F.least(F.floor(F.try_divide(F.col(q(c)) - F.col("lo"),
@@ -174,13 +176,14 @@ def error_histogram(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str]
     b = F.coalesce(F.least(F.floor(F.try_divide(F.col("__e") - F.col("lo"),
                                                 F.col("hi") - F.col("lo")) * bins),
                            F.lit(bins - 1)), F.lit(0)).cast("bigint")
-    counts = e.join(rng, list(by), "inner").groupBy(*byc, b.alias("bin")) \
-              .agg(F.count("*").alias("n"))
+    rng = cut_lineage(rng)                                   # one row per group
+    counts = cut_lineage(e.join(small_side(rng), list(by), "inner")
+                         .groupBy(*byc, b.alias("bin")).agg(F.count("*").alias("n")))
     grid = rng.select(*byc, "lo", "hi",
                       F.explode(F.sequence(F.lit(0).cast("bigint"),
                                            F.lit(bins - 1).cast("bigint"))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / bins
-    return (grid.join(counts, [*by, "bin"], "left")
+    return (grid.join(small_side(counts), [*by, "bin"], "left")   # ≤ groups × bins rows
             .select(*byc, "bin",
                     (F.col("lo") + F.col("bin") * width).alias("left"),
                     (F.col("lo") + (F.col("bin") + 1) * width).alias("right"),
