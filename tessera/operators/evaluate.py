@@ -107,7 +107,7 @@ def error_analysis(df: DataFrame, y: str = "y", p: str = "p",
                        ["median_abs_error double", "percentile_90_error double",
                         "percentile_95_error double"])
     qt = df.sparkSession.createDataFrame(rows, schema)
-    return mom.join(qt, list(by), "inner")
+    return mom.join(F.broadcast(qt), list(by), "inner")     # ≤ max_groups rows
 
 
 def _types(df: DataFrame, cols: Sequence[str]) -> list[str]:
