@@ -114,3 +114,20 @@ def test_group_mean_predictions_salted_path(spark, monkeypatch):
     assert len(got) == N
     for r in rows:
         assert math.isclose(got[r[0]], sums[r[3]][0] / sums[r[3]][1], rel_tol=1e-12)
+
+
+def test_lookup_join_paths_agree(spark):
+    from tessera.functions.joins import hot_keys, lookup_join, small_side
+    rows = skewed_rows(7) + [(N, 1, 0, None, 1.0, 1.0), (N + 1, 1, 0, "unseen", 1.0, 1.0)]
+    big = frame(spark, rows, SCHEMA)
+    small = frame(spark, [(f"c{i}", float(i)) for i in range(2001)] + [("hot", -1.0)],
+                  "k string, v double")
+    counts = big.groupBy(F.col("cat").alias("k")).agg(F.count("*").alias("n")).where("k IS NOT NULL")
+    hot = hot_keys(counts, "k", "n", 0.05).get(None, [])
+    assert hot == ["hot"]
+    results = []
+    for bc, h in ((True, []), (False, []), (False, hot)):
+        j = lookup_join(big, small, F.col("cat"), "k", broadcast=bc, hot=h)
+        results.append(sorted((r.id, r.v) for r in j.select("id", "v").collect()))
+    assert results[0] == results[1] == results[2] and len(results[0]) == N + 2
+    assert small_side(small).count() == small.count()
