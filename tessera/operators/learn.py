@@ -180,18 +180,19 @@ def sample_space(space: Mapping, n_trials: int, seed: int = 42) -> list[dict]:
 
 def random_search(df: DataFrame, features: Sequence[str], label: str, make_estimator,
                   space: Mapping, key: str, n_trials: int = 10, k: int = 3, seed: int = 42,
-                  parallelism: int = 2, method: str = "hash") -> DataFrame:
+                  parallelism: int = 2, method: str = "hash", cv_parallelism: int = 1) -> DataFrame:
     """Seeded random search minimising mean CV RMSE; a failing trial scores +∞.
 
-    Trials run concurrently from driver threads (``parallelism``); each trial's
-    folds are distributed Spark jobs. Returns ``(trial, params, value)``.
+    Trials run concurrently from driver threads (``parallelism``), and each
+    trial's folds too (``cv_parallelism``); every fold is a distributed Spark
+    job. Returns ``(trial, params, value)``.
     """
     trials = sample_space(space, n_trials, seed)
 
     def run(i):
         try:
             cv = cross_validate(df, features, label, make_estimator(**trials[i]), key, k,
-                                seed, method)
+                                seed, method, parallelism=cv_parallelism)
             return (i, json.dumps(trials[i], sort_keys=True), cv.first()["cv_mean"])
         except Exception:  # noqa: BLE001 - a failed trial is +inf, as in the reference
             return (i, json.dumps(trials[i], sort_keys=True), float("inf"))

@@ -1307,7 +1307,7 @@ def q_search_params(spark, d):
              "featureSubsetStrategy": ("choice", ["sqrt", "log2", "all"])}
     hist = learn.random_search(df, LEARN_FEATURES, "o_totalprice",
                                lambda **p: learn.forest(**p), space, "o_orderkey",
-                               n_trials=3, k=3, parallelism=3)
+                               n_trials=3, k=3, parallelism=3, cv_parallelism=3)
     return learn.search_history(hist)
 
 
