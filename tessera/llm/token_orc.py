@@ -7,23 +7,22 @@ skips stripes and row groups from metadata alone. ``part`` numbers the range
 partitions in id order; offsets of documents come from the token counts that are
 read back, first by part and then inside each part.
 
-Encoding goes through the tokenizer for each distinct white-space unit of a
-text once (kept in a bounded cache of the worker). This is exact for byte-level
-BPE with the usual pre-tokenizer, which never joins characters across the units'
-bounds; a text with control characters that count as white space in one
-library only is encoded whole.
+Encoding goes through the tokenizer for each distinct word of a text once (kept
+in a bounded cache of the worker). This is exact for byte-level BPE with the
+usual pre-tokenizer, which always cuts before a single space or line feed between
+words; a text with any other white space is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,21 +31,25 @@ from .common import cut_lineage, prepare_python, text_slices, work_path
 END = 0
 STRIPE_BYTES = 64 << 20
 STRIDE = 1000
-CACHE_WORDS = 400_000
-# white space is its own unit, but a single space stays with the word it precedes
-UNIT = re.compile(r" ?[^\s]+|\s(?=\S)|\s+(?!\S)")
-# word, then marks at its end: the pre-tokenizer always cuts between the two
-TAIL = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]+)")
-ODD = re.compile(r"[\x1c-\x1f]")
+CACHE_WORDS = 1_000_000
+SLICE = 8 << 20
+#: White space other than single spaces and line feeds between words, and NUL (RE2).
+ODD = (r"[ \n][ \n]|^[ \n]|[ \n]$|[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+       r"\x{202f}\x{205f}\x{3000}]")
+#: Marks at a word's end (ASCII punctuation, no apostrophe): the pre-tokenizer cuts
+#: between a letter and a mark.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+STOP = "\0\0"
+SPECIAL = "<|endoftext|>"
 
 
 @lru_cache(maxsize=4)
-def load_tokenizer(path: str):
+def load_tokenizer(path: str, special: bool = False):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = not special  # else their strings in a text are ordinary text
     return t
 
 
@@ -55,44 +58,77 @@ def _cache(path: str) -> dict[str, bytes]:
     return {}
 
 
-def _learn(path: str, cache: dict[str, bytes], units: list[str]) -> None:
-    """Put the ids (little-endian 32-bit) of ``units`` in the cache, a few
-    hundred units to a call of the tokenizer."""
-    t = load_tokenizer(path)
-    for k in range(0, len(units), 512):
-        some = units[k:k + 512]
-        e = t.encode(some, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(e.ids, "<u4").tobytes()
-        ends = (4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(some)))).tolist()
-        for unit, a, b in zip(some, [0, *ends], ends):
-            cache[unit] = ids[a:b]
-
-
-def encode(path: str, texts: list[str | None]) -> list[bytes]:
-    """Token ids of each text (null: none) as little-endian 32-bit integers."""
-    cache = _cache(path)
+def _learn(path: str, cache: dict[str, bytes], words: list[str]) -> None:
+    """Put the ids (little-endian 32-bit) of ``words`` in the cache, a few hundred to
+    a call of the tokenizer, with its end-of-text token between them."""
+    split = load_tokenizer(path, special=True)
+    end = split.token_to_id(SPECIAL)
+    for k in range(0, len(words), 512):
+        some = words[k:k + 512]
+        forms = [w[1:] if w[0] == "\0" else w if w[0] == "\n" else " " + w for w in some]
+        (e,) = split.encode_batch_fast([SPECIAL.join(forms)], add_special_tokens=False)
+        ids = np.array(e.ids, "<u4")
+        cuts = np.flatnonzero(ids == end).tolist()
+        data = ids.tobytes()
+        for w, a, b in zip(some, [-1, *cuts], [*cuts, len(ids)]):
+            cache[w] = data[4 * a + 4:4 * b]
+
+
+def _fill(path: str, cache: dict[str, bytes], words: list[str]) -> None:
+    """The ids of new ``words`` into the cache. A word stands for itself with a space
+    before it; one that begins with a line feed for itself, one with NUL for the
+    rest."""
     if len(cache) > CACHE_WORDS:
         cache.clear()
-    out: list[bytes | None] = []
-    for text in texts:
-        if not text:
-            out.append(b"")
-        elif ODD.search(text):
-            ids = load_tokenizer(path).encode(text, add_special_tokens=False).ids
-            out.append(np.array(ids, "<u4").tobytes())
+    tails, parts = {}, set()
+    for w in words:
+        stem = w.rstrip(MARKS)
+        if stem != w and stem and stem[-1].isalpha() and stem[-1] < "\u0180":
+            tails[w] = (stem, "\0" + w[len(stem):])
+            parts.update(tails[w])
         else:
-            units = UNIT.findall(text)
-            try:
-                out.append(b"".join([cache[u] for u in units]))
-            except KeyError:
-                new = {u for u in units if u not in cache}
-                split = {u: m.groups() for u in new if (m := TAIL.fullmatch(u))}
-                parts = {p for g in split.values() for p in g if p not in cache}
-                _learn(path, cache, list(parts | {u for u in new if u not in split}))
-                for u, (a, b) in split.items():
-                    cache[u] = cache[a] + cache[b]
-                out.append(b"".join([cache[u] for u in units]))
-    return out
+            parts.add(w)
+    parts.difference_update([p for p in parts if p in cache])
+    odd = [p for p in parts if SPECIAL in p]
+    for p in odd:
+        form = p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p
+        cache[p] = np.array(load_tokenizer(path).encode(form, add_special_tokens=False).ids, "<u4").tobytes()
+    _learn(path, cache, list(parts.difference(odd)))
+    for w, (a, b) in tails.items():
+        cache[w] = cache[a] + cache[b]
+
+
+def encode(path: str, texts: pa.Array, end_id: int = END) -> tuple[np.ndarray, np.ndarray]:
+    """``(number of ids by text, all ids)``; each text (null: empty) ends with ``end_id``."""
+    texts = pc.fill_null(texts, "")
+    odd = pc.match_substring_regex(texts, ODD)
+    plain = pc.if_else(odd, "", texts)
+    # the words of a text: it is cut at spaces, and before line feeds
+    marked = pc.binary_join_element_wise("\0", pc.replace_substring(plain, "\n", " \n"), " " + STOP, "")
+    words = pc.split_pattern(marked, " ")
+    coded = words.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    cache = _cache(path)
+    ids = list(map(cache.get, names))
+    if new := [w for w, x in zip(names, ids) if x is None and w != STOP]:
+        _fill(path, cache, new)
+        made = iter(new)
+        ids = [cache[next(made)] if x is None and w != STOP else x for w, x in zip(names, ids)]
+    if STOP in names:
+        ids[names.index(STOP)] = np.array([end_id], "<u4").tobytes()
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    known, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+    code = coded.indices.to_numpy()
+    n = size[code]
+    flat = known[np.repeat(at[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    counts = np.add.reduceat(n, words.offsets.to_numpy()[:-1] - words.offsets[0].as_py()) if len(texts) else n
+    if pc.any(odd).as_py():
+        t = load_tokenizer(path)
+        rows = np.split(flat, np.cumsum(counts)[:-1])
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+            rows[i] = np.array([*t.encode(texts[i].as_py(), add_special_tokens=False).ids, end_id], "<u4")
+        counts, flat = np.array([len(r) for r in rows]), np.concatenate(rows)
+    return counts, flat
 
 
 def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id",
@@ -105,11 +141,10 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
     prepare_python(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([end_id], "<i4").tobytes()
-        for s in text_slices(batches, "text"):
-            coded = [x + end for x in encode(tokenizer, s.column("text").to_pylist())]
-            offsets = np.cumsum([0, *(len(x) // 4 for x in coded)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))
+        for s in text_slices(batches, "text", SLICE):
+            counts, flat = encode(tokenizer, s.column("text"), end_id)
+            offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view("<i4")))
             yield pa.RecordBatch.from_arrays([s.column("doc_id"), s.column("part"), ids], ["doc_id", "part", "ids"])
 
     (docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
@@ -119,7 +154,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
      .mapInArrow(run, "doc_id bigint, part int, ids array<int>")
      .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
      .option("orc.create.index", "true").option("orc.row.index.stride", str(stride))
-     .option("orc.stripe.size", str(stripe_bytes)).option("orc.compress", "ZSTD").orc(out))
+     .option("orc.stripe.size", str(stripe_bytes)).option("orc.compress", "LZ4").orc(out))
 
 
 def read_tokens(spark: SparkSession, path: str, ids: list[int] | None = None) -> DataFrame:
