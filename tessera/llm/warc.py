@@ -13,6 +13,7 @@ into one nested row. Payloads stay out of the joins unless asked for.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, lookup_spread, prepare_python, stored, work_path
 
 END = "\r\n\r\n"
+CAPTURES = ("response", "revisit", "resource")
 MIN_REVISIT = 100
 FILE_BYTES = 64 << 20
 CLASSES = (64 << 10, 1 << 20, 16 << 20)
@@ -43,19 +45,21 @@ def _record(kind: str, record_id: Column, headers: list[Column], block: Column)
 
 
 def write_captures(pages: DataFrame, out: str, id_col: str = "page_id", url_col: str = "url",
-                   html_col: str = "html", min_revisit: int = MIN_REVISIT) -> None:
+                   html_col: str = "html", min_revisit: int = MIN_REVISIT,
+                   codec: str = "gzip") -> None:
     """Archive the rows of ``pages``. Of equal payloads of ``min_revisit`` bytes or
     more, that with the smallest id (null last) is a response and the others are
     revisits. Null html is an empty payload; a null url has no target line; line
     ends in a url are percent-encoded. A record's id is made of the page's id and
-    a hash of its row, so rows that are equal throughout are one capture."""
+    a hash of its row, so rows that are equal throughout are one capture.
+    ``codec`` is that of whole files: gzip or none."""
     url = F.regexp_replace(F.regexp_replace(F.col(f"`{url_col}`").cast("string"), "\r", "%0D"), "\n", "%0A")
     rows = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), url.alias("url"),
                         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
     name = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.hex(F.xxhash64("url", "html")))
     rows = rows.withColumn("n", F.octet_length("html")).withColumn("name", name) \
         .withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    keys = cut_lineage(rows.select("id", "n", "name", "digest"))
+    keys = stored(rows.select("id", "n", "name", "digest"), "warc-keys")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "name")
     # repeated payloads only; the sum before the shuffle takes a hot payload apart
     first = cut_lineage(keys.where(F.col("n") >= min_revisit).groupBy("digest")
@@ -92,15 +96,18 @@ def write_captures(pages: DataFrame, out: str, id_col: str = "page_id", url_col:
         if largest is not None and largest > low:
             part = records.where((F.col("n") > low) & (F.col("n") <= high if high else F.lit(True)))
             part.select("value").write.mode("append").option("lineSep", END) \
-                .option("maxRecordsPerFile", 3 * max(1, FILE_BYTES // high if high else 1)).text(out)
+                .option("maxRecordsPerFile", 3 * max(1, FILE_BYTES // high if high else 1)) \
+                .option("compression", codec).text(out)
         low = high
     if largest is None:
         records.select("value").write.text(out)
 
 
-def parse_records(data: memoryview) -> Iterator[tuple[dict[str, list[str]], memoryview]]:
-    """``(headers, block)`` of each record of an archive; names in lower case."""
-    at, raw = 0, data.obj if isinstance(data.obj, bytes) else bytes(data)
+def parse_records(raw: bytes) -> Iterator[tuple[dict[str, list[str]], memoryview]]:
+    """``(headers, block)`` of each record of an archive, plain or gzip; names in lower case."""
+    if raw[:2] == b"\x1f\x8b":
+        raw = gzip.decompress(raw)
+    at, data = 0, memoryview(raw)
     while at < len(raw):
         stop = raw.index(b"\r\n\r\n", at)
         headers: dict[str, list[str]] = {}
@@ -115,14 +122,15 @@ def parse_records(data: memoryview) -> Iterator[tuple[dict[str, list[str]], memo
 
 def read_records(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """One row per record; with ``payloads``, the payload too. The payload of an
-    http block is what follows its header; its size and SHA-256 are measured."""
+    http block is what follows its header; its size is measured, and its SHA-256
+    where the record is a capture."""
     prepare_python(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 rows = []
-                for h, block in parse_records(memoryview(b.column("content")[i].as_buffer().to_pybytes())):
+                for h, block in parse_records(b.column("content")[i].as_py()):
                     one = lambda name: h.get(name, [None])[0]
                     kind, body = one("content-type") or "", block
                     if kind.startswith("application/http"):
@@ -135,7 +143,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = False) -> Data
                     row = {"record_id": one("warc-record-id"), "type": one("warc-type"),
                            "concurrent_to": h.get("warc-concurrent-to", []), "refers_to": one("warc-refers-to"),
                            "target_uri": one("warc-target-uri"), "payload_bytes": len(body),
-                           "payload_digest": hashlib.sha256(body).hexdigest(),
+                           "payload_digest": hashlib.sha256(body).hexdigest() if one("warc-type") in CAPTURES else None,
                            "stated_digest": one("warc-payload-digest"), "fields": list(fields.items())}
                     rows.append(row | ({"payload": bytes(body)} if payloads else {}))
                 for k in range(0, len(rows), 512):
@@ -155,15 +163,14 @@ def transactions(records: DataFrame) -> DataFrame:
     records belong to it if either names the other in WARC-Concurrent-To, or
     through the request that does. Records that reach no capture are left out;
     of repeated record ids one is kept."""
-    r = cut_lineage(records.dropDuplicates(["record_id"])) if "payload" not in records.columns \
-        else stored(records.dropDuplicates(["record_id"]), "warc")
-    main = r.where(F.col("type").isin("response", "revisit", "resource"))
-    rest = r.where(~F.col("type").isin("response", "revisit", "resource"))
+    r = stored(records.dropDuplicates(["record_id"]), "warc-records")
+    main = r.where(F.col("type").isin(*CAPTURES))
+    rest = r.where(~F.col("type").isin(*CAPTURES))
     link = r.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b"))
-    both = cut_lineage(link.unionByName(link.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = stored(link.unionByName(link.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "warc-links")
     captures = main.select(F.col("record_id").alias("b"), F.col("record_id").alias("capture_id"))
     near = both.join(captures, "b").select("a", "capture_id")
-    seen = cut_lineage(near.groupBy("a").agg(F.min("capture_id").alias("capture_id")))
+    seen = stored(near.groupBy("a").agg(F.min("capture_id").alias("capture_id")), "warc-members")
     # a metadata record may name the request only
     far = (both.join(seen.select("a"), "a", "left_anti")
            .join(seen.select(F.col("a").alias("b"), "capture_id"), "b").groupBy("a").agg(F.min("capture_id").alias("capture_id")))
@@ -187,9 +194,9 @@ def archive_pages(pages: DataFrame, out: str | None = None) -> DataFrame:
     write_captures(pages, out)
     t = transactions(read_records(spark, out))
     ids = F.get(F.filter(F.flatten(F.transform("metadata", lambda m: m["fields"])), lambda e: e["key"] == "page_id"), F.lit(0))["value"]
-    flat = cut_lineage(t.select("capture_id", ids.cast("bigint").alias("page_id"), F.col("response.type").alias("record_type"),
+    flat = stored(t.select("capture_id", ids.cast("bigint").alias("page_id"), F.col("response.type").alias("record_type"),
                                 F.col("response.payload_bytes").alias("n"), F.col("response.payload_digest").alias("d"),
-                                F.col("response.refers_to").alias("ref")))
+                                F.col("response.refers_to").alias("ref")), "warc-captures")
     referred = flat.where("record_type = 'revisit'").select(F.col("ref").alias("used")).distinct()
     heads = cut_lineage(flat.where("record_type = 'response'").join(referred, F.col("capture_id") == F.col("used"), "left_semi")
                         .select(F.col("capture_id").alias("ref"), F.col("page_id").alias("head"), F.col("n").alias("hn"), F.col("d").alias("hd")))
