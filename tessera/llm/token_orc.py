@@ -31,14 +31,14 @@ from .common import cut_lineage, prepare_python, text_slices, work_path
 END = 0
 STRIPE_BYTES = 64 << 20
 STRIDE = 1000
-CACHE_WORDS = 1_000_000
-SLICE = 8 << 20
+CACHE_WORDS = 1_100_000
+SLICE = 6 << 20
 #: White space other than single spaces and line feeds between words, and NUL (RE2).
 ODD = (r"[ \n][ \n]|^[ \n]|[ \n]$|[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
        r"\x{202f}\x{205f}\x{3000}]")
-#: Marks at a word's end (ASCII punctuation, no apostrophe): the pre-tokenizer cuts
-#: between a letter and a mark.
-MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A letter, marks (ASCII punctuation, no apostrophe) and a space: the pre-tokenizer
+#: cuts between the letter and the marks.
+TAIL, CUT = r"([A-Za-zÀ-ÖØ-öø-ſ])([!-&(-/:-@\[-`{-~]+) ", "\\1 \0\\2 "
 STOP = "\0\0"
 SPECIAL = "<|endoftext|>"
 
@@ -80,22 +80,11 @@ def _fill(path: str, cache: dict[str, bytes], words: list[str]) -> None:
     rest."""
     if len(cache) > CACHE_WORDS:
         cache.clear()
-    tails, parts = {}, set()
-    for w in words:
-        stem = w.rstrip(MARKS)
-        if stem != w and stem and stem[-1].isalpha() and stem[-1] < "\u0180":
-            tails[w] = (stem, "\0" + w[len(stem):])
-            parts.update(tails[w])
-        else:
-            parts.add(w)
-    parts.difference_update([p for p in parts if p in cache])
-    odd = [p for p in parts if SPECIAL in p]
-    for p in odd:
-        form = p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p
-        cache[p] = np.array(load_tokenizer(path).encode(form, add_special_tokens=False).ids, "<u4").tobytes()
-    _learn(path, cache, list(parts.difference(odd)))
-    for w, (a, b) in tails.items():
-        cache[w] = cache[a] + cache[b]
+    odd = [w for w in words if SPECIAL in w]
+    for w in odd:
+        form = w[1:] if w[0] == "\0" else w if w[0] == "\n" else " " + w
+        cache[w] = np.array(load_tokenizer(path).encode(form, add_special_tokens=False).ids, "<u4").tobytes()
+    _learn(path, cache, [w for w in words if SPECIAL not in w] if odd else words)
 
 
 def encode(path: str, texts: pa.Array, end_id: int = END) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +94,7 @@ def encode(path: str, texts: pa.Array, end_id: int = END) -> tuple[np.ndarray, n
     plain = pc.if_else(odd, "", texts)
     # the words of a text: it is cut at spaces, and before line feeds
     marked = pc.binary_join_element_wise("\0", pc.replace_substring(plain, "\n", " \n"), " " + STOP, "")
-    words = pc.split_pattern(marked, " ")
+    words = pc.split_pattern(pc.replace_substring_regex(marked, TAIL, CUT), " ")
     coded = words.flatten().dictionary_encode()
     names = coded.dictionary.to_pylist()
     cache = _cache(path)
@@ -116,11 +105,11 @@ def encode(path: str, texts: pa.Array, end_id: int = END) -> tuple[np.ndarray, n
         ids = [cache[next(made)] if x is None and w != STOP else x for w, x in zip(names, ids)]
     if STOP in names:
         ids[names.index(STOP)] = np.array([end_id], "<u4").tobytes()
-    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    known, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+    size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+    known, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size, dtype=np.int32) - size
     code = coded.indices.to_numpy()
     n = size[code]
-    flat = known[np.repeat(at[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    flat = known[np.repeat(at[code] - (np.cumsum(n, dtype=np.int32) - n), n) + np.arange(n.sum(), dtype=np.int32)]
     counts = np.add.reduceat(n, words.offsets.to_numpy()[:-1] - words.offsets[0].as_py()) if len(texts) else n
     if pc.any(odd).as_py():
         t = load_tokenizer(path)
