@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage, ensure_checkpoint_dir
 
-ARROW_ROWS = 2048
+ARROW_ROWS = 1024
 SLICE_BYTES = 1 << 20
 HOT_SHARE = 1 / 500
 _SHIPPED: set[str] = set()

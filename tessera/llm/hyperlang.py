@@ -30,6 +30,7 @@ ORDER = 3
 SEED = 20
 PARTS = 64
 UND = "und"
+SLICE = 512 << 10
 SPACE = 32
 
 
@@ -106,9 +107,16 @@ def gram_vectors(grams: np.ndarray, dims: int) -> np.ndarray:
     return out
 
 
+def bundle(grams: np.ndarray, counts: np.ndarray, dims: int, step: int = 1024) -> np.ndarray:
+    """Sums of n-gram vectors by rows of ``counts``; vectors are made ``step`` at a time."""
+    out = np.zeros((len(counts), dims), counts.dtype)
+    for k in range(0, len(grams), step):
+        out += counts[:, k:k + step] @ gram_vectors(grams[k:k + step], dims)
+    return out
+
+
 def bundles(texts: list[str | None], order: int, dims: int) -> np.ndarray:
-    grams, counts = gram_counts(texts, order)
-    return counts @ gram_vectors(grams, dims)
+    return bundle(*gram_counts(texts, order), dims)
 
 
 def train(docs: DataFrame, label: Column, rows: Column, text_col: str = "text",
@@ -120,14 +128,15 @@ def train(docs: DataFrame, label: Column, rows: Column, text_col: str = "text",
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for s in text_slices(batches, "text"):
+        for s in text_slices(batches, "text", SLICE):
             names = pd.Series(s.column("label").to_pylist())
             grams, counts = gram_counts(s.column("text").to_pylist(), order)
             if not len(grams):
                 continue
-            v = gram_vectors(grams, dims)
-            for name, at in names.groupby(names).indices.items():
-                sums[name] = sums.get(name, 0) + (counts[at].sum(axis=0, dtype=np.float64) @ v)
+            by_label = names.groupby(names).indices
+            total = np.stack([counts[at].sum(axis=0, dtype=np.float64) for at in by_label.values()])
+            for name, v in zip(by_label, bundle(grams, total, dims)):
+                sums[name] = sums.get(name, 0) + v
         if sums:
             yield pa.RecordBatch.from_pydict({"label": list(sums), "v": [x.tolist() for x in sums.values()]},
                                              schema=pa.schema([("label", pa.string()), ("v", pa.list_(pa.float64()))]))
@@ -179,7 +188,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in text_slices(batches, "__text"):
+        for s in text_slices(batches, "__text", SLICE):
             lang, sc = score(s.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*(s.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(sc, pa.float64())],
@@ -203,7 +212,7 @@ def keep_known(docs: DataFrame, prototypes: dict[str, np.ndarray], least: float,
     score = scorer(prototypes, order, dims)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in text_slices(batches, text_col):
+        for s in text_slices(batches, text_col, SLICE):
             lang, sc = score(s.column(text_col).to_pylist())
             yield s.filter(pa.array([a != UND and b >= least for a, b in zip(lang, sc)], pa.bool_()))
 

@@ -31,8 +31,8 @@ from .common import cut_lineage, prepare_python, text_slices, work_path
 END = 0
 STRIPE_BYTES = 64 << 20
 STRIDE = 1000
-CACHE_WORDS = 1_100_000
-SLICE = 6 << 20
+CACHE_WORDS = 600_000
+SLICE = 4 << 20
 #: White space other than single spaces and line feeds between words, and NUL (RE2).
 ODD = (r"[ \n][ \n]|^[ \n]|[ \n]$|[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
        r"\x{202f}\x{205f}\x{3000}]")
@@ -135,6 +135,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view("<i4")))
             yield pa.RecordBatch.from_arrays([s.column("doc_id"), s.column("part"), ids], ["doc_id", "part", "ids"])
+            pa.default_memory_pool().release_unused()
 
     (docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
                  F.col(f"`{text_col}`").cast("string").alias("text"))
