@@ -132,16 +132,22 @@ def _streams(docs: DataFrame, meta: DataFrame, carry: list[str], rows: int) -> D
                     (F.col("__before") + F.col("__in")).alias("__start")))
 
 
-def mix_ranges(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST,
-               block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
-               carry: list[str] | None = None) -> DataFrame:
+def mix_ranges(docs: DataFrame, carry: list[str] | None = None, **options) -> DataFrame:
     """One row per row of ``docs``: the ``carry`` columns (default: all), then
     ``__size``, ``__source_size``, ``__target`` and ``__pieces``, an array of
     ``(shard, key, pass, low, high)``: the words from ``low`` to before ``high``
     go to ``shard``, in the order of ``key``."""
+    carry = docs.columns if carry is None else carry
+    placed, run, schema = _plan(docs, carry, **options)
+    return placed.mapInArrow(run, schema).toDF(*carry, "__size", "__source_size", "__target", "__pieces")
+
+
+def _plan(docs: DataFrame, carry: list[str], weights=WEIGHTS, share: float = SHARE, most: float = MOST,
+          block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS):
+    """The placed rows, the task function that finds their pieces, and its schema;
+    carried columns are called c0, c1 and so on."""
     spark = docs.sparkSession
     prepare_python(spark)
-    carry = docs.columns if carry is None else carry
     named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)],
                         F.col("doc_id").cast("bigint").alias("__id"),
                         F.col("source").cast("string").alias("__source"),
@@ -218,8 +224,7 @@ def mix_ranges(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
 
     placed = placed.select(*short, "__size", "__source_size", "__target", "__no", "__start")
     schema = StructType([f for f in placed.schema.fields if f.name not in ("__no", "__start")])
-    made = placed.mapInArrow(run, _with_pieces(schema))
-    return made.toDF(*carry, "__size", "__source_size", "__target", "__pieces")
+    return placed, run, _with_pieces(schema)
 
 
 def _with_pieces(schema: StructType) -> StructType:
@@ -244,15 +249,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     text as it is) and ``n_chars``, if there, counted anew. A shard's rows are in
     one partition, in the order of the shuffle's key."""
     columns = docs.columns
-    word = re.compile(WORD)
-    made = mix_ranges(docs, **options).where(F.size("__pieces") > 0)
-    out = docs.schema
+    word, text_at = re.compile(WORD), f"c{columns.index('text')}"
+    placed, ranges, made = _plan(docs, columns, **options)
 
+    # ranges and texts in one function: a second one would be a second worker a task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in ranges(batches):
             rows, shards, keys, texts = [], [], [], []
             for i, (text, size, pieces) in enumerate(zip(*(b.column(c).to_pylist() for c in (
-                    "text", "__size", "__pieces")))):
+                    text_at, "__size", "__pieces")))):
                 runs = []
                 for p in pieces:
                     if runs and runs[-1][0] == p["pass"] and runs[-1][2] == p["low"]:
@@ -265,18 +270,19 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
                         spans = spans or [m.span() for m in word.finditer(text)]
                     texts.append(text if (low, high) == (0, size) else text[spans[low][0]:spans[high - 1][1]])
                     rows.append(i), shards.append(shard), keys.append(key)
-            got = b.take(pa.array(rows, pa.int64()))
+            got = b.select([f"c{i}" for i in range(len(columns)) if columns[i] != "text"]).take(pa.array(rows, pa.int64()))
             cols = []
-            for c in columns:
+            for i, c in enumerate(columns):
                 if c == "text":
                     cols.append(pa.array(texts, pa.string()))
                 elif c == "n_chars":
-                    cols.append(pa.array([len(t) for t in texts], pa.int64()).cast(got.column(c).type))
+                    cols.append(pa.array([len(t) for t in texts], pa.int64()).cast(got.column(f"c{i}").type))
                 else:
-                    cols.append(got.column(c))
+                    cols.append(got.column(f"c{i}"))
             yield pa.RecordBatch.from_arrays([*cols, pa.array(shards, pa.int64()), pa.array(keys, pa.int64())],
-                                             [*columns, "__shard", "__key"])
+                                             [*(f"c{i}" for i in range(len(columns))), "__shard", "__key"])
 
-    schema = StructType(list(out.fields)).add("__shard", LongType()).add("__key", LongType())
-    cut = made.mapInArrow(run, schema)
-    return cut.repartition("__shard").sortWithinPartitions("__shard", "__key").drop("__shard", "__key")
+    schema = StructType(made.fields[:len(columns)]).add("__shard", LongType()).add("__key", LongType())
+    cut = placed.mapInArrow(run, schema)
+    return (cut.repartition("__shard").sortWithinPartitions("__shard", "__key").drop("__shard", "__key")
+            .toDF(*columns))
