@@ -7,8 +7,9 @@ block, no shuffle of texts:
 1. count, over all documents, in how many each five-word n-gram of the items
    occurs;
 2. keep the rare n-grams as seeds: those in at most ``rare_share`` of the
-   documents, and the rarest of every ``span`` adjacent ones of an item, so all
-   parts of an item have seeds however often they occur. A document that holds
+   documents, those at most ``FACTOR`` times as frequent as the item's median
+   n-gram (an item that leaked often has no rarer ones), and the rarest of every
+   ``span`` adjacent ones, so all parts of an item have seeds. A document that holds
    a seed is aligned with the seed's item around each hit by word-level
    Smith-Waterman.
 
@@ -36,6 +37,7 @@ SEED_WORDS = 5
 BLOCK_WORDS = 2_000_000
 RARE_SHARE = 1e-3
 SPAN = 8
+FACTOR = 4
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -95,6 +97,7 @@ class ItemBlock:
         chosen = df <= limit
         for w in self.items.values():
             ks = np.searchsorted(self.keys, self.hashes(w))
+            chosen[ks[df[ks] <= FACTOR * np.median(df[ks])]] = True
             for a in range(0, len(ks), span):
                 part = ks[a:a + span]
                 chosen[part[np.argmin(df[part])]] = True
