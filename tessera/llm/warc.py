@@ -85,7 +85,7 @@ def write_captures(pages: DataFrame, out: str, id_col: str = "page_id", url_col:
         ("WARC-Profile", F.lit(PROFILE)), ("Content-Type", http)], F.lit(HTTP))
     metadata = _record("metadata", uri("metadata", F.col("name")), [
         ("WARC-Target-URI", target), ("WARC-Concurrent-To", main), ("Content-Type", F.lit("application/warc-fields"))],
-        F.concat(F.lit("page_id: "), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("\r\n")))
+        F.coalesce(F.concat(F.lit("page_id: "), F.col("id").cast("string"), F.lit("\r\n")), F.lit("")))
     records = marked.select("n", F.explode(F.array(
         request, F.when(is_revisit, revisit).otherwise(response), metadata)).alias("value"))
     # a reader takes a file at a time, so files are bounded: payloads by size class,
