@@ -38,6 +38,12 @@ def col(name: str) -> Column:
     return F.col(q(name))
 
 
+def number(name: str) -> Column:
+    """A column as double, NaN as null: a missing value, however it was written."""
+    x = F.col(q(name)).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 
 
 def round6(c: Column, places: int = 6) -> Column:

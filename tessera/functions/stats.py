@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import chunks, q
+from .columns import chunks, q, number
 
 # Expressions per aggregate job: keeps each job's generated per-row code small
 # enough for the JIT to compile (methods over 8 KB of bytecode run interpreted).
@@ -47,7 +47,7 @@ def moments(df: DataFrame, cols: list[str]) -> dict[str, dict[str, float]]:
     """count / mean / population std / min / max of each column, one pass."""
     exprs: dict[str, Column] = {}
     for i, c in enumerate(cols):
-        x = F.col(q(c)).cast("double")
+        x = number(c)
         exprs[f"n{i}"] = F.count(x)
         exprs[f"mean{i}"] = F.avg(x)
         exprs[f"std{i}"] = F.stddev_pop(x)

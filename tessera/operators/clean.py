@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import numeric_cols, q, string_cols
+from ..functions.columns import number, numeric_cols, q, string_cols
 from ..functions.quantiles import column_quantiles
 from ..functions.stats import agg_values
 from .base import Fitted, replace_columns
@@ -134,8 +134,7 @@ class Imputer:
             med = column_quantiles(df, cols, [0.5], exact=self.exact)
             return FittedImputer(self.strategy, {c: med[c][0] for c in cols})
         if self.strategy == "mean":
-            vals = agg_values(df, {f"m{i}": F.avg(F.col(q(c)).cast("double"))
-                                   for i, c in enumerate(cols)})
+            vals = agg_values(df, {f"m{i}": F.avg(number(c)) for i, c in enumerate(cols)})
             return FittedImputer(self.strategy, {c: vals[f"m{i}"] for i, c in enumerate(cols)})
         modes = most_frequent(df, cols)
         if self.kind == "numeric":
@@ -153,9 +152,10 @@ def most_frequent(df: DataFrame, cols: Sequence[str]) -> dict:
     types = dict(df.dtypes)
     numeric = {c for c in cols if types[c] not in ("string",)}
     # numeric values rank by number, strings by text: carry both sort keys
-    long = (df.select(*[F.struct(F.col(q(c)).cast("double").alias("d") if c in numeric
+    long = (df.select(*[F.struct(number(c).alias("d") if c in numeric
                                  else F.lit(None).cast("double").alias("d"),
-                                 F.col(q(c)).cast("string").alias("s")).alias(c)
+                                 F.when(~F.isnan(F.col(q(c)).cast("double")), F.col(q(c)).cast("string")).alias("s")
+                                 if c in numeric else F.col(q(c)).alias("s")).alias(c)
                         for c in cols])
             .unpivot([], cols, "feature", "v")
             .where(F.col("v.s").isNotNull()))
@@ -315,8 +315,7 @@ class OutlierClipper:
             qs = column_quantiles(df, cols, [self.lower, self.upper], exact=self.exact)
             return FittedClipper("quantile", {c: tuple(qs[c]) for c in cols})
         vals = agg_values(df, {k: e for i, c in enumerate(cols) for k, e in (
-            (f"m{i}", F.avg(F.col(q(c)).cast("double"))),
-            (f"s{i}", F.stddev_pop(F.col(q(c)).cast("double"))))})
+            (f"m{i}", F.avg(number(c))), (f"s{i}", F.stddev_pop(number(c))))})
         bounds, means, stds = {}, {}, {}
         for i, c in enumerate(cols):
             mu, sd = vals[f"m{i}"], vals[f"s{i}"]

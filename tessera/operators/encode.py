@@ -218,7 +218,8 @@ class Encoder:
         else:
             grp = long.groupBy("feature", "category").agg(
                 F.sum("__y").alias("s"), F.count("__y").alias("n"))
-            table = (grp.where(F.col("category").isNotNull())
+            # a category without any label has no code: it takes the default, as an unseen one
+            table = (grp.where(F.col("category").isNotNull() & (F.col("n") > 0))
                      .select("feature", "category", (F.col("s") / F.col("n")).alias("code")))
             if self.default is None:
                 g = df.agg(F.avg(F.col(q(self.label)).cast("double"))).first()[0]

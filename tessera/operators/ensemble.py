@@ -134,8 +134,13 @@ def fit_stacking(preds: DataFrame, key: str, label: str, models: Sequence[str],
 
 def predict_stacking(va, model, preds: DataFrame, key: str, models: Sequence[str],
                      model_col: str = "model", pred_col: str = "p") -> DataFrame:
-    wide = wide_members(preds, key, models, None, model_col, pred_col).dropna()
-    return model.transform(va.transform(wide)).select(F.col(q(key)), "prediction")
+    """A row for every key; the prediction is null where a member has none."""
+    wide = wide_members(preds, key, models, None, model_col, pred_col)
+    has_all = F.lit(True)
+    for m in models:
+        has_all = has_all & F.col(q(m)).isNotNull()
+    filled = wide.select(F.col(q(key)), has_all.alias("__all"), *[F.coalesce(F.col(q(m)), F.lit(0.0)).alias(m) for m in models])
+    return model.transform(va.transform(filled)).select(F.col(q(key)), F.when(F.col("__all"), F.col("prediction")).alias("prediction"))
 
 
 def group_mean_cv(df: DataFrame, key: str, label: str, groups: Sequence[str], k: int = 5,

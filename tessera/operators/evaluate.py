@@ -145,12 +145,21 @@ def top_n(scores: DataFrame, n: int = 30, score: str = "importance",
                  .where(F.col("rank") <= n)
 
 
+def _ungrouped(report, df: DataFrame, y: str, p: str, **options) -> DataFrame:
+    """``report`` over the whole table as one group."""
+    one = df.select(F.col(q(y)), F.col(q(p)), F.lit("all").alias("__all"))
+    return report(one, y, p, ("__all",), **options).drop("__all")
+
+
 def scatter_bins(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("model",),
                  bins: int = 20) -> DataFrame:
     """Actual-vs-predicted as 2-D binned counts over the common [lo, hi] bound.
 
-    The bound is ``least(min y, min p)`` / ``greatest(max y, max p)`` per group.
+    The bound is ``least(min y, min p)`` / ``greatest(max y, max p)`` per group
+    (of the whole table without ``by``).
     """
+    if not by:
+        return _ungrouped(scatter_bins, df, y, p, bins=bins)
     byc = [F.col(q(b)) for b in by]
     d = materialized(_pairs(df, y, p).select(*byc, F.col(q(y)), F.col(q(p))))   # read twice
     bound = d.groupBy(*byc).agg(F.least(F.min(q(y)), F.min(q(p))).alias("lo"),
@@ -170,6 +179,8 @@ def error_histogram(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str]
                     bins: int = 50) -> DataFrame:
     """Equal-width histogram of y − p from min to max, last bin closed; empty
     bins are listed (``sequence`` explode on the per-group bounds, no cross join)."""
+    if not by:
+        return _ungrouped(error_histogram, df, y, p, bins=bins)
     byc = [F.col(q(b)) for b in by]
     e = materialized(_pairs(df, y, p).select(*byc, (F.col(q(y)) - F.col(q(p))).alias("__e")))
     rng = e.groupBy(*byc).agg(F.min("__e").alias("lo"), F.max("__e").alias("hi"))
@@ -194,6 +205,8 @@ def error_box(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("m
               whisker: float = 1.5, exact: bool = True) -> DataFrame:
     """Box-plot numbers of y − p: Q1, median, Q3 and the whiskers (the extreme
     values inside [Q1 − 1.5·IQR, Q3 + 1.5·IQR])."""
+    if not by:
+        return _ungrouped(error_box, df, y, p, whisker=whisker, exact=exact)
     d = materialized(_pairs(df, y, p).select(*[F.col(q(b)) for b in by],
                                              (F.col(q(y)) - F.col(q(p))).alias("__e")))
     qs = quantiles(d, ["__e"], [0.25, 0.5, 0.75], by=list(by), exact=exact)
@@ -211,7 +224,7 @@ def error_box(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("m
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None,
-                       limit: int = 30) -> DataFrame:
+                       limit: int | None = None) -> DataFrame:
     """Pearson r for every ordered pair (pairwise-complete), stacked to
     ``(feature_a, feature_b, r)``.
 

@@ -23,32 +23,27 @@ def _append(df: DataFrame, new: list[Column]) -> DataFrame:
     return df.select(*[F.col(q(c)) for c in df.columns], *new)
 
 
-def polynomial_plan(cols: Sequence[str], degree: int = 2, max_squares: int = 10,
-                    max_pairs_cols: int = 8, max_interactions: int = 50):
-    """Names of squares and products, in the order they are generated; the
-    ``max_interactions`` cap counts both together."""
-    out = []
-    if degree >= 2:
-        for c in cols[:max_squares]:
-            if len(out) >= max_interactions:
-                break
-            out.append(("square", c, c))
-    for a, b in combinations(cols[:max_pairs_cols], 2):
-        if len(out) >= max_interactions:
-            break
-        out.append(("product", a, b))
-    return out
+def polynomial_plan(cols: Sequence[str], degree: int = 2, max_squares: int | None = 10,
+                    max_pairs_cols: int | None = 8, max_interactions: int | None = 50):
+    """Names of squares and products, in the order they are generated, both of
+    degree 2. ``max_interactions`` counts both together; ``None`` is no limit."""
+    if degree < 2:
+        return []
+    out = [("square", c, c) for c in cols[:max_squares]]
+    out += [("product", a, b) for a, b in combinations(cols[:max_pairs_cols], 2)]
+    return out[:max_interactions]
 
 
 def polynomial_features(df: DataFrame, cols: Sequence[str] | None = None,
                         exclude: Sequence[str] = (), degree: int = 2,
                         squares: bool = True, products: bool = True,
-                        max_interactions: int = 50) -> DataFrame:
-    """``{f}_squared`` for the first 10 numeric columns and ``{a}_x_{b}`` over
-    pairs of the first 8."""
+                        max_squares: int | None = None, max_pairs_cols: int | None = None,
+                        max_interactions: int | None = None) -> DataFrame:
+    """``{f}_squared`` for the numeric columns and ``{a}_x_{b}`` over their pairs.
+    All given columns are used unless the caller sets a limit."""
     cols = list(cols) if cols is not None else numeric_cols(df, exclude)
     new = []
-    for kind, a, b in polynomial_plan(cols, degree, max_interactions=max_interactions):
+    for kind, a, b in polynomial_plan(cols, degree, max_squares, max_pairs_cols, max_interactions):
         x, y = F.col(q(a)).cast("double"), F.col(q(b)).cast("double")
         if kind == "square" and squares:
             new.append((x * x).alias(f"{a}_squared"))
@@ -97,10 +92,10 @@ def difference(df: DataFrame, a: str, b: str, name: str = "House_Age") -> DataFr
     return _append(df, [(val(a) - val(b)).alias(name)])
 
 
-def crosses(df: DataFrame, cols: Sequence[str] | None = None, first: int = 5,
-            max_crosses: int = 30, exclude: Sequence[str] = ()) -> DataFrame:
-    """``{a}_{b}`` = both values joined by ``_`` for pairs of the first 5
-    categorical columns; a missing value reads ``nan``."""
+def crosses(df: DataFrame, cols: Sequence[str] | None = None, first: int | None = None,
+            max_crosses: int | None = None, exclude: Sequence[str] = ()) -> DataFrame:
+    """``{a}_{b}`` = both values joined by ``_`` for pairs of the
+    categorical columns (all, unless the caller sets a limit); a missing value reads ``nan``."""
     cols = list(cols) if cols is not None else string_cols(df, exclude)
     new = []
     for a, b in list(combinations(cols[:first], 2))[:max_crosses]:

@@ -19,6 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +34,16 @@ FEATURES = "__features"
 FOREST_DEFAULTS = {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2,
                    "featureSubsetStrategy": "sqrt"}
 GBT_PRESETS = {
-    "xgboost": {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8},
+    "xgboost": {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
+                "featureSubsetStrategy": "0.8"},
     "catboost": {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8},
-    "lightgbm": {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8},
+    "lightgbm": {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
+                 "featureSubsetStrategy": "0.8"},
 }
 DROPPED = {
-    "xgboost": ["colsample_bytree=0.8", "reg_alpha=0.01", "reg_lambda=1"],
+    "xgboost": ["reg_alpha=0.01", "reg_lambda=1"],
     "catboost": [],
-    "lightgbm": ["num_leaves=31", "colsample_bytree=0.8", "reg_alpha=0.01", "reg_lambda=1"],
+    "lightgbm": ["num_leaves=31", "reg_alpha=0.01", "reg_lambda=1"],
 }
 
 
@@ -181,7 +184,8 @@ def sample_space(space: Mapping, n_trials: int, seed: int = 42) -> list[dict]:
 def random_search(df: DataFrame, features: Sequence[str], label: str, make_estimator,
                   space: Mapping, key: str, n_trials: int = 10, k: int = 3, seed: int = 42,
                   parallelism: int = 2, method: str = "hash", cv_parallelism: int = 1) -> DataFrame:
-    """Seeded random search minimising mean CV RMSE; a failing trial scores +∞.
+    """Seeded random search minimising mean CV RMSE; a trial whose
+    parameters the learner refuses scores +∞, any other error is raised.
 
     Trials run concurrently from driver threads (``parallelism``), and each
     trial's folds too (``cv_parallelism``); every fold is a distributed Spark
@@ -194,11 +198,13 @@ def random_search(df: DataFrame, features: Sequence[str], label: str, make_estim
             cv = cross_validate(df, features, label, make_estimator(**trials[i]), key, k,
                                 seed, method, parallelism=cv_parallelism)
             return (i, json.dumps(trials[i], sort_keys=True), cv.first()["cv_mean"])
-        except Exception:  # noqa: BLE001 - a failed trial is +inf, as in the reference
+        except (IllegalArgumentException, TypeError, ValueError):  # parameters that the learner refuses
             return (i, json.dumps(trials[i], sort_keys=True), float("inf"))
 
     with ThreadPoolExecutor(max(1, parallelism)) as ex:
         rows = list(ex.map(run, range(n_trials)))
+    if rows and all(r[2] == float("inf") for r in rows):
+        raise ValueError("no trial of the search could be fitted")
     return df.sparkSession.createDataFrame(rows, "trial int, params string, value double")
 
 

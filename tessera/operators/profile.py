@@ -14,11 +14,12 @@ from ..functions.stats import agg_values
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
-    """``(Feature, Missing_Count, Missing_Percent)`` for columns with nulls,
+    """``(Feature, Missing_Count, Missing_Percent)`` for columns with nulls or NaNs,
     highest share first (ties by name). One aggregate over all columns."""
-    cols = df.columns
+    cols, types = df.columns, dict(df.dtypes)
     vals = agg_values(df, {"__n": F.count(F.lit(1)),
-                           **{f"m{i}": F.count_if(F.col(q(c)).isNull()) for i, c in enumerate(cols)}})
+                           **{f"m{i}": F.count_if(F.col(q(c)).isNull() | (F.isnan(F.col(q(c))) if types[c] in ("double", "float")
+                                                                         else F.lit(False))) for i, c in enumerate(cols)}})
     n = vals["__n"]
     rows = [(c, int(vals[f"m{i}"]), 100.0 * vals[f"m{i}"] / n)
             for i, c in enumerate(cols) if n and vals[f"m{i}"] > 0]
@@ -41,9 +42,10 @@ def label_stats(df: DataFrame, label: str, exact: bool = True) -> DataFrame:
 
 
 def dedupe_last(labels: DataFrame, key: str, label: str, order: str | None) -> DataFrame:
-    """One label per key; with duplicates the **last** (highest ``order``) wins."""
+    """One label per key; with duplicates the **last** (highest ``order``) wins.
+    A table has no order of its own: without ``order`` the largest label does."""
     if order is None:
-        return labels.groupBy(F.col(q(key))).agg(F.last(F.col(q(label))).alias(label))
+        return labels.groupBy(F.col(q(key))).agg(F.max(F.col(q(label))).alias(label))
     return labels.groupBy(F.col(q(key))).agg(
         F.max_by(F.col(q(label)), F.col(q(order))).alias(label))
 

@@ -82,9 +82,9 @@ def train_and_score(train: DataFrame, score: DataFrame, key: str, label: str,
     ests = {}
     for name in learners:
         if name == "random_forest":
-            ests[name] = learn.forest(seed=seed, **(forest_params or {"numTrees": 50, "maxDepth": 10}))
+            ests[name] = learn.forest(seed=seed, **(forest_params or {}))
         else:
-            ests[name] = learn.gbt(name, seed=seed, **(gbt_params or {"maxIter": 50, "maxDepth": 5}))
+            ests[name] = learn.gbt(name, seed=seed, **(gbt_params or {}))
     preds, train_m = [], []
     for name, model in learn.fit_many(tr, feats, label, ests).items():
         train_m.append(learn.train_score(model, tr, label).withColumn("model", F.lit(name)))

@@ -51,12 +51,15 @@ def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, s
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             tokens: Sequence[str] = NA_TOKENS, infer: bool = True) -> DataFrame:
+             tokens: Sequence[str] = NA_TOKENS, infer: bool = True,
+             multi_line: bool = False) -> DataFrame:
     """CSV with a header: every column read as text, NA tokens → null, then the
     declared types — or, without a schema, the inferred ones (``infer_types``,
     run after token nulling so ``NA`` does not force a column to text) —
-    applied with ``try_cast``."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    applied with ``try_cast``. Quotes inside quoted cells are doubled; with
+    ``multi_line`` a quoted cell may hold line ends (such files do not split)."""
+    raw = (spark.read.option("header", True).option("inferSchema", False)
+           .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path))
     raw = na_tokens_to_null(raw, raw.columns, tokens)
     if schema is None:
         if not infer:
