@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import q
 from ..session import ensure_checkpoint_dir
 from .evaluate import metrics
+from ..session import materialized
 from .split import fold_of
 
 FEATURES = "__features"
@@ -131,6 +132,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, estimator
                    parallelism: int = 1) -> DataFrame:
     """Per-fold scores of ``estimator``: ``(fold, n, rmse, mae, r2, mape)`` plus
     the mean and population std of ``metric`` over folds (unknown metric → rmse)."""
+    df = materialized(df)   # every fold reads it
     metric = metric if metric in ("rmse", "mae", "r2") else "rmse"
     data = df.withColumn("__fold", fold_of(key, k, seed, method))
     pipe = pipeline(features, label, estimator)
@@ -192,6 +194,7 @@ def random_search(df: DataFrame, features: Sequence[str], label: str, make_estim
     job. Returns ``(trial, params, value)``.
     """
     trials = sample_space(space, n_trials, seed)
+    df = materialized(df)   # every trial and fold reads it
 
     def run(i):
         try:
