@@ -31,7 +31,7 @@ from .common import cut_lineage, prepare_python, text_slices, work_path
 END = 0
 STRIPE_BYTES = 64 << 20
 STRIDE = 1000
-CACHE_WORDS = 600_000
+CACHE_WORDS = 850_000
 SLICE = 4 << 20
 #: White space other than single spaces and line feeds between words, and NUL (RE2).
 ODD = (r"[ \n][ \n]|^[ \n]|[ \n]$|[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
