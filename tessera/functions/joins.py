@@ -1,15 +1,17 @@
 """Size-checked lookup joins: a big table looks values up in a fitted table.
 
-* the lookup table's row count is known (counted at fit): up to
-  ``broadcast_limit`` rows it is broadcast — a proven size bound — and the
-  join is a hash lookup with no shuffle of the big side;
+* the lookup table's rows and bytes are known (counted at fit): up to
+  ``BROADCAST_LIMIT`` rows and ``BROADCAST_BYTES`` bytes it is broadcast — a
+  proven size bound — and the join is a hash lookup with no shuffle of the
+  big side;
 * above that the join is a sort-merge join. Keys listed as *hot* (each holds
   a large share of the big side's rows; at most ``1 / share`` of them, so the
-  list is bounded) are salted: a hot row gets ``hash(row) mod salts``, the hot
-  lookup row is replicated once per salt, and the join runs on
-  ``(key, salt)``. A key holding a third of all rows then spreads over
-  ``salts`` join tasks instead of one. The salt is a hash of the row, so a
-  retried task computes the same assignment.
+  list is bounded) are salted: a hot row gets ``hash(row, partition) mod
+  salts``, the hot lookup row is replicated once per salt, and the join runs
+  on ``(key, salt)``. A key holding a third of all rows then spreads over
+  ``salts`` join tasks instead of one, equal rows too (by their partition).
+  The salt does not depend on the order of rows, so a retried task assigns
+  the same salts.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from .columns import q
 
 BROADCAST_LIMIT = 200_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
 
@@ -29,14 +32,14 @@ def lookup_join(big: DataFrame, small: DataFrame, big_key: Column, small_key: st
                 broadcast: bool, hot: Sequence = (), how: str = "left",
                 salts: int = SALTS) -> DataFrame:
     """``big ⋈ small`` on ``big_key = small[small_key]`` (see module doc).
-    ``broadcast`` must come from a counted size (≤ ``BROADCAST_LIMIT`` rows)."""
+    ``broadcast`` must come from a counted size (``fits_broadcast``)."""
     cond = big_key == F.col(q(small_key))
     if broadcast:
         return big.join(F.broadcast(small), cond, how)
     if not hot:
         return big.join(small, cond, how)
     hot_set = [F.lit(h) for h in hot]
-    row = F.xxhash64(*[F.col(q(c)) for c in big.columns])
+    row = F.xxhash64(F.spark_partition_id(), *[F.col(q(c)) for c in big.columns])
     salted = big.withColumn("__salt", F.when(big_key.isin(*hot_set), F.pmod(
         row, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
     rep = small.select("*", F.explode(F.when(F.col(q(small_key)).isin(*hot_set), F.sequence(
@@ -45,10 +48,25 @@ def lookup_join(big: DataFrame, small: DataFrame, big_key: Column, small_key: st
                  .drop("__salt", "__msalt")
 
 
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and (about) bytes of ``df``, counted in one job."""
+    width = F.lit(8)
+    for f in df.schema.fields:
+        text = F.col(q(f.name)).cast("string")
+        width = width + F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8)
+    r = df.agg(F.count("*").alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
+    return r["n"], r["b"] or 0
+
+
+def fits_broadcast(size: tuple[int, int], limit: int = BROADCAST_LIMIT) -> bool:
+    return size[0] <= limit and size[1] <= BROADCAST_BYTES
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """``df`` marked for broadcast when its counted size is within ``limit``
-    rows (a proven bound); otherwise left for a shuffled join."""
-    return F.broadcast(df) if df.count() <= limit else df
+    rows and ``BROADCAST_BYTES`` (a proven bound); otherwise left for a
+    shuffled join."""
+    return F.broadcast(df) if fits_broadcast(table_size(df), limit) else df
 
 
 def hot_keys(counts: DataFrame, key: str, n: str, share: float, by: str | None = None) -> dict:

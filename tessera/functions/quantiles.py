@@ -14,14 +14,19 @@ whatever the number of columns and probabilities:
    counted — ≤ 2·targets + 1 counters per column, combined map-side. That
    gives, per target, how many values lie below and inside its bracket, and
    verifies it (a bracket the sketch missed is widened to ``[min, max]``);
-3. only while a bracket holds more than ``max_bracket`` values: an
-   equal-width histogram inside it (``groupBy(target, bin)``) narrows it to
-   the bins that hold the ranks;
+3. only while more than ``max_bracket`` values lie strictly inside a bracket:
+   an equal-width histogram inside it (``groupBy(target, bin)``) narrows it to
+   the bin that holds the ranks; two ranks in different bins are the largest
+   value of the one and the smallest of the other, which ends the search;
 4. one group-by over the cells inside the final brackets: values equal to
    an endpoint are only counted, the open cells between endpoints are
    collected sorted (bounded by ``max_bracket`` per target).
 
-What reaches the driver is bounded by ``targets × max(bins, max_bracket)``.
+With ``by``, a small table of the groups' brackets is broadcast and joined, so
+the number of scans does not depend on the number of groups.
+
+What reaches the driver is bounded by ``targets × max(bins, max_bracket)``;
+repeated endpoint values travel as counts.
 
 ``interpolation='linear'``: ``x[k] + (x[k+1] − x[k])·frac`` at ``pos =
 p·(n − 1)`` (numpy "linear", DuckDB ``quantile_cont``). ``'inverted_cdf'``:
@@ -37,6 +42,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..session import has_shuffle
 from .columns import q
@@ -47,13 +53,6 @@ def _x(c: str) -> Column:
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 
-def _group_cond(by: Sequence[str], key: tuple) -> Column:
-    cond = F.lit(True)
-    for b, v in zip(by, key):
-        cond = cond & F.col(q(b)).eqNullSafe(F.lit(v))
-    return cond
-
-
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] | None = None, exact: bool = True,
               accuracy: int = 10000, max_bracket: int = 50000, bins: int = 1024,
@@ -135,8 +134,7 @@ def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_gr
             if not exact:
                 out[(key, c)] = [approx.get(p) for p in probs]
                 continue
-            slot = dict(key=key, col=c, n=n, min=r[f"lo{i}"], max=r[f"hi{i}"],
-                        cond=_group_cond(by, key), targets=[])
+            slot = dict(key=key, col=c, n=n, min=r[f"lo{i}"], max=r[f"hi{i}"], targets=[])
             for j, p in enumerate(probs):
                 if interpolation == "inverted_cdf":
                     k, frac = max(0, int(math.ceil(p * n)) - 1), 0.0
@@ -161,7 +159,7 @@ def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_gr
     # to sorting all rows, so the merged form is only used for few cells)
     merged = (all(4.0 * s["n"] / accuracy + 2 <= max_bracket for s in slots)
               and sum(2 * len(s["targets"]) + 1 for s in slots) * 2 <= 128)
-    counts = _cell_passes(data, slots, collect=merged, counts_too=merged)
+    counts = _cell_passes(data, slots, by, collect=merged, counts_too=merged)
     for s_id, s in enumerate(slots):
         cnt = counts.get(s_id, {})
         bounds = s["bounds"]
@@ -173,18 +171,20 @@ def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_gr
             below = sum(v for c, (v, _) in cnt.items() if c < c_lo)
             inside = sum(v for c, (v, _) in cnt.items() if c_lo <= c <= c_hi)
             t["done"] = merged
+            # values strictly between the endpoints: only these are ever collected
+            t["open"] = inside - cnt.get(c_lo, (0, None))[0] - cnt.get(c_hi, (0, None))[0]
             if below > t["k"] or below + inside <= t["k2"]:
-                below, inside, t["lo"], t["hi"] = 0, s["n"], s["min"], s["max"]
+                below, t["lo"], t["hi"], t["open"] = 0, s["min"], s["max"], s["n"]
                 t["done"] = False
-            t["below"], t["inside"] = below, inside
+            t["below"] = below
 
     # pass 3: histogram refinement of brackets that are still large
     for _ in range(64):
         wide = [(s, t) for s in slots for t in s["targets"]
-                if t["lo"] != t["hi"] and t["inside"] > max_bracket]
+                if t["lo"] != t["hi"] and t["open"] > max_bracket]
         if not wide:
             break
-        _refine(data, wide, bins)
+        _refine(data, wide, by, bins)
 
     # pass 4: sorted values of the open cells inside each (small) bracket
     todo = [s for s in slots if any(t["lo"] != t["hi"] and not t["done"] for t in s["targets"])]
@@ -192,17 +192,18 @@ def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_gr
         for s in todo:            # re-collect every bracket of these slots
             for t in s["targets"]:
                 t["done"] = False
-        cells = _cell_passes(data, todo, collect=True)
+        cells = _cell_passes(data, todo, by, collect=True)
         for s_id, s in enumerate(todo):
             s["cells"] = cells.get(s_id, {})
     for s in slots:
         for t in s["targets"]:
-            if t["lo"] == t["hi"]:
+            if "found" in t:
+                a, b = t["found"]
+            elif t["lo"] == t["hi"]:
                 a = b = t["lo"]
             else:
-                xs = _bracket_values(s, t)
-                a = xs[t["k"] - t["below"]]
-                b = xs[t["k2"] - t["below"]]
+                a = _value_at(s, t, t["k"] - t["below"])
+                b = _value_at(s, t, t["k2"] - t["below"])
             v = a if t["k2"] == t["k"] else a + (b - a) * t["frac"]
             out[(s["key"], s["col"])][t["j"]] = float(v)
     return out
@@ -211,24 +212,49 @@ def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_gr
 SLOTS_PER_JOB = 8
 
 
-def _cell_passes(data: DataFrame, slots: list[dict], collect: bool,
+def _cell_passes(data: DataFrame, slots: list[dict], by: list[str], collect: bool,
                  counts_too: bool = False) -> dict[int, dict]:
-    """``_cell_pass`` over chunks of ``SLOTS_PER_JOB`` slots, submitted
-    concurrently. Each chunk reads only its own columns (parquet is columnar,
-    so the bytes scanned match one wide job), and the per-row code of a chunk
-    stays small enough for the JIT to compile it."""
+    """``_cell_pass`` over chunks of ``SLOTS_PER_JOB`` columns (all their
+    groups), submitted concurrently. Each chunk reads only its own columns
+    (parquet is columnar, so the bytes scanned match one wide job), and the
+    per-row code of a chunk stays small enough for the JIT to compile it."""
     from concurrent.futures import ThreadPoolExecutor
-    parts = [slots[i:i + SLOTS_PER_JOB] for i in range(0, len(slots), SLOTS_PER_JOB)]
+    cols = list(dict.fromkeys(s["col"] for s in slots))
+    parts = []
+    for i in range(0, len(cols), SLOTS_PER_JOB):
+        chunk = set(cols[i:i + SLOTS_PER_JOB])
+        parts.append([j for j, s in enumerate(slots) if s["col"] in chunk])
     with ThreadPoolExecutor(max(1, min(4, len(parts)))) as ex:
-        res = list(ex.map(lambda p: _cell_pass(data, p, collect, counts_too), parts))
-    out: dict[int, dict] = {}
-    for i, r in enumerate(res):
-        for k, v in r.items():
-            out[i * SLOTS_PER_JOB + k] = v
-    return out
-
-
-def _cell_pass(data: DataFrame, slots: list[dict], collect: bool,
+        res = list(ex.map(lambda p: _cell_pass(data, [slots[j] for j in p], by, collect,
+                                               counts_too), parts))
+    return {p[k]: v for p, r in zip(parts, res) for k, v in r.items()}
+
+
+def _slot_rows(data: DataFrame, slots: list[dict], by: list[str]) -> DataFrame:
+    """``(slot, x)``: one row per value of each slot. A slot is a column or,
+    with ``by``, a column of one group: groups find their slot in a broadcast
+    table of one row per slot (at most ``max_groups`` groups)."""
+    if not by:
+        vals = [F.struct(F.lit(i).alias("slot"), F.col(q(s["col"])).alias("x"))
+                for i, s in enumerate(slots)]
+        return data.select(F.inline(F.array(*vals))).where(F.col("x").isNotNull())
+    cols = list(dict.fromkeys(s["col"] for s in slots))
+    types = [data.schema[b].dataType for b in by]
+    schema = StructType([StructField(f"__g{i}", t) for i, t in enumerate(types)]
+                        + [StructField("__c", IntegerType()), StructField("slot", IntegerType())])
+    where = data.sparkSession.createDataFrame(
+        [(*s["key"], cols.index(s["col"]), i) for i, s in enumerate(slots)], schema)
+    vals = [F.struct(F.lit(i).alias("__c"), F.col(q(c)).alias("x")) for i, c in enumerate(cols)]
+    long = (data.select(*[F.col(q(b)).alias(f"__k{i}") for i, b in enumerate(by)],
+                        F.inline(F.array(*vals)).alias("__k", "x"))
+            .where(F.col("x").isNotNull()))
+    cond = F.col("__k") == F.col("__c")
+    for i in range(len(by)):
+        cond = cond & F.col(f"__k{i}").eqNullSafe(F.col(f"__g{i}"))
+    return long.join(F.broadcast(where), cond).select("slot", "x")
+
+
+def _cell_pass(data: DataFrame, slots: list[dict], by: list[str], collect: bool,
                counts_too: bool = False) -> dict[int, dict]:
     """One group-by ``(slot, cell)``: counts, plus sorted values of the open
     cells inside the slot's brackets when ``collect``.
@@ -241,7 +267,7 @@ def _cell_pass(data: DataFrame, slots: list[dict], collect: bool,
     columns or 300. With ``counts_too`` every cell is counted while only the
     bracket cells are collected (count and collect in one pass).
     """
-    vals, bmap, rmap, lmap, hmap = [], [], [], [], []
+    bmap, rmap, lmap, hmap = [], [], [], []
     width = 1
     n_open = max(1, max(len([t for t in s["targets"] if t["lo"] != t["hi"]]) for s in slots))
     for s_id, s in enumerate(slots):
@@ -254,8 +280,6 @@ def _cell_pass(data: DataFrame, slots: list[dict], collect: bool,
     for s_id, s in enumerate(slots):
         bounds = s["bounds"]
         ts = [t for t in s["targets"] if t["lo"] != t["hi"]]
-        vals.append(F.struct(F.lit(s_id).alias("slot"),
-                             F.when(s["cond"], F.col(q(s["col"]))).alias("x")))
         padded = [float(b) for b in bounds] + [math.inf] * (size - len(bounds))
         bmap.append(F.array(*[F.lit(b) for b in padded]))
         if collect:
@@ -267,7 +291,7 @@ def _cell_pass(data: DataFrame, slots: list[dict], collect: bool,
             hmap.append(F.array(*[F.lit(float(t["hi"])) for t in ts], *[F.lit(-math.inf)] * pad))
     # one (slot, x) row per cell; the slot id is an int straight from the
     # generator, so filters pushed down to it stay cheap
-    long = data.select(F.inline(F.array(*vals))).where(F.col("x").isNotNull())
+    long = _slot_rows(data, slots, by)
     if collect and not counts_too:
         # keep only values inside a bracket, tested on x itself (a filter on
         # the cell id would be pushed below the search projections and inline
@@ -304,53 +328,52 @@ def _cell_pass(data: DataFrame, slots: list[dict], collect: bool,
     return out
 
 
-def _bracket_values(s: dict, t: dict) -> list[float]:
-    """Sorted values inside ``[lo, hi]``: endpoint cells expand to repeats of
-    the endpoint, open cells contribute their collected sorted values."""
+def _value_at(s: dict, t: dict, rank: int) -> float:
+    """The value ``rank`` places into ``[lo, hi]``: endpoint cells are runs of
+    one value, open cells their collected sorted values."""
     bounds, cells = s["bounds"], s["cells"]
-    c_lo = 2 * bisect_left(bounds, t["lo"]) + 1
-    c_hi = 2 * bisect_left(bounds, t["hi"]) + 1
-    xs: list[float] = []
-    for c in range(c_lo, c_hi + 1):
+    for c in range(2 * bisect_left(bounds, t["lo"]) + 1, 2 * bisect_left(bounds, t["hi"]) + 2):
         n, vals = cells.get(c, (0, None))
-        if c % 2 == 1:
-            xs.extend([bounds[(c - 1) // 2]] * n)
-        else:
-            xs.extend(vals or [])
-    return xs
+        if rank < n:
+            return bounds[(c - 1) // 2] if c % 2 else vals[rank]
+        rank -= n
+    raise IndexError("rank outside its bracket")
 
 
-def _refine(data: DataFrame, wide: list[tuple[dict, dict]], bins: int) -> None:
-    """Equal-width histogram inside each wide bracket; keep the bins holding
+def _refine(data: DataFrame, wide: list[tuple[dict, dict]], by: list[str], bins: int) -> None:
+    """Equal-width histogram inside each wide bracket; keep the bin holding
     the needed ranks (bins partition the sorted order: floor is monotone)."""
-    items = []
+    slots, rows = [], []
     for t_id, (s, t) in enumerate(wide):
-        x = F.col(q(s["col"]))
-        lo, hi = F.lit(t["lo"]), F.lit(t["hi"])
-        b = F.least(F.floor((x - lo) / (hi - lo) * F.lit(bins)), F.lit(bins - 1))
-        items.append(F.when(s["cond"] & x.between(lo, hi),
-                            F.struct(F.lit(t_id).alias("t"), b.cast("int").alias("b"),
-                                     x.alias("x"))))
-    rows = (data.select(F.explode(F.filter(F.array(*items), lambda e: e.isNotNull())).alias("e"))
-            .groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"))
-            .agg(F.count("*").alias("n"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
-            .collect())
+        if not any(s is o for o in slots):
+            slots.append(s)
+        slot = next(i for i, o in enumerate(slots) if s is o)
+        rows.append((slot, t_id, float(t["lo"]), float(t["hi"])))
+    targets = data.sparkSession.createDataFrame(rows, "slot int, t int, lo double, hi double")
+    half = F.lit(0.5)               # halves: the width of the widest range stays finite
+    x, lo, hi = F.col("x") * half, F.col("lo") * half, F.col("hi") * half
+    b = F.least(F.floor((x - lo) / (hi - lo) * F.lit(bins)), F.lit(bins - 1))
+    found = (_slot_rows(data, slots, by).join(F.broadcast(targets), "slot")   # one row per target
+             .where(F.col("x").between(F.col("lo"), F.col("hi")))
+             .groupBy("t", b.cast("int").alias("b"))
+             .agg(F.count("*").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+             .collect())
     per: dict[int, list] = {}
-    for r in rows:
+    for r in found:
         per.setdefault(r["t"], []).append((r["b"], r["n"], r["mn"], r["mx"]))
     for t_id, (_, t) in enumerate(wide):
-        seen, found, inside = t["below"], False, 0
-        for _b, n, mn, mx in sorted(per.get(t_id, [])):
-            if not found and seen + n > t["k"]:
-                found, t["below"], t["lo"] = True, seen, mn
-            if found:
-                inside += n
-                t["done"] = False
+        seen, low = t["below"], None
+        t["done"] = False
+        for _b, n, mn, mx in sorted(per[t_id]):
             if seen + n > t["k2"]:
-                t["hi"] = mx
+                if low is not None:          # neighbouring ranks in two bins
+                    t["found"], t["lo"], t["hi"] = (low, mn), low, low
+                else:
+                    t["below"], t["lo"], t["hi"], t["open"] = seen, mn, mx, n
                 break
+            if seen + n > t["k"]:
+                low = mx
             seen += n
-        t["inside"] = inside
 
 
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -36,11 +36,11 @@ def dense_index(df: DataFrame, group: str, order: str, out: str = "code") -> Dat
     n_parts = (max(counts) + 1) if counts else 1
     offsets, acc = [], 0
     for p in range(n_parts):
-        offsets.append(acc)
+        offsets.append((p, acc))
         acc += counts.get(p, 0)
-    g = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<bigint>"),
-                     F.col("__pid") + 1) + F.col("__loc")
-    t = numbered.select(F.col(q(group)), F.col(q(order)), g.alias("__g"))
+    starts = df.sparkSession.createDataFrame(offsets, "__pid int, __o bigint")
+    t = numbered.join(F.broadcast(starts), "__pid").select(      # one row per partition
+        F.col(q(group)), F.col(q(order)), (F.col("__o") + F.col("__loc")).alias("__g"))
     starts = t.groupBy(F.col(q(group))).agg(F.min("__g").alias("__s"))   # one row per group
     return (t.join(F.broadcast(starts), group, "inner")
             .select(F.col(q(group)), F.col(q(order)), (F.col("__g") - F.col("__s")).alias(out)))

@@ -1,18 +1,21 @@
 """Categorical encoders: one-hot, label, target, frequency.
 
-Fit runs **one** unpivot + group-by for all categorical columns together
-(partial aggregation map-side: a category holding a third of all rows is one
-counter per task). The fitted state is a category map ``(feature, category,
-code)``. Its size is counted before it is used:
+Fit reads its input **once**: one unpivot + group-by for all categorical
+columns together (partial aggregation map-side: a category holding a third of
+all rows is one counter per task) writes a counts table to the shared folder;
+sizes, totals, the global mean and the hot categories come from that table.
+The fitted state is a category map ``(feature, category, code)``, applied by
+its counted size (all forms give the same result):
 
 * up to ``literal_limit`` (64) entries the map is a literal ``map(...)[value]``
   lookup inside the projection — no join, no shuffle. A literal map lookup
   scans its keys, so it is only used while that is cheaper than a hash join
   (measured: 25 entries 0.6 s vs 1.5 s for a join; 1,000 entries 1.2 s vs
   0.5 s; 20,000 entries 12.5 s vs 0.6 s, over 600k rows);
-* up to ``broadcast_limit`` (200,000) entries the map is checkpointed to the
-  shared folder and **broadcast** — its size is counted, so the broadcast has
-  a proven bound — and applied as a hash lookup per row;
+* up to ``broadcast_limit`` (200,000) entries and 64 MB the map is
+  checkpointed to the shared folder and **broadcast** — rows and bytes are
+  counted, so the broadcast has a proven bound — and applied as a hash lookup
+  per row;
 * above that it is applied with a sort-merge equi-join per feature, **salted**
   for hot categories (those with more than ``hot_share`` of the fit rows, at
   most ``1 / hot_share`` of them): a hot category's rows spread over
@@ -30,8 +33,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import q, string_cols
-from ..functions.joins import BROADCAST_LIMIT, hot_keys, lookup_join
+from ..functions.columns import number, q, string_cols
+from ..functions.joins import BROADCAST_LIMIT, fits_broadcast, hot_keys, lookup_join, table_size
 from ..session import cut_lineage
 from .base import Fitted, replace_columns
 
@@ -44,7 +47,7 @@ def _cat_long(df: DataFrame, cols: Sequence[str], label: str | None = None) -> D
     """``(feature, category, [__y])`` rows for every categorical cell."""
     sel = [F.col(q(c)).cast("string").alias(c) for c in cols]
     if label:
-        wide = df.select(F.col(q(label)).cast("double").alias("__y"), *sel)
+        wide = df.select(number(label).alias("__y"), *sel)
         return wide.unpivot([F.col("__y")], list(cols), "feature", "category")
     return df.select(*sel).unpivot([], list(cols), "feature", "category")
 
@@ -126,12 +129,11 @@ class FittedMap(Fitted):
             self.table.write.mode("overwrite").parquet(path + "/table")
 
 
-def hot_categories(long: DataFrame, share: float) -> dict[str, list[str]]:
+def hot_categories(counts: DataFrame, share: float) -> dict[str, list[str]]:
     """Categories holding more than ``share`` of a feature's rows — at most
     ``1 / share`` per feature, so the list is bounded whatever the data size."""
-    counts = (long.where(F.col("category").isNotNull())
-              .groupBy("feature", "category").agg(F.count("*").alias("n")))
-    return hot_keys(counts, "category", "n", share, by="feature")
+    return hot_keys(counts.where(F.col("category").isNotNull()), "category", "n", share,
+                    by="feature")
 
 
 class FittedOneHot(Fitted):
@@ -189,46 +191,49 @@ class Encoder:
         cols = self._cols(df)
         if self.strategy == "onehot":
             return self._fit_onehot(df, cols)
-        long = _cat_long(df, cols, self.label if self.strategy == "target" else None)
         spark = df.sparkSession
         default, null_code = {}, {}
+        with_label = self.strategy == "target"
+        long = _cat_long(df, cols, self.label if with_label else None)
+        if self.strategy == "label":
+            long = long.withColumn("category", F.coalesce("category", F.lit(NULL_TOKEN)))
+        aggs = [F.count("*").alias("n")]
+        if with_label:
+            aggs += [F.sum("__y").alias("s"), F.count("__y").alias("m")]
+        # the only pass over the input: one row per (feature, category)
+        counts = cut_lineage(long.groupBy("feature", "category").agg(*aggs))
+        known = counts.where(F.col("category").isNotNull())
+        if with_label:      # a category without any label takes the default, as an unseen one
+            known = known.where(F.col("m") > 0)
+            default = {c: self.default for c in cols}
+            if self.default is None:
+                totals = counts.groupBy("feature").agg(
+                    F.try_divide(F.sum("s"), F.sum("m")).alias("mean")).collect()
+                default = {r["feature"]: r["mean"] for r in totals}      # one row per feature
+        size = table_size(known.select("feature", "category", F.lit(0.0).alias("code")))
         if self.strategy == "label":
             # category → 0..k-1 in sorted order of the string form (null → 'nan');
             # small maps are ranked on the driver, large ones by a distributed
             # dense index (no window holding a whole feature)
-            cats = (long.select("feature", F.coalesce("category", F.lit(NULL_TOKEN)).alias("category"))
-                    .distinct())
-            n_cats = cats.count()
-            if n_cats <= self.literal_limit:
+            if size[0] <= self.literal_limit:
                 per: dict[str, list] = {}
-                for r in cats.collect():
+                for r in known.collect():
                     per.setdefault(r["feature"], []).append(r["category"])
                 rows = [(f, c, float(i)) for f, vs in per.items() for i, c in enumerate(sorted(vs))]
                 table = spark.createDataFrame(rows, "feature string, category string, code double")
             else:
                 from ..functions.rank import dense_index
-                table = dense_index(cats, "feature", "category", "code") \
+                table = dense_index(known, "feature", "category", "code") \
                     .select("feature", "category", F.col("code").cast("double").alias("code"))
         elif self.strategy == "frequency":
-            counts = (long.where(F.col("category").isNotNull())
-                      .groupBy("feature", "category").agg(F.count("*").alias("n")))
-            totals = counts.groupBy("feature").agg(F.sum("n").alias("__t"))  # one row per feature
-            table = counts.join(F.broadcast(totals), "feature").select(
+            totals = known.groupBy("feature").agg(F.sum("n").alias("__t"))   # one row per feature
+            table = known.join(F.broadcast(totals), "feature").select(
                 "feature", "category", (F.col("n") / F.col("__t")).alias("code"))
         else:
-            grp = long.groupBy("feature", "category").agg(
-                F.sum("__y").alias("s"), F.count("__y").alias("n"))
-            # a category without any label has no code: it takes the default, as an unseen one
-            table = (grp.where(F.col("category").isNotNull() & (F.col("n") > 0))
-                     .select("feature", "category", (F.col("s") / F.col("n")).alias("code")))
-            if self.default is None:
-                g = df.agg(F.avg(F.col(q(self.label)).cast("double"))).first()[0]
-                default = {c: g for c in cols}
-            else:
-                default = {c: self.default for c in cols}
-        size = table.count()
-        literal = None
-        if size <= self.literal_limit:
+            table = known.select("feature", "category", (F.col("s") / F.col("m")).alias("code"))
+        literal, hot = None, {}
+        broadcast = False
+        if size[0] <= self.literal_limit:
             literal = {c: {} for c in cols}
             for r in table.collect():
                 literal[r["feature"]][r["category"]] = r["code"]
@@ -240,16 +245,15 @@ class Encoder:
             if self.strategy == "label":
                 for r in table.where(F.col("category") == NULL_TOKEN).collect():
                     null_code[r["feature"]] = r["code"]
-        broadcast = literal is None and size <= self.broadcast_limit
-        hot = {}
-        if literal is None and not broadcast:
-            hot = hot_categories(long, self.hot_share)
-        return FittedMap(self.strategy, cols, table, size, self.literal_limit,
+            broadcast = fits_broadcast(size, self.broadcast_limit)
+            if not broadcast:
+                hot = hot_categories(counts, self.hot_share)
+        return FittedMap(self.strategy, cols, table, size[0], self.literal_limit,
                          default, null_code, self.handle_unseen, literal,
                          broadcast=broadcast, hot=hot)
 
     def _fit_onehot(self, df: DataFrame, cols: list[str]) -> FittedOneHot:
-        long = _cat_long(df, cols).distinct()
+        long = cut_lineage(_cat_long(df, cols).distinct())
         per = long.groupBy("feature").agg(F.count("*").alias("k"))
         big = per.where(F.col("k") > self.max_categories).collect()
         if big:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import q
-from ..functions.joins import BROADCAST_LIMIT, hot_keys, lookup_join
+from ..functions.joins import BROADCAST_LIMIT, fits_broadcast, hot_keys, lookup_join, table_size
 from ..session import cut_lineage
 
 # The reference's configured ensemble weights.
@@ -56,15 +56,14 @@ def group_mean_predictions(df: DataFrame, key: str, label: str,
         fit.select(y.alias("__y"), tags())
         .groupBy(mkey(F.col("__m.model"), F.col("__m.__g")).alias("__mk"))
         .agg(F.avg("__y").alias("p"), F.count("*").alias("__n")))
-    n_means = means.count()
-    hot = [] if n_means <= BROADCAST_LIMIT else \
-        hot_keys(means, "__mk", "__n", 1e-3).get(None, [])
+    small = fits_broadcast(table_size(means), BROADCAST_LIMIT)
+    hot = [] if small else hot_keys(means, "__mk", "__n", 1e-3).get(None, [])
     rows = (df.select(F.col(q(key)), *[F.col(q(c)) for c in carry], y.alias("y"), tags())
             .select(F.col("__m.model").alias("model"),
                     mkey(F.col("__m.model"), F.col("__m.__g")).alias("__k"),
                     F.col(q(key)), *[F.col(q(c)) for c in carry], "y"))
     j = lookup_join(rows, means.select("__mk", "p"), F.col("__k"), "__mk",
-                    broadcast=n_means <= BROADCAST_LIMIT, hot=hot)
+                    broadcast=small, hot=hot)
     return j.select("model", F.col(q(key)), *[F.col(q(c)) for c in carry], "y", "p")
 
 
@@ -150,23 +149,38 @@ def group_mean_cv(df: DataFrame, key: str, label: str, groups: Sequence[str], k:
     One aggregate gives label sums per ``(group, fold)``; the out-of-fold mean
     of a row's group is ``(S_g − S_g,f) / (N_g − N_g,f)`` (falling back to the
     out-of-fold global mean when the group is absent from the other folds).
-    Returns ``(fold, key, y, p)``; both aggregates are one row per group×fold.
+    Rows find their group's sums — one row per group, holding its k folds — by
+    ``lookup_join``: broadcast when counted small, else hot groups salted.
+    Returns ``(fold, key, y, p)``.
     """
     from .split import fold_of
     y = F.col(q(label)).cast("double")
-    d = df.select(F.col(q(key)), *[F.col(q(g)) for g in groups], y.alias("__y"),
+    names = [F.col(q(g)) for g in groups]
+    text = names[0].cast("string") if len(names) == 1 else F.to_json(F.struct(*names))
+    known = F.lit(True)
+    for c in names:
+        known = known & c.isNotNull()
+    d = df.select(F.col(q(key)), F.when(known, text).alias("__g"), y.alias("__y"),
                   fold_of(key, k, seed, method).alias("fold"))
-    # one row per (group, fold); written once to the shared folder so its three
-    # uses below do not re-aggregate the data
-    s = cut_lineage(d.groupBy(*groups, "fold").agg(F.sum("__y").alias("__s"),
-                                                   F.count("__y").alias("__n")))
-    tot = s.groupBy(*groups).agg(F.sum("__s").alias("__st"), F.sum("__n").alias("__nt"))
+    # one row per (group, fold); written once to the shared folder so its uses
+    # below do not re-aggregate the data
+    s = cut_lineage(d.groupBy("__g", "fold").agg(F.sum("__y").alias("__s"),
+                                                 F.count("__y").alias("__n"),
+                                                 F.count("*").alias("__rows")))
+    of = s.where(F.col("__g").isNotNull()).groupBy(F.col("__g").alias("__key")).agg(
+        F.sum("__s").alias("__st"), F.sum("__n").alias("__nt"), F.sum("__rows").alias("__rows"),
+        F.map_from_entries(F.collect_list(F.struct("fold", F.struct("__s", "__n")))).alias("__f"))
     fs = s.groupBy("fold").agg(F.sum("__s").alias("__fs"), F.sum("__n").alias("__fn"))
     g = s.agg(F.sum("__s").alias("__gs"), F.sum("__n").alias("__gn")).first()
-    j = d.join(s, [*groups, "fold"], "left").join(tot, list(groups), "left") \
-         .join(F.broadcast(fs), "fold", "left")
-    grp = F.try_divide(F.col("__st") - F.col("__s"), (F.col("__nt") - F.col("__n")).cast("double"))
-    glob = F.try_divide(F.lit(g["__gs"]) - F.col("__fs"),
+    small = fits_broadcast(table_size(of), BROADCAST_LIMIT)
+    hot = [] if small else hot_keys(of, "__key", "__rows", 1e-3).get(None, [])
+    j = lookup_join(d, of.drop("__rows"), F.col("__g"), "__key", broadcast=small, hot=hot) \
+        .join(F.broadcast(fs), "fold", "left")
+    own = F.try_element_at(F.col("__f"), F.col("fold"))
+    # a fold without labels has a null sum: nothing to take off
+    grp = F.try_divide(F.col("__st") - F.coalesce(own["__s"], F.lit(0.0)),
+                       (F.col("__nt") - own["__n"]).cast("double"))
+    glob = F.try_divide(F.lit(g["__gs"]) - F.coalesce(F.col("__fs"), F.lit(0.0)),
                         (F.lit(g["__gn"]) - F.col("__fn")).cast("double"))
     return j.select("fold", F.col(q(key)), F.col("__y").alias("y"),
                     F.coalesce(grp, glob).alias("p"))

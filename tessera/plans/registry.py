@@ -8,6 +8,7 @@ statistics come from the fit subset only (``split = 'train'``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import NA_TOKENS, round6
 from ..operators import clean, profile, scale, split
+from ..session import ensure_checkpoint_dir
 from ..sources import scan
 from . import inputs as I
 
@@ -460,6 +462,112 @@ def q_encode_frequency(spark, d):
                                                 for c in ("p_brand", "p_type")])
 
 
+# Large maps: customers as text, some without any label; both join forms must
+# give the table that the SQL gives.
+_WIDE = """
+w AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust, nullif(o_orderpriority, '5-LOW') AS prio,
+             CASE WHEN o_custkey % 7 <> 0 THEN o_totalprice END AS price FROM orders),
+fit AS (SELECT * FROM w WHERE o_orderkey % 5 <> 0)"""
+_WIDE_TARGET = f"""
+WITH {_WIDE},
+g AS (SELECT avg(price) AS gm FROM fit),
+c AS (SELECT cust, avg(price) AS code FROM fit GROUP BY 1 HAVING count(price) > 0),
+p AS (SELECT prio, avg(price) AS code FROM fit GROUP BY 1 HAVING count(price) > 0)
+SELECT o_orderkey, {r6('cust', 'coalesce(c.code, g.gm)')}, {r6('prio', 'coalesce(p.code, g.gm)')}
+FROM w LEFT JOIN c USING (cust) LEFT JOIN p USING (prio), g
+"""
+
+
+def _wide(spark, d):
+    o = I.table(spark, d, "orders")
+    return o.select("o_orderkey", F.col("o_custkey").cast("string").alias("cust"),
+                    F.nullif("o_orderpriority", F.lit("5-LOW")).alias("prio"),
+                    F.when(F.col("o_custkey") % 7 != 0, F.col("o_totalprice")).alias("price"))
+
+
+def _wide_target(spark, d, **kw):
+    from ..operators.encode import Encoder
+    w = _wide(spark, d)
+    f = Encoder("target", cols=["cust", "prio"], label="price", **kw).fit(w.where(TRAIN()))
+    return f.transform(w).select("o_orderkey", round6(F.col("cust")).alias("cust"),
+                                 round6(F.col("prio")).alias("prio"))
+
+
+@register("encode_target_broadcast", _WIDE_TARGET)
+def q_encode_target_broadcast(spark, d):
+    return _wide_target(spark, d)
+
+
+@register("encode_target_salted", _WIDE_TARGET)
+def q_encode_target_salted(spark, d):
+    return _wide_target(spark, d, broadcast_limit=0)
+
+
+@register("encode_label_large", f"""
+WITH {_WIDE},
+c AS (SELECT cust, dense_rank() OVER (ORDER BY cust) - 1 AS code FROM (SELECT DISTINCT cust FROM fit)),
+p AS (SELECT prio, dense_rank() OVER (ORDER BY prio) - 1 AS code
+      FROM (SELECT DISTINCT coalesce(prio, 'nan') AS prio FROM fit))
+SELECT o_orderkey, CAST(coalesce(c.code, -1) AS BIGINT) AS cust, CAST(coalesce(p.code, -1) AS BIGINT) AS prio
+FROM w LEFT JOIN c USING (cust) LEFT JOIN p ON coalesce(w.prio, 'nan') = p.prio
+""")
+def q_encode_label_large(spark, d):
+    from ..operators.encode import Encoder
+    w = _wide(spark, d)
+    f = Encoder("label", cols=["cust", "prio"], handle_unseen="keep").fit(w.where(TRAIN()))
+    return f.transform(w).select("o_orderkey", "cust", "prio")
+
+
+# A cell that holds NaN is a missing cell in every fit.
+@register("fit_nan", f"""
+WITH w AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS x FROM lineitem),
+s AS (SELECT avg(x) AS m FROM w),
+f AS (SELECT l_orderkey, l_linenumber, coalesce(x, m) AS mean_x FROM w, s),
+t AS (SELECT avg(mean_x) AS mu, stddev_pop(mean_x) AS sd FROM f)
+SELECT l_orderkey, l_linenumber, {r6('x', '(mean_x - mu) / sd')} FROM f, t
+""")
+def q_fit_nan(spark, d):
+    li = I.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_linenumber") != 3, F.col("l_quantity").cast("double"))
+         .otherwise(F.lit(float("nan"))).alias("x"))
+    full = clean.Imputer("mean", cols=["x"]).fit(li).transform(li)
+    out = scale.Scaler("standard", cols=["x"]).fit(full).transform(full)
+    return out.select("l_orderkey", "l_linenumber", round6(F.col("x")).alias("x"))
+
+
+@register("impute_drop", """
+SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority <> '5-LOW'
+""")
+def q_impute_drop(spark, d):
+    o = I.table(spark, d, "orders").select(
+        "o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"))
+    return clean.drop_missing(o, ["o_orderpriority"])
+
+
+@register("scan_ids", "SELECT o_orderkey FROM orders")
+def q_scan_ids(spark, d):
+    return scan.load_ids(spark, f"{d}/orders.parquet", "o_orderkey")
+
+
+# Orders written as CSV to the shared folder and read back: NA tokens, quotes
+# and commas in cells, inferred types.
+@register("scan_csv", f"""
+SELECT o_orderkey, o_custkey, {r6('o_totalprice')}, nullif(o_orderpriority, '5-LOW') AS o_orderpriority,
+       'a "' || o_orderstatus || '", b' AS note FROM orders
+""")
+def q_scan_csv(spark, d):
+    o = I.table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice",
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("N/A"))
+         .otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.concat(F.lit('a "'), F.col("o_orderstatus"), F.lit('", b')).alias("note"))
+    path = f"{ensure_checkpoint_dir(spark)}/scan_csv-{uuid.uuid4().hex}"
+    o.write.option("header", True).option("escape", '"').csv(path)
+    out = scan.read_csv(spark, path)
+    return out.withColumn("o_totalprice", round6(F.col("o_totalprice")))
+
+
 # ---------------------------------------------------------------------- chain
 
 CHAIN_NUM = ["o_year", "n_lines", "qty", "disc"]
@@ -775,6 +883,20 @@ def q_select_vote(spark, d):
     return v.select("feature", "votes", round6(F.col("score")).alias("score"), "rank", "selected")
 
 
+@register("select_min_votes", f"""
+WITH {_SEL_SQL},
+v AS (SELECT o.feature, o.ordinal, CAST(count(s.method) AS BIGINT) AS votes,
+             coalesce(avg(s.score), 0.0) AS score
+      FROM ord o LEFT JOIN sel s ON o.feature = s.feature GROUP BY o.feature, o.ordinal),
+r AS (SELECT *, CAST(row_number() OVER (ORDER BY votes DESC, score DESC, ordinal) AS BIGINT) AS rank FROM v)
+SELECT feature, votes, rank, rank <= 3 AND votes >= 2 AS selected FROM r
+""")
+def q_select_min_votes(spark, d):
+    from ..operators import select
+    v = select.vote(_selections(spark, d), LI_ALL, min_features=2, max_features=200, min_votes=2)
+    return v.select("feature", "votes", "rank", "selected")
+
+
 @register("importance_ranking", f"""
 WITH {_SEL_SQL},
 mo AS (SELECT 'Boruta' AS method, 0 AS mo UNION ALL SELECT 'Permutation', 1
@@ -1137,6 +1259,21 @@ def q_prediction_summary(spark, d):
                     round6(F.col("max_prediction")).alias("max_prediction"))
 
 
+@register("prediction_sink", f"""
+WITH {I.SQL_PREDICTIONS}
+SELECT model, CAST(count(*) AS BIGINT) AS n_rows, {r6('min_prediction', 'min(p)')},
+       {r6('max_prediction', 'max(p)')} FROM pred GROUP BY model
+""")
+def q_prediction_sink(spark, d):
+    """The prediction table written by model to the shared folder, read back and summed up."""
+    from ..sources import sinks
+    path = f"{ensure_checkpoint_dir(spark)}/prediction_sink-{uuid.uuid4().hex}"
+    sinks.write_predictions(_pred(spark, d), path)
+    s = sinks.prediction_summary(sinks.read_predictions(spark, path), model_col="model", pred_col="p")
+    return s.select("model", "n_rows", round6(F.col("min_prediction")).alias("min_prediction"),
+                    round6(F.col("max_prediction")).alias("max_prediction"))
+
+
 # ------------------------------------------------- cross-validation / search
 
 _CV_GROUPS = {"by_priority": ["o_orderpriority"], "by_status": ["o_orderstatus"],

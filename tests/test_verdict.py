@@ -72,3 +72,64 @@ def test_search_raises_other_errors(spark):
     with pytest.raises(ValueError):
         learn.random_search(df, ["x"], "y", lambda **_: (_ for _ in ()).throw(ValueError("bad")),
                             {"maxDepth": ("int", 2, 3)}, "id", n_trials=2)
+
+
+def test_balanced_flag_needs_no_refinement(spark, monkeypatch):
+    from tessera.functions import quantiles as qs
+    df = spark.range(4000).select((F.col("id") % 2).cast("double").alias("x"))
+    monkeypatch.setattr(qs, "_refine", lambda *a: pytest.fail("a bracket without inner values was refined"))
+    assert qs.column_quantiles(df, ["x"], [0.25, 0.5, 0.75], max_bracket=10)["x"] == [0.0, 0.5, 1.0]
+
+
+@pytest.mark.parametrize("bracket", [5, 50000])
+def test_grouped_quantiles_by_join(spark, bracket):
+    import numpy as np
+    from tessera.functions.quantiles import quantiles
+    rng = np.random.default_rng(5)
+    rows = [(None if g == 0 else f"g{g}", g % 2, float(v), float(rng.integers(0, 3)))
+            for g in range(12) for v in np.concatenate([rng.normal(size=200), [1e308, -1e308]])]
+    df = spark.createDataFrame(rows, "g string, h int, x double, y double")
+    got = quantiles(df, ["x", "y"], [0.1, 0.5, 0.9], by=["g", "h"], max_bracket=bracket, accuracy=20)
+    for (g, h), i, c in {((r[0], r[1]), i, c) for r in rows for i, c in ((2, "x"), (3, "y"))}:
+        want = np.quantile([r[i] for r in rows if (r[0], r[1]) == (g, h)], [0.1, 0.5, 0.9])
+        assert got[((g, h), c)] == pytest.approx(list(want), rel=1e-12)
+
+
+def test_equal_hot_rows_get_several_salts(spark):
+    from tessera.functions.joins import lookup_join
+    big = spark.range(300).repartition(8).select(F.lit("hot").alias("k"))
+    small = spark.createDataFrame([("hot", 1.0), ("cold", 2.0)], "c string, v double")
+    out = lookup_join(big, small, F.col("k"), "c", broadcast=False, hot=["hot"])
+    assert out.agg(F.count("*"), F.sum("v")).first() == (300, 300.0)
+    salts = big.select(F.pmod(F.xxhash64(F.spark_partition_id(), "k"), F.lit(64))).distinct().count()
+    assert salts > 1
+
+
+def test_group_mean_cv_salted_equals_broadcast(spark, monkeypatch):
+    rows = [(i, None if i % 11 == 0 else ("hot" if i % 3 else f"c{i % 40}"), i % 2,
+             None if i % 13 == 0 else float(i % 7)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, g string, h int, y double")
+    for groups in (["g"], ["g", "h"]):
+        def run():
+            return sorted(map(tuple, ensemble.group_mean_cv(df, "id", "y", groups, k=4, method="modulo").collect()), key=repr)
+        with monkeypatch.context() as m:
+            want = run()
+            m.setattr(ensemble, "BROADCAST_LIMIT", 0)
+            got = run()
+        assert len(got) == 400 and [r[:3] for r in got] == [r[:3] for r in want]
+        assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
+
+
+def test_encoder_reads_its_input_once(spark):
+    acc = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for b in parts:
+            acc.add(b.num_rows)
+            yield b
+    base = spark.createDataFrame([(f"c{i % 90}", float(i)) for i in range(360)], "c string, y double")
+    for how in ("label", "target", "frequency", "onehot"):
+        before = acc.value
+        df = base.mapInArrow(count, base.schema)
+        encode.Encoder(how, cols=["c"], label="y", broadcast_limit=0).fit(df)
+        assert acc.value - before == 360, how
