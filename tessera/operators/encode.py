@@ -189,6 +189,10 @@ class Encoder:
 
     def fit(self, df: DataFrame) -> Fitted:
         cols = self._cols(df)
+        if not cols:        # nothing to encode: the frame stays as it is
+            return (FittedOneHot([], {}, list(self.keep if self.keep is not None else df.columns))
+                    if self.strategy == "onehot" else
+                    FittedMap(self.strategy, [], None, 0, self.literal_limit, literal={}))
         if self.strategy == "onehot":
             return self._fit_onehot(df, cols)
         spark = df.sparkSession

@@ -49,7 +49,9 @@ def train_and_score(train: DataFrame, score: DataFrame, key: str, label: str,
 
     Returns ``predictions`` (long: model, key, prediction), ``ensemble``
     (key, prediction), ``train_metrics`` (per model), ``selected`` (vote
-    table) and, when ``score`` carries the label, ``score_metrics``.
+    table) and, when ``score`` carries the label, ``score_metrics`` and
+    ``ranking`` (the members and the ensemble, best first). With ``out_dir`` the
+    members go there and the ensemble to ``<out_dir>_ensemble``.
     """
     has_label = label in score.columns
     if not has_label:
@@ -92,6 +94,7 @@ def train_and_score(train: DataFrame, score: DataFrame, key: str, label: str,
     long = preds[0]
     for p in preds[1:]:
         long = long.unionByName(p)
+    long = cut_lineage(long)        # scored once; read by ensemble, metrics and sink
     ens = ensemble.weighted_average(long, key, weights, models=list(learners),
                                     pred_col="prediction")
     out = {"predictions": long.select("model", key, "prediction"), "ensemble": ens,
@@ -100,8 +103,14 @@ def train_and_score(train: DataFrame, score: DataFrame, key: str, label: str,
         out["selected"] = vote_table
     if has_label:
         out["score_metrics"] = evaluate.metrics(long, label, "prediction", by=["model"])
+        truth = long.where(F.col("model") == learners[0]).select(key, label)
+        both = evaluate.metrics(ens.join(truth, key).withColumn("model", F.lit("ensemble")),
+                                label, "prediction", by=["model"])
+        out["ranking"] = evaluate.rank_models(out["score_metrics"].unionByName(both))
     if out_dir:
         sinks.write_predictions(out["predictions"], out_dir)
+        sinks.write_predictions(ens.withColumn("model", F.lit("ensemble")),
+                                f"{out_dir.rstrip('/')}_ensemble")
     return out
 
 

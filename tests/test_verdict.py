@@ -133,3 +133,17 @@ def test_encoder_reads_its_input_once(spark):
         df = base.mapInArrow(count, base.schema)
         encode.Encoder(how, cols=["c"], label="y", broadcast_limit=0).fit(df)
         assert acc.value - before == 360, how
+
+
+def test_job_ranks_and_saves_the_ensemble(spark, tmpdir_path):
+    from tessera.plans.jobs import train_and_score
+    df = spark.createDataFrame([(i, float(i % 37), float(i % 5), float(i % 37) * 3 + i % 5) for i in range(300)],
+                               "id int, a double, b double, y double")
+    out = train_and_score(df.where("id % 5 <> 0"), df.where("id % 5 = 0"), "id", "y",
+                          learners=("random_forest", "xgboost"), select_features=False,
+                          forest_params={"numTrees": 5, "maxDepth": 4},
+                          gbt_params={"maxIter": 4, "maxDepth": 3}, out_dir=f"{tmpdir_path}/preds")
+    rank = out["ranking"].orderBy("rank").collect()
+    assert {r.model for r in rank} == {"random_forest", "xgboost", "ensemble"} and rank[0].is_best
+    assert rank[0].rmse <= rank[1].rmse <= rank[2].rmse
+    assert spark.read.parquet(f"{tmpdir_path}/preds_ensemble").count() == 60
