@@ -3,14 +3,18 @@
 1. Markup is stripped to lines: one a text block (block-level tags end a line).
    Text inside scripts, styles, forms, navigation, headers, footers, sidebars and
    elements whose class or id names an advert, a notice, comments and the like
-   is blank: it leaves lines of length zero.
-2. The length of a window of ``WINDOW`` lines from each line on makes the
-   distribution over lines. Text surges where a line with text opens a run and
-   dives at the line from which the windows are empty; the text between surge and
-   dive is a run. Outside a declared article, runs below ``LEAST`` characters, and
-   lines that are mostly links, are no content.
-3. If the page declares its article (article or main element), its runs are the
-   text; else all runs that are left.
+   is left out, and so are lines without text. If the page declares its article
+   (article or main element), only its lines count.
+2. The distribution over these lines is the sum of their text outside links in
+   each window of ``WINDOW`` lines. It dives where the sum is under ``LINK_SHARE`` of
+   all characters in the window and most of its lines are links: a list of links.
+   Lines there that are mostly links, the page's title (h1) apart, end a run and are
+   no content.
+3. The text surges in a run of ``LEAST`` characters or more. Content goes from the
+   first such run to the last one, with every line between them whatever its
+   length, and from the title if that is before; without such a run
+   it is all runs. Outside a declared article, single lines that are mostly links
+   are left out too. A declared article of nothing but links is kept as it is.
 """
 
 from __future__ import annotations
@@ -66,20 +70,20 @@ def is_boilerplate(tag: str, attributes: str) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """``(text, linked characters, in an article)`` per line; blank lines have an empty text."""
-    out: list[tuple[str, int, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
+    """``(text, linked characters, in an article, is an h1)`` per line; blank lines have an empty text."""
+    out: list[tuple[str, int, bool, bool]] = []
     piece: list[str] = []
     linked = 0
     open_tags: list[tuple[str, bool, bool]] = []  # name, dropped from here on, in an article
-    dropped = article = False
+    dropped = article = title = False
     anchors = breaks = 0
     seen = False  # an article or main element
 
     def end_line():
         nonlocal linked
         text = BLANK.sub(" ", entities.unescape("".join(piece))).strip()
-        out.append((text, min(linked, len(text)), article))
+        out.append((text, min(linked, len(text)), article, title))
         piece.clear()
         linked = 0
 
@@ -127,6 +131,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             anchors = 0 if closing else 1
         if tag not in INLINE:
             end_line()
+            title = tag == "h1" and not closing
         if tag in VOID or tag in RAW:
             continue
         if not closing:
@@ -153,39 +158,44 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return out
 
 
-def runs(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
-    """Line ranges between surge and dive points of the distribution."""
-    n = len(lengths)
-    if not n:
-        return []
-    total = np.concatenate(([0], np.cumsum(lengths)))
-    block = total[np.minimum(np.arange(n) + window, n)] - total[:n]
-    out, start = [], None
-    for i in range(n):
-        if start is None:
-            if lengths[i]:
-                start = i
-        elif not block[i]:
-            out.append((start, i))
-            start = None
-    if start is not None:
-        out.append((start, n))
+def dives(chars: np.ndarray, plain: np.ndarray, links: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Which lines lie in a window, mostly of links, where the sum of ``plain`` is under its share of that of ``chars``."""
+    n = len(chars) - window + 1
+    out = np.zeros(len(chars), bool)
+    if n > 0:
+        total, text, linked = (np.convolve(x, np.ones(window, np.int64), "valid") for x in (chars, plain, links))
+        low = (text < (1 - LINK_SHARE) * total) & (2 * linked > window)
+        for k in range(window):
+            out[k:k + n] |= low
     return out
 
 
+def content(chars: np.ndarray, linked: np.ndarray, title: np.ndarray, declared: bool) -> np.ndarray:
+    """Which lines, all with text, lie between surge and dive and are no links."""
+    if declared:
+        return np.ones(len(chars), bool)
+    links = linked > LINK_SHARE * chars
+    cut = links & dives(chars, chars - linked, links) & ~title
+    keep = ~(cut if declared else links)
+    if declared and not keep.any():
+        return ~keep
+    run = np.cumsum(cut)
+    surges = np.flatnonzero(np.bincount(run, np.where(keep, chars, 0)) >= LEAST)
+    if len(surges):
+        keep &= (run >= min(surges[0], run[title & keep].min(initial=surges[0]))) & (run <= surges[-1])
+    return keep
+
+
 def main_text(page: str | None) -> str:
     """The blocks of the article, joined by blank lines; empty if there is none."""
-    if not page:
+    lines = [line for line in lines_of(page) if line[0]] if page else []
+    declared = any(line[2] for line in lines)
+    lines = [line for line in lines if line[2] or not declared]
+    if not lines:
         return ""
-    lines = lines_of(page)
-    declared = any(inside and text for text, _, inside in lines)
-    keep = [bool(text) and (inside if declared else linked <= LINK_SHARE * len(text))
-            for text, linked, inside in lines]
-    lengths = np.array([len(line[0]) if k else 0 for line, k in zip(lines, keep)], np.int64)
-    found = runs(lengths)
-    if not declared and any(lengths[a:b].sum() >= LEAST for a, b in found):
-        found = [(a, b) for a, b in found if lengths[a:b].sum() >= LEAST]
-    return "\n\n".join(lines[i][0] for a, b in found for i in range(a, b) if keep[i])
+    texts, linked, _, title = zip(*lines)
+    keep = content(np.array([len(t) for t in texts], np.int64), np.array(linked, np.int64), np.array(title), declared)
+    return "\n\n".join(t for t, k in zip(texts, keep) if k)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -123,6 +123,18 @@ def test_main_text(spark):
     assert blockdist.extract(df.where("false")).count() == 0
 
 
+def test_main_text_of_undeclared_page():
+    """Short blocks in wrappers of their own, and short blocks between long ones, are content."""
+    long = ("word " * 40).strip()
+    wrap = lambda t: f"<section><div><div><p>{t}</p></div></div></section>"
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Topic number {i}</a></li>" for i in range(5)) + "</ul>"
+    blocks = ["Short lead.", long, "Caption", "Item one", "Item two", long, "End."]
+    page = "<body>" + "<div>Welcome</div>" + links + "<h1>Head</h1>" + links + "".join(map(wrap, blocks)) \
+        + links + wrap("Mid") + wrap(long) + links + "<div>Imprint</div></body>"
+    assert blockdist.main_text(page) == "\n\n".join(["Head", *blocks, "Mid", long])
+    assert blockdist.main_text(wrap("One.") + wrap("Two.")) == "One.\n\nTwo."
+
+
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
