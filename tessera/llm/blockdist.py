@@ -172,8 +172,6 @@ def dives(chars: np.ndarray, plain: np.ndarray, links: np.ndarray, window: int =
 
 def content(chars: np.ndarray, linked: np.ndarray, title: np.ndarray, declared: bool) -> np.ndarray:
     """Which lines, all with text, lie between surge and dive and are no links."""
-    if declared:
-        return np.ones(len(chars), bool)
     links = linked > LINK_SHARE * chars
     cut = links & dives(chars, chars - linked, links) & ~title
     keep = ~(cut if declared else links)

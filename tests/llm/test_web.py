@@ -135,6 +135,20 @@ def test_main_text_of_undeclared_page():
     assert blockdist.main_text(wrap("One.") + wrap("Two.")) == "One.\n\nTwo."
 
 
+def test_main_text_of_declared_page():
+    """Lists of links and short blocks beyond them go, by the window sums alone; single links stay."""
+    long = ("word " * 40).strip()
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Topic number {i}</a></li>" for i in range(5)) + "</ul>"
+    inner = f"<h1><a href=/x>Linked head</a></h1><p>{long}</p><p><a href=/y>Source</a></p><p>a</p><p>b</p><p>c</p>"
+    want = f"Linked head\n\n{long}\n\nSource\n\na\n\nb\n\nc"
+    assert blockdist.main_text(f"<main><div class=k1>Buy now</div>{links}{inner}{links}<div class=k2>50% off</div></main>") == want
+    assert blockdist.main_text(f"<main>{inner}{links}<p>{long}</p></main>") == f"{want}\n\n{long}"
+    assert blockdist.main_text(f"<main>{links}</main>").split("\n\n") == [f"Topic number {i}" for i in range(5)]
+    # an ad inside the article cuts nothing around it
+    ad = "<div class=ad>" + "<p>Buy</p>" * 5 + "</div>"
+    assert blockdist.main_text(f"<main><p>Lead</p>{ad}<p>{long}</p>{ad}<p>End</p></main>") == f"Lead\n\n{long}\n\nEnd"
+
+
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
