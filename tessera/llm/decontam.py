@@ -1,6 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are lower-cased ``\\w+`` runs. Test items are taken in blocks of bounded
+Words are lower-cased ``\\w+`` runs; letters of scripts without spaces between words
+(Chinese, Japanese, Thai and the like) are words of their own. Test items are taken in blocks of bounded
 size (``BLOCK_WORDS``), each broadcast in turn; two scans of the documents a
 block, no shuffle of texts:
 
@@ -14,8 +15,10 @@ block, no shuffle of texts:
    Smith-Waterman.
 
 The score is the alignment's, over that of a full copy of the item (1.0). An
-item is found in a document if its best score is ``threshold`` or more. Items
-of fewer than five words have no seed and are never found.
+item is found in a document if its best score is ``threshold`` or more, or if the
+document holds a passage of it: a local alignment with ``PASSAGE`` words more
+that match than twice those that do not, however long the item is. Items of fewer
+than five words have no seed; they are found where all their words stand in a row.
 """
 
 from __future__ import annotations
@@ -32,28 +35,46 @@ from pyspark.sql.types import StructType
 
 from .common import prepare_python, text_slices
 
+# fixed values: letters of Thai, Lao, Myanmar, Khmer, kana, bopomofo and Han
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff" \
+    "\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af"
 WORD = re.compile(r"\w+")
+LETTER_OR_WORD = re.compile(rf"(?=\w)[{UNSPACED}]|[^\W{UNSPACED}]+")
 SEED_WORDS = 5
 BLOCK_WORDS = 2_000_000
 RARE_SHARE = 1e-3
 SPAN = 8
 FACTOR = 4
 THRESHOLD = 0.5
+PASSAGE = 30
 MATCH, MISMATCH, GAP = 2, -1, -1
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
+def words_of(text: str) -> list[str]:
+    text = text.lower()
+    try:
+        text.encode("latin-1")  # a quick look: no such letters
+    except UnicodeEncodeError:
+        return LETTER_OR_WORD.findall(text)
+    return WORD.findall(text)
+
+
 class ItemBlock:
     """Word numbers and seeds of one block of items (bounded: ``BLOCK_WORDS``)."""
 
     def __init__(self, items: list[tuple[int, str]], n: int):
         self.n, self.vocabulary = n, {}
         self.items: dict[int, np.ndarray] = {}
+        self.short: dict[int, dict[tuple, list[int]]] = {}  # items of fewer than n words, by length
         for key, (item, text) in enumerate(items):
-            words = WORD.findall((text or "").lower())
-            if len(words) >= n:
-                self.items[key] = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
-                                            for w in words], np.int64)
+            words = words_of(text or "")
+            if words:
+                numbers = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int64)
+                if len(words) >= n:
+                    self.items[key] = numbers
+                else:
+                    self.short.setdefault(len(words), defaultdict(list))[tuple(numbers.tolist())].append(key)
         self.ids = [i for i, _ in items]
         places = defaultdict(list)
         for key, w in self.items.items():
@@ -92,6 +113,21 @@ class ItemBlock:
         ok = self.keys[k] == h
         return at[ok], k[ok]
 
+    def whole(self, numbers: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """``(item key, 1.0, copies, end word of the first)`` of the items below ``n`` words that ``numbers`` hold."""
+        out = []
+        for size, items in self.short.items():
+            if len(numbers) < size:
+                continue
+            runs = np.lib.stride_tricks.sliding_window_view(numbers, size)
+            at = np.flatnonzero(np.isin(runs[:, 0], [k[0] for k in items]) & (runs > 0).all(axis=1))
+            found: dict[tuple, list[int]] = {}
+            for p, run in zip(at.tolist(), map(tuple, runs[at].tolist())):
+                if run in items:
+                    found.setdefault(run, []).append(p)
+            out += [(key, 1.0, len(ps), ps[0] + size) for run, ps in found.items() for key in items[run]]
+        return out
+
     def rare(self, df: np.ndarray, limit: float, span: int) -> np.ndarray:
         """Which n-grams are seeds, given their document counts."""
         chosen = df <= limit
@@ -104,14 +140,15 @@ class ItemBlock:
         return chosen
 
 
-def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
+def align(item: np.ndarray, passage: np.ndarray, match: int = MATCH, mismatch: int = MISMATCH,
+          gap: int = GAP) -> tuple[int, int]:
     """Best local alignment's score and the end of it in ``passage``. Row by
     row; gaps along the row come from a running maximum."""
-    step = -GAP * np.arange(len(passage) + 1)
+    step = -gap * np.arange(len(passage) + 1)
     prev, best, end = np.zeros(len(passage) + 1, np.int64), 0, 0
     for w in item:
         row = np.zeros_like(prev)
-        row[1:] = np.maximum(prev[:-1] + np.where(passage == w, MATCH, MISMATCH), prev[1:] + GAP)
+        row[1:] = np.maximum(prev[:-1] + np.where(passage == w, match, mismatch), prev[1:] + gap)
         row = np.maximum.accumulate(np.maximum(row, 0) + step) - step
         top = int(row.argmax())
         if row[top] > best:
@@ -123,9 +160,10 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 def matches(block: ItemBlock, seeds: np.ndarray, numbers: np.ndarray,
             threshold: float) -> list[tuple[int, float, int, int]]:
     """``(item key, best score, seeds hit, end word)`` of the items found."""
+    out = block.whole(numbers)
     at, which = block.hits(numbers)
     if not len(at):
-        return []
+        return out
     use = seeds[which]
     windows, count = defaultdict(list), defaultdict(int)
     for p, k in zip(at[use].tolist(), which[use].tolist()):
@@ -135,7 +173,6 @@ def matches(block: ItemBlock, seeds: np.ndarray, numbers: np.ndarray,
             slack = int((1 - threshold) * MATCH * m / -GAP) + 1
             windows[key].append((max(0, p - offset - slack), min(len(numbers), p - offset + m + slack)))
             count[key] += 1
-    out = []
     for key, spans in windows.items():
         best, end, full = 0, 0, MATCH * len(block.items[key])
         merged: list[list[int]] = []
@@ -152,6 +189,13 @@ def matches(block: ItemBlock, seeds: np.ndarray, numbers: np.ndarray,
                 break
         if best >= threshold * full:
             out.append((key, best / full, count[key], end))
+        elif best >= MATCH * PASSAGE:
+            # a gap or mismatch costs two matches here, so scattered common words do not add up
+            for a, b in merged:
+                score, stop = align(block.items[key], numbers[a:b], 1, -2, -2)
+                if score >= PASSAGE:
+                    out.append((key, best / full, count[key], a + stop))
+                    break
     return out
 
 
@@ -161,7 +205,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[li
     held, size = [], 0
     rows = benchmark.select(F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`").cast("string"))
     for r in rows.where(F.col(f"`{text_col}`").isNotNull()).toLocalIterator():
-        words = r[1].count(" ") + 1
+        words = len(words_of(r[1]))
         if held and size + words > BLOCK_WORDS:
             yield held
             held, size = [], 0
@@ -182,7 +226,7 @@ def _seeded(docs: DataFrame, text_col: str, items: list, n: int, rare_share: flo
         for s in text_slices(batches, "text"):
             for text in s.column("text").to_pylist():
                 if text:
-                    df[np.unique(block.value.hits(block.value.numbers(WORD.findall(text.lower())))[1])] += 1
+                    df[np.unique(block.value.hits(block.value.numbers(words_of(text)))[1])] += 1
         k = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(df[k])], ["k", "df"])
 
@@ -217,7 +261,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                 rows = []
                 for doc, text in zip(s.column("id").to_pylist(), s.column("text").to_pylist()):
                     if text:
-                        numbers = block.value.numbers(WORD.findall(text.lower()))
+                        numbers = block.value.numbers(words_of(text))
                         rows += [(doc, block.value.ids[key], score, hits, end) for key, score, hits, end
                                  in matches(block.value, seeds.value, numbers, threshold)]
                 yield pa.RecordBatch.from_pylist(
@@ -241,7 +285,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n
         def run(batches: Iterator[pa.RecordBatch], block=block, seeds=seeds) -> Iterator[pa.RecordBatch]:
             for s in text_slices(batches, text_col):
                 keep = [not (t and matches(block.value, seeds.value,
-                                           block.value.numbers(WORD.findall(t.lower())), threshold))
+                                           block.value.numbers(words_of(t)), threshold))
                         for t in s.column(text_col).to_pylist()]
                 yield s.filter(pa.array(keep, pa.bool_()))
 

@@ -170,6 +170,29 @@ def test_decontamination(spark):
         decontam.BLOCK_WORDS = old
 
 
+def test_decontamination_passages(spark):
+    """Passages of long items, items in scripts without spaces, items shorter than a seed."""
+    names = [f"w{i}" for i in range(3000)]
+    words = text(names, 250, 21).split()
+    fill = [text(names, 200, 300 + i) for i in range(12)]
+    edited = words[100:145]
+    for k in (9, 27):
+        edited[k] = "changed"
+    scattered = " ".join(x for i in range(0, 250, 8) for x in [*words[i:i + 5], *fill[6].split()[i % 150:i % 150 + 9]])
+    han, thai = "床前明月光疑是地上霜舉頭望明月低頭思故鄉", "กาลครั้งหนึ่งนานมาแล้วมีชายคนหนึ่ง"
+    rows = [(i, t) for i, t in enumerate(fill)] + [
+        (100, " ".join([fill[0], *words[60:160], fill[1]])), (101, " ".join([fill[2], *edited, fill[3]])),
+        (102, " ".join([fill[4], *words[:25], fill[5]])), (103, scattered), (104, f"詩曰{han}也"), (105, f"ว่า{thai}อยู่"),
+        (106, "床前有月光"), (107, "He said: 'Forty-two  DAYS', then left"), (108, "forty days and two"), (109, "這是答案。")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, han), (3, thai), (4, "forty two days"), (5, "答案"), (6, "!?"), (7, "")],
+                                  "item_id bigint, text string")
+    got = decontam.contaminated(docs, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(100, 1), (101, 1), (104, 2), (105, 3), (107, 4), (109, 5)]
+    assert [r["score"] for r in got if r["doc_id"] in (104, 105, 107, 109)] == [1.0] * 4
+    assert {r[0] for r in decontam.clean(docs, bench).select("doc_id").collect()} == {*range(12), 102, 103, 106, 108}
+
+
 def test_splitting_tree():
     tree = mixture.Tree([50, 7, 0, 120], 13, seed=3)
     quotas = np.array([tree.quotas(s) for s in range(13)])
