@@ -27,6 +27,7 @@ END = "\r\n\r\n"
 CAPTURES = ("response", "revisit", "resource")
 MIN_REVISIT = 100
 FILE_BYTES = 64 << 20
+COPIES = 10_000
 CLASSES = (64 << 10, 1 << 20, 16 << 20)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -51,7 +52,8 @@ def write_captures(pages: DataFrame, out: str, id_col: str = "page_id", url_col:
     more, that with the smallest id (null last) is a response and the others are
     revisits. Null html is an empty payload; a null url has no target line; line
     ends in a url are percent-encoded. A record's id is made of the page's id and
-    a hash of its row, so rows that are equal throughout are one capture.
+    a hash of its row, so rows equal in id, url and html are one capture, whose
+    metadata says how many rows it stands for (copies, if more than one).
     ``codec`` is that of whole files: gzip or none."""
     url = F.regexp_replace(F.regexp_replace(F.col(f"`{url_col}`").cast("string"), "\r", "%0D"), "\n", "%0A")
     rows = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), url.alias("url"),
@@ -65,9 +67,11 @@ def write_captures(pages: DataFrame, out: str, id_col: str = "page_id", url_col:
     first = cut_lineage(keys.where(F.col("n") >= min_revisit).groupBy("digest")
                         .agg(F.min(order).alias("f"), F.count("*").alias("c")).where("c > 1")
                         .select("digest", F.col("f.name").alias("first")))
-    n_first = first.count()
-    # about 150 bytes a row
-    marked = rows.join(F.broadcast(first), "digest", "left") if n_first <= 200_000 else lookup_spread(rows, first, "digest")
+    repeated = cut_lineage(keys.groupBy("name").agg(F.count("*").alias("copies")).where("copies > 1"))
+    marked = rows
+    for table, key in ((first, "digest"), (repeated, "name")):
+        # about 150 bytes a row
+        marked = marked.join(F.broadcast(table), key, "left") if table.count() <= 200_000 else lookup_spread(marked, table, key)
     uri = lambda kind, i: F.concat(F.lit(f"<urn:capture:{kind}:"), i, F.lit(">"))
     main, target = uri("response", F.col("name")), F.col("url")
     host = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:]*://([^/?#]*)", 1)
@@ -85,7 +89,8 @@ def write_captures(pages: DataFrame, out: str, id_col: str = "page_id", url_col:
         ("WARC-Profile", F.lit(PROFILE)), ("Content-Type", http)], F.lit(HTTP))
     metadata = _record("metadata", uri("metadata", F.col("name")), [
         ("WARC-Target-URI", target), ("WARC-Concurrent-To", main), ("Content-Type", F.lit("application/warc-fields"))],
-        F.coalesce(F.concat(F.lit("page_id: "), F.col("id").cast("string"), F.lit("\r\n")), F.lit("")))
+        F.concat(*[F.coalesce(F.concat(F.lit(f"{k}: "), F.col(c).cast("string"), F.lit("\r\n")), F.lit(""))
+                   for k, c in (("page_id", "id"), ("copies", "copies"))]))
     records = marked.select("n", F.explode(F.array(
         request, F.when(is_revisit, revisit).otherwise(response), metadata)).alias("value"))
     # a reader takes a file at a time, so files are bounded: payloads by size class,
@@ -186,20 +191,31 @@ def transactions(records: DataFrame) -> DataFrame:
 
 def archive_pages(pages: DataFrame, out: str | None = None) -> DataFrame:
     """Write ``pages`` to archives (default: a fresh path in the shared folder),
-    read them back, and return per capture ``(page_id, payload_bytes,
-    payload_digest, record_type, refers_to)``. A revisit's payload is that of the
-    response it refers to. Rows equal in id, url and html are one capture."""
+    read them back, and return per row ``(page_id, payload_bytes, payload_digest,
+    record_type, refers_to)``. A revisit's payload is that of the response it
+    refers to. Rows equal in id, url and html are one capture, so they have equal
+    results, one each."""
     spark = pages.sparkSession
     out = out or work_path(spark, "warc")
     write_captures(pages, out)
     t = transactions(read_records(spark, out))
-    ids = F.get(F.filter(F.flatten(F.transform("metadata", lambda m: m["fields"])), lambda e: e["key"] == "page_id"), F.lit(0))["value"]
-    flat = stored(t.select("capture_id", ids.cast("bigint").alias("page_id"), F.col("response.type").alias("record_type"),
+    field = lambda k: F.get(F.filter(F.flatten(F.transform("metadata", lambda m: m["fields"])), lambda e: e["key"] == k), F.lit(0))["value"].cast("bigint")
+    flat = stored(t.select("capture_id", field("page_id").alias("page_id"), field("copies").alias("copies"), F.col("response.type").alias("record_type"),
                                 F.col("response.payload_bytes").alias("n"), F.col("response.payload_digest").alias("d"),
                                 F.col("response.refers_to").alias("ref")), "warc-captures")
     referred = flat.where("record_type = 'revisit'").select(F.col("ref").alias("used")).distinct()
     heads = cut_lineage(flat.where("record_type = 'response'").join(referred, F.col("capture_id") == F.col("used"), "left_semi")
                         .select(F.col("capture_id").alias("ref"), F.col("page_id").alias("head"), F.col("n").alias("hn"), F.col("d").alias("hd")))
-    return lookup_spread(flat, heads, "ref").select(
+    out = lookup_spread(flat, heads, "ref").select(
         "page_id", F.coalesce("hn", "n").alias("payload_bytes"), F.coalesce("hd", "d").alias("payload_digest"),
-        "record_type", F.col("head").alias("refers_to"))
+        "record_type", F.col("head").alias("refers_to"), "copies")
+    once, more = out.where("copies is null").drop("copies"), out.where("copies > 1")
+    most = flat.agg(F.max("copies")).first()[0]
+    if most is None:
+        return once
+    # in steps of COPIES rows, dealt out between them, so a row repeated often is no long array and no one task's
+    steps = more.withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(COPIES).cast("bigint"))))
+    if most > COPIES:
+        steps = steps.repartition(spark.sparkContext.defaultParallelism)
+    rows = steps.withColumn("k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(COPIES).cast("bigint"), F.col("copies") - F.col("k")))))
+    return once.unionByName(rows.drop("k", "copies"))

@@ -105,6 +105,25 @@ def test_warc(spark):
     assert warc.read_records(spark, plain).count() == 33
 
 
+def test_warc_of_repeated_rows(spark, monkeypatch):
+    """A result row for each row, also of rows equal throughout, with and without an id."""
+    monkeypatch.setattr(warc, "COPIES", 4)
+    big = "<p>x</p>" * 40
+    rows = [(7, "http://f.com/é", "é" * 60)] * 2 + [(None, "http://g.com/", big)] * 9 + [(None, None, None)] * 5 + [(3, "http://b.com", big)] * 4 + [
+        (5, "http://a.com/", big), (1, "http://c.com/", "small"), (1, "http://d.com/", "small")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    out = os.path.join(tempfile.mkdtemp(), "w")
+
+    def result(i, html):
+        data = (html or "").encode()
+        revisit = html == big and i != 3
+        return i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", 3 if revisit else None
+
+    want = sorted((result(i, html) for i, _, html in rows), key=str)
+    assert sorted(map(tuple, warc.archive_pages(pages, out).collect()), key=str) == want
+    assert sorted(map(tuple, warc.archive_pages(pages, out).collect()), key=str) == want  # written twice, still one capture each
+
+
 def test_main_text(spark):
     page = ("<html><head><title>t</title><script>a='</p>'</script></head><body><header>Site</header><nav><a href=x>Menu</a></nav>"
             "<div class='cookie-notice'>We use cookies</div><article><h1>Head &amp; more</h1><p>One  <b>two</b>\n three &lt;x&gt;</p>"
