@@ -12,16 +12,17 @@ from tessera.llm.common import stored
 from tessera.session import ensure_checkpoint_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-#: Below this cosine a text is like no language that was learned.
+#: A text whose cosine is not this much above that by chance is like no language that was learned.
 MIN_SCORE = 0.1
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those whose language is undetermined
-    (null, no letter) or whose score is under ``MIN_SCORE`` go."""
+    (null, no letter), that have no learned letter, or that are no more like a
+    language than by chance (``hyperlang.known``) go."""
     ensure_checkpoint_dir(spark)
-    profiles = hyperlang.train(docs, F.col("lang"), ~hyperlang.held_out())
-    return hyperlang.keep_known(docs, profiles, MIN_SCORE)
+    profiles, seen = hyperlang.learn(docs, F.col("lang"), ~hyperlang.held_out())
+    return hyperlang.keep_known(docs, profiles, MIN_SCORE, seen=seen)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

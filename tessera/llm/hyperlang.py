@@ -32,6 +32,7 @@ PARTS = 64
 UND = "und"
 SLICE = 512 << 10
 SPACE = 32
+GRAMS = (20, 100)
 
 
 @lru_cache(maxsize=1)
@@ -119,15 +120,35 @@ def bundles(texts: list[str | None], order: int, dims: int) -> np.ndarray:
     return bundle(*gram_counts(texts, order), dims)
 
 
+def chance(grams: np.ndarray, counts: np.ndarray, dims: int) -> np.ndarray:
+    """Expected bundles of as many n-grams as the rows of ``counts`` have, of the same letters in random order."""
+    order = grams.shape[1]
+    size = counts.sum(axis=1, keepdims=True)
+    out = np.repeat(size, dims, axis=1)
+    for i in range(order):
+        by = np.argsort(grams[:, i], kind="stable")
+        used, first = np.unique(grams[by, i], return_index=True)
+        share = np.add.reduceat(counts[:, by], first, axis=1) / np.maximum(size, 1)
+        out *= np.roll(share @ np.stack([letter_vector(int(c), dims) for c in used]), order - 1 - i, axis=1)
+    return out
+
+
 def train(docs: DataFrame, label: Column, rows: Column, text_col: str = "text",
           order: int = ORDER, dims: int = DIMS) -> dict[str, np.ndarray]:
     """Prototypes by label over all ``docs`` where ``rows`` holds and the label
     is not null. Labels whose texts have no letter get no prototype. The driver
     gets at most ``PARTS`` vectors a label."""
+    return learn(docs, label, rows, text_col, order, dims)[0]
+
+
+def learn(docs: DataFrame, label: Column, rows: Column, text_col: str = "text",
+          order: int = ORDER, dims: int = DIMS) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The prototypes of ``train``, and all letters (code points) of their texts."""
     prepare_python(docs.sparkSession)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        seen: dict[str, np.ndarray] = {}
         for s in text_slices(batches, "text", SLICE):
             names = pd.Series(s.column("label").to_pylist())
             grams, counts = gram_counts(s.column("text").to_pylist(), order)
@@ -135,23 +156,29 @@ def train(docs: DataFrame, label: Column, rows: Column, text_col: str = "text",
                 continue
             by_label = names.groupby(names).indices
             total = np.stack([counts[at].sum(axis=0, dtype=np.float64) for at in by_label.values()])
-            for name, v in zip(by_label, bundle(grams, total, dims)):
+            for name, n, v in zip(by_label, total, bundle(grams, total, dims)):
                 sums[name] = sums.get(name, 0) + v
+                seen[name] = np.union1d(seen.get(name, np.zeros(0, np.uint32)), grams[n > 0])
         if sums:
-            yield pa.RecordBatch.from_pydict({"label": list(sums), "v": [x.tolist() for x in sums.values()]},
-                                             schema=pa.schema([("label", pa.string()), ("v", pa.list_(pa.float64()))]))
+            yield pa.RecordBatch.from_pydict(
+                {"label": list(sums), "v": [x.tolist() for x in sums.values()], "letters": [seen[k].tolist() for k in sums]},
+                schema=pa.schema([("label", pa.string()), ("v", pa.list_(pa.float64())), ("letters", pa.list_(pa.int32()))]))
 
     def add(g: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"label": [g["label"].iloc[0]], "v": [np.sum(np.stack(g["v"]), axis=0)]})
+        return pd.DataFrame({"label": [g["label"].iloc[0]], "v": [np.sum(np.stack(g["v"]), axis=0)],
+                             "letters": [np.unique(np.concatenate(list(g["letters"])))]})
 
     parts = (docs.where(rows & label.isNotNull())
              .select(label.cast("string").alias("label"), F.col(f"`{text_col}`").cast("string").alias("text"))
-             .mapInArrow(partial, "label string, v array<double>")
+             .mapInArrow(partial, "label string, v array<double>, letters array<int>")
              .withColumn("part", F.pmod(F.spark_partition_id(), F.lit(PARTS))))
     sums: dict[str, np.ndarray] = {}
-    for r in parts.groupBy("label", "part").applyInPandas(add, "label string, v array<double>").collect():
+    seen = np.zeros(0, np.int64)
+    for r in parts.groupBy("label", "part").applyInPandas(add, "label string, v array<double>, letters array<int>").collect():
         sums[r[0]] = sums.get(r[0], 0) + np.array(r[1])
-    return {k: v / np.linalg.norm(v) for k, v in sorted(sums.items()) if np.linalg.norm(v) > 0}
+        seen = np.union1d(seen, r[2])
+    return ({k: v / np.linalg.norm(v) for k, v in sorted(sums.items()) if np.linalg.norm(v) > 0},
+            seen[seen != SPACE].astype(np.uint32))
 
 
 def scorer(prototypes: dict[str, np.ndarray], order: int = ORDER, dims: int = DIMS):
@@ -168,9 +195,9 @@ def scorer(prototypes: dict[str, np.ndarray], order: int = ORDER, dims: int = DI
         cos = (v @ matrix.T) / np.where(norm > 0, norm, 1)[:, None]
         best = cos.argmax(axis=1)
         top = np.clip(cos[np.arange(len(best)), best], 0, 1).astype(np.float64)
-        known = norm > 0
-        return ([names[b] if ok else UND for b, ok in zip(best, known)],
-                np.where(known, top, 0.0).tolist())
+        ok = norm > 0
+        return ([names[b] if k else UND for b, k in zip(best, ok)],
+                np.where(ok, top, 0.0).tolist())
 
     return score
 
@@ -203,17 +230,42 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def known(prototypes: dict[str, np.ndarray], least: float, seen: np.ndarray | None = None,
+          order: int = ORDER, dims: int = DIMS):
+    """A function from texts to whether there is evidence for a language. With ``GRAMS[1]``
+    n-grams or more it is a cosine of ``least`` above that expected by chance, of the same
+    letters in random order; with fewer the cosine's noise is as large as itself, and less
+    will do, down to one letter (of ``seen``, if given) with ``GRAMS[0]`` n-grams or fewer."""
+    names = sorted(prototypes)
+    matrix = np.stack([prototypes[k] for k in names]).astype(np.float32) if names else None
+
+    def run(texts: list[str | None]) -> np.ndarray:
+        grams, counts = gram_counts(texts, order)
+        if matrix is None or not len(grams):
+            return np.zeros(len(texts), bool)
+        size = counts.sum(axis=1)
+        v = bundle(grams, counts, dims)
+        norm = np.linalg.norm(v, axis=1)
+        above = (((v - chance(grams, counts, dims)) @ matrix.T) / np.where(norm > 0, norm, 1)[:, None]).max(axis=1)
+        few = size <= GRAMS[0]
+        need = least * np.clip((size - GRAMS[0]) / (GRAMS[1] - GRAMS[0]), 0, 1)
+        some = (grams != SPACE if seen is None else np.isin(grams, seen)).any(axis=1)
+        return (counts[:, some].sum(axis=1) > 0) & (few | (norm > 0) & (above >= need))
+
+    return run
+
+
 def keep_known(docs: DataFrame, prototypes: dict[str, np.ndarray], least: float,
-               text_col: str = "text", order: int = ORDER, dims: int = DIMS) -> DataFrame:
-    """The rows of ``docs`` (all columns) with a language and a score of ``least`` or more."""
+               text_col: str = "text", order: int = ORDER, dims: int = DIMS,
+               seen: np.ndarray | None = None) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose texts are ``known``."""
     from pyspark.sql.types import StructType
 
     prepare_python(docs.sparkSession)
-    score = scorer(prototypes, order, dims)
+    test = known(prototypes, least, seen, order, dims)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in text_slices(batches, text_col, SLICE):
-            lang, sc = score(s.column(text_col).to_pylist())
-            yield s.filter(pa.array([a != UND and b >= least for a, b in zip(lang, sc)], pa.bool_()))
+            yield s.filter(pa.array(test(s.column(text_col).to_pylist()), pa.bool_()))
 
     return docs.mapInArrow(run, StructType(docs.schema.fields))

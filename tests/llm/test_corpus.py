@@ -58,6 +58,22 @@ def test_language(spark, docs):
     assert {r[0] for r in hyperlang.predict(docs, none, keep=["doc_id"]).select("lang_pred").collect()} == {"und"}
 
 
+def test_language_by_length(spark, docs):
+    """Clean documents of one to three words stay; letters at random go at any length, scripts that were not learned too."""
+    p, seen = hyperlang.learn(docs, F.col("lang"), F.lit(True))
+    assert bytes(sorted(seen[seen < 128])).decode().isalpha() and ord("ü") in seen
+    r = random.Random(8)
+    short = [" ".join(r.choice(words) for _ in range(n)) for words in (EN, DE) for n in (1, 2, 3) for _ in range(40)]
+    noise = [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(n))
+             for n in (500, 500, 500, 500, 4000)]
+    noise += ["".join(r.sample(text(EN, 800, 3), 2000)), "слово", "слово и дело " * 50, "12", None]
+    test = hyperlang.known(p, corpus_pipeline.MIN_SCORE, seen)
+    assert test(short).all() and test([x.upper() + "!" for x in short]).all() and not test(noise).any()
+    assert [test([x])[0] for x in short[:5] + noise] == [True] * 5 + [False] * len(noise)
+    both = spark.createDataFrame(list(enumerate(short + noise)), "doc_id bigint, text string")
+    assert hyperlang.keep_known(both, p, corpus_pipeline.MIN_SCORE, seen=seen).count() == len(short)
+
+
 def test_bundle_is_sum_of_bound_vectors():
     grams, counts = hyperlang.gram_counts(["Ab, ba", None, "12"], 3)
     v = hyperlang.bundle(grams, counts, 256, step=2)
