@@ -59,6 +59,9 @@ def targets(sizes: dict[str | None, int], weights=WEIGHTS, share: float = SHARE,
     return out
 
 
+PART = 500_000_000
+
+
 class Tree:
     """Splits the sources' draws among ``shards`` shards (numbers 0 to shards - 1)."""
 
@@ -73,8 +76,17 @@ class Tree:
         mid, total = (low + high) // 2, sum(quota)
         take = total * (mid - low) // (high - low)
         rng = np.random.default_rng([self.seed, low, high])
-        return tuple(rng.multivariate_hypergeometric(quota, take, method="marginals").tolist()) \
-            if total else quota
+        # numpy draws from fewer than 10 ** 9: more are split in equal parts, with an equal share of each
+        parts = max(1, -(-total // PART))
+        out, seen, done = [0] * len(quota), 0, 0
+        for i in range(parts):
+            part = [q * (i + 1) // parts - q * i // parts for q in quota]
+            seen += sum(part)
+            drawn = take * seen // total - done if total else 0
+            done += drawn
+            if sum(part):
+                out = [a + b for a, b in zip(out, rng.multivariate_hypergeometric(part, drawn, method="marginals").tolist())]
+        return tuple(out)
 
     def shards_of(self, source: np.ndarray, draw: np.ndarray) -> np.ndarray:
         """The shard of each draw (a number below its source's draws)."""
@@ -163,7 +175,7 @@ def _plan(docs: DataFrame, carry: list[str], weights=WEIGHTS, share: float = SHA
     goal = targets(sizes, weights, share, most)
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     total_rows = sum(r[2] for r in rows)
-    block = max(block_words, -(-sum(sizes.values()) // 200_000_000))
+    block = block_words
     plan, draws = [], []
     for no, s in enumerate(order):
         size, words = sizes[s], int(goal[s])

@@ -219,6 +219,19 @@ def test_splitting_tree():
         assert (np.diff(shard) >= 0).all()  # a shard's quota is a range of the draws
 
 
+def test_splitting_tree_beyond_numpy(monkeypatch):
+    """More draws than numpy takes at once, and small parts, keep the quotas; one part draws as before."""
+    draws = [2_000_000_000, 7, 1_500_000_001]
+    quotas = np.array([mixture.Tree(draws, 5, seed=3).quotas(s) for s in range(5)])
+    assert quotas.sum(axis=0).tolist() == draws and (quotas >= 0).all() and np.ptp(quotas.sum(axis=1)) <= 1
+    one = mixture.Tree([50, 7, 0, 120], 13, seed=3)
+    assert one.quotas(0) != one.draws and one._split(0, 13, one.draws) == tuple(
+        np.random.default_rng([3, 0, 13]).multivariate_hypergeometric(one.draws, 177 * 6 // 13, method="marginals").tolist())
+    monkeypatch.setattr(mixture, "PART", 10)
+    quotas = np.array([mixture.Tree([50, 7, 0, 120], 13, seed=3).quotas(s) for s in range(13)])
+    assert quotas.sum(axis=0).tolist() == [50, 7, 0, 120] and set(quotas.sum(axis=1)) <= {13, 14} and (quotas >= 0).all()
+
+
 def test_targets():
     sizes = {"a": 10, "b": 100, None: 1000, "c": 50}
     t = mixture.targets(sizes)
