@@ -20,7 +20,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="tessera-t-")
-
-
-def frame(spark, rows, schema):
-    return spark.createDataFrame(rows, schema)

@@ -2,7 +2,7 @@ import math
 
 import pytest
 
-from conftest import frame
+from helpers import frame
 from tessera.operators import clean, profile, scale
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import frame
+from helpers import frame
 from tessera.functions.quantiles import column_quantiles, quantiles
 from tessera.functions.shuffle import donor_values
 from tessera.operators import clean, ensemble, learn, scale, select, split

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import frame
+from helpers import frame
 from tessera.operators import features
 from tessera.operators.encode import Encoder
 

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import frame
+from helpers import frame
 from tessera.operators import clean, ensemble, scale
 from tessera.operators.encode import Encoder
 
