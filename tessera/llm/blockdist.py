@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,14 +47,29 @@ HINTS = frozenset("ad ads adv advert adverts advertisement advertisements advert
                   "breadcrumb breadcrumbs footer header masthead comment comments commentlist disqus replies respond "
                   "share sharing social related recommended widget widgets pagination pager toolbar login search".split())
 COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
+# a class such as no-sidebar, has-comments or menu-open says how a page looks, not what an element is
+STATES = frozenset("no not has have with without is hide hides hidden show shows open opened closed collapsed expanded "
+                   "visible enabled disabled on off".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+OTHER = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)"
+TOKEN = re.compile(OTHER + r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+#: Once a quote is left open, tags end at the next sign: else every tag would look for its quote to the page's end.
+PLAIN_TOKEN = re.compile(OTHER + r"([^>]*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME = re.compile(r"[a-z]+")
 BLANK = re.compile(r"\s+")
 
 
+def hints_of(value: str) -> set[str]:
+    """Words in a class or id that name boilerplate; classes that hold a word for a state count for nothing."""
+    out: set[str] = set()
+    for token in value.split():
+        words = NAME.findall(token)
+        if not STATES.intersection(words):
+            out |= HINTS.intersection(words)
+    return out
+
+
 def is_boilerplate(tag: str, attributes: str) -> bool:
     if tag in DROPPED:
         return True
@@ -62,7 +78,7 @@ def is_boilerplate(tag: str, attributes: str) -> bool:
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
-            hints = HINTS.intersection(NAME.findall(value))
+            hints = hints_of(value)
             if hints & COMMENTS or hints and tag != "article":
                 return True
         elif name == "role" and value in ROLES or name in ("hidden",) or name == "aria-hidden" and value == "true":
@@ -75,7 +91,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     out: list[tuple[str, int, bool, bool]] = []
     piece: list[str] = []
     linked = 0
-    open_tags: list[tuple[str, bool, bool]] = []  # name, dropped from here on, in an article
+    # open blocks, each with the inline elements open in it: name, dropped and in an article before it
+    blocks: list[tuple[str, bool, bool, list[tuple[str, bool, bool]], Counter]] = [("", False, False, [], Counter())]
+    names: Counter = Counter()  # of open blocks
     dropped = article = title = False
     anchors = breaks = 0
     seen = False  # an article or main element
@@ -97,14 +115,18 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         if anchors:
             linked += len(entities.unescape(raw).strip())
 
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
+    token, past = TOKEN, {}
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
             text(page[at:])
             break
         text(page[at:lt])
-        m = TOKEN.match(page, lt)
+        m = token.match(page, lt) if lt < last or page.startswith(("<!", "<?"), lt) else None
+        if m is None and token is TOKEN and page[lt + 1:lt + 3].strip("/")[:1].isalpha() and lt < last:
+            token = PLAIN_TOKEN
+            m = token.match(page, lt)
         if m is None:
             text("<")
             at = lt + 1
@@ -115,8 +137,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         tag, closing = m[2].lower(), bool(m[1])
         if tag in RAW and not closing:
             if not m[3].rstrip().endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = stop.end() if stop else n
+                end = past.get(tag, at)  # no end tag before it
+                if end <= at:
+                    stop = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, at)
+                    end = past[tag] = stop.end() if stop else n
+                close = page.find(">", end)
+                at = close + 1 if close >= 0 else n
             if tag not in INLINE:
                 end_line()
             continue
@@ -137,23 +163,33 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         if not closing:
             if m[3].rstrip().endswith("/"):
                 continue
-            open_tags.append((tag, dropped, article))
+            if tag in INLINE:
+                blocks[-1][3].append((tag, dropped, article))
+                blocks[-1][4][tag] += 1
+            else:
+                blocks.append((tag, dropped, article, [], Counter()))
+                names[tag] += 1
             own = tag in ("article", "main")
             if is_boilerplate(tag, m[3]):
                 dropped = True
             elif own and not seen:
                 # the page's first article counts even inside an element with a misleading class
-                dropped = any(t in DROPPED for t, _, _ in open_tags)
+                dropped = any(names[t] for t in DROPPED)
             seen = seen or own and not dropped
             article = article or own and not dropped
-        else:
-            for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == tag:
-                    _, dropped, article = open_tags[k]
-                    del open_tags[k:]
+        elif tag in INLINE:
+            inline, open_names = blocks[-1][3:]
+            while open_names[tag]:  # an inline end does not close blocks around it
+                name, dropped, article = inline.pop()
+                open_names[name] -= 1
+                if name == tag:
+                    break
+        elif names[tag] and (tag != "p" or blocks[-1][0] == "p"):  # nor does a paragraph's
+            while True:
+                name, dropped, article = blocks.pop()[:3]
+                names[name] -= 1
+                if name == tag:
                     break
-                if tag in INLINE and open_tags[k][0] not in INLINE or tag == "p" and open_tags[k][0] not in INLINE | {"p"}:
-                    break  # an inline or paragraph end does not close blocks around it
     end_line()
     return out
 

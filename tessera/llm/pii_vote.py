@@ -70,6 +70,12 @@ def luhn(digits: str) -> bool:
     return (odd + sum(2 * int(d) - 9 * (d > "4") for d in digits[-2::-2])) % 10 == 0
 
 
+def octet(part: str) -> bool:
+    """Whether digits, any number of leading zeros included, say at most 255."""
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or "0") <= 255
+
+
 def digits_of(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -96,7 +102,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     out = [("email", a, b) for a, b in _emails(text)]
     if "." in text:
         out += [("ip", *m.span()) for m in IP.finditer(text)
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+                if all(map(octet, m[0].split(".")))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 14 and 14 <= len(d := digits_of(m[0])) <= 19 and luhn(d):
             out.append(("card", *m.span()))
@@ -123,7 +129,7 @@ def votes(kind: str, text: str, start: int, end: int, base: bool) -> tuple[int,
         checks = 1 if re.search(r"[A-Za-z]", span) and not re.search(r"\.\.|[.-]$", span) else -1
         gaz = 1 if GAZETTEER["email"].intersection(re.split(r"[^a-z]+", span.lower())) else 0
     elif kind == "ip":
-        checks = 1 if all(p and int(p) <= 255 for p in re.findall("[0-9]+", span)) else -1
+        checks = 1 if all(map(octet, re.findall("[0-9]+", span))) else -1
         gaz = 1 if re.match("[0-9]+", span)[0] in GAZETTEER["ip"] else 0
     elif kind == "card":
         checks = 1 if 14 <= len(d) <= 19 and luhn(d) else -1

@@ -78,27 +78,33 @@ _HOST = (r"""coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGH
          'abcdefghijklmnopqrstuvwxyz'), '')""")
 
 SQL: dict[str, str] = {
-    # aliases by a recursive walk over canonical links and refresh redirects with absolute targets
+    # aliases by a recursive walk over canonical links and refresh redirects
     "op2_url_rules": rf"""
-WITH RECURSIVE edge AS (
-  SELECT url AS s, unnest(regexp_extract_all(html,
-    '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)) AS t FROM pages
+WITH RECURSIVE tag AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*>')) AS x, true AS is_link FROM pages
   UNION ALL
-  SELECT url, unnest(regexp_extract_all(html,
-    '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)) FROM pages),
-urls AS (SELECT url FROM pages UNION SELECT s FROM edge UNION SELECT t FROM edge),
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*>')), false FROM pages),
+found AS (SELECT url AS s, replace(CASE WHEN is_link THEN regexp_extract(x, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+          ELSE regexp_extract(x, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1) END, '&amp;', '&') AS t FROM tag
+          WHERE CASE WHEN is_link THEN regexp_matches(x, '(?is)\brel\s*=\s*["'']?canonical\b')
+                ELSE regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b') END),
+base AS (SELECT s, t, regexp_extract(s, '(?s)^([^:]*://[^/?#]*)', 1) AS site, regexp_extract(s, '^([^:]*:)', 1) AS scheme,
+         regexp_extract(s, '(?s)^([^:]*://[^/?#]*(?:/[^?#]*/|/)?)', 1) AS folder FROM found WHERE t <> '' AND s IS NOT NULL),
+edge AS (SELECT s, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN scheme || t
+         WHEN starts_with(t, '/') THEN site || t WHEN ends_with(folder, '/') THEN folder || t ELSE folder || '/' || t END AS t FROM base),
+urls AS (SELECT coalesce(url, '') AS url FROM pages UNION SELECT s FROM edge UNION SELECT t FROM edge),
 parts AS (SELECT url, {_SPLIT} AS rest FROM urls),
-split AS (SELECT url, {_HOST} AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
-          regexp_extract(rest, '^([^#]*)', 1) AS key FROM parts),
-ruled AS (SELECT *, CASE {_NAME_CASES} END AS rule, CASE {_RULE_CASES} END AS own FROM split),
+split AS (SELECT url, {_HOST} AS host, coalesce(regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1), '') AS path,
+          regexp_extract(rest, '(?s)^[^?#]*(\?[^#]*)?', 1) AS query FROM parts),
+ruled AS (SELECT *, CASE WHEN position('://' IN url) > 0 THEN host || path || query END AS key,
+          CASE {_NAME_CASES} END AS rule, CASE {_RULE_CASES} END AS own FROM split),
 link AS (SELECT a.key AS u, b.key AS v FROM edge JOIN ruled a ON a.url = s JOIN ruled b ON b.url = t
          UNION SELECT b.key, a.key FROM edge JOIN ruled a ON a.url = s JOIN ruled b ON b.url = t),
 reach AS (SELECT u AS node, u AS other FROM link UNION SELECT node, v FROM reach JOIN link ON other = u),
 alias AS (SELECT node, min(own) AS alias_verdict FROM reach JOIN ruled ON key = other GROUP BY node)
 SELECT page_id, host, path, rule, coalesce(own, alias_verdict, 'allow') AS verdict
 FROM (SELECT page_id, coalesce(url, '') AS url FROM pages) p
-JOIN (SELECT coalesce(url, '') AS url, host, path, rule, own, key FROM ruled) USING (url)
-LEFT JOIN alias ON node = key""",
+JOIN ruled USING (url) LEFT JOIN alias ON node = key""",
     "op6_mixture": rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
 ]+')) AS size FROM documents),
@@ -126,12 +132,14 @@ got AS (SELECT doc_id, sum(passes * (high - low) + CASE WHEN k < rest // 4096 TH
         FROM ranked GROUP BY doc_id)
 SELECT placed.doc_id, placed.size::BIGINT AS size, ssize AS source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM placed JOIN q ON placed.source IS NOT DISTINCT FROM q.source LEFT JOIN got ON got.doc_id = placed.doc_id""",
+    # of rows with equal ids and payloads, those of the first url are the response's capture
     "op7_warc": """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-h AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
-f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM h)
-SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
-FROM f""",
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, url, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, first_value(page_id) OVER w AS first, first_value(url) OVER w AS first_url FROM h
+      WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, url NULLS FIRST)),
+r AS (SELECT *, payload_bytes >= 100 AND (page_id IS DISTINCT FROM first OR url IS DISTINCT FROM first_url) AS again FROM f)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to
+FROM r""",
 }

@@ -63,17 +63,20 @@ def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     """``(source, target)`` URLs: canonical links and refresh redirects in the html.
     A target without a scheme is taken relative to the page."""
     html, url = F.col(f"`{html_col}`"), F.col(f"`{url_col}`")
-    # the regular expressions run only where the markup can hold a link
-    low = F.lower(html)
-    link = F.when(low.contains("canonical"),
-                  F.regexp_extract_all(html, F.lit(r'(?is)(<link\b[^>]*\brel\s*=\s*["\']?canonical\b[^>]*>)'), F.lit(1)))
-    meta = F.when(low.contains("refresh"),
-                  F.regexp_extract_all(html, F.lit(r'(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*["\']?refresh\b[^>]*>)'), F.lit(1)))
-    none = F.array().cast("array<string>")
-    href = lambda tag: F.regexp_extract(tag, r'(?is)\bhref\s*=\s*["\']?\s*([^"\'\s>]+)', 1)
-    to = lambda tag: F.regexp_extract(tag, r'(?is)\burl\s*=\s*["\']?\s*([^"\'\s>]+)', 1)
+    low, none = F.lower(html), F.array().cast("array<string>")
+    # a tag ends at the first sign, so one piece between two signs holds the whole of it; every
+    # pattern reads a piece once, whatever the markup
+    closed = F.slice(F.split(html, ">"), 1, F.greatest(F.size(F.split(html, ">")) - 1, F.lit(0)))
+
+    def targets(word: str, tag: str, says: str, attribute: str) -> Column:
+        part = lambda x: F.regexp_extract(x, rf"(?is)(<{tag}\b.*+)", 1)
+        tags = F.filter(F.transform(F.filter(closed, lambda x: F.lower(x).contains(word)), part), lambda x: x.rlike(says))
+        value = lambda x: F.regexp_extract(x, rf'(?is)\b{attribute}\s*+=\s*+["\']?+\s*+([^"\'\s]++)', 1)
+        return F.when(low.contains(word), F.transform(tags, value)).otherwise(none)
+
     found = pages.select(url.alias("source"), F.explode(F.concat(
-        F.transform(F.coalesce(link, none), href), F.transform(F.coalesce(meta, none), to))).alias("t"))
+        F.coalesce(targets("canonical", "link", r'(?is)\brel\s*+=\s*+["\']?+canonical\b', "href"), none),
+        F.coalesce(targets("refresh", "meta", r'(?is)\bhttp-equiv\s*+=\s*+["\']?+refresh\b', "url"), none))).alias("t"))
     site = F.regexp_extract("source", r"(?s)^([^:]*://[^/?#]*)", 1)
     folder = F.regexp_extract("source", r"(?s)^([^:]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     target = F.regexp_replace("t", "&amp;", "&")

@@ -5,15 +5,25 @@ import os
 import random
 import re
 import tempfile
+import time
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import blockdist, collision_ann, pii_vote, url_rules, warc
+from tessera.llm import blockdist, collision_ann, pii_vote, queries, url_rules, warc
 from tessera.llm.components import connected_components
 
 
+def twin(name, **tables):
+    """Sorted rows of a query's SQL over the given frames."""
+    con = duckdb.connect()
+    for table, df in tables.items():
+        con.register(table, df.toArrow())
+    return sorted(con.execute(queries.SQL[name]).fetchall(), key=str)
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(180)] + [(500, 500), (None, 1)] + [(900, 901 + i) for i in range(200)]
@@ -58,6 +68,39 @@ def test_url_rules(spark):
     assert url_rules.judge(pages.where("false"), edges.where("false")).count() == 0
 
 
+def test_url_rules_twin(spark):
+    """Relative targets, references, attributes in any order, upper case: the SQL reads them as Spark does."""
+    link = lambda u: f"<p>1 > 0</p><LINK href='{u}' REL=canonical><link rel=stylesheet href=x>"
+    rows = [(1, "http://a.net/d/x?p=1&q=2", link("../y")), (2, "http://A.net/d/../y", ""), (3, "http://b.com/de/1", link("//C.net/k#f")),
+            (4, "http://c.net/k", None), (5, "http://d.net", link("e?u=1&amp;v=2")), (6, "http://d.net/e?u=1&v=2", link("http://example.org/es/")),
+            (7, "http://f.net/g/h", '<meta content="0;URL = /i" http-equiv = "Refresh">'), (8, "https://f.net/i", link("http://b.com/de/2")),
+            (9, None, link("http://b.com/de/2")), (10, "", link("/x")), (11, "x", link("y")), (None, "http://g.net/", "<link rel=canonical href=http://b.com/de/2"),
+            (12, "http://h.net/ ", "<link rel=canonical href=http://b.com/de/2 x"), (2, "http://A.net/d/../y", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = sorted((tuple(r) for r in url_rules.judge(pages, url_rules.page_edges(pages)).collect()), key=str)
+    assert got == twin("op2_url_rules", pages=pages)
+    verdict = {r[0]: r[4] for r in got}
+    assert [verdict[i] for i in (1, 4, 5, 6, 7, 8)] == ["allow", "block", "block", "block", "block", "block"]
+
+
+def test_hostile_pages(spark):
+    """Megabytes of open tags, quotes and ends: time in proportion to the page, no error."""
+    n = 200_000
+    pages = ["<a " * n, "<a " * n + ">", '<a ">" ' * n, "<div>" * n + "</section>" * n, "<b><div>" + "<i>" * n + "</b>" * n, "<script>" * n,
+             "<script>a</script " * n, "<nav>" + "<article>" * n, "<!--" * n, "<a " + "b " * n + ">x", "<" * 5 * n, "<xmp/><xmp>" * n]
+    for page in pages:
+        began = time.time()
+        blockdist.main_text(page)
+        assert time.time() - began < 5, page[:40]
+    links = [x * 100_000 for x in ("<link canonical ", "<link rel= canonical>", "<link rel=canonical href= ' ", "<meta refresh ")]
+    df = spark.createDataFrame([(i, "http://a.net", x) for i, x in enumerate(links)], "page_id bigint, url string, html string")
+    began = time.time()
+    assert url_rules.page_edges(df).count() == 0 and time.time() - began < 10
+    zeros = "1.2.3." + "0" * 5000 + "7"
+    assert pii_vote.base_spans(zeros + " 1.2.3." + "9" * 5000) == [("ip", 0, len(zeros))]
+    assert [c["kind"] for c in pii_vote.candidates("1[.]2[.]3[.]4 " + "0" * 6000 + ".1.1.1")] == [1, 1]
+
+
 def test_search(spark):
     r = np.random.default_rng(5)
     x = r.normal(size=(900, 16))
@@ -120,10 +163,21 @@ def test_warc_of_repeated_rows(spark, monkeypatch):
         return i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", 3 if revisit else None
 
     want = sorted((result(i, html) for i, _, html in rows), key=str)
+    assert twin("op7_warc", pages=pages) == want
     assert sorted(map(tuple, warc.archive_pages(pages, out).collect()), key=str) == want
     assert sorted(map(tuple, warc.archive_pages(pages, out).collect()), key=str) == want  # written twice, still one capture each
 
 
+def test_warc_of_equal_ids(spark):
+    """One payload under equal ids, other ids and none: one response, the others revisit it."""
+    big = "y" * 320
+    rows = [(7, "a", big), (7, "b", big), (9, "c", big), (None, "d", big), (None, "e", "z" * 200), (None, "f", "z" * 200)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = sorted(map(tuple, warc.archive_pages(pages).collect()), key=str)
+    assert got == twin("op7_warc", pages=pages)
+    assert sorted((r[3], r[4]) for r in got if r[1] == 320) == [("response", None)] + [("revisit", 7)] * 3
+
+
 def test_main_text(spark):
     page = ("<html><head><title>t</title><script>a='</p>'</script></head><body><header>Site</header><nav><a href=x>Menu</a></nav>"
             "<div class='cookie-notice'>We use cookies</div><article><h1>Head &amp; more</h1><p>One  <b>two</b>\n three &lt;x&gt;</p>"
@@ -135,6 +189,8 @@ def test_main_text(spark):
     bare = "<div id=top><a href=a>Home</a></div><div><p>" + "word " * 40 + "</p><p>ok</p></div><div class=sidebar>Links</div>"
     assert blockdist.main_text(bare) == ("word " * 40).strip() + "\n\nok"
     assert blockdist.main_text("a < b and <p") == "a < b and <p"
+    for name in ("page no-sidebar", "content has-comments", "layout with-footer", "menu-open"):  # a state, no boilerplate
+        assert blockdist.main_text(f"<div class='{name}'><p>{'word ' * 40}</p></div>") == ("word " * 40).strip()
     df = spark.createDataFrame([(1, "u", page), (2, None, None), (1, "u", page), (3, "v", "<p>" * 50_000 + "x")],
                                "page_id bigint, url string, html string").withColumn("text", F.lit(0))
     got = blockdist.extract(df).collect()
