@@ -41,7 +41,9 @@ SIMILAR = 80
 BANDS = 64
 ROWS = 6
 SEED = 12
-CHUNK = 256
+HUB = 256
+CHUNK = 2048
+CHUNK_HASHES = 2_000_000
 PIECE = 1 << 20
 HELD_WORDS = 200_000
 BROADCAST_KEYS = 500_000
@@ -171,8 +173,8 @@ def _sizes_fit(a: str, b: str, percent: int):
 
 def star_links(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The edges ``(u, v)`` whose full sets are similar. A hub's set goes to a
-    group of ``CHUNK`` of its edges."""
-    hubs = cut_lineage(edges.groupBy("v").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("k")))
+    group of ``HUB`` of its edges."""
+    hubs = cut_lineage(edges.groupBy("v").agg(F.ceil(F.count("*") / HUB).cast("int").alias("k")))
     members = (edges.join(hubs, "v").withColumn("part", F.pmod(F.xxhash64("u"), F.col("k")).cast("int"))
                .join(sets.withColumnRenamed("nid", "u"), "u").select("v", "part", "u", "set"))
     centres = (hubs.join(sets.withColumnRenamed("nid", "v"), "v")
@@ -196,32 +198,40 @@ def star_links(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def forest(nodes: list[int], comps: list[int], sides: list[int] | None, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between members of different components; each joins two of them."""
-    label = {c: c for c in comps}
-
-    def find(c):
-        while label[c] != c:
-            label[c] = c = label[label[c]]
-        return c
+    """Links between members of different components; each joins two of them.
 
+    Hashes are numbered once; a member's numbers are marked, and the marks summed
+    over every other set, in one step each. The members of the largest component
+    are only met from the others' side.
+    """
+    label = np.unique(comps, return_inverse=True)[1]
+    sizes = np.array([len(x) for x in sets], np.int64)
+    begin = np.cumsum(sizes) - sizes
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    marks = np.zeros(number.max() + 1, bool)
+    side = None if sides is None else np.array(sides)
     links = []
-    order = sorted(range(len(nodes)), key=lambda i: len(sets[i]))  # sizes that cannot fit end a row
-    for x, i in enumerate(order):
-        for j in order[x + 1:]:
-            if 100 * len(sets[i]) < percent * len(sets[j]):
-                break
-            if sides is not None and sides[i] == sides[j]:
-                continue
-            a, b = find(comps[i]), find(comps[j])
-            if a != b and similar(sets[i], sets[j], percent):
-                label[a] = b
+    for i in np.flatnonzero(label != np.bincount(label).argmax()):
+        if not (label != label[i]).any():
+            break
+        own = number[begin[i]:begin[i] + sizes[i]]
+        marks[own] = True
+        both = np.add.reduceat(marks[number], begin, dtype=np.int64)
+        marks[own] = False
+        near = (100 * both >= percent * (sizes[i] + sizes - both)) & (label != label[i])
+        if side is not None:
+            near &= side != side[i]
+        for j in np.flatnonzero(near):
+            if label[j] != label[i]:
                 links.append((nodes[i], nodes[j]))
+                label[label == label[j]] = label[i]
     return links
 
 
 def bucket_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """A forest of the links within buckets: ``rows`` has ``(key, c, nid, comp)``, ``c`` the bucket's size."""
-    k = F.ceil(F.col("c") / CHUNK).cast("int")
+    """A forest of the links within buckets: ``rows`` has ``(key, c, total, nid, comp)``,
+    ``c`` the bucket's size and ``total`` that of its sets."""
+    k = F.ceil(F.greatest(F.col("c") / CHUNK, F.col("total") / CHUNK_HASHES)).cast("int")
     side = F.pmod(F.xxhash64("nid"), k).cast("int")
     groups = F.when(k == 1, F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))).otherwise(
         F.transform(F.sequence(F.lit(0), k - 1), lambda o: F.struct(F.least(side, o).alias("x"), F.greatest(side, o).alias("y"))))
@@ -284,11 +294,11 @@ def minmax_classes(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR,
     labelled = labelled.select("key", "nid", "n", F.coalesce("root", "nid").alias("comp"))
     # buckets with members of several components, the same ones once
     mixed = labelled.groupBy("key").agg(
-        F.count("*").alias("c"), F.min("comp").alias("a"), F.max("comp").alias("b"),
+        F.count("*").alias("c"), F.sum("n").alias("total"), F.min("comp").alias("a"), F.max("comp").alias("b"),
         F.sum(F.xxhash64("nid").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("nid", F.lit(SEED))).alias("h2")).where("a <> b")
-    mixed = cut_lineage(mixed.groupBy("c", "h1", "h2").agg(F.min("key").alias("key")).select("key", "c"))
+    mixed = cut_lineage(mixed.groupBy("c", "total", "h1", "h2").agg(F.min("key").alias("key")).select("key", "c", "total"))
     if not mixed.isEmpty():
-        left = stored(labelled.join(mixed, "key").select("key", "c", "nid", "comp"), "minmax-mixed")
+        left = stored(labelled.join(mixed, "key").select("key", "c", "total", "nid", "comp"), "minmax-mixed")
         sets = full_sets(docs, cut_lineage(left.select("nid").distinct().join(nodes.select("nid", "row"), "nid")), words, id_col, text_col)
         more = cut_lineage(bucket_links(left, sets, percent).distinct())
         if not more.isEmpty():

@@ -187,9 +187,10 @@ def near_copies(seed=5):
     return rows
 
 
-@pytest.mark.parametrize("chunk", [256, 3])
+@pytest.mark.parametrize("chunk", [2048, 3])
 def test_minmax_classes(spark, corpus, monkeypatch, chunk):
     monkeypatch.setattr(minmax_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(minmax_dedup, "HUB", chunk)
     df, rows = corpus
     rows = rows + near_copies()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4).withColumn("key", F.lit("x")).withColumn("n", F.lit(1))
@@ -215,14 +216,36 @@ def test_pairs_without_the_pivot(spark, monkeypatch):
     """Members that are near each other and not the pivot are found in what is left of the buckets."""
     sets = {0: set(range(100)), 1: set(range(60)) | set(range(200, 245)), 2: set(range(60)) | set(range(200, 240)), 3: {7}}
     frames = spark.createDataFrame([(k, bytearray(np.array(sorted(s), np.uint64).tobytes())) for k, s in sets.items()], "nid bigint, set binary")
-    rows = spark.createDataFrame([(5, 4, k, k) for k in sets], "key bigint, c bigint, nid bigint, comp bigint")
-    for chunk in (256, 1):
+    rows = spark.createDataFrame([(5, 4, 286, k, k) for k in sets], "key bigint, c bigint, total bigint, nid bigint, comp bigint")
+    for chunk, hashes in ((256, 1000), (1, 1000), (256, 70)):
         monkeypatch.setattr(minmax_dedup, "CHUNK", chunk)
+        monkeypatch.setattr(minmax_dedup, "CHUNK_HASHES", hashes)
         assert {tuple(sorted(r)) for r in minmax_dedup.bucket_links(rows, frames, 80).collect()} == {(1, 2)}
     edges = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (0, 1)], "u bigint, v bigint")
     assert [tuple(r) for r in minmax_dedup.star_links(edges, frames, 80).collect()] == [(2, 1)]
 
 
+def test_forest():
+    """As many links as it takes to join what pairwise links join."""
+    r = np.random.default_rng(8)
+    centre = r.integers(0, 1 << 62, (5, 60)).astype(np.uint64)
+    sets = [np.unique(np.concatenate((r.permutation(centre[r.integers(0, 5)])[:r.integers(48, 61)], r.integers(0, 1 << 62, r.integers(0, 8)).astype(np.uint64))))
+            for _ in range(80)]
+    comps = r.integers(0, 30, 80).tolist()
+    got = minmax_dedup.forest(list(range(80)), comps, None, sets, 80)
+
+    def classes(links):
+        label = list(comps)
+        for i, j in links:
+            a, b = label[i], label[j]
+            label = [min(a, b) if x in (a, b) else x for x in label]
+        return label
+
+    pairs = [(i, j) for i in range(80) for j in range(i) if minmax_dedup.similar(sets[i], sets[j], 80)]
+    assert set(got) <= {p for i, j in pairs for p in ((i, j), (j, i))}
+    assert classes(got) == classes(pairs) and len(got) == len(set(comps)) - len(set(classes(pairs)))
+
+
 # ------------------------------------------------------- hard negatives
 
 def test_strassen():
