@@ -39,13 +39,16 @@ import math
 from bisect import bisect_left
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..session import has_shuffle
+from ..session import cut_lineage, has_shuffle
 from .columns import q
+from .joins import small_side
 
 
 def _x(c: str) -> Column:
@@ -62,8 +65,9 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     Returns ``{(group_tuple, column): [value per prob]}``; the group tuple is
     ``()`` without ``by``. A column with no non-null value yields ``None``.
-    Grouped exact quantiles are meant for few groups (models, splits); more
-    than ``max_groups`` groups raises.
+    This grouped form answers with a dictionary and is meant for few groups
+    (models, splits): more than ``max_groups`` raises. ``group_quantiles`` returns
+    a table for any number of groups.
     """
     if interpolation not in ("linear", "inverted_cdf"):
         raise ValueError("interpolation must be 'linear' or 'inverted_cdf'")
@@ -85,6 +89,10 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if cached:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if exact and not by and len(cols) > WIDE:
+            return {((), c): v for a in range(0, len(cols), MOST) for c, v in zip(
+                cols[a:a + MOST], _digit_quantiles(data.select(*[F.col(q(c)) for c in cols[a:a + MOST]]), cols[a:a + MOST],
+                                                   probs, interpolation))}
         return _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins,
                           max_groups, interpolation, grid, delta)
     finally:
@@ -94,8 +102,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_groups,
                interpolation, grid, delta):
-    # pass 1: sizes, ranges and the sketch — in column chunks submitted
-    # concurrently (small per-row code per job; each job reads its columns)
+    # pass 1: sizes, ranges and the sketch
     def sketch(idx: list[int]) -> list[tuple[tuple, dict]]:
         aggs = []
         for i in idx:
@@ -111,16 +118,7 @@ def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_gr
             return [(tuple(r[b] for b in by), r.asDict()) for r in rows]
         return [((), data.agg(*aggs).first().asDict())]
 
-    from concurrent.futures import ThreadPoolExecutor
-    parts = [list(range(i, min(i + SLOTS_PER_JOB, len(cols))))
-             for i in range(0, len(cols), SLOTS_PER_JOB)]
-    with ThreadPoolExecutor(max(1, min(4, len(parts)))) as ex:
-        results = list(ex.map(sketch, parts))
-    merged_rows: dict[tuple, dict] = {}
-    for res in results:
-        for key, r in res:
-            merged_rows.setdefault(key, {}).update(r)
-    first = list(merged_rows.items())
+    first = sketch(list(range(len(cols))))
 
     out: dict[tuple, list[float | None]] = {}
     slots: list[dict] = []          # one per (group, column) with targets
@@ -159,7 +157,7 @@ def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_gr
     # to sorting all rows, so the merged form is only used for few cells)
     merged = (all(4.0 * s["n"] / accuracy + 2 <= max_bracket for s in slots)
               and sum(2 * len(s["targets"]) + 1 for s in slots) * 2 <= 128)
-    counts = _cell_passes(data, slots, by, collect=merged, counts_too=merged)
+    counts = _cell_pass(data, slots, by, collect=merged, counts_too=merged)
     for s_id, s in enumerate(slots):
         cnt = counts.get(s_id, {})
         bounds = s["bounds"]
@@ -192,7 +190,7 @@ def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_gr
         for s in todo:            # re-collect every bracket of these slots
             for t in s["targets"]:
                 t["done"] = False
-        cells = _cell_passes(data, todo, by, collect=True)
+        cells = _cell_pass(data, todo, by, collect=True)
         for s_id, s in enumerate(todo):
             s["cells"] = cells.get(s_id, {})
     for s in slots:
@@ -209,25 +207,103 @@ def _quantiles(data, cols, probs, by, exact, accuracy, max_bracket, bins, max_gr
     return out
 
 
-SLOTS_PER_JOB = 8
-
-
-def _cell_passes(data: DataFrame, slots: list[dict], by: list[str], collect: bool,
-                 counts_too: bool = False) -> dict[int, dict]:
-    """``_cell_pass`` over chunks of ``SLOTS_PER_JOB`` columns (all their
-    groups), submitted concurrently. Each chunk reads only its own columns
-    (parquet is columnar, so the bytes scanned match one wide job), and the
-    per-row code of a chunk stays small enough for the JIT to compile it."""
-    from concurrent.futures import ThreadPoolExecutor
-    cols = list(dict.fromkeys(s["col"] for s in slots))
-    parts = []
-    for i in range(0, len(cols), SLOTS_PER_JOB):
-        chunk = set(cols[i:i + SLOTS_PER_JOB])
-        parts.append([j for j, s in enumerate(slots) if s["col"] in chunk])
-    with ThreadPoolExecutor(max(1, min(4, len(parts)))) as ex:
-        res = list(ex.map(lambda p: _cell_pass(data, [slots[j] for j in p], by, collect,
-                                               counts_too), parts))
-    return {p[k]: v for p, r in zip(parts, res) for k, v in r.items()}
+#: Beyond so many columns, the per-row code of the passes below is too long for the JIT.
+WIDE = 2
+#: Columns of one scan there: half a megabyte of counters each.
+MOST = 128
+#: Bits of a value settled by each pass of ``_digit_quantiles``: (shift, width).
+DIGITS = ((48, 16), (24, 24), (0, 24))
+
+
+def _order_bits(x: np.ndarray) -> np.ndarray:
+    """Unsigned integers in the order of the doubles (-0.0 as 0.0)."""
+    bits = (x + 0.0).view(np.uint64)
+    return np.where(bits >> np.uint64(63), ~bits, bits | np.uint64(1 << 63))
+
+
+def _from_order_bits(bits: int) -> float:
+    raw = bits ^ (1 << 63) if bits >> 63 else bits ^ ((1 << 64) - 1)
+    return float(np.array([raw], np.uint64).view(np.float64)[0])
+
+
+def _digit_quantiles(data: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                     interpolation: str) -> list[list[float | None]]:
+    """Exact quantiles of many columns in ``len(DIGITS)`` scans, by digits of the
+    values' bits from the top: count the digit's values behind the prefixes that
+    hold a wanted rank, take the digit in which the rank falls, go on. Every scan
+    counts all columns in Arrow batches; counters meet by ``(column, prefix, digit)``."""
+    def digits(prefixes: list[list[int]], shift: int, width: int):
+        known = [np.array(p, np.uint64) for p in prefixes]
+        top, mask = np.uint64(shift + width), np.uint64((1 << width) - 1)
+
+        def count(batches):
+            whole = np.zeros((len(cols), 1 << width), np.int64) if shift + width == 64 else None
+            parts: dict[int, list] = {i: [] for i in range(len(cols))}
+            for b in batches:
+                for i in range(len(cols)):
+                    bits = _order_bits(b.column(i).drop_null().to_numpy(zero_copy_only=False))
+                    digit = (bits >> np.uint64(shift)) & mask
+                    if whole is not None:
+                        whole[i] += np.bincount(digit.astype(np.int64), minlength=1 << width)
+                    elif len(known[i]) and len(bits):
+                        at = np.minimum(np.searchsorted(known[i], bits >> top), len(known[i]) - 1)
+                        ok = known[i][at] == bits >> top
+                        parts[i].append((at[ok].astype(np.int64) << width) | digit[ok].astype(np.int64))
+            for i in range(len(cols)):
+                if whole is not None:
+                    key = np.flatnonzero(whole[i])
+                    n = whole[i][key]
+                elif parts[i]:
+                    key, n = np.unique(np.concatenate(parts[i]), return_counts=True)
+                else:
+                    continue
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), i, np.int32)), pa.array((key >> width).astype(np.int32)),
+                     pa.array(key & ((1 << width) - 1)), pa.array(n)], ["i", "p", "d", "n"])
+
+        return data.mapInArrow(count, "i int, p int, d bigint, n bigint").groupBy("i", "p", "d").agg(F.sum("n").alias("n"))
+
+    spark, (first, *rest) = data.sparkSession, DIGITS
+    counters: list[dict[int, int]] = [{} for _ in cols]
+    for r in digits([[] for _ in cols], *first).collect():     # at most 65,536 rows a column
+        counters[r["i"]][r["d"]] = r["n"]
+    wanted: dict[tuple, tuple] = {}     # (column, prob, side) -> (prefix, rank behind it)
+    shares: dict[tuple, float] = {}
+    for i, c in enumerate(counters):
+        n = sum(c.values())
+        for j, p in enumerate(probs if n else []):
+            pos = max(0, math.ceil(p * n) - 1) if interpolation == "inverted_cdf" else p * (n - 1)
+            k = math.floor(pos)
+            shares[i, j] = pos - k
+            for side, rank in ((0, k), (1, min(k + 1, n - 1) if pos > k else k)):
+                for d in sorted(c):
+                    if rank < c[d]:
+                        wanted[i, j, side] = (d, rank)
+                        break
+                    rank -= c[d]
+    for shift, width in rest:
+        prefixes = [sorted({p for (i2, _, _), (p, _) in wanted.items() if i2 == i}) for i in range(len(cols))]
+        want = sorted({(i, prefixes[i].index(p), r) for (i, _, _), (p, r) in wanted.items()})
+        if not want:
+            break
+        places = spark.createDataFrame(want, "i int, p int, r bigint")     # columns x probabilities
+        upto = digits(prefixes, shift, width).withColumn("e", F.sum("n").over(Window.partitionBy("i", "p").orderBy("d")))
+        found = {(r["i"], r["p"], r["r"]): (r["d"], r["r"] - r["before"]) for r in upto.join(F.broadcast(places), ["i", "p"])
+                 .where((F.col("r") < F.col("e")) & (F.col("r") >= F.col("e") - F.col("n")))
+                 .select("i", "p", "r", "d", (F.col("e") - F.col("n")).alias("before")).collect()}
+        for key, (p, r) in wanted.items():
+            d, r2 = found[key[0], prefixes[key[0]].index(p), r]
+            wanted[key] = (p << width | d, r2)
+    out: list[list[float | None]] = []
+    for i in range(len(cols)):
+        out.append([])
+        for j in range(len(probs)):
+            if (i, j) not in shares:
+                out[i].append(None)
+                continue
+            a, b = (_from_order_bits(wanted[i, j, side][0]) for side in (0, 1))
+            out[i].append(a if a == b else a + (b - a) * shares[i, j])
+    return out
 
 
 def _slot_rows(data: DataFrame, slots: list[dict], by: list[str]) -> DataFrame:
@@ -235,9 +311,8 @@ def _slot_rows(data: DataFrame, slots: list[dict], by: list[str]) -> DataFrame:
     with ``by``, a column of one group: groups find their slot in a broadcast
     table of one row per slot (at most ``max_groups`` groups)."""
     if not by:
-        vals = [F.struct(F.lit(i).alias("slot"), F.col(q(s["col"])).alias("x"))
-                for i, s in enumerate(slots)]
-        return data.select(F.inline(F.array(*vals))).where(F.col("x").isNotNull())
+        return data.select(F.posexplode(F.array(*[F.col(q(s["col"])) for s in slots])).alias("slot", "x")) \
+            .where(F.col("x").isNotNull())
     cols = list(dict.fromkeys(s["col"] for s in slots))
     types = [data.schema[b].dataType for b in by]
     schema = StructType([StructField(f"__g{i}", t) for i, t in enumerate(types)]
@@ -376,6 +451,64 @@ def _refine(data: DataFrame, wide: list[tuple[dict, dict]], by: list[str], bins:
             seen += n
 
 
+def group_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str],
+                    interpolation: str = "linear") -> DataFrame:
+    """``(by…, q0, q1, …)``: exact quantiles of ``col`` in every group, however many
+    groups there are; groups without a value have no row.
+
+    Equal values of a group become one counter. The counters are sorted by range
+    partitions of ``(group, value)`` with a running count in each; a group's pieces
+    (one per partition it reaches) get their offsets from a window of that many rows.
+    Each wanted rank is then looked up in the partition that holds it, so neither a
+    large group nor a frequent value is one task's.
+    """
+    names = [F.col(q(b)) for b in by]
+    g = [f"__g{i}" for i in range(len(by))]
+    counted = (df.select(*[b.alias(n) for b, n in zip(names, g)], _x(col).alias("__x")).where(F.col("__x").isNotNull())
+               .groupBy(*g, "__x").agg(F.count("*").alias("__n")))
+    placed = (counted.repartitionByRange(*g, "__x").sortWithinPartitions(*g, "__x")
+              .withColumn("__pid", F.spark_partition_id()).withColumn("__end", F.lit(0).cast("bigint")))
+
+    def running(batches):
+        total = 0
+        for b in batches:
+            end = total + np.cumsum(b.column("__n").to_numpy())
+            total = int(end[-1]) if len(end) else total
+            yield b.set_column(b.schema.get_field_index("__end"), "__end", pa.array(end, pa.int64()))
+
+    numbered = cut_lineage(placed.mapInArrow(running, placed.schema))
+    pieces = numbered.groupBy("__pid", *g).agg(F.min(F.col("__end") - F.col("__n")).alias("__s"), F.sum("__n").alias("__c"))
+    w = Window.partitionBy(*g)
+    pieces = pieces.select("*", F.sum("__c").over(w).alias("__all"), F.coalesce(F.sum("__c").over(
+        w.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    ranks = []
+    for j, p in enumerate(probs):
+        n = F.col("__all").cast("double")
+        if interpolation == "inverted_cdf":
+            low, share = F.greatest(F.ceil(F.lit(p) * n) - 1, F.lit(0)), F.lit(0.0)
+        else:
+            low = F.floor(F.lit(p) * (n - 1))
+            share = F.lit(p) * (n - 1) - low
+        high = F.when(share > 0, F.least(low + 1, F.col("__all") - 1)).otherwise(low)
+        ranks += [F.struct(F.lit(2 * j + side).alias("j"), r.cast("bigint").alias("r"), share.alias("share"))
+                  for side, r in ((0, low), (1, high))]
+    wanted = pieces.withColumn("__w", F.explode(F.filter(F.array(*ranks), lambda x: (x["r"] >= F.col("__before")) & (
+        x["r"] < F.col("__before") + F.col("__c"))))).select(
+        F.col("__pid").alias("__p"), *[F.col(c).alias(f"{c}w") for c in g], F.col("__w.j").alias("__j"),
+        (F.col("__s") + F.col("__w.r") - F.col("__before")).alias("__at"), F.col("__w.share").alias("__share"))
+    wanted = cut_lineage(wanted)
+    cond = (F.col("__pid") == F.col("__p")) & (F.col("__at") >= F.col("__end") - F.col("__n")) & (F.col("__at") < F.col("__end"))
+    for c in g:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"{c}w"))
+    found = numbered.join(small_side(wanted), cond)
+    value = lambda j: F.max(F.when(F.col("__j") == j, F.col("__x")))
+    out = found.groupBy(*g).agg(*[F.struct(value(2 * j).alias("a"), value(2 * j + 1).alias("b"), F.max(F.when(
+        F.col("__j") == 2 * j, F.col("__share"))).alias("s")).alias(f"__q{j}") for j in range(len(probs))])
+    at = lambda j: F.col(f"__q{j}.a") + (F.col(f"__q{j}.b") - F.col(f"__q{j}.a")) * F.col(f"__q{j}.s")
+    return out.select(*[F.col(n).alias(b) for n, b in zip(g, by)], *[
+        F.when(F.col(f"__q{j}.a") == F.col(f"__q{j}.b"), F.col(f"__q{j}.a")).otherwise(at(j)).alias(f"q{j}") for j in range(len(probs))])
+
+
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      exact: bool = True, **kw) -> dict[str, list[float | None]]:
     """Ungrouped form: ``{column: [value per prob]}``."""

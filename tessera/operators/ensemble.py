@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -184,3 +185,83 @@ def group_mean_cv(df: DataFrame, key: str, label: str, groups: Sequence[str], k:
                         (F.lit(g["__gn"]) - F.col("__fn")).cast("double"))
     return j.select("fold", F.col(q(key)), F.col("__y").alias("y"),
                     F.coalesce(grp, glob).alias("p"))
+
+
+# ------------------------------------------------ out-of-fold stacking
+
+def group_mean_oof(df: DataFrame, key: str, label: str, models: Mapping[str, str], k: int = 5,
+                   seed: int = 42, method: str = "hash") -> DataFrame:
+    """``(model, key, fold, y, p)``: every group-mean member's predictions of each
+    fold from the other folds, in one long table."""
+    out = None
+    for name, group in models.items():
+        part = group_mean_cv(df, key, label, [group], k, seed, method).select(
+            F.lit(name).alias("model"), F.col(q(key)), "fold", "y", "p")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def out_of_fold(df: DataFrame, features: Sequence[str], label: str, members: Mapping, key: str, k: int = 5,
+                seed: int = 42, method: str = "hash", parallelism: int = 2) -> DataFrame:
+    """``(model, key, fold, y, p)``: each learner of ``members`` is fitted on all folds
+    but one and predicts that one; ``k`` fits a member, as concurrent jobs. The
+    table is written once. A fold without rows, or without rows outside it, is skipped."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from . import learn
+    from .split import fold_of
+    data = cut_lineage(df.select(F.col(q(key)), F.col(q(label)).cast("double").alias("y"), *[F.col(q(c)) for c in features if c != key],
+                                 fold_of(key, k, seed, method).alias("fold")).where(F.col("y").isNotNull()))
+    folds = sorted(r[0] for r in data.select("fold").distinct().collect())      # at most k
+
+    def one(job):
+        name, f = job
+        model = learn.fit(data.where(F.col("fold") != f), features, "y", members[name])
+        return model.transform(data.where(F.col("fold") == f)).select(
+            F.lit(name).alias("model"), F.col(q(key)), "fold", "y", F.col("prediction").alias("p"))
+
+    jobs = [(name, f) for name in members for f in folds] if len(folds) > 1 else []
+    with ThreadPoolExecutor(max(1, parallelism)) as ex:
+        parts = list(ex.map(one, jobs))
+    if not parts:
+        raise ValueError("out-of-fold predictions need rows in at least two folds")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return cut_lineage(out)
+
+
+class Ridge:
+    """A linear meta-learner on member predictions."""
+
+    def __init__(self, models: Sequence[str], coefficients: Sequence[float], intercept: float, n: int):
+        self.models, self.coefficients = list(models), [float(c) for c in coefficients]
+        self.intercept, self.n = float(intercept), int(n)
+
+    def predict(self, preds: DataFrame, key: str, model_col: str = "model", pred_col: str = "p") -> DataFrame:
+        """``(key, prediction)``, a row for every key; null where a member has none."""
+        wide = wide_members(preds, key, self.models, None, model_col, pred_col)
+        total = F.lit(self.intercept)
+        for m, c in zip(self.models, self.coefficients):
+            total = total + F.lit(c) * F.col(q(m))
+        return wide.select(F.col(q(key)), total.alias("prediction"))
+
+
+def fit_ridge(preds: DataFrame, key: str, models: Sequence[str], alpha: float = 1.0, label: str = "y",
+              model_col: str = "model", pred_col: str = "p") -> Ridge:
+    """``SSE + alpha |w|²`` with a free intercept, from one distributed Gram matrix:
+    rows with all members and the label give the sums (``functions.gram``), the driver
+    solves a system of ``len(models)``. Without a complete row the weights are 0."""
+    from ..functions.gram import pair_sums
+    models = list(models)
+    wide = wide_members(preds, key, models, label, model_col, pred_col).dropna(subset=[*models, label])
+    sums = pair_sums(cut_lineage(wide.select(*[F.col(q(c)) for c in [*models, label]])), [*models, label])
+    n = sums["n"][0, 0]
+    if not n:
+        return Ridge(models, [0.0] * len(models), 0.0, 0)
+    mean = np.diag(sums["x"]) / n                      # all columns are complete
+    centred = sums["xy"] - n * np.outer(mean, mean)
+    m = len(models)
+    w = np.linalg.solve(centred[:m, :m] + alpha * np.eye(m), centred[:m, m])
+    mean = mean + sums["shift"]
+    return Ridge(models, w, mean[m] - w @ mean[:m], n)

@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import q
-from ..functions.quantiles import quantiles
-from ..functions.stats import agg_values
+from ..functions.quantiles import group_quantiles, quantiles
 from ..functions.joins import small_side
 from ..session import cut_lineage, materialized
 
@@ -96,23 +95,28 @@ def error_analysis(df: DataFrame, y: str = "y", p: str = "p",
     mom = d.groupBy(*[F.col(q(b)) for b in by]).agg(
         F.avg("__e").alias("mean_error"), F.stddev_pop("__e").alias("std_error"),
         F.min("__e").alias("min_error"), F.max("__e").alias("max_error"))
-    qs = quantiles(d, ["__a"], [0.5, 0.9, 0.95], by=list(by), exact=exact)
+    names = ["median_abs_error", "percentile_90_error", "percentile_95_error"]
     if not by:
-        med, p90, p95 = qs[((), "__a")]
-        return mom.select("*", F.lit(med).alias("median_abs_error"),
-                          F.lit(p90).alias("percentile_90_error"),
-                          F.lit(p95).alias("percentile_95_error"))
-    rows = [(*k, *v) for (k, _), v in qs.items()]
-    schema = ", ".join([f"{b} {t}" for b, t in zip(by, _types(df, by))] +
-                       ["median_abs_error double", "percentile_90_error double",
-                        "percentile_95_error double"])
-    qt = df.sparkSession.createDataFrame(rows, schema)
-    return mom.join(F.broadcast(qt), list(by), "inner")     # ≤ max_groups rows
+        values = quantiles(d, ["__a"], [0.5, 0.9, 0.95], exact=exact)[((), "__a")]
+        return mom.select("*", *[F.lit(v).alias(c) for c, v in zip(names, values)])
+    return _with_quantiles(mom, d, "__a", [0.5, 0.9, 0.95], by, exact, names)
 
 
-def _types(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    t = dict(df.dtypes)
-    return [t[c] for c in cols]
+def _with_quantiles(table: DataFrame, d: DataFrame, col: str, probs: Sequence[float], by: Sequence[str], exact: bool,
+                    names: Sequence[str]) -> DataFrame:
+    """``table`` (rows with the columns ``by``) with the groups' quantiles of ``col`` (null
+    where a group has only NaN); any number of groups."""
+    if exact:
+        qt = cut_lineage(group_quantiles(d, col, probs, by))
+    else:
+        qt = d.groupBy(*[F.col(q(b)) for b in by]).agg(F.percentile_approx(col, list(probs)).alias("__q")).select(
+            *[F.col(q(b)) for b in by], *[F.get("__q", F.lit(i)).alias(f"q{i}") for i in range(len(probs))])
+    # null groups are groups too
+    keys = qt.select(*[F.col(q(b)).alias(f"__k{i}") for i, b in enumerate(by)], *[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
+    cond = F.lit(True)
+    for i, b in enumerate(by):
+        cond = cond & F.col(q(b)).eqNullSafe(F.col(f"__k{i}"))
+    return table.join(small_side(keys), cond, "left").drop(*[f"__k{i}" for i in range(len(by))])
 
 
 def metric_report(metric_table: DataFrame, model_col: str = "model",
@@ -209,15 +213,10 @@ def error_box(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("m
         return _ungrouped(error_box, df, y, p, whisker=whisker, exact=exact)
     d = materialized(_pairs(df, y, p).select(*[F.col(q(b)) for b in by],
                                              (F.col(q(y)) - F.col(q(p))).alias("__e")))
-    qs = quantiles(d, ["__e"], [0.25, 0.5, 0.75], by=list(by), exact=exact)
-    rows = [(*k, *v) for (k, _), v in qs.items()]
-    schema = ", ".join([f"{b} {t}" for b, t in zip(by, _types(df, by))] +
-                       ["q1 double", "median double", "q3 double"])
-    qt = df.sparkSession.createDataFrame(rows, schema)
+    boxed = _with_quantiles(d, d, "__e", [0.25, 0.5, 0.75], by, exact, ["q1", "median", "q3"])
     lo = F.col("q1") - whisker * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + whisker * (F.col("q3") - F.col("q1"))
-    return (d.join(F.broadcast(qt), list(by), "inner")
-            .groupBy(*[F.col(q(b)) for b in by], "q1", "median", "q3")
+    return (boxed.groupBy(*[F.col(q(b)) for b in by], "q1", "median", "q3")
             .agg(F.min(F.when(F.col("__e") >= lo, F.col("__e"))).alias("whisker_low"),
                  F.max(F.when(F.col("__e") <= hi, F.col("__e"))).alias("whisker_high"),
                  F.count_if((F.col("__e") < lo) | (F.col("__e") > hi)).alias("n_outliers")))
@@ -226,36 +225,14 @@ def error_box(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("m
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None,
                        limit: int | None = None) -> DataFrame:
     """Pearson r for every ordered pair (pairwise-complete), stacked to
-    ``(feature_a, feature_b, r)``.
+    ``(feature_a, feature_b, r)``; null without spread or common rows.
 
-    One cheap pass counts the nulls of the chosen columns. Without nulls the
-    whole matrix comes from ``pyspark.ml.stat.Correlation`` in **one**
-    distributed pass (a tree-aggregated Gram matrix); with nulls, every pair
-    needs its own complete rows, so the pairs are ``corr`` aggregates in
-    chunked jobs.
+    One scan, with or without nulls: masked sums of products by pair
+    (``functions.gram``), added on the executors.
     """
     from ..functions.columns import numeric_cols
+    from ..functions.gram import correlations, pair_sums
     cols = list(cols) if cols is not None else numeric_cols(df)[:limit]
-    nulls = agg_values(df, {f"n{i}": F.count_if(F.col(q(c)).isNull() | F.isnan(
-        F.col(q(c)).cast("double"))) for i, c in enumerate(cols)})
-    rows = []
-    if cols and not any(nulls.values()):
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-        vec = VectorAssembler(inputCols=list(cols), outputCol="__v") \
-            .transform(df.select(*[F.col(q(c)).cast("double").alias(c) for c in cols]))
-        m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
-        for i, a in enumerate(cols):
-            for j, b in enumerate(cols):
-                v = float(m[i][j])
-                rows.append((a, b, None if v != v else v))
-    else:
-        pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-        vals = agg_values(df, {f"c{k}": F.corr(F.col(q(a)).cast("double"),
-                                              F.col(q(b)).cast("double"))
-                               for k, (a, b) in enumerate(pairs)})
-        for k, (a, b) in enumerate(pairs):
-            rows.append((a, b, vals[f"c{k}"]))
-            if a != b:
-                rows.append((b, a, vals[f"c{k}"]))
+    r = correlations(pair_sums(df, cols)) if cols else []
+    rows = [(a, b, None if r[i][j] != r[i][j] else float(r[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double")

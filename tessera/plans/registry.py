@@ -1070,6 +1070,23 @@ def q_error_analysis(spark, d):
     return ea.select("model", *[round6(F.col(c)).alias(c) for c in ea.columns if c != "model"])
 
 
+@register("error_analysis_groups", f"""
+WITH e AS (SELECT l_orderkey, l_extendedprice - 1500 * l_quantity AS e FROM lineitem)
+SELECT l_orderkey, {r6('mean_error', 'avg(e)')}, {r6('std_error', 'stddev_pop(e)')},
+       {r6('min_error', 'min(e)')}, {r6('max_error', 'max(e)')},
+       {r6('median_abs_error', 'quantile_cont(abs(e), 0.5)')},
+       {r6('percentile_90_error', 'quantile_cont(abs(e), 0.9)')},
+       {r6('percentile_95_error', 'quantile_cont(abs(e), 0.95)')}
+FROM e GROUP BY l_orderkey
+""")
+def q_error_analysis_groups(spark, d):
+    """Errors of a flat price per unit, by order: as many groups as there are orders."""
+    from ..operators import evaluate
+    li = I.table(spark, d, "lineitem").select("l_orderkey", F.col("l_extendedprice").alias("y"), (1500 * F.col("l_quantity")).alias("p"))
+    ea = evaluate.error_analysis(li, by=["l_orderkey"])
+    return ea.select("l_orderkey", *[round6(F.col(c)).alias(c) for c in ea.columns if c != "l_orderkey"])
+
+
 _LONG_SQL = f"""{I.SQL_PREDICTIONS},
 m AS (SELECT model, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
              1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS r2,
@@ -1211,6 +1228,23 @@ def q_correlation_matrix(spark, d):
     return cm.select("feature_a", "feature_b", round6(F.col("r")).alias("r"))
 
 
+_GAPS = {"qty": ("l_quantity", "l_linenumber % 3 = 0"), "price": ("l_extendedprice", "l_partkey % 7 = 0"),
+         "disc": ("l_discount", "l_suppkey % 5 = 0"), "part": ("l_partkey", "false"), "flat": ("l_quantity * 0", "false")}
+
+
+@register("correlation_nulls", "WITH g AS (SELECT " + ", ".join(
+    f"CASE WHEN NOT ({cond}) THEN CAST({x} AS DOUBLE) END AS {c}" for c, (x, cond) in _GAPS.items()) + " FROM lineitem),\nc AS ("
+    + "\n UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS r FROM g" for a in _GAPS for b in _GAPS)
+    + ")\nSELECT feature_a, feature_b, CASE WHEN NOT isnan(r) THEN " + r6("r").rsplit(" AS ", 1)[0] + " END AS r FROM c")
+def q_correlation_nulls(spark, d):
+    """Pairwise-complete correlations of columns with gaps in different rows, one of them constant."""
+    from ..operators import evaluate
+    gaps = I.table(spark, d, "lineitem").select(*[
+        F.expr(f"CASE WHEN NOT ({cond}) THEN CAST({x} AS DOUBLE) END").alias(c) for c, (x, cond) in _GAPS.items()])
+    cm = evaluate.correlation_matrix(gaps, list(_GAPS))
+    return cm.select("feature_a", "feature_b", round6(F.col("r")).alias("r"))
+
+
 # ------------------------------------------------------------------ ensembles
 
 @register("ensemble_weighted", f"""
@@ -1247,6 +1281,55 @@ def q_ensemble_stacking(spark, d):
     return out.select("o_orderkey", round6(F.col("prediction")).alias("prediction"))
 
 
+def _oof_sql() -> str:
+    """Out-of-fold predictions of the three members (folds: key mod 4, train rows) and
+    the closed form of the ridge by Cramer's rule."""
+    parts, names = [], {"by_priority": "o_orderpriority", "by_status": "o_orderstatus", "by_year": "o_year"}
+    for m, g in names.items():
+        parts.append(f"""
+s_{m} AS (SELECT {g} AS g, o_orderkey % 4 AS fold, sum(o_totalprice) AS s, count(o_totalprice) AS n FROM tr GROUP BY ALL),
+t_{m} AS (SELECT g, sum(s) AS st, sum(n) AS nt FROM s_{m} GROUP BY g),
+f_{m} AS (SELECT fold, sum(s) AS fs, sum(n) AS fn, sum(sum(s)) OVER () AS gs, sum(sum(n)) OVER () AS gn FROM s_{m} GROUP BY fold),
+p_{m} AS (SELECT tr.o_orderkey, coalesce((t.st - s.s) / nullif(t.nt - s.n, 0), (f.gs - f.fs) / nullif(f.gn - f.fn, 0)) AS p
+          FROM tr JOIN s_{m} s ON tr.{g} = s.g AND tr.o_orderkey % 4 = s.fold JOIN t_{m} t ON t.g = s.g JOIN f_{m} f ON f.fold = s.fold)""")
+    a = ["by_priority", "by_status", "by_year"]
+    sums = ", ".join([f"count(*) * covar_pop({x}, {y}) {'+ 1' if x == y else ''} AS a{i}{j}" for i, x in enumerate(a) for j, y in enumerate(a)]
+                     + [f"count(*) * covar_pop({x}, y) AS b{i}" for i, x in enumerate(a)]
+                     + [f"avg({x}) AS m{i}" for i, x in enumerate(a)] + ["avg(y) AS my"])
+
+    def det(c):
+        (p, q, r), (s, t, u), (v, w, x) = c
+        return f"({p} * ({t} * {x} - {u} * {w}) - {q} * ({s} * {x} - {u} * {v}) + {r} * ({s} * {w} - {t} * {v}))"
+
+    grid = [[f"a{i}{j}" for j in range(3)] for i in range(3)]
+    solved = ", ".join(det([[f"b{i}" if j == k else grid[i][j] for j in range(3)] for i in range(3)]) + f" / {det(grid)} AS w{k}" for k in range(3))
+    return f"""
+tr AS (SELECT * FROM ob WHERE split = 'train'),{",".join(parts)},
+oof AS (SELECT tr.o_orderkey, tr.o_totalprice AS y, p1.p AS by_priority, p2.p AS by_status, p3.p AS by_year
+        FROM tr JOIN p_by_priority p1 USING (o_orderkey) JOIN p_by_status p2 USING (o_orderkey) JOIN p_by_year p3 USING (o_orderkey)),
+sums AS (SELECT {sums} FROM oof),
+w AS (SELECT *, {solved} FROM sums),
+members AS (SELECT o_orderkey, max(p) FILTER (model = 'by_priority') AS p0, max(p) FILTER (model = 'by_status') AS p1,
+                   max(p) FILTER (model = 'by_year') AS p2 FROM pred WHERE split = 'test' GROUP BY o_orderkey)"""
+
+
+@register("stacking_out_of_fold", f"""
+WITH {I.SQL_PREDICTIONS},
+{_oof_sql()}
+SELECT o_orderkey, floor((my + w0 * (p0 - m0) + w1 * (p1 - m1) + w2 * (p2 - m2)) * 100 + 0.5) / 100 AS prediction
+FROM members, w
+""")
+def q_stacking_out_of_fold(spark, d):
+    """Ridge(α=1) on out-of-fold predictions of the train rows (4 folds, key mod 4),
+    applied to the members' predictions of the test split; in cents."""
+    from ..operators import ensemble
+    train = I.orders_base(spark, d).where("split = 'train'")
+    oof = ensemble.group_mean_oof(train, "o_orderkey", "o_totalprice", I.PRED_MODELS, k=4, method="modulo")
+    ridge = ensemble.fit_ridge(oof, "o_orderkey", MODELS)
+    out = ridge.predict(_pred(spark, d, "test"), "o_orderkey")
+    return out.select("o_orderkey", (F.floor(F.col("prediction") * 100 + 0.5) / 100).alias("prediction"))
+
+
 @register("prediction_summary", f"""
 WITH {I.SQL_PREDICTIONS}
 SELECT model, CAST(count(*) AS BIGINT) AS n_rows, {r6('min_prediction', 'min(p)')},
@@ -1274,6 +1357,24 @@ def q_prediction_sink(spark, d):
                     round6(F.col("max_prediction")).alias("max_prediction"))
 
 
+@register("prediction_rewrite", f"""
+WITH {I.SQL_PREDICTIONS}
+SELECT model, CAST(count(*) AS BIGINT) AS n_rows, {r6('min_prediction', "min(CASE WHEN model = 'by_year' THEN p + 1 ELSE p END)")},
+       {r6('max_prediction', "max(CASE WHEN model = 'by_year' THEN p + 1 ELSE p END)")} FROM pred GROUP BY model
+""")
+def q_prediction_rewrite(spark, d):
+    """All models written, then one of them twice more with other values: the others stay."""
+    from ..sources import sinks
+    path = f"{ensure_checkpoint_dir(spark)}/prediction_rewrite-{uuid.uuid4().hex}"
+    pred = _pred(spark, d)
+    sinks.write_predictions(pred, path)
+    for _ in range(2):
+        sinks.write_predictions(pred.where("model = 'by_year'").withColumn("p", F.col("p") + 1), path)
+    s = sinks.prediction_summary(sinks.read_predictions(spark, path), model_col="model", pred_col="p")
+    return s.select("model", "n_rows", round6(F.col("min_prediction")).alias("min_prediction"),
+                    round6(F.col("max_prediction")).alias("max_prediction"))
+
+
 # ------------------------------------------------- cross-validation / search
 
 _CV_GROUPS = {"by_priority": ["o_orderpriority"], "by_status": ["o_orderstatus"],

@@ -17,11 +17,14 @@ FORMATS = ("parquet", "csv", "json")
 
 
 def write_predictions(preds: DataFrame, path: str, fmt: str = "parquet",
-                      model_col: str = "model") -> None:
-    """One folder per model (``partitionBy``), overwritten as a whole."""
+                      model_col: str = "model", replace_all: bool = False) -> None:
+    """One folder per model (``partitionBy``). Writing replaces the folders of the
+    models in ``preds`` and leaves the others (dynamic partition overwrite), so a
+    model can be written again; ``replace_all`` replaces the whole table."""
     if fmt not in FORMATS:
         raise ValueError(f"unknown format: {fmt}")
-    w = preds.write.mode("overwrite").partitionBy(model_col)
+    w = preds.write.mode("overwrite").partitionBy(model_col) \
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
     if fmt == "csv":
         w = w.option("header", True)
     getattr(w, fmt)(path)

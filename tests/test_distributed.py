@@ -250,15 +250,3 @@ def test_gbt_split_counts(spark):
     assert got["dead"] == 0 and got["a"] > 0
     internal = sum(t.numNodes // 2 for t in m.stages[-1].trees)     # binary trees
     assert sum(got.values()) == internal
-
-
-def test_shadow_selection_prefers_signal(spark):
-    rng = np.random.default_rng(8)
-    rows = [(i, float(a), float(n), float(5 * a + rng.normal(0, 0.1)))
-            for i, (a, n) in enumerate(rng.normal(size=(400, 2)))]
-    df = frame(spark, rows, "id int, signal double, noise double, y double")
-    out = {r.feature: r for r in select.shadow_selection(
-        df, "id", ["signal", "noise"], "y", iterations=4,
-        estimator=learn.forest(numTrees=10, maxDepth=5)).collect()}
-    assert out["signal"].hits == 4 and out["signal"].hits > out["noise"].hits
-    assert out["signal"].p_value == 0.5 ** 4
