@@ -74,6 +74,8 @@ def load(spark: SparkSession, path: str) -> Fitted:
         return scale.FittedScaler(p["strategy"], p["center"], p["scale"])
     if kind == "onehot":
         return encode.FittedOneHot(p["cols"], p["categories"], p["keep"])
+    if kind == "sparse_onehot":
+        return encode.FittedSparseOneHot(load(spark, os.path.join(path, "labels")), p["sizes"])
     if kind == "category_map":
         literal, table = None, None
         if p["literal"]:

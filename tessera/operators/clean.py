@@ -8,13 +8,16 @@ aggregates, a few numbers per column) plus a one-``select`` transform.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import number, numeric_cols, q, string_cols
+from ..functions.joins import small_side
 from ..functions.quantiles import column_quantiles
 from ..functions.stats import agg_values
+from ..session import cut_lineage
 from .base import Fitted, replace_columns
 
 # The housing table's "absent" codes (column → category).
@@ -172,8 +175,13 @@ def most_frequent(df: DataFrame, cols: Sequence[str]) -> dict:
     return out
 
 
+#: Rows of a key that one window may hold before the key is cut.
+CHUNK_ROWS = 1_000_000
+
+
 def forward_fill(df: DataFrame, cols: Sequence[str], partition_by: Sequence[str],
-                 order_by: Sequence[str], chunk_by: Column | None = None) -> DataFrame:
+                 order_by: Sequence[str], chunk_by: Column | None = None,
+                 chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Carry the last non-null value forward inside each partition.
 
     Both partition and order keys are required: an unpartitioned window would
@@ -183,17 +191,24 @@ def forward_fill(df: DataFrame, cols: Sequence[str], partition_by: Sequence[str]
     ``(key, chunk)``, each chunk's last non-null value is carried across
     chunks on the small ``(key, chunk)`` table, and joined back — so a key
     holding a third of all rows is spread over many tasks.
+
+    Without ``chunk_by``, keys of more than ``chunk_rows`` rows are counted, and their
+    range of the first order column is cut where approximate quantiles of it lie, one
+    cut for each ``chunk_rows`` rows; other keys are one chunk. Equal values are never
+    cut apart. Order columns that are no numbers, dates or times are not cut.
     """
     if not partition_by or not order_by:
         raise ValueError("forward_fill needs partition_by and order_by")
-    order = [F.col(q(c)) for c in order_by]
+    order, columns = [F.col(q(c)) for c in order_by], df.columns
+    if chunk_by is None:
+        df, chunk_by = _cut_hot_keys(df, partition_by, order_by[0], chunk_rows)
     if chunk_by is None:
         w = (Window.partitionBy(*[F.col(q(c)) for c in partition_by]).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return replace_columns(df, {c: F.last(F.col(q(c)), ignorenulls=True).over(w)
                                     for c in cols})
     keys = [*partition_by, "__chunk"]
-    d = df.withColumn("__chunk", chunk_by)
+    d = df.withColumn("__chunk", chunk_by).select(*[F.col(q(c)) for c in columns], "__chunk")
     w1 = (Window.partitionBy(*[F.col(q(c)) for c in keys]).orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = replace_columns(d, {c: F.last(F.col(q(c)), ignorenulls=True).over(w1) for c in cols})
@@ -218,10 +233,36 @@ def forward_fill(df: DataFrame, cols: Sequence[str], partition_by: Sequence[str]
         cond = e if cond is None else cond & e
     j = local.join(carry, cond, "left")
     out = [F.coalesce(F.col(q(c)), F.col(f"__c{cols.index(c)}")).alias(c) if c in cols
-           else F.col(q(c)) for c in df.columns]
+           else F.col(q(c)) for c in columns]
     return j.select(*out)
 
 
+def _cut_hot_keys(df: DataFrame, partition_by: Sequence[str], order: str, chunk_rows: int) -> tuple[DataFrame, Column | None]:
+    """``df`` with the cuts of its hot keys as ``__cuts``, and the chunk they give; no
+    chunk if no key is hot. A row's chunk is the number of cuts at or before it; nulls
+    come first, as in the window's order."""
+    kind = dict(df.dtypes)[order]
+    if not kind.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")):
+        return df, None
+    keys = [F.col(q(c)).alias(f"__h{i}") for i, c in enumerate(partition_by)]
+    names = [f"__h{i}" for i in range(len(keys))]
+    hot = cut_lineage(df.select(*keys).groupBy(*names).agg(F.count("*").alias("__n")).where(F.col("__n") > chunk_rows))
+    top = hot.agg(F.count("*"), F.max("__n")).first()     # at most rows / chunk_rows hot keys
+    if not top[0]:
+        return df, None
+    small = small_side(hot.select(*names, "__n"))
+    same = lambda a, b: reduce(lambda x, y: x & y, [F.col(q(c)).eqNullSafe(F.col(f"{h}{b}")) for c, h in zip(a, names)])
+    rows = df.select(*[F.col(q(c)) for c in dict.fromkeys([*partition_by, order])]).join(small, same(partition_by, ""))
+    steps = min(10_000, -(-top[1] // chunk_rows))
+    at = [i / steps for i in range(1, steps)]
+    # every hot key gets the same number of cuts; partial sketches meet by key, so a key is no one task's
+    cuts = cut_lineage(rows.groupBy(*names).agg(F.array_distinct(F.percentile_approx(F.col(q(order)), at, 10 * steps)).alias("__cuts"))
+                       .select(*[F.col(n).alias(f"{n}c") for n in names], "__cuts"))
+    with_cuts = df.join(small_side(cuts), same(partition_by, "c"), "left").drop(*[f"{n}c" for n in names])
+    chunk = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= F.col(q(order)))), F.lit(0))
+    return with_cuts, F.when(F.col("__cuts").isNull() | F.col(q(order)).isNull(), F.lit(0)).otherwise(chunk)
+
+
 def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Categorical strategy ``drop``: rows with a null in ``cols`` go."""
     return df.dropna(subset=list(cols))

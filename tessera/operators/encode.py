@@ -161,10 +161,44 @@ class FittedOneHot(Fitted):
         return {"cols": self.cols, "categories": self.categories, "keep": self.keep}
 
 
+class FittedSparseOneHot(Fitted):
+    """A label map per column, then one sparse vector column each: ``{c}_onehot`` has a
+    1 at the category's code. Unseen categories are all zeros; a missing value is a
+    category of its own if the fit saw one."""
+
+    kind = "sparse_onehot"
+
+    def __init__(self, labels: FittedMap, sizes: dict[str, int]):
+        self.labels, self.sizes = labels, sizes
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.feature import OneHotEncoder
+        cols = [c for c in self.labels.cols if c in df.columns]
+        if not cols:
+            return df
+        codes = self.labels.transform(df.select("*", *[F.col(q(c)).alias(f"__raw_{c}") for c in cols]))
+        # the index after the last category stands for unseen ones, and is dropped from the vector
+        ready = codes.select("*", *[F.when(F.coalesce(F.col(q(c)), F.lit(-1)) < 0, F.lit(self.sizes[c])).otherwise(F.col(q(c)))
+                                    .cast("double").alias(f"__code_{c}") for c in cols])
+        one = OneHotEncoder(inputCols=[f"__code_{c}" for c in cols], outputCols=[f"{c}_onehot" for c in cols], dropLast=True)
+        # the sizes are known: the model is fitted on one row of last indexes
+        last = df.sparkSession.createDataFrame([tuple(float(self.sizes[c]) for c in cols)], ", ".join(f"`__code_{c}` double" for c in cols))
+        out = one.fit(last).transform(ready)
+        return out.select(*[F.col(f"`__raw_{c}`").alias(c) if c in cols else F.col(q(c)) for c in df.columns],
+                          *[F.col(f"`{c}_onehot`") for c in cols])
+
+    def params(self):
+        return {"sizes": self.sizes}
+
+    def save(self, path: str) -> None:
+        super().save(path)
+        self.labels.save(path + "/labels")
+
+
 class Encoder:
-    """Dispatcher over ``onehot``, ``label``, ``target``, ``frequency``."""
+    """Dispatcher over ``onehot``, ``onehot_sparse``, ``label``, ``target``, ``frequency``."""
 
-    STRATEGIES = ("onehot", "label", "target", "frequency")
+    STRATEGIES = ("onehot", "onehot_sparse", "label", "target", "frequency")
 
     def __init__(self, strategy: str = "target", cols: Sequence[str] | None = None,
                  label: str | None = None, exclude: Sequence[str] = (),
@@ -195,6 +229,13 @@ class Encoder:
                     FittedMap(self.strategy, [], None, 0, self.literal_limit, literal={}))
         if self.strategy == "onehot":
             return self._fit_onehot(df, cols)
+        if self.strategy == "onehot_sparse":
+            labels = Encoder("label", cols, handle_unseen="keep", literal_limit=self.literal_limit,
+                             broadcast_limit=self.broadcast_limit, hot_share=self.hot_share).fit(df)
+            if labels.literal is not None:
+                return FittedSparseOneHot(labels, {c: len(labels.literal.get(c, {})) for c in cols})
+            sizes = dict(labels.table.groupBy("feature").count().collect())      # one row per feature
+            return FittedSparseOneHot(labels, {c: sizes.get(c, 0) for c in cols})
         spark = df.sparkSession
         default, null_code = {}, {}
         with_label = self.strategy == "target"
@@ -261,7 +302,7 @@ class Encoder:
         per = long.groupBy("feature").agg(F.count("*").alias("k"))
         big = per.where(F.col("k") > self.max_categories).collect()
         if big:
-            raise ValueError(f"one-hot refuses more than {self.max_categories} categories: "
+            raise ValueError(f"one-hot columns for more than {self.max_categories} categories (use onehot_sparse): "
                              f"{[r['feature'] for r in big]}")
         cats: dict[str, list] = {c: [] for c in cols}
         for r in long.collect():

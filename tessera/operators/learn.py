@@ -41,7 +41,15 @@ GBT_PRESETS = {
     "lightgbm": {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
                  "featureSubsetStrategy": "0.8"},
 }
+#: Parameters that a search draws, by learner. The declared ranges.
+SEARCH_SPACES = {
+    "random_forest": {"numTrees": ("int", 100, 500), "maxDepth": ("int", 10, 30), "minInstancesPerNode": ("int", 1, 5),
+                      "featureSubsetStrategy": ("choice", ["sqrt", "log2"])},
+    "xgboost": {"maxDepth": ("int", 3, 10), "stepSize": ("float", 0.001, 0.3), "subsamplingRate": ("float", 0.5, 1.0)},
+}
+SEARCH_SPACES["catboost"] = SEARCH_SPACES["lightgbm"] = SEARCH_SPACES["xgboost"]
 DROPPED = {
+    "random_forest": ["min_samples_split=5"],
     "xgboost": ["reg_alpha=0.01", "reg_lambda=1"],
     "catboost": [],
     "lightgbm": ["num_leaves=31", "reg_alpha=0.01", "reg_lambda=1"],

@@ -244,6 +244,24 @@ def q_impute_ffill(spark, d):
     return out.select("event_id", "user_id", round6(F.col("value")).alias("value"))
 
 
+@register("impute_ffill_cut", f"""
+WITH ev AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts,
+                   CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value FROM events)
+SELECT event_id, user_id,
+       {r6('value', 'last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id '
+                    'ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')}
+FROM ev
+""")
+def q_impute_ffill_cut(spark, d):
+    """Forward fill with a user who has a third of all events: keys of more than 2,000
+    rows are cut by their own counts, no chunk is named."""
+    ev = I.table(spark, d, "events").select(
+        "event_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).alias("user_id"), "ts",
+        F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("value")).alias("value"))
+    out = clean.forward_fill(ev, ["value"], ["user_id"], ["ts", "event_id"], chunk_rows=2000)
+    return out.select("event_id", "user_id", round6(F.col("value")).alias("value"))
+
+
 @register("clip_iqr", f"""
 WITH st AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
             FROM events WHERE event_id % 5 <> 0)
@@ -414,6 +432,27 @@ def q_encode_onehot(spark, d):
                       *[F.col(f"`{h}`").cast("bigint").alias(h) for h in hot])
 
 
+@register("encode_onehot_sparse", """
+WITH fit AS (SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 11 <> 0
+             UNION SELECT 'nan'),
+code AS (SELECT day, CAST(row_number() OVER (ORDER BY day) - 1 AS INTEGER) AS idx, CAST(count(*) OVER () AS INTEGER) AS size FROM fit),
+o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'nan' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day FROM orders)
+SELECT o_orderkey, day, (SELECT max(size) FROM code) AS size, idx FROM o LEFT JOIN code USING (day)
+""")
+def q_encode_onehot_sparse(spark, d):
+    """Order days (more than a thousand categories, some missing, some unseen in the fit
+    rows) as a sparse one-hot vector; its size and the place of its 1."""
+    from ..operators.encode import Encoder
+    o = I.table(spark, d, "orders").select("o_orderkey", F.when(
+        F.col("o_orderkey") % 11 != 0, F.to_date("o_orderdate").cast("string")).alias("day"))
+    out = Encoder("onehot_sparse", cols=["day"]).fit(o.where(TRAIN())).transform(o)
+    # the vector as text is (size,[place],[1.0]) or (size,[],[])
+    text = F.col("day_onehot").cast("string")
+    return out.select("o_orderkey", F.coalesce("day", F.lit("nan")).alias("day"),
+                      F.regexp_extract(text, r"^\(([0-9]+),", 1).cast("int").alias("size"),
+                      F.nullif(F.regexp_extract(text, r"^\([0-9]+,\[([0-9]*)\]", 1), F.lit("")).cast("int").alias("idx"))
+
+
 @register("encode_label", f"""
 WITH bm AS (SELECT p_brand AS v, dense_rank() OVER (ORDER BY p_brand) - 1 AS code
             FROM (SELECT DISTINCT p_brand {_PFIT})),
@@ -1567,3 +1606,30 @@ def q_select_shadow(spark, d):
     df = learn_frame(spark, d).where(F.col("split") == "train")
     return select.shadow_selection(df, "o_orderkey", LEARN_FEATURES, "o_totalprice",
                                    iterations=8, estimator=_small_forest())
+
+
+@register("artifact_scores", """
+SELECT m.model, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_different
+FROM orders, (SELECT unnest(['random_forest', 'xgboost', 'ensemble']) AS model) m WHERE o_orderkey % 5 = 0 GROUP BY m.model
+""")
+def q_artifact_scores(spark, d):
+    """A job's artifact, saved, loaded in another session and applied to the raw test
+    rows: rows scored by model and those whose score is not the job's own."""
+    from .artifact import load_scorer
+    from .jobs import train_and_score
+    orders = I.orders_lines(spark, d)
+    path = f"{ensure_checkpoint_dir(spark)}/artifact-{uuid.uuid4().hex}"
+    out = train_and_score(orders.where(TRAIN()), orders.where(~TRAIN()), "o_orderkey", "o_totalprice",
+                          selection=("Mutual Information",), forest_params={"numTrees": 10, "maxDepth": 5},
+                          gbt_params={"maxIter": 5, "maxDepth": 4}, patience=None, save_to=path)
+    other = spark.newSession()
+    scorer = load_scorer(other, path)
+    members = scorer.members(I.orders_lines(other, d).where("o_orderkey % 5 = 0"))
+    again = members.select("model", "o_orderkey", "prediction").unionByName(
+        scorer.combined(members).select(F.lit("ensemble").alias("model"), "o_orderkey", "prediction"))
+    path += "-again"
+    again.write.parquet(path)
+    first = out["predictions"].unionByName(out["ensemble"].select(F.lit("ensemble").alias("model"), "o_orderkey", "prediction"))
+    both = first.join(spark.read.parquet(path).withColumnRenamed("prediction", "p2"), ["model", "o_orderkey"], "full")
+    same = F.abs(F.col("prediction") - F.col("p2")) <= 1e-9 * F.abs(F.col("prediction"))
+    return both.groupBy("model").agg(F.count("*").alias("n_rows"), F.count_if(~F.coalesce(same, F.lit(False))).alias("n_different"))

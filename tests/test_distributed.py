@@ -205,6 +205,7 @@ def test_train_and_score_job(spark, tmpdir_path):
     out = train_and_score(train, test, "Id", "SalePrice", learners=("random_forest", "xgboost"),
                           forest_params={"numTrees": 10, "maxDepth": 5},
                           gbt_params={"maxIter": 10, "maxDepth": 3}, min_features=2,
+                          selection=("Mutual Information",),
                           out_dir=os.path.join(tmpdir_path, "preds"))
     assert out["ensemble"].count() == 80
     m = {r.model: r.r2 for r in out["score_metrics"].collect()}
