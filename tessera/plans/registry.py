@@ -1605,7 +1605,7 @@ def q_select_shadow(spark, d):
     from ..operators import select
     df = learn_frame(spark, d).where(F.col("split") == "train")
     return select.shadow_selection(df, "o_orderkey", LEARN_FEATURES, "o_totalprice",
-                                   iterations=8, estimator=_small_forest())
+                                   iterations=16, estimator=_small_forest())
 
 
 @register("artifact_scores", """
