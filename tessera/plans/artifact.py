@@ -19,6 +19,7 @@ from ..functions.columns import q
 from ..operators import ensemble, features, learn
 from ..operators.base import load as load_fitted
 from ..operators.ensemble import Ridge
+from ..session import materialized
 from .chain import FittedChain
 
 
@@ -63,6 +64,8 @@ class Scorer:
     def members(self, df: DataFrame) -> DataFrame:
         """``(model, key, label, prediction)``, a row per model and row of ``df``."""
         ready = self.prepare(df)
+        if len(self.models) > 1:
+            ready = materialized(ready)     # prepared once, scored by each model
         out = None
         for name, model in self.models.items():
             part = learn.predict(model, ready, self.key, keep=[self.label]).withColumn("model", F.lit(name))

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from ..operators.base import Fitted, NotFittedError
-from ..session import cut_lineage
+from ..session import cut_lineage, materialized
 
 
 class FittedChain(Fitted):
@@ -52,10 +52,12 @@ class Chain:
     def fit(self, df: DataFrame) -> FittedChain:
         cur = cut_lineage(df) if self.materialize else df
         fitted = []
-        for stage in self.stages:
+        for i, stage in enumerate(self.stages):
             f = stage.fit(cur)
             fitted.append(f)
             cur = f.transform(cur)
+            if self.materialize and i + 1 < len(self.stages):
+                cur = materialized(cur)     # joins with category maps run once, not in every later pass
         self._fitted = FittedChain(fitted)
         return self._fitted
 
