@@ -51,9 +51,15 @@ def metrics(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (),
 
 
 def metric_bundle(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("model",),
-                  split_col: str = "split", splits: Sequence[str] = ("train", "test")) -> DataFrame:
+                  split_col: str = "split", splits: Sequence[str] = ("train", "test"),
+                  folds: DataFrame | None = None, metric: str = "rmse") -> DataFrame:
     """Train / test metrics side by side with ``train_`` / ``test_`` prefixes, in
-    one aggregate (each split's metrics over its masked rows, no pivot)."""
+    one aggregate (each split's metrics over its masked rows, no pivot). With
+    ``folds`` (per-fold metrics, ``(*by, fold, n, rmse, …)``) the cross-validation part
+    joins it: ``cv_folds``, ``cv_scores`` (``metric`` of each fold, in fold order),
+    ``cv_mean`` and ``cv_std`` (population); null for a group without folds."""
+    if folds is not None and not by:
+        raise ValueError("folds are joined by the columns of by")
     d = _pairs(df, y, p)
     ex = []
     for s in splits:
@@ -61,7 +67,14 @@ def metric_bundle(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] =
         ym = F.when(m, F.col(q(y)).cast("double"))
         pm = F.when(m, F.col(q(p)).cast("double"))
         ex += [F.count(ym).alias(f"{s}_n"), *metric_exprs(ym, pm, f"{s}_")]
-    return d.groupBy(*[F.col(q(b)) for b in by]).agg(*ex)
+    out = d.groupBy(*[F.col(q(b)) for b in by]).agg(*ex)
+    if folds is None:
+        return out
+    scores = F.array_sort(F.collect_list(F.struct("fold", F.col(q(metric)).alias("__s"))))   # one entry a fold
+    cv = folds.groupBy(*[F.col(q(b)) for b in by]).agg(
+        F.count("*").alias("cv_folds"), F.transform(scores, lambda x: x["__s"]).alias("cv_scores"),
+        F.avg(F.col(q(metric))).alias("cv_mean"), F.stddev_pop(F.col(q(metric))).alias("cv_std"))
+    return out.join(cv, list(by), "left")
 
 
 def compare_with_truth(pred: DataFrame, truth: DataFrame, key: str, label: str,

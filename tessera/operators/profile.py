@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.columns import q
 from ..functions.quantiles import column_quantiles
 from ..functions.stats import agg_values
+from ..session import materialized
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
@@ -41,27 +42,25 @@ def label_stats(df: DataFrame, label: str, exact: bool = True) -> DataFrame:
         "mean double, median double")
 
 
-def dedupe_last(labels: DataFrame, key: str, label: str, order: str | None) -> DataFrame:
-    """One label per key; with duplicates the **last** (highest ``order``) wins.
-    A table has no order of its own: without ``order`` the largest label does."""
-    if order is None:
-        return labels.groupBy(F.col(q(key))).agg(F.max(F.col(q(label))).alias(label))
+def dedupe_last(labels: DataFrame, key: str, label: str, order: str) -> DataFrame:
+    """One label per key; with duplicates the **last** (highest ``order``, then the
+    largest label) wins. A table has no order of its own, so a column must name it."""
     return labels.groupBy(F.col(q(key))).agg(
-        F.max_by(F.col(q(label)), F.col(q(order))).alias(label))
+        F.max_by(F.col(q(label)), F.struct(F.col(q(order)), F.col(q(label)))).alias(label))
 
 
 def match_labels(ids: DataFrame, labels: DataFrame, key: str, label: str,
-                 order: str | None = None) -> DataFrame:
+                 order: str) -> DataFrame:
     """Label of every requested id (missing → null): left equi-join after the
-    dedupe. Both sides are keyed on ``key``; Spark shuffles both on it (or AQE
+    dedupe by ``order`` (a table of unique keys may name any column). Both sides are keyed on ``key``; Spark shuffles both on it (or AQE
     broadcasts the label side when it is small at run time)."""
-    lab = dedupe_last(labels.select(key, label, *([order] if order else [])), key, label, order)
+    lab = dedupe_last(labels.select(*[F.col(q(c)) for c in dict.fromkeys((key, label, order))]), key, label, order)
     return ids.select(F.col(q(key))).join(lab, key, "left")
 
 
 def unmatched_ids(ids: DataFrame, labels: DataFrame, key: str, first: int = 10) -> DataFrame:
-    """Ids without a label (left anti-join): their total and the first ``first``."""
-    miss = ids.select(F.col(q(key))).join(labels.select(F.col(q(key))), key, "left_anti")
+    """Ids without a label (left anti-join, run once): their total and the first ``first``."""
+    miss = materialized(ids.select(F.col(q(key))).join(labels.select(F.col(q(key))), key, "left_anti"))
     total = miss.count()
     # top-k without a global sort of all misses (TakeOrderedAndProject: each
     # task keeps its k smallest); the window then ranks at most k rows
@@ -71,20 +70,43 @@ def unmatched_ids(ids: DataFrame, labels: DataFrame, key: str, first: int = 10)
                     F.lit(total).cast("bigint").alias("n_unmatched")))
 
 
-def validate_labels(df: DataFrame, key: str, label: str,
-                    template_cols: Sequence[str]) -> DataFrame:
-    """Contract of a label table: same columns in the same order as the template,
-    no null key, numeric label, no null label; non-positive labels only warn."""
+def validate_labels(df: DataFrame, key: str, label: str, template_cols: Sequence[str] | None = None,
+                    contract: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """Contract of a label table, one row a check: ``(check, severity, violations, passed)``.
+
+    Errors: columns that are not the template's in its order (``columns_match``, 1 if
+    so), null keys, a label that is not numeric, null labels. Non-positive labels only warn.
+    With ``contract`` (``scan.contract_of`` of a template) its columns are the template's
+    and three checks more run: ``column_set`` (columns missing or not wanted),
+    ``column_types`` (shared columns of another type) and ``duplicate_key`` (rows beyond the
+    first of their key, null keys left out). A table without the key or the label
+    violates its checks with every row.
+    """
+    if contract is not None:
+        template_cols = [c for c, _ in contract]
+    if template_cols is None:
+        raise ValueError("validate_labels needs template_cols or a contract")
     same_cols = list(df.columns) == list(template_cols)
     numeric = isinstance(df.schema[label].dataType, T.NumericType) if label in df.columns else False
-    v = agg_values(df, {"nk": F.count_if(F.col(q(key)).isNull()),
-                        "nl": F.count_if(F.col(q(label)).isNull()),
-                        "np": F.count_if(F.col(q(label)).cast("double") <= 0)})
+    every = F.lit(True)
+    value = F.col(q(label)) if label in df.columns else None
+    v = agg_values(df, {"nk": F.count_if(F.col(q(key)).isNull() if key in df.columns else every),
+                        "nl": F.count_if(every if value is None else value.isNull()),
+                        "np": F.count_if(F.lit(False) if value is None else value.try_cast("double") <= 0)})
     rows = [("columns_match", "error", 0 if same_cols else 1),
             ("null_key", "error", v["nk"]),
             ("numeric_label", "error", 0 if numeric else 1),
             ("null_label", "error", v["nl"]),
             ("non_positive_label", "warning", v["np"])]
+    if contract is not None:
+        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        repeats = 0
+        if key in df.columns:
+            repeats = (df.where(F.col(q(key)).isNotNull()).groupBy(F.col(q(key))).count()
+                       .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n")).first()["n"])
+        rows += [("column_set", "error", len(set(types) ^ set(template_cols))),
+                 ("column_types", "error", sum(c in types and types[c] != t for c, t in contract)),
+                 ("duplicate_key", "error", repeats)]
     return df.sparkSession.createDataFrame(
         [(c, s, int(n), int(n) == 0) for c, s, n in rows],
         "check string, severity string, violations bigint, passed boolean")

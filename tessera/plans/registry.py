@@ -135,10 +135,24 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 def q_match_labels(spark, d):
     ids = I.table(spark, d, "documents")
     labels = I.table(spark, d, "labels")
-    m = profile.match_labels(ids, labels, "doc_id", "quality")
+    m = profile.match_labels(ids, labels, "doc_id", "quality", order="quality")
     return m.select("doc_id", F.col("quality").cast("bigint").alias("quality"))
 
 
+@register("match_labels_last", f"""
+WITH r AS (SELECT l_orderkey, l_extendedprice AS price,
+                  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_extendedprice DESC) AS k FROM lineitem),
+l AS (SELECT l_orderkey, price FROM r WHERE k = 1)
+SELECT o_orderkey, {r6('price')} FROM orders LEFT JOIN l ON o_orderkey = l_orderkey
+""")
+def q_match_labels_last(spark, d):
+    """Several labels per id: an order's label is its last line's price."""
+    labels = I.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber",
+                                                  F.col("l_extendedprice").alias("price"))
+    m = profile.match_labels(I.table(spark, d, "orders"), labels, "o_orderkey", "price", order="l_linenumber")
+    return m.select("o_orderkey", round6(F.col("price")).alias("price"))
+
+
 @register("unmatched_ids", """
 WITH miss AS (SELECT d.doc_id FROM documents d ANTI JOIN labels l ON d.doc_id = l.doc_id),
 r AS (SELECT CAST(row_number() OVER (ORDER BY doc_id) AS BIGINT) AS rank, doc_id FROM miss)
@@ -166,6 +180,67 @@ def q_validate_labels(spark, d):
     return profile.validate_labels(lab, "doc_id", "quality", ["doc_id", "quality"])
 
 
+def _contract_sql() -> str:
+    """Every check of every faulty label table; what only the schema decides is a constant of the fault."""
+    nk, nl = "count_if(doc_id IS NULL)", "count_if(quality IS NULL)"
+    np, dup = "count_if(quality <= 0)", "count(doc_id) - count(DISTINCT doc_id)"
+    sound = {"columns_match": "0", "null_key": nk, "numeric_label": "0", "null_label": nl,
+             "non_positive_label": np, "column_set": "0", "column_types": "0", "duplicate_key": dup}
+    faults = {"none": ("labels", {}),
+              "swapped": ("labels", {"columns_match": "1"}),
+              "text": ("labels", {"numeric_label": "1", "column_types": "1"}),
+              "extra": ("labels", {"columns_match": "1", "column_set": "1"}),
+              "no_label": ("labels", {"columns_match": "1", "numeric_label": "1", "null_label": "count(*)",
+                                      "non_positive_label": "0", "column_set": "2"}),
+              "nulls": ("(SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id END AS doc_id, "
+                        "CASE WHEN doc_id % 5 <> 0 THEN quality END AS quality FROM labels)", {}),
+              "negative": ("(SELECT doc_id, quality - 2 AS quality FROM labels)", {}),
+              "doubled": ("(SELECT doc_id, quality FROM labels UNION ALL "
+                          "SELECT doc_id, quality FROM labels WHERE doc_id % 3 = 0)", {})}
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{fault}' AS fault, '{check}' AS "check", CAST({expr} + 0 * count(*) AS BIGINT) AS violations, {expr} + 0 * count(*) = 0 AS passed FROM {table}"""
+        for fault, (table, changed) in faults.items() for check, expr in {**sound, **changed}.items())
+
+
+@register("validate_contract", _contract_sql())
+def q_validate_contract(spark, d):
+    """A sound label table and seven faulty ones held to the same contract."""
+    labels = I.table(spark, d, "labels")
+    lab = labels.select("doc_id", "quality")
+    kind = lab.schema["quality"].dataType
+    tables = {
+        "none": lab,
+        "swapped": lab.select("quality", "doc_id"),
+        "text": lab.select("doc_id", F.col("quality").cast("string").alias("quality")),
+        "extra": labels.select("doc_id", "quality", "toxic"),
+        "no_label": labels.select("doc_id", "toxic"),
+        "nulls": lab.select(F.when(F.col("doc_id") % 7 != 0, F.col("doc_id")).alias("doc_id"),
+                            F.when(F.col("doc_id") % 5 != 0, F.col("quality")).alias("quality")),
+        "negative": lab.select("doc_id", (F.col("quality") - 2).cast(kind).alias("quality")),
+        "doubled": lab.unionByName(lab.where("doc_id % 3 = 0"))}
+    out = None
+    for fault, df in tables.items():
+        v = profile.validate_labels(df, "doc_id", "quality", contract=scan.contract_of(lab))
+        v = v.select(F.lit(fault).alias("fault"), "check", "violations", "passed")
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+@register("split_roles", f"""
+WITH {I.SQL_ORDERS_LINES}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS name, '{'key' if c == 'o_orderkey' else 'label' if c == 'o_totalprice' else 'feature'}' AS role, "
+    f"CAST(count({c}) AS BIGINT) AS n_values FROM ol" for c in _OL_COLS))
+def q_split_roles(spark, d):
+    """Role of each column of the training frame, with its number of values."""
+    from ..functions.stats import agg_values
+    df = I.orders_lines(spark, d)
+    feats, key, label = scan.split_roles(df, "o_orderkey", "o_totalprice")
+    n = agg_values(df, {c: F.count(c) for c in (key, label, *feats)})
+    rows = [(c, "key" if c == key else "label" if c == label else "feature", n[c]) for c in (key, label, *feats)]
+    return spark.createDataFrame(rows, "name string, role string, n_values bigint")
+
+
 # ------------------------------------------------------------------- cleaning
 
 @register("fill_absence", """
@@ -1060,6 +1135,32 @@ def q_metrics_bundle(spark, d):
                       else F.col(c) for c in b.columns])
 
 
+def _bundle_cv_sql() -> str:
+    groups = {m: [g] for m, g in I.PRED_MODELS.items()}
+    folds = ",".join(_cv_sql(g, m) for m, g in groups.items())
+    cv = " UNION ALL ".join(f"SELECT '{m}' AS model, fold, rmse FROM m_{m}" for m in groups)
+    base = _bundle_sql().removeprefix(f"WITH {I.SQL_PREDICTIONS}")
+    return f"""WITH {I.SQL_PREDICTIONS},{folds},
+cv AS ({cv}), b AS ({base})
+SELECT b.*, c.cv_folds, c.cv_first, c.cv_last, c.cv_mean, c.cv_std FROM b JOIN (
+  SELECT model, CAST(count(*) AS BIGINT) AS cv_folds, {r6('cv_first', 'arg_min(rmse, fold)')},
+         {r6('cv_last', 'arg_max(rmse, fold)')}, {r6('cv_mean', 'avg(rmse)')}, {r6('cv_std', 'stddev_pop(rmse)')}
+  FROM cv GROUP BY model) c USING (model)"""
+
+
+def q_metrics_bundle_cv(spark, d):
+    """Per model: train_*, test_* and cross-validation metrics in one row."""
+    from ..operators import evaluate
+    folds = None
+    for m, g in I.PRED_MODELS.items():
+        f = _cv_metrics(spark, d, [g]).withColumn("model", F.lit(m))
+        folds = f if folds is None else folds.unionByName(f)
+    b = evaluate.metric_bundle(_pred(spark, d), by=["model"], folds=folds)
+    b = b.withColumn("cv_first", F.element_at("cv_scores", 1)).withColumn("cv_last", F.element_at("cv_scores", -1)).drop("cv_scores")
+    return b.select(*[F.col(c) if c == "model" or c.endswith("_n") or c == "cv_folds" else round6(F.col(c)).alias(c)
+                      for c in b.columns])
+
+
 @register("compare_predictions", f"""
 WITH {I.SQL_PREDICTIONS}
 SELECT pr.o_orderkey, {r6('o_totalprice_pred', 'pr.p')}, {r6('o_totalprice_true', 'o.o_totalprice')},
@@ -1414,6 +1515,27 @@ def q_prediction_rewrite(spark, d):
                     round6(F.col("max_prediction")).alias("max_prediction"))
 
 
+@register("prediction_formats", f"""
+WITH {I.SQL_PREDICTIONS}
+SELECT fmt, model, CAST(count(*) AS BIGINT) AS n_rows, {r6('min_prediction', 'min(p)')}, {r6('max_prediction', 'max(p)')}
+FROM pred, (SELECT unnest(['parquet', 'csv', 'json']) AS fmt) GROUP BY fmt, model
+""")
+def q_prediction_formats(spark, d):
+    """The prediction table written and read back as Parquet, CSV and JSON."""
+    from ..sources import sinks
+    base = f"{ensure_checkpoint_dir(spark)}/prediction_formats-{uuid.uuid4().hex}"
+    pred = _pred(spark, d).select("model", "o_orderkey", "p")
+    out = None
+    for fmt in sinks.FORMATS:
+        sinks.write_predictions(pred, f"{base}-{fmt}", fmt)
+        back = sinks.read_predictions(spark, f"{base}-{fmt}", fmt, schema="o_orderkey bigint, p double, model string")
+        s = sinks.prediction_summary(back, model_col="model", pred_col="p").select(
+            F.lit(fmt).alias("fmt"), "model", "n_rows", round6(F.col("min_prediction")).alias("min_prediction"),
+            round6(F.col("max_prediction")).alias("max_prediction"))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
 # ------------------------------------------------- cross-validation / search
 
 _CV_GROUPS = {"by_priority": ["o_orderpriority"], "by_status": ["o_orderstatus"],
@@ -1450,6 +1572,9 @@ def _cv_metrics(spark, d, groups):
     return evaluate.metrics(p, by=["fold"])
 
 
+register("metrics_bundle_cv", _bundle_cv_sql())(q_metrics_bundle_cv)
+
+
 @register("cv_fold_metrics", f"""
 WITH {I.SQL_PREDICTIONS},
 {_cv_sql(["o_orderpriority"], "pr")}
@@ -1483,17 +1608,32 @@ FROM h
 """
 
 
-@register("search_history", _search_sql())
-def q_search_history(spark, d):
-    """Search over the group-mean predictor's grouping: each trial's value is its
-    mean 5-fold CV RMSE; history with the running best and the best trial."""
+def _group_history(spark, d):
     from ..operators import learn
     rows = []
     for i, (t, g) in enumerate(_CV_GROUPS.items()):
         m = _cv_metrics(spark, d, g)
         rows.append((i, ",".join(g), learn.fold_summary(m).first()["cv_mean"]))
-    hist = spark.createDataFrame(rows, "trial int, params string, value double")
-    h = learn.search_history(hist)
+    return learn.search_history(spark.createDataFrame(rows, "trial int, params string, value double"))
+
+
+@register("search_sink", _search_sql())
+def q_search_sink(spark, d):
+    """The history of ``search_history`` written as JSON lines and read back."""
+    from ..sources import sinks
+    path = f"{ensure_checkpoint_dir(spark)}/search_sink-{uuid.uuid4().hex}"
+    h = _group_history(spark, d)
+    sinks.write_search_results(h, path)
+    h = spark.read.schema(h.schema).json(path)
+    return h.select("trial", "params", round6(F.col("value")).alias("value"),
+                    round6(F.col("best_so_far")).alias("best_so_far"), "is_best")
+
+
+@register("search_history", _search_sql())
+def q_search_history(spark, d):
+    """Search over the group-mean predictor's grouping: each trial's value is its
+    mean 5-fold CV RMSE; history with the running best and the best trial."""
+    h = _group_history(spark, d)
     return h.select("trial", "params", round6(F.col("value")).alias("value"),
                     round6(F.col("best_so_far")).alias("best_so_far"), "is_best")
 
@@ -1608,6 +1748,173 @@ def q_select_shadow(spark, d):
                                    iterations=16, estimator=_small_forest())
 
 
+# ------------------------------------------------- learners with closed forms
+#
+# Trees without sampling, deep enough to part all cells of (priority, year), predict
+# the cells' train means, whatever the order of their splits; a stump pair's
+# importances follow from sums of squares. So these learner rows have SQL twins.
+
+CELL_FEATURES = ["priority", "o_year"]
+_CELL_DEPTH = 12       # five priorities and seven years part by ten splits of a path at most
+_CELL_PARAMS = {"maxDepth": _CELL_DEPTH, "minInstancesPerNode": 1, "featureSubsetStrategy": "all", "subsamplingRate": 1.0}
+_CELLS = f"""{I.SQL_PREDICTIONS},
+cell AS (SELECT o_orderpriority, o_year, avg(o_totalprice) AS p FROM ob WHERE split = 'train' GROUP BY ALL),
+scored AS (SELECT ob.o_orderkey, ob.split, ob.o_totalprice AS y, cell.p FROM ob JOIN cell USING (o_orderpriority, o_year))"""
+
+
+def _cell_frame(spark, d):
+    return I.orders_base(spark, d).select(
+        "o_orderkey", "split", "o_totalprice", F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"),
+        F.col("o_year").cast("double").alias("o_year"))
+
+
+def _cell_forest(**params):
+    from ..operators import learn
+    return learn.forest(**{"numTrees": 3, **_CELL_PARAMS, **params}).setBootstrap(False)
+
+
+def _cell_gbt(preset, **params):
+    from ..operators import learn
+    return learn.gbt(preset, **{"maxIter": 1, **_CELL_PARAMS, **params})
+
+
+def _cell_models(spark, d, estimators):
+    from ..operators import learn
+    df = _cell_frame(spark, d)
+    return df, learn.fit_many(df.where("split = 'train'"), CELL_FEATURES, "o_totalprice", estimators)
+
+
+def _cents(c):
+    return F.floor(c * 100 + 0.5).cast("bigint")
+
+
+_FOREST_CELLS = f"""
+WITH {_CELLS}
+SELECT o_orderkey, CAST(floor(p * 100 + 0.5) AS BIGINT) AS cents FROM scored WHERE split = 'test'
+"""
+
+
+@register("forest_cells", _FOREST_CELLS)
+def q_forest_cells(spark, d):
+    """A forest of unsampled deep trees scores every test row with its cell's train mean (in cents)."""
+    from ..operators import learn
+    df, m = _cell_models(spark, d, {"forest": _cell_forest()})
+    p = learn.predict(m["forest"], df.where("split = 'test'"), "o_orderkey")
+    return p.select("o_orderkey", _cents(F.col("prediction")).alias("cents"))
+
+
+_PRESETS = ["xgboost", "catboost", "lightgbm"]
+
+
+@register("gbt_cells", f"""
+WITH {_CELLS}
+SELECT model, o_orderkey, CAST(floor(p * 100 + 0.5) AS BIGINT) AS cents
+FROM scored, (SELECT unnest({_PRESETS}) AS model) WHERE split = 'test'
+""")
+def q_gbt_cells(spark, d):
+    """One unsampled deep round of each boosted-tree preset."""
+    from ..operators import learn
+    df, models = _cell_models(spark, d, {p: _cell_gbt(p) for p in _PRESETS})
+    out = None
+    for name, m in models.items():
+        p = learn.predict(m, df.where("split = 'test'"), "o_orderkey").select(
+            F.lit(name).alias("model"), "o_orderkey", _cents(F.col("prediction")).alias("cents"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@register("score_cells", f"""
+WITH {_CELLS}
+SELECT model, split, {_metric_sql()} FROM scored, (SELECT unnest(['forest', 'xgboost']) AS model) GROUP BY model, split
+""")
+def q_score_cells(spark, d):
+    """Train and test scores of the two learners."""
+    from ..operators import learn
+    df, models = _cell_models(spark, d, {"forest": _cell_forest(), "xgboost": _cell_gbt("xgboost")})
+    out = None
+    for name, m in models.items():
+        s = learn.train_score(m, df, "o_totalprice", by=["split"]).withColumn("model", F.lit(name))
+        out = s if out is None else out.unionByName(s)
+    return out.select("model", "split", "n", *[round6(F.col(c)).alias(c) for c in METRIC_COLS])
+
+
+@register("cv_cells", f"""
+WITH {I.SQL_PREDICTIONS},
+{_cv_sql(["o_orderpriority", "o_year"], "cell")}
+SELECT fold, CAST(n AS BIGINT) AS n, {r6('rmse')}, {r6('mae')}, {r6('r2')},
+       {r6('cv_mean', 'avg(rmse) OVER ()')}, {r6('cv_std', 'stddev_pop(rmse) OVER ()')}
+FROM m_cell
+""")
+def q_cv_cells(spark, d):
+    """Five folds (key mod 5), a forest fitted on the other four each."""
+    from ..operators import learn
+    cv = learn.cross_validate(_cell_frame(spark, d), CELL_FEATURES, "o_totalprice", _cell_forest(numTrees=1), "o_orderkey",
+                              k=5, method="modulo", parallelism=3)
+    return cv.select("fold", "n", *[round6(F.col(c)).alias(c) for c in ("rmse", "mae", "r2", "cv_mean", "cv_std")])
+
+
+_SEARCH_DEPTHS = [0, _CELL_DEPTH]
+
+
+@register("search_cells", f"""
+WITH {I.SQL_PREDICTIONS},
+{_cv_sql(["o_orderpriority", "o_year"], "cell")},
+root AS (SELECT d.fold, sqrt(avg((d.y - (a.gs - f.fs) / (a.gn - f.fn)) ** 2)) AS rmse
+         FROM d_cell d JOIN f_cell f ON d.fold = f.fold, a_cell a GROUP BY d.fold),
+v AS (SELECT 0 AS depth, avg(rmse) AS value FROM root UNION ALL SELECT {_CELL_DEPTH}, avg(rmse) FROM m_cell)
+SELECT depth, {r6('value')}, value = min(value) OVER () AS is_best FROM v
+""")
+def q_search_cells(spark, d):
+    """A seeded search over the depth of a tree: each value that was drawn, its mean error over
+    five folds and the best; depth 0 is the mean of the other folds."""
+    from ..operators import learn
+    hist = learn.random_search(_cell_frame(spark, d), CELL_FEATURES, "o_totalprice",
+                               lambda maxDepth: _cell_forest(numTrees=1, maxDepth=maxDepth),
+                               {"maxDepth": ("choice", _SEARCH_DEPTHS)}, "o_orderkey", n_trials=4, k=5,
+                               method="modulo", parallelism=2, cv_parallelism=2)
+    depth = F.get_json_object("params", "$.maxDepth").cast("int")
+    best = learn.best_params(hist)["maxDepth"]
+    return (hist.groupBy(depth.alias("depth")).agg(F.avg("value").alias("value"))
+            .select("depth", round6(F.col("value")).alias("value"), (F.col("depth") == best).alias("is_best")))
+
+
+_STUMPS = {"urgent": "o_orderpriority < '3'", "late": "o_year >= 1996"}
+
+
+@register("importance_gain", f"""
+WITH {I.SQL_PREDICTIONS},
+t AS (SELECT ({_STUMPS['urgent']}) AS urgent, ({_STUMPS['late']}) AS late, o_totalprice AS y FROM ob WHERE split = 'train'),
+sst AS (SELECT var_pop(y) * count(y) AS s FROM t),
+su AS (SELECT sum(s) AS s FROM (SELECT var_pop(y) * count(y) AS s FROM t GROUP BY urgent)),
+sl AS (SELECT sum(s) AS s FROM (SELECT var_pop(y) * count(y) AS s FROM t GROUP BY late)),
+sb AS (SELECT sum(s) AS s FROM (SELECT var_pop(y) * count(y) AS s FROM t GROUP BY urgent, late)),
+i AS (SELECT su.s < sl.s AS by_urgent, (sst.s - least(su.s, sl.s)) / (sst.s - sb.s) AS root FROM sst, su, sl, sb)
+SELECT 'urgent' AS feature, CAST(floor((CASE WHEN by_urgent THEN root ELSE 1 - root END) * 10000 + 0.5) AS BIGINT) AS importance FROM i
+UNION ALL SELECT 'late', CAST(floor((CASE WHEN by_urgent THEN 1 - root ELSE root END) * 10000 + 0.5) AS BIGINT) FROM i
+""")
+def q_importance_gain(spark, d):
+    """Impurity importance of two yes/no features in trees of depth two: the root's share of the
+    explained sum of squares, and the other's (in ten-thousandths)."""
+    from ..operators import learn
+    df = I.orders_base(spark, d).where("split = 'train'").select(
+        "o_totalprice", *[F.expr(e).cast("double").alias(c) for c, e in _STUMPS.items()])
+    m = learn.fit(df, list(_STUMPS), "o_totalprice", _cell_forest(maxDepth=2))
+    rows = spark.createDataFrame(learn.feature_importance(m, list(_STUMPS)), "feature string, x double")
+    return rows.select("feature", F.floor(F.col("x") * 10000 + 0.5).cast("bigint").alias("importance"))
+
+
+@register("split_count_cells", f"""
+WITH {I.SQL_PREDICTIONS}
+SELECT CAST(count(DISTINCT (o_orderpriority, o_year)) - 1 AS BIGINT) AS splits, true AS both_used FROM ob WHERE split = 'train'
+""")
+def q_split_count_cells(spark, d):
+    """A tree that parts all cells splits once less than there are cells."""
+    from ..operators import learn
+    _, m = _cell_models(spark, d, {"xgboost": _cell_gbt("xgboost")})
+    return learn.split_counts(m["xgboost"], CELL_FEATURES).agg(
+        F.sum("splits").alias("splits"), (F.min("splits") > 0).alias("both_used"))
+
+
 @register("artifact_scores", """
 SELECT m.model, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_different
 FROM orders, (SELECT unnest(['random_forest', 'xgboost', 'ensemble']) AS model) m WHERE o_orderkey % 5 = 0 GROUP BY m.model

@@ -3,7 +3,7 @@ import math
 import pytest
 
 from helpers import frame
-from tessera.operators import clean, profile, scale
+from tessera.operators import clean, evaluate, profile, scale
 
 
 def col(df, c):
@@ -112,6 +112,44 @@ def test_label_stats_and_match(spark):
                  "non_positive_label": 0}
 
 
+def test_contract_faults_have_a_check_each(spark):
+    good = frame(spark, [(1, 10.0), (2, 20.0)], "id int, y double")
+    contract = [("id", "int"), ("y", "double")]
+
+    def failed(df):
+        v = profile.validate_labels(df, "id", "y", contract=contract).collect()
+        return {r.check: r.violations for r in v if not r.passed}
+
+    assert failed(good) == {}
+    assert failed(good.select("y", "id")) == {"columns_match": 1}
+    assert failed(good.selectExpr("cast(id as bigint) id", "y")) == {"column_types": 1}
+    assert failed(good.selectExpr("id", "cast(y as string) y")) == {"numeric_label": 1, "column_types": 1}
+    assert failed(good.selectExpr("id", "y as z")) == {
+        "columns_match": 1, "numeric_label": 1, "null_label": 2, "column_set": 2}
+    assert failed(frame(spark, [(None, 1.0), (2, None), (2, -1.0), (2, 3.0), (None, 0.0)], "id int, y double")) == {
+        "null_key": 2, "null_label": 1, "non_positive_label": 2, "duplicate_key": 2}
+    assert failed(good.selectExpr("y")) == {"columns_match": 1, "null_key": 2, "column_set": 1}
+    assert failed(good.limit(0)) == {}
+
+
+def test_label_order_is_required_and_its_ties_are_settled(spark):
+    labels = frame(spark, [(1, 10.0, 1), (1, 12.0, 1), (1, 99.0, 0), (2, None, 5)], "id int, y double, pos int")
+    assert sorted((r.id, r.y) for r in profile.dedupe_last(labels, "id", "y", "pos").collect()) == [(1, 12.0), (2, None)]
+    with pytest.raises(TypeError):
+        profile.dedupe_last(labels, "id", "y")
+
+
+def test_bundle_joins_fold_scores(spark):
+    df = frame(spark, [("a", "train", 1.0, 2.0), ("a", "test", 3.0, 3.0), ("b", "train", 1.0, 1.0)],
+               "model string, split string, y double, p double")
+    folds = frame(spark, [("a", 1, 4.0), ("a", 0, 2.0)], "model string, fold int, rmse double")
+    got = {r.model: r for r in evaluate.metric_bundle(df, folds=folds).collect()}
+    assert (got["a"].cv_scores, got["a"].cv_mean, got["a"].cv_std, got["a"].cv_folds) == ([2.0, 4.0], 3.0, 1.0, 2)
+    assert got["a"].train_rmse == 1.0 and got["b"].cv_scores is None
+    with pytest.raises(ValueError):
+        evaluate.metric_bundle(df, by=(), folds=folds)
+
+
 def test_forward_fill_null_key_matches_plain(spark):
     from pyspark.sql import functions as F
     rows = [(i, None if i % 4 == 0 else i % 2, i, None if i % 3 else float(i)) for i in range(30)]
