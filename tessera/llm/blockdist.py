@@ -10,11 +10,15 @@
    all characters in the window and most of its lines are links: a list of links.
    Lines there that are mostly links, the page's title (h1) apart, end a run and are
    no content.
-3. The text surges in a run of ``LEAST`` characters or more. Content goes from the
-   first such run to the last one, with every line between them whatever its
-   length, and from the title if that is before; without such a run
-   it is all runs. Outside a declared article, single lines that are mostly links
-   are left out too. A declared article of nothing but links is kept as it is.
+3. In a declared article the text surges in a run of ``LEAST`` characters or more, and
+   content goes from the first such run to the last one. On other pages the lengths of
+   the lines alone find it: the sum over the window of ``WINDOW`` lines around each line,
+   within its run and of lines that like it are or are not loose in the body, surges where it first reaches ``LEAST`` and dives for good after it
+   last does; lines in one box (an element other than the body) with a line of
+   ``LEAST`` characters are as high as that. Every line between, whatever its length, is
+   content, and so are those from the title on if that is before; if nothing surges, all lines are.
+   Outside a declared article, single lines that are mostly links are left out
+   too. A declared article of nothing but links is kept as it is.
 """
 
 from __future__ import annotations
@@ -86,13 +90,16 @@ def is_boilerplate(tag: str, attributes: str) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """``(text, linked characters, in an article, is an h1)`` per line; blank lines have an empty text."""
-    out: list[tuple[str, int, bool, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
+    """``(text, linked characters, in an article, is an h1, box)`` per line; blank lines have an empty text.
+    The box is the element around the line's own one (0: the page itself)."""
+    out: list[tuple[str, int, bool, bool, int]] = []
     piece: list[str] = []
     linked = 0
-    # open blocks, each with the inline elements open in it: name, dropped and in an article before it
-    blocks: list[tuple[str, bool, bool, list[tuple[str, bool, bool]], Counter]] = [("", False, False, [], Counter())]
+    # open blocks: name, dropped and in an article before it, the inline elements open in it, number, box
+    blocks: list[tuple[str, bool, bool, list[tuple[str, bool, bool]], Counter, int, int]] = [
+        ("", False, False, [], Counter(), 0, 0)]
+    opened = 0
     names: Counter = Counter()  # of open blocks
     dropped = article = title = False
     anchors = breaks = 0
@@ -101,7 +108,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     def end_line():
         nonlocal linked
         text = BLANK.sub(" ", entities.unescape("".join(piece))).strip()
-        out.append((text, min(linked, len(text)), article, title))
+        out.append((text, min(linked, len(text)), article, title, blocks[-1][6]))
         piece.clear()
         linked = 0
 
@@ -167,7 +174,10 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 blocks[-1][3].append((tag, dropped, article))
                 blocks[-1][4][tag] += 1
             else:
-                blocks.append((tag, dropped, article, [], Counter()))
+                opened += 1
+                # an open paragraph holds no other block, and the body is the page itself
+                box = blocks[-1][6] if blocks[-1][0] == "p" else blocks[-1][5]
+                blocks.append((tag, dropped, article, [], Counter(), 0 if tag in ("html", "body") else opened, box))
                 names[tag] += 1
             own = tag in ("article", "main")
             if is_boilerplate(tag, m[3]):
@@ -178,7 +188,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             seen = seen or own and not dropped
             article = article or own and not dropped
         elif tag in INLINE:
-            inline, open_names = blocks[-1][3:]
+            inline, open_names = blocks[-1][3:5]
             while open_names[tag]:  # an inline end does not close blocks around it
                 name, dropped, article = inline.pop()
                 open_names[name] -= 1
@@ -206,7 +216,17 @@ def dives(chars: np.ndarray, plain: np.ndarray, links: np.ndarray, window: int =
     return out
 
 
-def content(chars: np.ndarray, linked: np.ndarray, title: np.ndarray, declared: bool) -> np.ndarray:
+def around(chars: np.ndarray, run: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The sum of ``chars`` over the ``window`` lines around each line, of those with its ``run``."""
+    out = chars.copy()
+    for k in range(1, window // 2 + 1):
+        near = run[k:] == run[:-k]
+        out[k:] += np.where(near, chars[:-k], 0)
+        out[:-k] += np.where(near, chars[k:], 0)
+    return out
+
+
+def content(chars: np.ndarray, linked: np.ndarray, title: np.ndarray, box: np.ndarray, declared: bool) -> np.ndarray:
     """Which lines, all with text, lie between surge and dive and are no links."""
     links = linked > LINK_SHARE * chars
     cut = links & dives(chars, chars - linked, links) & ~title
@@ -214,9 +234,17 @@ def content(chars: np.ndarray, linked: np.ndarray, title: np.ndarray, declared:
     if declared and not keep.any():
         return ~keep
     run = np.cumsum(cut)
-    surges = np.flatnonzero(np.bincount(run, np.where(keep, chars, 0)) >= LEAST)
+    if declared:
+        at = run
+        surges = np.flatnonzero(np.bincount(run, np.where(keep, chars, 0)) >= LEAST)
+    else:
+        at = np.arange(len(chars))
+        plain = np.where(keep, chars - linked, 0)
+        high = around(plain, 2 * run + (box > 0)) >= LEAST
+        high |= (box > 0) & np.isin(box, box[plain >= LEAST])
+        surges = np.flatnonzero(high)
     if len(surges):
-        keep &= (run >= min(surges[0], run[title & keep].min(initial=surges[0]))) & (run <= surges[-1])
+        keep &= (at >= min(surges[0], at[title & keep].min(initial=surges[0]))) & (at <= surges[-1])
     return keep
 
 
@@ -227,8 +255,8 @@ def main_text(page: str | None) -> str:
     lines = [line for line in lines if line[2] or not declared]
     if not lines:
         return ""
-    texts, linked, _, title = zip(*lines)
-    keep = content(np.array([len(t) for t in texts], np.int64), np.array(linked, np.int64), np.array(title), declared)
+    texts, linked, _, title, box = zip(*lines)
+    keep = content(np.array([len(t) for t in texts], np.int64), np.array(linked, np.int64), np.array(title), np.array(box), declared)
     return "\n\n".join(t for t, k in zip(texts, keep) if k)
 
 

@@ -210,6 +210,48 @@ def test_main_text_of_undeclared_page():
     assert blockdist.main_text(wrap("One.") + wrap("Two.")) == "One.\n\nTwo."
 
 
+def plain_surge(lines):
+    """Surge to dive on an undeclared page without links, line by line and window by window."""
+    high = []
+    for i, (text, box) in enumerate(lines):
+        total = sum(len(t) for j, (t, other) in enumerate(lines) if abs(i - j) <= 1 and (box > 0) == (other > 0))
+        high.append(total >= 80 or box > 0 and any(len(t) >= 80 and other == box for t, other in lines))
+    if True not in high:
+        return [t for t, _ in lines]
+    return [t for t, _ in lines[high.index(True):len(high) - high[::-1].index(True)]]
+
+
+def test_surge_and_dive_by_brute_force():
+    """Random pages without an article, names or links: lengths and boxes alone find the content."""
+    rng = random.Random(5)
+    cut = 0
+    for _ in range(400):
+        page, lines, box = "", [], 0
+        for _ in range(rng.randrange(1, 7)):
+            box += 1
+            texts = ["x" * rng.choice((3, 9, 30, 60, 90, 300)) for _ in range(rng.randrange(1, 5))]
+            if rng.random() < 0.5:
+                page += "".join(f"<p>{t}</p>" for t in texts)
+                lines += [(t, 0) for t in texts]
+            else:
+                page += "<div>" + "".join(f"<p>{t}</p>" for t in texts) + "</div>"
+                lines += [(t, box) for t in texts]
+        want = plain_surge(lines)
+        cut += len(want) < len(lines)
+        assert blockdist.main_text(f"<html><body>{page}</body></html>").split("\n\n") == want
+    assert cut > 100  # the sums decide
+
+
+def test_short_lines_far_from_the_text_dive():
+    long = "word " * 60
+    for t in ("div", "p"):
+        page = "".join(f"<{t}>{x}</{t}>" for x in ("Acme Corp", "Call us today", "Open 9-5", long, "Imprint", "All rights reserved"))
+        assert blockdist.main_text(f"<body>{page}</body>") == f"Open 9-5\n\n{long.strip()}\n\nImprint"
+    # unclosed paragraphs are beside each other, and an article's last short lines stay with it
+    assert blockdist.main_text(f"<div>Acme</div><div><p>{long}<p>One.<p>Two.<p>Three.</div><div>Imprint</div>") == \
+        f"{long.strip()}\n\nOne.\n\nTwo.\n\nThree."
+
+
 def test_main_text_of_declared_page():
     """Lists of links and short blocks beyond them go, by the window sums alone; single links stay."""
     long = ("word " * 40).strip()
