@@ -4,8 +4,9 @@
    of each kind: spelled-out e-mail addresses, addresses with spelled or bracketed
    dots, card numbers with other separators, phone numbers without a plus.
 2. Labelers vote 1, 0 (abstain) or -1 on each candidate: its strict pattern, its
-   format's checks, gazetteers (top-level domains, mail words, card prefixes), and
-   words in the context around it.
+   format's checks, a gazetteer, and words in the context around it. The gazetteer
+   is a table (kind, entry), read as data: labels of mail domains, leading octets of
+   addresses (``10`` or ``192.168``), leading digits of cards and phone numbers.
 3. The counts of vote patterns over all documents, a table bounded by kinds and
    patterns, go to the driver. Expectation-maximisation estimates, by kind, the
    share of true spans and each labeler's reliability.
@@ -43,6 +44,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # wider candidates
 AT, DOT = r"(?:@|\(at\)|\[at\]|\{at\})", r"(?:\.|\(dot\)|\[dot\]|\{dot\}|\[\.\]|\(\.\))"
+ATS, DOTS = re.compile(AT, re.I), re.compile(DOT, re.I)
 WIDE = {
     "email": re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}\x20?{AT}\x20?[A-Za-z0-9-]{{1,63}}"
                         rf"(?:\x20?{DOT}\x20?[A-Za-z0-9-]{{1,63}}){{1,8}}", re.I),
@@ -50,6 +52,10 @@ WIDE = {
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[./_\xa0][0-9]{4}){3}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+.-])(?:00[1-9][0-9]{0,2}[\x20.-])?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])"),
 }
+#: The gazetteer's size is counted before it is broadcast; a bigger one is refused.
+MAX_ENTRIES = 200_000
+PREFIX = 8
+# fixed values: the gazetteer without a table
 GAZETTEER = {
     "email": frozenset("com org net edu gov info io eu de fr es uk mail gmail yahoo outlook hotmail".split()),
     "ip": frozenset(("10", "127", "172", "192")),
@@ -120,23 +126,32 @@ def wide_spans(text: str) -> list[tuple[str, int, int]]:
     return out + [(k, *m.span()) for k in ("card", "phone") for m in WIDE[k].finditer(text)]
 
 
-def votes(kind: str, text: str, start: int, end: int, base: bool) -> tuple[int, ...]:
+def mail_labels(span: str) -> tuple[str, list[str]]:
+    """Local part and lower-case domain labels of an address, spelled out or not."""
+    local, _, domain = DOTS.sub(".", ATS.sub("@", span.replace(" ", ""), count=1)).partition("@")
+    return local, domain.lower().split(".")
+
+
+def votes(kind: str, text: str, start: int, end: int, base: bool, gazetteer: dict[str, frozenset] = GAZETTEER) -> tuple[int, ...]:
     """The labelers' votes, in the order of ``LABELERS``."""
-    span = text[start:end]
+    span, known = text[start:end], gazetteer[kind]
     near = text[max(0, start - CONTEXT):start] + " " + text[end:end + CONTEXT]
     d = digits_of(span)
     if kind == "email":
-        checks = 1 if re.search(r"[A-Za-z]", span) and not re.search(r"\.\.|[.-]$", span) else -1
-        gaz = 1 if GAZETTEER["email"].intersection(re.split(r"[^a-z]+", span.lower())) else 0
+        local, labels = mail_labels(span)
+        sound = labels[-1].isalpha() and len(labels[-1]) > 1 and local.strip(".") == local and ".." not in local \
+            and all(x.strip("-") == x != "" for x in labels)
+        checks, gaz = 1 if sound else -1, 1 if known.intersection(labels) else 0
     elif kind == "ip":
-        checks = 1 if all(map(octet, re.findall("[0-9]+", span))) else -1
-        gaz = 1 if re.match("[0-9]+", span)[0] in GAZETTEER["ip"] else 0
+        parts = re.findall("[0-9]+", span)
+        checks = 1 if all(map(octet, parts)) else -1
+        gaz = 1 if any(".".join(parts[:k]) in known for k in range(1, 5)) else 0
     elif kind == "card":
         checks = 1 if 14 <= len(d) <= 19 and luhn(d) else -1
-        gaz = 1 if d[0] in GAZETTEER["card"] else -1
+        gaz = 1 if any(d[:k] in known for k in range(1, PREFIX + 1)) else -1
     else:
         checks = 1 if 10 <= len(d) <= 15 else -1
-        gaz = 1 if d[:1] in GAZETTEER["phone"] or base else 0
+        gaz = 1 if base or any(d[:k] in known for k in range(1, PREFIX + 1)) else 0
     return (1 if base else 0, checks, gaz, 1 if WORDS[kind].search(near) else 0,
             -1 if AGAINST.search(near) else 0)
 
@@ -149,7 +164,7 @@ def shape(text: str, start: int, end: int) -> tuple[int, ...]:
             int(any(c in "()[]{}" for c in span)), int(any(c.isupper() for c in span)))
 
 
-def candidates(text: str | None) -> list[dict]:
+def candidates(text: str | None, gazetteer: dict[str, frozenset] = GAZETTEER) -> list[dict]:
     """Base spans, then wide candidates that touch none of them, with their patterns."""
     if not text:
         return []
@@ -168,7 +183,7 @@ def candidates(text: str | None) -> list[dict]:
     out = []
     for strict, spans in ((True, base), (False, wide)):
         for kind, a, b in spans:
-            key = (kind, *votes(kind, text, a, b, strict), *shape(text, a, b))
+            key = (kind, *votes(kind, text, a, b, strict, gazetteer), *shape(text, a, b))
             out.append({"kind": KINDS.index(kind), "start": a, "end": b, "base": strict,
                         "pattern": ",".join(map(str, key))})
     return out
@@ -255,18 +270,33 @@ def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
-def find_spans(docs: DataFrame, accept: float = ACCEPT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def read_gazetteer(table: DataFrame) -> dict[str, frozenset]:
+    """Entries by kind of a table (kind, entry), lower-cased; other kinds, nulls and empty entries
+    count for nothing, and more than ``MAX_ENTRIES`` are refused."""
+    entry = F.lower(F.trim(F.col("entry").cast("string")))
+    rows = table.select(F.col("kind").cast("string").alias("kind"), entry.alias("entry")) \
+        .where(F.col("kind").isin(*KINDS) & (F.col("entry") != "")).distinct().limit(MAX_ENTRIES + 1).collect()
+    if len(rows) > MAX_ENTRIES:
+        raise ValueError(f"a gazetteer of more than {MAX_ENTRIES} entries")
+    return {k: frozenset(r["entry"] for r in rows if r["kind"] == k) for k in KINDS}
+
+
+def find_spans(docs: DataFrame, accept: float = ACCEPT, id_col: str = "doc_id", text_col: str = "text",
+               gazetteer: DataFrame | None = None) -> DataFrame:
     """``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added)``,
     one row per row of ``docs``; counts are of base spans, offsets are in code
-    points. Null and empty texts have no spans (the digest of nothing)."""
+    points. Null and empty texts have no spans (the digest of nothing). Entries of
+    ``gazetteer`` (kind, entry) join the built-in ones."""
     spark = docs.sparkSession
     prepare_python(spark)
+    more = read_gazetteer(gazetteer) if gazetteer is not None else {}
+    known = spark.sparkContext.broadcast({k: GAZETTEER[k] | more.get(k, frozenset()) for k in KINDS})
     kind = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()),
                       ("base", pa.bool_()), ("pattern", pa.string())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in text_slices(batches, "text"):
-            found = [candidates(t) for t in s.column("text").to_pylist()]
+            found = [candidates(t, known.value) for t in s.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([s.column("id"), pa.array(found, pa.list_(kind))], ["id", "found"])
 
     found = stored(docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
