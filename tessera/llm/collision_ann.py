@@ -11,8 +11,8 @@ rehashing) until ``k`` verified vectors lie within it: a nearer vector that is
 still missing would have collided as often with probability ``1 - MISS``.
 
 The index is in chunks of ``CHUNK`` rows, each with its own sorted arrays; every
-row is in one. Queries are broadcast in blocks of bounded size, and each chunk
-returns its best ``k`` of a query. The first radius is the query's distance to the
+row is in one. Queries are broadcast in blocks of bounded size, one at a time: a block's
+results are written before the next is sent, and each chunk returns its best ``k`` of a query. The first radius is the query's distance to the
 nearest of ``SAMPLE`` rows of the chunk; this only saves rounds.
 """
 
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, prepare_python
+from .common import cut_lineage, prepare_python, work_path
 
 PROJECTIONS = 64
 WIDTH = 1.0
@@ -163,9 +163,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                               .repartition(max(1, math.ceil(n / 1_000_000)), "id"))
         per_block = max(1, QUERY_BYTES // (8 * dims))
         spread = rows.repartition(max(1, math.ceil(n / CHUNK)), "id")
-        held: list = []
+        several = queries.limit(per_block + 1).count() > per_block
+        if several:  # each block reads it
+            spread = cut_lineage(spread)
+        base, held, blocks = work_path(spark, "ann"), [], 0
 
-        def block(held):
+        def block(held, number):
+            """One block's results, written before the next block is sent out."""
             sent = spark.sparkContext.broadcast((np.array([r[0] for r in held], np.int64),
                                                  np.array([r[1] for r in held], np.float64)))
 
@@ -181,14 +185,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                                  pa.array(ids[np.concatenate([r for _, r, _ in got])]),
                                  pa.array(np.concatenate([s for _, _, s in got]))], ["query_id", "vec_id", "score"])
 
-            return spread.mapInArrow(run, schema)
+            spread.mapInArrow(run, schema).write.parquet(f"{base}/{number}")
+            sent.destroy()
 
         for r in queries.toLocalIterator():
             held.append(r)
             if len(held) == per_block:
-                found, held = found.unionByName(block(held)), []
+                block(held, blocks)
+                held, blocks = [], blocks + 1
         if held:
-            found = found.unionByName(block(held))
+            block(held, blocks)
+            blocks += 1
+        if blocks:
+            found = spark.read.schema(schema).parquet(f"{base}/*")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -126,6 +126,18 @@ def test_search(spark):
     assert collision_ann.search(df.where("false"), F.col("id") % 20 == 0).count() == 0
 
 
+def test_search_in_blocks(spark, monkeypatch):
+    """Blocks of queries, written one after the other, find what one block does."""
+    x = np.random.default_rng(9).normal(size=(300, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    run = lambda: sorted(tuple(r) for r in collision_ann.search(df, F.col("id") % 20 == 0, k=5).collect())
+    whole = run()
+    assert len(whole) == 15 * 5
+    for per_block in (4, 5, 15):  # a rest, none, one full block
+        monkeypatch.setattr(collision_ann, "QUERY_BYTES", per_block * 8 * 8)
+        assert run() == whole
+
+
 def test_warc(spark):
     big = "<p>x\r\n\r\nWARC/1.1\r\n</p>" * 20
     rows = [(5, "http://a.com/x?y#z", big), (3, "http://b.com", big), (9, None, big), (1, "http://c.com/", "small"), (2, "http://d.com/", "small"),
