@@ -213,6 +213,8 @@ WIDE = 2
 MOST = 128
 #: Bits of a value settled by each pass of ``_digit_quantiles``: (shift, width).
 DIGITS = ((48, 16), (24, 24), (0, 24))
+#: Values that a task of ``_digit_quantiles`` holds before it hands on their counters.
+HELD = 1 << 22
 
 
 def _order_bits(x: np.ndarray) -> np.ndarray:
@@ -226,6 +228,51 @@ def _from_order_bits(bits: int) -> float:
     return float(np.array([raw], np.uint64).view(np.float64)[0])
 
 
+def _digit_counter(known: Sequence[np.ndarray], shift: int, width: int):
+    """A task's counters ``(i, p, d, n)`` of one digit: column, place of the prefix among
+    its ``known`` ones, digit, values. The first digit counts all values in an array; later
+    ones hold at most ``HELD`` values (and a batch) before their counters go on, so the
+    memory of a task does not grow with its rows. Equal counters are added by the group-by."""
+    top, mask = np.uint64(shift + width), np.uint64((1 << width) - 1)
+
+    def rows(i, key, n):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(key), i, np.int32)), pa.array((key >> width).astype(np.int32)),
+             pa.array(key & ((1 << width) - 1)), pa.array(n)], ["i", "p", "d", "n"])
+
+    def counters(parts):
+        for i, held in enumerate(parts):
+            if held:
+                yield rows(i, *np.unique(np.concatenate(held), return_counts=True))
+                held.clear()
+
+    def count(batches):
+        whole = np.zeros((len(known), 1 << width), np.int64) if shift + width == 64 else None
+        parts: list[list] = [[] for _ in known]
+        size = 0
+        for b in batches:
+            for i in range(len(known)):
+                bits = _order_bits(b.column(i).drop_null().to_numpy(zero_copy_only=False))
+                digit = (bits >> np.uint64(shift)) & mask
+                if whole is not None:
+                    whole[i] += np.bincount(digit.astype(np.int64), minlength=1 << width)
+                elif len(known[i]) and len(bits):
+                    at = np.minimum(np.searchsorted(known[i], bits >> top), len(known[i]) - 1)
+                    ok = known[i][at] == bits >> top
+                    parts[i].append((at[ok].astype(np.int64) << width) | digit[ok].astype(np.int64))
+                    size += len(parts[i][-1])
+            if size > HELD:
+                yield from counters(parts)
+                size = 0
+        if whole is not None:
+            for i in range(len(known)):
+                key = np.flatnonzero(whole[i])
+                yield rows(i, key, whole[i][key])
+        yield from counters(parts)
+
+    return count
+
+
 def _digit_quantiles(data: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      interpolation: str) -> list[list[float | None]]:
     """Exact quantiles of many columns in ``len(DIGITS)`` scans, by digits of the
@@ -234,33 +281,7 @@ def _digit_quantiles(data: DataFrame, cols: Sequence[str], probs: Sequence[float
     counts all columns in Arrow batches; counters meet by ``(column, prefix, digit)``."""
     def digits(prefixes: list[list[int]], shift: int, width: int):
         known = [np.array(p, np.uint64) for p in prefixes]
-        top, mask = np.uint64(shift + width), np.uint64((1 << width) - 1)
-
-        def count(batches):
-            whole = np.zeros((len(cols), 1 << width), np.int64) if shift + width == 64 else None
-            parts: dict[int, list] = {i: [] for i in range(len(cols))}
-            for b in batches:
-                for i in range(len(cols)):
-                    bits = _order_bits(b.column(i).drop_null().to_numpy(zero_copy_only=False))
-                    digit = (bits >> np.uint64(shift)) & mask
-                    if whole is not None:
-                        whole[i] += np.bincount(digit.astype(np.int64), minlength=1 << width)
-                    elif len(known[i]) and len(bits):
-                        at = np.minimum(np.searchsorted(known[i], bits >> top), len(known[i]) - 1)
-                        ok = known[i][at] == bits >> top
-                        parts[i].append((at[ok].astype(np.int64) << width) | digit[ok].astype(np.int64))
-            for i in range(len(cols)):
-                if whole is not None:
-                    key = np.flatnonzero(whole[i])
-                    n = whole[i][key]
-                elif parts[i]:
-                    key, n = np.unique(np.concatenate(parts[i]), return_counts=True)
-                else:
-                    continue
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(key), i, np.int32)), pa.array((key >> width).astype(np.int32)),
-                     pa.array(key & ((1 << width) - 1)), pa.array(n)], ["i", "p", "d", "n"])
-
+        count = _digit_counter(known, shift, width)
         return data.mapInArrow(count, "i int, p int, d bigint, n bigint").groupBy("i", "p", "d").agg(F.sum("n").alias("n"))
 
     spark, (first, *rest) = data.sparkSession, DIGITS

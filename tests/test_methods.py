@@ -161,3 +161,28 @@ def test_rewritten_predictions(spark, tmpdir_path):
         assert {(r["model"], r["n_rows"], r["max_prediction"]) for r in sinks.prediction_summary(back).collect()} == {("a", 4, 9.0), ("b", 4, 3.0)}
     sinks.write_predictions(df.where("model = 'a'"), path, "csv", replace_all=True)
     assert sinks.read_predictions(spark, path, "csv", "id int, prediction double, model string").count() == 4
+
+
+def test_digit_counters_are_bounded(monkeypatch):
+    """Counters of later digits go on while rows still come; a task held all its rows before."""
+    import pyarrow as pa
+    from tessera.functions import quantiles as Q
+    monkeypatch.setattr(Q, "HELD", 1000)
+    x = np.random.default_rng(5).uniform(1.0, 1.06, 20_000)
+    bits = Q._order_bits(x)
+    known = [np.unique(bits >> np.uint64(48))]
+    read = []
+
+    def batches():
+        for a in range(0, len(x), 500):
+            read.append(a)
+            yield pa.RecordBatch.from_arrays([pa.array(x[a:a + 500])], ["c0"])
+
+    total, first, most = {}, None, 0
+    for b in Q._digit_counter(known, 24, 24)(batches()):
+        first, most = first or len(read), max(most, b.num_rows)
+        for _, p, d, n in zip(*[c.to_pylist() for c in b.columns]):
+            total[p, d] = total.get((p, d), 0) + n
+    assert first <= 3 and most <= 1500
+    keys, n = np.unique(bits >> np.uint64(24), return_counts=True)
+    assert total == {(int(np.searchsorted(known[0], k >> np.uint64(24))), int(k) & 0xFFFFFF): int(c) for k, c in zip(keys, n)}
