@@ -16,6 +16,7 @@ import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -79,6 +80,18 @@ def pipeline(features: Sequence[str], label: str, estimator) -> Pipeline:
     return Pipeline(stages=[va, estimator])
 
 
+def assembled(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``keep`` columns and the vector of ``features``, as ``pipeline`` builds it."""
+    va = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
+    return va.transform(df).select(*[F.col(q(c)) for c in keep], FEATURES)
+
+
+def fit_assembled(df: DataFrame, label: str, estimator):
+    """The fitted learner alone, on a frame that has the vectors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return estimator.copy().setLabelCol(label).setPredictionCol("prediction").fit(df)
+
+
 def fit(df: DataFrame, features: Sequence[str], label: str, estimator) -> PipelineModel:
     ensure_checkpoint_dir(df.sparkSession)
     return pipeline(features, label, estimator).fit(df)
@@ -184,14 +197,27 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, estimator
                    parallelism: int = 1) -> DataFrame:
     """Per-fold scores of ``estimator``: ``(fold, n, rmse, mae, r2, mape)`` plus
     the mean and population std of ``metric`` over folds (unknown metric → rmse)."""
-    df = materialized(df)   # every fold reads it
+    data = _fold_frame(df, features, label, key, k, seed, method)
+    try:
+        return _fold_scores(data, label, estimator, k, metric, parallelism)
+    finally:
+        data.unpersist()
+
+
+def _fold_frame(df: DataFrame, features: Sequence[str], label: str, key: str, k: int, seed: int, method: str) -> DataFrame:
+    """Rows with their fold and vector, kept while every fold (and trial) reads them several
+    times: else each pass of each fit reads the columns and builds the vectors again."""
+    df = materialized(df)
+    keep = [c for c in df.columns if c == label or c not in features]
+    return assembled(df.withColumn("__fold", fold_of(key, k, seed, method)), features,
+                     [*keep, "__fold"]).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fold_scores(data: DataFrame, label: str, estimator, k: int, metric: str, parallelism: int) -> DataFrame:
     metric = metric if metric in ("rmse", "mae", "r2") else "rmse"
-    data = df.withColumn("__fold", fold_of(key, k, seed, method))
-    pipe = pipeline(features, label, estimator)
-    ensure_checkpoint_dir(df.sparkSession)
 
     def one(f):
-        m = pipe.fit(data.where(F.col("__fold") != f))
+        m = fit_assembled(data.where(F.col("__fold") != f), label, estimator)
         pred = m.transform(data.where(F.col("__fold") == f))
         return metrics(pred, label, "prediction").withColumn("fold", F.lit(f))
 
@@ -204,7 +230,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, estimator
     vals = [r[metric] for r in rows]
     mean = sum(vals) / len(vals)
     std = math.sqrt(sum((v - mean) ** 2 for v in vals) / len(vals))
-    return df.sparkSession.createDataFrame(
+    return data.sparkSession.createDataFrame(
         [(int(r["fold"]), int(r["n"]), r["rmse"], r["mae"], r["r2"], r["mape"], mean, std)
          for r in rows],
         "fold int, n bigint, rmse double, mae double, r2 double, mape double, "
@@ -246,18 +272,20 @@ def random_search(df: DataFrame, features: Sequence[str], label: str, make_estim
     job. Returns ``(trial, params, value)``.
     """
     trials = sample_space(space, n_trials, seed)
-    df = materialized(df)   # every trial and fold reads it
+    data = _fold_frame(df, features, label, key, k, seed, method)
 
     def run(i):
         try:
-            cv = cross_validate(df, features, label, make_estimator(**trials[i]), key, k,
-                                seed, method, parallelism=cv_parallelism)
+            cv = _fold_scores(data, label, make_estimator(**trials[i]), k, "rmse", cv_parallelism)
             return (i, json.dumps(trials[i], sort_keys=True), cv.first()["cv_mean"])
         except (IllegalArgumentException, TypeError, ValueError):  # parameters that the learner refuses
             return (i, json.dumps(trials[i], sort_keys=True), float("inf"))
 
-    with ThreadPoolExecutor(max(1, parallelism)) as ex:
-        rows = list(ex.map(run, range(n_trials)))
+    try:
+        with ThreadPoolExecutor(max(1, parallelism)) as ex:
+            rows = list(ex.map(run, range(n_trials)))
+    finally:
+        data.unpersist()
     if rows and all(r[2] == float("inf") for r in rows):
         raise ValueError("no trial of the search could be fitted")
     return df.sparkSession.createDataFrame(rows, "trial int, params string, value double")

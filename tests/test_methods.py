@@ -186,3 +186,25 @@ def test_digit_counters_are_bounded(monkeypatch):
     assert first <= 3 and most <= 1500
     keys, n = np.unique(bits >> np.uint64(24), return_counts=True)
     assert total == {(int(np.searchsorted(known[0], k >> np.uint64(24))), int(k) & 0xFFFFFF): int(c) for k, c in zip(keys, n)}
+
+
+def test_search_reads_rows_kept_for_it(spark, monkeypatch):
+    """All fits of a search read vectors kept in memory, every trial is fitted on every fold,
+    and the values are those of a cross-validation; nothing is left in memory."""
+    df = frame(spark, numbers(300), SCHEMA)
+    fits, one = [], learn.fit_assembled
+
+    def fit(data, label, estimator):
+        assert data.storageLevel.useMemory or "InMemoryTableScan" in data._jdf.queryExecution().executedPlan().toString()
+        fits.append(estimator.getMaxDepth())
+        return one(data, label, estimator)
+
+    monkeypatch.setattr(learn, "fit_assembled", fit)
+    make = lambda maxDepth: learn.forest(numTrees=3, maxDepth=maxDepth)
+    hist = learn.random_search(df, ["a", "b"], "y", make, {"maxDepth": ("choice", [1, 3])}, "id", n_trials=5, k=3).collect()
+    assert [r.trial for r in hist] == list(range(5)) and len(fits) == 15
+    for depth in (1, 3):
+        mine = {r.value for r in hist if f": {depth}}}" in r.params}
+        cv = learn.cross_validate(df, ["a", "b"], "y", make(depth), "id", k=3).first()
+        assert len(mine) == 1 and mine.pop() == pytest.approx(cv["cv_mean"], rel=1e-12)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
