@@ -11,7 +11,8 @@
   on ``(key, salt)``. A key holding a third of all rows then spreads over
   ``salts`` join tasks instead of one, equal rows too (by their partition).
   The salt does not depend on the order of rows, so a retried task assigns
-  the same salts.
+  the same salts. Rows without a key match nothing, so in a left join they are
+  dealt over the salts as well.
 """
 
 from __future__ import annotations
@@ -36,32 +37,55 @@ def lookup_join(big: DataFrame, small: DataFrame, big_key: Column, small_key: st
     cond = big_key == F.col(q(small_key))
     if broadcast:
         return big.join(F.broadcast(small), cond, how)
-    if not hot:
+    if not hot and how != "left":
         return big.join(small, cond, how)
     hot_set = [F.lit(h) for h in hot]
     row = F.xxhash64(F.spark_partition_id(), *[F.col(q(c)) for c in big.columns])
-    salted = big.withColumn("__salt", F.when(big_key.isin(*hot_set), F.pmod(
-        row, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-    rep = small.select("*", F.explode(F.when(F.col(q(small_key)).isin(*hot_set), F.sequence(
-        F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("__msalt"))
+    spread, copies = big_key.isNull(), F.array(F.lit(0))
+    if hot:
+        spread = spread | big_key.isin(*hot_set)
+        copies = F.when(F.col(q(small_key)).isin(*hot_set), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(copies)
+    salted = big.withColumn("__salt", F.when(spread, F.pmod(row, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    rep = small.select("*", F.explode(copies).alias("__msalt"))
     return salted.join(rep, cond & (F.col("__salt") == F.col("__msalt")), how) \
                  .drop("__salt", "__msalt")
 
 
-def table_size(df: DataFrame) -> tuple[int, int]:
-    """Rows and (about) bytes of ``df``, counted in one job."""
+def _size_aggs(df: DataFrame) -> list[Column]:
     width = F.lit(8)
     for f in df.schema.fields:
         text = F.col(q(f.name)).cast("string")
         width = width + F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8)
-    r = df.agg(F.count("*").alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
+    return [F.count("*").alias("n"), F.sum(width.cast("bigint")).alias("b")]
+
+
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and (about) bytes of ``df``, counted in one job."""
+    r = df.agg(*_size_aggs(df)).first()
     return r["n"], r["b"] or 0
 
 
+def table_sizes(df: DataFrame, by: str) -> dict:
+    """``table_size`` of each group of ``by``, counted in one job (few groups)."""
+    return {r[0]: (r["n"], r["b"] or 0) for r in df.groupBy(by).agg(*_size_aggs(df)).collect()}
+
+
 def fits_broadcast(size: tuple[int, int], limit: int = BROADCAST_LIMIT) -> bool:
     return size[0] <= limit and size[1] <= BROADCAST_BYTES
 
 
+def broadcast_tables(sizes: dict, limit: int = BROADCAST_LIMIT) -> list:
+    """The tables to broadcast: the smallest ones, as many as together stay within
+    ``limit`` rows and ``BROADCAST_BYTES``."""
+    out, rows, size = [], 0, 0
+    for k, (n, b) in sorted(sizes.items(), key=lambda s: (s[1], s[0])):
+        rows, size = rows + n, size + b
+        if not fits_broadcast((rows, size), limit):
+            break
+        out.append(k)
+    return out
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """``df`` marked for broadcast when its counted size is within ``limit``
     rows and ``BROADCAST_BYTES`` (a proven bound); otherwise left for a

@@ -12,11 +12,12 @@ its counted size (all forms give the same result):
   scans its keys, so it is only used while that is cheaper than a hash join
   (measured: 25 entries 0.6 s vs 1.5 s for a join; 1,000 entries 1.2 s vs
   0.5 s; 20,000 entries 12.5 s vs 0.6 s, over 600k rows);
-* up to ``broadcast_limit`` (200,000) entries and 64 MB the map is
-  checkpointed to the shared folder and **broadcast** — rows and bytes are
-  counted, so the broadcast has a proven bound — and applied as a hash lookup
-  per row;
-* above that it is applied with a sort-merge equi-join per feature, **salted**
+* above that the map is checkpointed to the shared folder. The smallest
+  features' maps, as many as together have up to ``broadcast_limit`` (200,000)
+  entries and 64 MB, are **broadcast** — rows and bytes are counted per
+  feature, so the broadcasts have a proven bound — and applied as a hash lookup
+  per row: a feature with few categories is not shuffled because another has many;
+* the other features' maps are applied with a sort-merge equi-join each, **salted**
   for hot categories (those with more than ``hot_share`` of the fit rows, at
   most ``1 / hot_share`` of them): a hot category's rows spread over
   ``salts`` join partitions and its map row is replicated per salt.
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import number, q, string_cols
-from ..functions.joins import BROADCAST_LIMIT, fits_broadcast, hot_keys, lookup_join, table_size
+from ..functions.joins import BROADCAST_LIMIT, broadcast_tables, hot_keys, lookup_join, table_sizes
 from ..session import cut_lineage
 from .base import Fitted, replace_columns
 
@@ -60,13 +61,14 @@ class FittedMap(Fitted):
     def __init__(self, strategy: str, cols: list[str], table: DataFrame, size: int,
                  literal_limit: int, default: dict | None = None,
                  null_code: dict | None = None, handle_unseen: str = "error",
-                 literal: dict | None = None, broadcast: bool = False,
+                 literal: dict | None = None, broadcast: bool | Sequence[str] = False,
                  hot: dict | None = None, salts: int = 64):
         self.strategy, self.cols, self.table, self.size = strategy, cols, table, size
         self.hot = hot or {}          # feature → hot categories (sort-merge path)
         self.salts = salts
         self.literal_limit = literal_limit
-        self.broadcast = broadcast    # map size counted ≤ the broadcast limit
+        # features whose maps are broadcast: their counted sizes together ≤ the broadcast limit
+        self.broadcast = list(cols) if broadcast is True else list(broadcast or [])
         self.default = default or {}
         self.null_code = null_code or {}
         self.handle_unseen = handle_unseen
@@ -107,7 +109,7 @@ class FittedMap(Fitted):
                 continue
             m = (self.table.where(F.col("feature") == c)
                  .select(F.col("category").alias("__cat"), F.col("code").alias("__code")))
-            out = lookup_join(out, m, F.col(q(c)).cast("string"), "__cat", self.broadcast,
+            out = lookup_join(out, m, F.col(q(c)).cast("string"), "__cat", c in self.broadcast,
                               self.hot.get(c, []), salts=self.salts)
             out = replace_columns(out, {c: self._finish(c, F.col("__code"))},
                                   drop={"__cat", "__code"})
@@ -255,12 +257,13 @@ class Encoder:
                 totals = counts.groupBy("feature").agg(
                     F.try_divide(F.sum("s"), F.sum("m")).alias("mean")).collect()
                 default = {r["feature"]: r["mean"] for r in totals}      # one row per feature
-        size = table_size(known.select("feature", "category", F.lit(0.0).alias("code")))
+        sizes = table_sizes(known.select("feature", "category", F.lit(0.0).alias("code")), "feature")
+        size = sum(n for n, _ in sizes.values())
         if self.strategy == "label":
             # category → 0..k-1 in sorted order of the string form (null → 'nan');
             # small maps are ranked on the driver, large ones by a distributed
             # dense index (no window holding a whole feature)
-            if size[0] <= self.literal_limit:
+            if size <= self.literal_limit:
                 per: dict[str, list] = {}
                 for r in known.collect():
                     per.setdefault(r["feature"], []).append(r["category"])
@@ -277,8 +280,8 @@ class Encoder:
         else:
             table = known.select("feature", "category", (F.col("s") / F.col("m")).alias("code"))
         literal, hot = None, {}
-        broadcast = False
-        if size[0] <= self.literal_limit:
+        broadcast = []
+        if size <= self.literal_limit:
             literal = {c: {} for c in cols}
             for r in table.collect():
                 literal[r["feature"]][r["category"]] = r["code"]
@@ -290,10 +293,11 @@ class Encoder:
             if self.strategy == "label":
                 for r in table.where(F.col("category") == NULL_TOKEN).collect():
                     null_code[r["feature"]] = r["code"]
-            broadcast = fits_broadcast(size, self.broadcast_limit)
-            if not broadcast:
-                hot = hot_categories(counts, self.hot_share)
-        return FittedMap(self.strategy, cols, table, size[0], self.literal_limit,
+            small = set(broadcast_tables(sizes, self.broadcast_limit))
+            broadcast = [c for c in cols if c in small or c not in sizes]
+            if len(broadcast) < len(cols):
+                hot = hot_categories(counts.where(~F.col("feature").isin(broadcast)), self.hot_share)
+        return FittedMap(self.strategy, cols, table, size, self.literal_limit,
                          default, null_code, self.handle_unseen, literal,
                          broadcast=broadcast, hot=hot)
 

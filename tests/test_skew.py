@@ -131,3 +131,44 @@ def test_lookup_join_paths_agree(spark):
         results.append(sorted((r.id, r.v) for r in j.select("id", "v").collect()))
     assert results[0] == results[1] == results[2] and len(results[0]) == N + 2
     assert small_side(small).count() == small.count()
+
+
+def _big_and_small(n=600):
+    return [(i, f"c{i % 300}", None if i % 5 == 0 else f"p{i % 4}", float(i % 7)) for i in range(n)]
+
+
+def test_a_small_map_is_broadcast_beside_a_large_one(spark):
+    from tessera.operators.encode import Encoder
+    df = spark.createDataFrame(_big_and_small(), "id int, cust string, prio string, y double")
+    for how in ("label", "target", "frequency"):
+        def run(limit):
+            f = Encoder(how, cols=["cust", "prio"], label="y", literal_limit=0, broadcast_limit=limit).fit(df)
+            return f, sorted(map(tuple, f.transform(df).select("id", "cust", "prio").collect()), key=repr)
+        mixed, got = run(100)
+        assert mixed.broadcast == ["prio"] and set(mixed.hot) <= {"cust"}
+        plan = mixed.transform(df)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("strategy=broadcast") == 1 and plan.count("LeftOuter") == 2
+        assert run(0)[0].broadcast == [] and run(1000)[0].broadcast == ["cust", "prio"]
+        assert got == run(0)[1] == run(1000)[1]
+
+
+def test_rows_without_a_key_are_dealt_over_join_tasks(spark):
+    from tessera.functions.joins import lookup_join
+    big = spark.range(2000).select("id", F.when(F.col("id") % 4 == 0, F.col("id").cast("string")).alias("k"))
+    small = spark.range(0, 2000, 8).select(F.col("id").cast("string").alias("c"), F.lit(1.0).alias("v"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for hot in ([], ["0"]):
+            out = lookup_join(big, small, F.col("k"), "c", broadcast=False, hot=hot)
+            assert out.columns == ["id", "k", "c", "v"]
+            assert out.agg(F.count("*"), F.sum("v")).first() == (2000, 250.0)
+            tasks = out.where("k IS NULL").groupBy(F.spark_partition_id().alias("t")).count().collect()
+            assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 750
+            # the same rows are dealt when the filter is not pushed below the join
+            parts = out.select("k", F.spark_partition_id().alias("t")).collect()
+            assert len({r.t for r in parts if r.k is None}) >= 6
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
