@@ -46,6 +46,38 @@ def test_keyed_shuffle_is_a_permutation(spark):
     assert sum(r["__d_x"] == r["x"] for r in rows) < 50
 
 
+def test_keyed_shuffle_is_one_exchange(spark):
+    from pyspark.sql import Window
+    rows = [(f"k{i}", None if i % 9 == 0 else float(i), i % 3 == 0, f"t{i % 7}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id string, x double, b boolean, t string")
+    d = donor_values(df, "id", ["x", "t"], seed=3, buckets=5, prefix="p_")
+    assert d.columns == ["id", "x", "b", "t", "p_x", "p_t"] and [t for _, t in d.dtypes] == ["string", "double", "boolean", "string", "double", "string"]
+    assert d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    # the row at slot i of a bucket has the values of its i-th donor
+    bucket = F.pmod(F.xxhash64("id", F.lit("b"), F.lit(3)), F.lit(5))
+
+    def rank(by):
+        return F.row_number().over(Window.partitionBy(bucket).orderBy(F.xxhash64("id", F.lit(by), F.lit(3)))).alias("i")
+    donors = df.select(bucket.alias("g"), rank("d"), F.col("x").alias("p_x"), F.col("t").alias("p_t"))
+    want = df.select("*", bucket.alias("g"), rank("s")).join(donors, ["g", "i"]).drop("g", "i")
+    assert sorted(map(tuple, d.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_keyed_shuffle_of_equal_and_missing_keys(spark):
+    rows = [(None if i % 4 == 0 else i % 4, float(i)) for i in range(100)]
+    d = donor_values(spark.createDataFrame(rows, "id int, x double"), "id", ["x"], buckets=2)
+    got = [tuple(r) for r in d.collect()]
+    assert sorted(r[1] for r in got) == sorted(r[2] for r in got) == [float(i) for i in range(100)]
+
+
+def test_buckets_are_bounded_by_rows_and_cells(spark):
+    from tessera.functions.shuffle import bucket_count
+    df = spark.range(1)
+    assert bucket_count(df, 10, 3) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bucket_count(df, 2_000_000_000, 3) == 1000
+    assert bucket_count(df, 1 << 30, 1 << 10) == 1 << 16
+
+
 def test_folds_partition_keys(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     f = split.with_folds(df, "k", 5)
